@@ -39,7 +39,7 @@ FLAT_CTE = f"""{VALID_CTE}, flat AS (
     FROM valid)"""
 
 
-def _members(population: Column) -> Column:
+def _members(population: Column) -> list[Column]:
     key = F.col("o_orderkey")
     text = F.lit(None).cast("string")
 
@@ -51,7 +51,7 @@ def _members(population: Column) -> Column:
         F.lit("ZZY"), currency(zeta), F.lit("AAB"), currency(F.concat(F.lit("Alpha "), key), F.lit("a"))
     )
     name = F.struct(F.expr(NAME_COMMON).alias("common"), F.expr(NAME_OFFICIAL).alias("official"))
-    return F.struct(
+    return [
         F.when(key % 19 != 0, name).alias("name"),
         F.expr(REGION).alias("region"),
         F.col("o_orderstatus").alias("subregion"),
@@ -65,12 +65,12 @@ def _members(population: Column) -> Column:
         .when(key % 4 == 1, F.create_map(F.lit("ORD"), currency(F.lit("Order unit"))))
         .when(key % 4 == 2, F.map_filter(two_out_of_order, lambda _key, _value: F.lit(False)))
         .alias("currencies"),
-    )
+    ]
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed raw records, numbers as text, as the contract reads them."""
-    members = table(spark, sf_dir, "orders").select(_members(F.expr(POPULATION)).alias("raw")).select("raw.*")
+    members = table(spark, sf_dir, "orders").select(*_members(F.expr(POPULATION)))
     return members.withColumns({name: F.col(name).cast("string") for name in ("population", "area")})
 
 
@@ -80,7 +80,7 @@ def order_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     Populations are fractions here, to be truncated. Even keys leave NULL fields out, odd keys spell them.
     """
     fraction = F.when(F.expr(POPULATION) == 0, F.lit(0.0)).when(F.expr(POPULATION).isNotNull(), F.col("o_totalprice"))
-    members = _members(fraction)
+    members = F.struct(*_members(fraction))
     spelled = F.to_json(members, {"ignoreNullFields": "false"})
     record = F.when(F.col("o_orderkey") % 2 == 0, F.to_json(members)).otherwise(spelled)
     return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", record.alias("record"))

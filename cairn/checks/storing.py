@@ -150,7 +150,7 @@ def batch_archive(spark, sf_dir):
     left = list_files(spark, run.zones["raw"]).count()
     population = F.col("population").cast("double").cast("bigint").alias("population")
     return archived.select(
-        F.col("name.common").alias("country_name"), "region", "subregion", population, F.lit(left).alias("files_left")
+        F.col("name.common").alias("country_name"), "region", "subregion", population, F.lit(left).cast("bigint").alias("files_left")
     )
 
 

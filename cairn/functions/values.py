@@ -60,7 +60,7 @@ def canonical_json(members: Column) -> Column:
     The text does not depend on the order the members were written in.
     """
     kept = F.map_filter(members, lambda _, member: member.isNotNull())
-    ordered = F.map_from_entries(F.array_sort(F.map_entries(kept)))
+    ordered = F.map_from_entries(F.sort_array(F.map_entries(kept)))
     return F.when(members.isNotNull(), F.to_json(ordered)).otherwise(F.lit(""))
 
 

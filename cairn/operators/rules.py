@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -45,17 +46,16 @@ def broken_rules(rules: Sequence[Rule]) -> Column:
     return F.array_compact(F.array(*broken)) if broken else F.array().cast("array<string>")
 
 
-def is_valid(rules: Sequence[Rule]) -> Column:
-    holds = F.lit(True)
-    for rule in rules:
-        holds = holds & F.coalesce(rule.holds, F.lit(False))
-    return holds
+def all_hold(rules: Sequence[Rule]) -> Column:
+    """TRUE for a valid row; FALSE or NULL otherwise. Plain conditions, so a filter on it reaches the scan."""
+    return functools.reduce(Column.__and__, [rule.holds for rule in rules], F.lit(True))
 
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and the others with ``reasons``. To write both in one pass use ``check``."""
-    valid = is_valid(rules)
-    return df.where(valid), df.where(~valid).withColumn("reasons", broken_rules(rules))
+    valid = all_hold(rules)
+    rejected = df.where(~F.coalesce(valid, F.lit(False)))
+    return df.where(valid), rejected.withColumn("reasons", broken_rules(rules))
 
 
 def check(parsed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -77,7 +77,7 @@ def check(parsed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def quality_metrics(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows in, valid and rejected, and rows breaking each rule: one ``metric``, ``n_rows`` line each, one scan."""
-    valid = is_valid(rules)
+    valid = F.coalesce(all_hold(rules), F.lit(False))
     counts = {"rows_in": F.lit(True), "rows_valid": valid, "rows_rejected": ~valid}
     counts |= {f"broken:{rule.name}": ~F.coalesce(rule.holds, F.lit(False)) for rule in rules}
     totals = df.agg(*[F.count_if(condition).alias(f"n{i}") for i, condition in enumerate(counts.values())])
