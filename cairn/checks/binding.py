@@ -6,8 +6,7 @@ becomes a record; the arithmetic only decides which of its fields are filled.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from cairn.checks.registry import table
 
@@ -39,39 +38,33 @@ FLAT_CTE = f"""{VALID_CTE}, flat AS (
     FROM valid)"""
 
 
-def _members(population: Column) -> list[Column]:
-    key = F.col("o_orderkey")
-    text = F.lit(None).cast("string")
-
-    def currency(name: Column, symbol: Column = text) -> Column:
-        return F.struct(name.alias("name"), symbol.alias("symbol"))
-
-    zeta = F.when(key % 8 == 0, F.lit("")).otherwise(F.lit("Zeta"))
-    two_out_of_order = F.create_map(
-        F.lit("ZZY"), currency(zeta), F.lit("AAB"), currency(F.concat(F.lit("Alpha "), key), F.lit("a"))
-    )
-    name = F.struct(F.expr(NAME_COMMON).alias("common"), F.expr(NAME_OFFICIAL).alias("official"))
-    return [
-        F.when(key % 19 != 0, name).alias("name"),
-        F.expr(REGION).alias("region"),
-        F.col("o_orderstatus").alias("subregion"),
-        population.alias("population"),
-        F.expr(AREA).alias("area"),
-        F.when(key % 15 == 0, F.array(text))
-        .when(key % 3 == 0, F.array("o_orderstatus", F.lit("x")))
-        .when(key % 3 == 1, F.array().cast("array<string>"))
-        .alias("capital"),
-        F.when(key % 4 == 0, two_out_of_order)
-        .when(key % 4 == 1, F.create_map(F.lit("ORD"), currency(F.lit("Order unit"))))
-        .when(key % 4 == 2, F.map_filter(two_out_of_order, lambda _key, _value: F.lit(False)))
-        .alias("currencies"),
-    ]
+NAME = f"CASE WHEN o_orderkey % 19 <> 0 THEN named_struct('common', {NAME_COMMON}, 'official', {NAME_OFFICIAL}) END"
+CAPITAL = """CASE WHEN o_orderkey % 15 = 0 THEN array(CAST(NULL AS STRING))
+    WHEN o_orderkey % 3 = 0 THEN array(o_orderstatus, 'x')
+    WHEN o_orderkey % 3 = 1 THEN CAST(array() AS ARRAY<STRING>) END"""
+CURRENCIES = """CASE o_orderkey % 4
+    WHEN 0 THEN map('ZZY', named_struct('name', if(o_orderkey % 8 = 0, '', 'Zeta'), 'symbol', CAST(NULL AS STRING)),
+                    'AAB', named_struct('name', 'Alpha ' || o_orderkey, 'symbol', 'a'))
+    WHEN 1 THEN map('ORD', named_struct('name', 'Order unit', 'symbol', CAST(NULL AS STRING)))
+    WHEN 2 THEN CAST(map() AS MAP<STRING, STRUCT<name: STRING, symbol: STRING>>) END"""
+
+
+def _members(population: str, area: str) -> dict[str, str]:
+    return {
+        "name": NAME,
+        "region": REGION,
+        "subregion": "o_orderstatus",
+        "population": population,
+        "area": area,
+        "capital": CAPITAL,
+        "currencies": CURRENCIES,
+    }
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed raw records, numbers as text, as the contract reads them."""
-    members = table(spark, sf_dir, "orders").select(*_members(F.expr(POPULATION)))
-    return members.withColumns({name: F.col(name).cast("string") for name in ("population", "area")})
+    members = _members(f"CAST({POPULATION} AS STRING)", f"CAST({AREA} AS STRING)")
+    return table(spark, sf_dir, "orders").selectExpr(*[f"{member} AS {name}" for name, member in members.items()])
 
 
 def order_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,11 +72,11 @@ def order_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Populations are fractions here, to be truncated. Even keys leave NULL fields out, odd keys spell them.
     """
-    fraction = F.when(F.expr(POPULATION) == 0, F.lit(0.0)).when(F.expr(POPULATION).isNotNull(), F.col("o_totalprice"))
-    members = F.struct(*_members(fraction))
-    spelled = F.to_json(members, {"ignoreNullFields": "false"})
-    record = F.when(F.col("o_orderkey") % 2 == 0, F.to_json(members)).otherwise(spelled)
-    return table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", record.alias("record"))
+    fraction = POPULATION.replace("CAST(floor(o_totalprice) AS BIGINT)", "o_totalprice")
+    members = ", ".join(f"'{name}', {member}" for name, member in _members(fraction, AREA).items())
+    record = f"""CASE WHEN o_orderkey % 2 = 0 THEN to_json(named_struct({members}))
+        ELSE to_json(named_struct({members}), map('ignoreNullFields', 'false')) END"""
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderstatus", f"{record} AS record")
 
 
 def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,10 @@ RAW = T.StructType(
 )
 RAW_COLUMNS = RAW.fieldNames()
 
+# The same for input known to be well typed. The decimal holds every BIGINT and a fraction.
+NUMBERS = {"population": T.DecimalType(38, 6), "area": T.DoubleType()}
+TRUSTED = T.StructType([T.StructField(field.name, NUMBERS.get(field.name, field.dataType)) for field in RAW.fields])
+
 CORRUPT = "_corrupt_record"
 RECORDS = T.StructType([T.StructField("record", T.StringType()), T.StructField("file_path", T.StringType())])
 

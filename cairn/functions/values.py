@@ -50,7 +50,7 @@ def unique_keys(members: Column) -> Column:
         F.array_distinct(keys),
         lambda key: F.struct(key.alias("key"), _last_value(entries, key).alias("value")),
     )
-    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    repeated = (F.size(members) > 1) & (F.size(F.array_distinct(keys)) < F.size(members))
     return F.when(repeated, F.map_from_entries(merged)).otherwise(members)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.contracts import CORRUPT, RAW, RAW_COLUMNS
+from cairn.contracts import CORRUPT, RAW, RAW_COLUMNS, TRUSTED
 from cairn.functions.values import unique_keys
 
 WHITESPACE = " \t\r\n"
@@ -34,7 +34,7 @@ def read_texts(spark: SparkSession, path: str, layout: str = "lines", stream_opt
 
 def lines_to_records(texts: DataFrame) -> DataFrame:
     """One record per non-blank line."""
-    return texts.where(F.trim("value", F.lit(WHITESPACE)) != "").select(F.col("value").alias("record"), "file_path")
+    return texts.where(F.ltrim("value", F.lit(WHITESPACE)) != "").select(F.col("value").alias("record"), "file_path")
 
 
 def arrays_to_records(texts: DataFrame, layout: str = "indented") -> DataFrame:
@@ -59,7 +59,7 @@ def _piece_as_array(piece: Column) -> Column:
     opened = F.when(is_head, piece).otherwise(F.concat(F.lit("[{"), piece))
     is_inner = piece.endswith(",")
     without_comma = F.substr(opened, F.lit(1), F.length(opened) - 1)
-    only_bracket = F.trim(piece, F.lit(WHITESPACE)) == "["
+    only_bracket = (F.octet_length(piece) < 64) & (F.trim(piece, F.lit(WHITESPACE)) == "[")
     return F.when(is_inner, F.concat(without_comma, F.lit("]"))).when(only_bracket, F.lit("[]")).otherwise(opened)
 
 
@@ -80,18 +80,23 @@ def parse_records(records: DataFrame) -> DataFrame:
     is_object = F.coalesce(F.ltrim("record", F.lit(WHITESPACE)).startswith("{"), F.lit(False))
     parsed = F.from_json(F.when(is_object, F.col("record")), contract, {"columnNameOfCorruptRecord": CORRUPT})
     corrupt = F.when(is_object, F.col(f"parsed.{CORRUPT}")).otherwise(F.coalesce("record", F.lit("null")))
-    staged = records.withColumn("parsed", parsed).select("record", "file_path", "parsed", corrupt.alias(CORRUPT))
+    staged = (
+        records.withColumn("parsed", parsed)
+        .withColumn(CORRUPT, corrupt)
+        .withColumn("parsed", F.when(F.col(CORRUPT).isNull(), F.col("parsed")))
+    )
     fields = {name: F.col(f"parsed.{name}") for name in RAW_COLUMNS}
     fields["currencies"] = unique_keys(fields["currencies"])
-    readable = F.col(CORRUPT).isNull()
-    return staged.select(
-        *[F.when(readable, field).alias(name) for name, field in fields.items()], "record", "file_path", CORRUPT
-    )
+    return staged.select(*[field.alias(name) for name, field in fields.items()], "record", "file_path", CORRUPT)
 
 
 def scan_arrays(spark: SparkSession, path: str) -> DataFrame:
-    """Typed scan of trusted array files. One wrong type rejects the whole file; see ``read_records``."""
-    return spark.read.schema(RAW).option("multiLine", True).json(path)
+    """Typed scan of trusted array files. One wrong type rejects the whole file; see ``read_records``.
+
+    Numbers are read as numbers: for a number wanted as text the reader goes back to the file
+    once per value.
+    """
+    return spark.read.schema(TRUSTED).option("multiLine", True).json(path)
 
 
 def to_records(df: DataFrame) -> DataFrame:
