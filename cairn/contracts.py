@@ -75,3 +75,6 @@ RUN_AUDIT = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
+
+# Planned and made moves of raw files.
+LEDGER = T.StructType([T.StructField(name, T.StringType()) for name in ("path", "archive_path", "run_ts")])

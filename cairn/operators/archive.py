@@ -1,11 +1,20 @@
-"""Moving processed raw files out of the raw zone, as a Spark job over the file listing."""
+"""Moving processed raw files out of the raw zone, as a Spark job over the file listing.
+
+The moves are planned in a written table first. A listing looks at its files again whenever it is
+computed, which fails once some are gone; a table does not, so a lost task or a run that died half
+way can move the rest.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cairn.contracts import LEDGER
 from cairn.functions.paths import is_record_file, rewrite_zone
+from cairn.operators.sinks import write_zone
+from cairn.sources.files import has_landed
+from cairn.sources.zones import read_zone
 
 
 def archive_plan(files: DataFrame, zone: str, archive_zone: str, suffix: str = ".json") -> DataFrame:
@@ -50,9 +59,23 @@ def move_files(plan: DataFrame) -> DataFrame:
                 move(source, target)
             yield batch
 
-    return plan.select("path", "archive_path").mapInPandas(move_batches, "path string, archive_path string")
+    return plan.mapInPandas(move_batches, plan.schema)
+
+
+def archive_files(files: DataFrame, zone: str, archive_zone: str, ledger: str, run_ts: str, suffix: str = ".json") -> int:
+    """Archives the data files of a listing and returns their number. ``ledger`` keeps what was planned and done."""
+    plan = archive_plan(files, zone, archive_zone, suffix).withColumn("run_ts", F.lit(run_ts))
+    write_zone(plan, f"{ledger}/planned", "run_ts", mode="append")
+    return finish_archives(files.sparkSession, ledger)
 
 
-def archive_files(files: DataFrame, zone: str, archive_zone: str, suffix: str = ".json") -> int:
-    """Archives the data files of a listing and returns their number."""
-    return move_files(archive_plan(files, zone, archive_zone, suffix)).count()
+def finish_archives(spark: SparkSession, ledger: str) -> int:
+    """Makes the moves that were planned and not yet done, this run's or an earlier one's; returns their number."""
+    if not has_landed(spark, f"{ledger}/planned"):
+        return 0
+    pending = read_zone(spark, f"{ledger}/planned", LEDGER)
+    if has_landed(spark, f"{ledger}/done"):
+        pending = pending.join(read_zone(spark, f"{ledger}/done", LEDGER), ["run_ts", "path"], "left_anti")
+    batches = pending.repartition("path")
+    moved = write_zone(move_files(batches), f"{ledger}/done", "run_ts", mode="append", metrics={"n": F.count(F.lit(1))})
+    return moved.metrics["n"]

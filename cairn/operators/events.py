@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Fixed values of the message format: alternative keys in their order, and what stands in for an absent member.
 JOB_NAME_KEYS = ("jobName", "JobName", "job_name")
 REASON_KEYS = ("reason", "error", "failureReason")
+DEFAULT_STATUS = "UNKNOWN"
+DEFAULT_STAGE = "pipeline"
+DEFAULT_SOURCE = "stepfunctions"
 
 # JSON texts of the values that count as not given: empty text, zero, false, null, empty containers.
 NOT_GIVEN = ('""', "0", "0.0", "-0.0", "false", "null", "{}", "[]")
@@ -61,8 +65,8 @@ def normalise_events(df: DataFrame, body: str) -> DataFrame:
         *carried,
         F.when(envelope.isNull(), F.col("_outer")).otherwise(members(F.to_json(envelope))).alias("_members"),
     )
-    named = opened.withColumn("status", _text_or_default("_members", "status", F.lit("UNKNOWN"))).withColumn(
-        "stage", _text_or_default("_members", "stage", F.lit("pipeline"))
+    named = opened.withColumn("status", _text_or_default("_members", "status", F.lit(DEFAULT_STATUS))).withColumn(
+        "stage", _text_or_default("_members", "stage", F.lit(DEFAULT_STAGE))
     )
     # A null is spelled None in the default message, as its readers know it.
     spelled = [F.coalesce(name, F.lit("None")) for name in ("stage", "status")]
@@ -73,7 +77,7 @@ def normalise_events(df: DataFrame, body: str) -> DataFrame:
         "stage",
         _text_or_default("_members", "message", message).alias("message"),
         _first_given("_members", REASON_KEYS).alias("reason"),
-        _text_or_default("_members", "source", F.lit("stepfunctions")).alias("source"),
+        _text_or_default("_members", "source", F.lit(DEFAULT_SOURCE)).alias("source"),
         _text(_member("_members", "executionArn")).alias("executionArn"),
         _text(_member("_members", "timestamp")).alias("timestamp"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.contracts import CURATED, REQUIRED_FIELDS, VALID
-from cairn.operators.archive import archive_files
+from cairn.operators.archive import archive_files, finish_archives
 from cairn.operators.catalog import create_database, register_table, repair_table
 from cairn.operators.reports import region_report, top_k_report
 from cairn.operators.rules import check, contract_rules, validate, weak_rules
@@ -42,6 +42,7 @@ class Run:
     allow_nulls: bool = False
     on_empty: str = "fail"
     partition_overwrite: str = "static"
+    validated_layout: str = "rebalance"
     keep_intermediate: bool = True
     archive_raw: bool = True
     database: str | None = None
@@ -64,6 +65,10 @@ class Run:
     def audit(self) -> str:
         return f"{self.root.rstrip('/')}/logs/run_audit"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.root.rstrip('/')}/logs/archived/{self.dataset}"
+
 
 @dataclass(frozen=True)
 class Stage:
@@ -127,9 +132,11 @@ def validate_zone(spark: SparkSession, run: Run) -> Stage:
     """Raw zone to validated zone, then the raw files to the archive.
 
     The listing is taken before the read: a file that lands in between is read and stays for
-    the next run, never archived unread.
+    the next run, never archived unread. Files that an earlier run read and died before moving
+    are moved first: read again, they would be all this run has, and replace what that run made.
     """
     raw, target = run.zones["raw"], run.zones["validated"]
+    finish_archives(spark, run.ledger)
     files = list_files(spark, raw)
     records = read_records(spark, raw, run.raw_layout)
     checked = check(parse_records(records), run_rules(run))
@@ -144,8 +151,10 @@ def validate_zone(spark: SparkSession, run: Run) -> Stage:
         if run.on_empty == "skip":
             return Stage("validate", target, status="skipped")
 
-    written = write_checked(checked, target, run.partition_overwrite)
-    archived = archive_files(files, raw, run.zones["archive"], run.raw_suffix) if run.archive_raw else 0
+    written = write_checked(checked, target, run.partition_overwrite, layout=run.validated_layout)
+    archived = 0
+    if run.archive_raw:
+        archived = archive_files(files, raw, run.zones["archive"], run.ledger, run.run_ts, run.raw_suffix)
     return Stage("validate", target, files_archived=archived, **written.metrics)
 
 
@@ -203,7 +212,7 @@ def run_medallion(
 ) -> list[Stage]:
     """The whole chain. Without ``records`` it starts from what lies in the raw zone, or lands the fallback if nothing does."""
     stages = []
-    if records is not None or not has_landed(spark, run.zones["raw"]):
+    if records is not None or not has_landed(spark, run.zones["raw"], run.run_ts):
         stages.append(("ingest", lambda: land_records(spark, run, records, fallback)))
     stages.append(("validate", lambda: validate_zone(spark, run)))
     if run.keep_intermediate:

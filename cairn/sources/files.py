@@ -18,14 +18,29 @@ def landed_sizes(texts: DataFrame, by: str = "file_path") -> DataFrame:
     return texts.groupBy(by).agg(F.count("*").alias("n_records"), F.sum(F.octet_length("value")).alias("n_bytes"))
 
 
-def has_landed(spark: SparkSession, path: str) -> bool:
-    """Whether a file was landed at ``path``. A file that holds no record counts: it is data, not its absence."""
+def has_landed(spark: SparkSession, zone: str, run_ts: str | None = None) -> bool:
+    """Whether the zone holds a file with content, or the given run's folder, be it empty.
+
+    A run that landed no record is data, not its absence.
+    """
+    try:
+        if run_ts is not None and _is_readable(spark, f"{zone}/run_ts={run_ts}"):
+            return True
+        return not list_files(spark, zone).isEmpty()
+    except AnalysisException as failure:
+        if failure.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
+def _is_readable(spark: SparkSession, path: str) -> bool:
     try:
-        return not list_files(spark, path).isEmpty()
+        spark.read.format("text").load(path)
     except AnalysisException as failure:
         if failure.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
+    return True
 
 
 def source_or_fallback(primary: DataFrame | None, fallback: DataFrame | None = None) -> DataFrame:

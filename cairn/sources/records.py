@@ -28,7 +28,7 @@ LAYOUTS = {
 def read_texts(spark: SparkSession, path: str, layout: str = "lines", stream_options: dict | None = None) -> DataFrame:
     """``value`` and ``file_path`` of every piece of text below ``path``; a stream when options for one are given."""
     reader = spark.read if stream_options is None else spark.readStream.options(**stream_options)
-    texts = reader.options(**LAYOUTS[layout]).text(path)
+    texts = reader.format("text").options(**LAYOUTS[layout]).load(path)
     return texts.select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
