@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cairn.functions.values import unique_keys
+
 # Fixed values of the message format: alternative keys in their order, and what stands in for an absent member.
 JOB_NAME_KEYS = ("jobName", "JobName", "job_name")
 REASON_KEYS = ("reason", "error", "failureReason")
@@ -14,43 +16,46 @@ DEFAULT_STATUS = "UNKNOWN"
 DEFAULT_STAGE = "pipeline"
 DEFAULT_SOURCE = "stepfunctions"
 
-# JSON texts of the values that count as not given: empty text, zero, false, null, empty containers.
-NOT_GIVEN = ('""', "0", "0.0", "-0.0", "false", "null", "{}", "[]")
-
+# Texts of the values that count as not given: empty text, zero, false, empty containers.
+# All but the first are given when they are quoted.
+NOT_GIVEN = ("", "0", "0.0", "-0.0", "false", "{}", "[]")
 
-def members(text: Column) -> Column:
-    """The members of a JSON object by name; NULL for any other text."""
-    return F.from_json(text, "MAP<STRING, VARIANT>")
 
+def _parsed(text: Column) -> Column:
+    """JSON text as VARIANT, NULL if it is none; of repeated members the last counts.
 
-def _member(object_members: str, key: str) -> Column:
-    """A member as VARIANT (the last of repeated ones): SQL NULL when absent, a variant null when it is null."""
-    same_key = F.map_values(F.map_filter(object_members, lambda name, _: name == key))
-    return F.try_element_at(same_key, F.lit(-1))
+    A generator, so that the text is parsed once per row whatever is asked of the result. Objects
+    that repeat a member are no VARIANT as they stand, so what looks like one is tried again merged.
+    """
+    merged = F.to_json(unique_keys(F.from_json(text, "MAP<STRING, VARIANT>")))
+    retried = F.when(text.rlike(r"^\s*\{"), F.try_parse_json(merged))
+    return F.explode(F.array(F.coalesce(F.try_parse_json(text), retried)))
 
 
-def _text(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
+def _member(parsed: str, key: str, as_type: str = "string") -> Column:
+    """A member of a parsed object; as VARIANT it is SQL NULL when absent and a variant null when it is null."""
+    return F.try_variant_get(F.col(parsed), f'$["{key}"]', as_type)
 
 
-def _given_text(value: Column) -> Column:
-    return F.when(~F.to_json(value).isin(*NOT_GIVEN), _text(value))
+def _given_text(parsed: str, key: str) -> Column:
+    text = _member(parsed, key)
+    quoted = (text != "") & (F.schema_of_variant(_member(parsed, key, "variant")) == "STRING")
+    return F.when(~text.isin(*NOT_GIVEN) | quoted, text)
 
 
-def _first_given(object_members: str, keys: Sequence[str]) -> Column:
-    return F.coalesce(*[_given_text(_member(object_members, key)) for key in keys])
+def _first_given(parsed: str, keys: Sequence[str]) -> Column:
+    return F.coalesce(*[_given_text(parsed, key) for key in keys])
 
 
-def _text_or_default(object_members: str, key: str, default: Column) -> Column:
+def _text_or_default(parsed: str, key: str, default: Column) -> Column:
     """The default stands in for an absent member only: an explicit null stays NULL."""
-    value = _member(object_members, key)
-    return F.when(value.isNull(), default).otherwise(_text(value))
+    return F.when(_member(parsed, key, "variant").isNull(), default).otherwise(_member(parsed, key))
 
 
 def event_field(df: DataFrame, body: str, alias: str, default: str, keys: Sequence[str] = JOB_NAME_KEYS) -> DataFrame:
     """Adds ``alias``: the first of ``keys`` that is given, else the default, also for text that is no JSON object."""
-    parsed = df.withColumn("_members", members(F.col(body)))
-    return parsed.withColumn(alias, F.coalesce(_first_given("_members", keys), F.lit(default))).drop("_members")
+    parsed = df.select("*", _parsed(F.col(body)).alias("_body"))
+    return parsed.withColumn(alias, F.coalesce(_first_given("_body", keys), F.lit(default))).drop("_body")
 
 
 def normalise_events(df: DataFrame, body: str) -> DataFrame:
@@ -59,25 +64,24 @@ def normalise_events(df: DataFrame, body: str) -> DataFrame:
     Text that is no JSON object gives the defaults.
     """
     carried = [name for name in df.columns if name != body]
-    parsed = df.select(*carried, members(F.col(body)).alias("_outer"))
-    envelope = _member("_outer", "Payload")
-    opened = parsed.select(
-        *carried,
-        F.when(envelope.isNull(), F.col("_outer")).otherwise(members(F.to_json(envelope))).alias("_members"),
-    )
-    named = opened.withColumn("status", _text_or_default("_members", "status", F.lit(DEFAULT_STATUS))).withColumn(
-        "stage", _text_or_default("_members", "stage", F.lit(DEFAULT_STAGE))
+    parsed = df.select(*carried, _parsed(F.col(body)).alias("_body"))
+    opened = parsed.withColumn("_body", F.coalesce(_member("_body", "Payload", "variant"), F.col("_body")))
+    named = opened.withColumns(
+        {
+            "status": _text_or_default("_body", "status", F.lit(DEFAULT_STATUS)),
+            "stage": _text_or_default("_body", "stage", F.lit(DEFAULT_STAGE)),
+        }
     )
     # A null is spelled None in the default message, as its readers know it.
-    spelled = [F.coalesce(name, F.lit("None")) for name in ("stage", "status")]
-    message = F.concat(spelled[0], F.lit(" status: "), spelled[1])
+    stage, status = (F.coalesce(F.col(name), F.lit("None")) for name in ("stage", "status"))
+    message = F.concat(stage, F.lit(" status: "), status)
     return named.select(
         *carried,
         "status",
         "stage",
-        _text_or_default("_members", "message", message).alias("message"),
-        _first_given("_members", REASON_KEYS).alias("reason"),
-        _text_or_default("_members", "source", F.lit(DEFAULT_SOURCE)).alias("source"),
-        _text(_member("_members", "executionArn")).alias("executionArn"),
-        _text(_member("_members", "timestamp")).alias("timestamp"),
+        _text_or_default("_body", "message", message).alias("message"),
+        _first_given("_body", REASON_KEYS).alias("reason"),
+        _text_or_default("_body", "source", F.lit(DEFAULT_SOURCE)).alias("source"),
+        _member("_body", "executionArn").alias("executionArn"),
+        _member("_body", "timestamp").alias("timestamp"),
     )

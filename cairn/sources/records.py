@@ -79,15 +79,19 @@ def parse_records(records: DataFrame) -> DataFrame:
     # from_json would quietly take the first element of an array.
     is_object = F.coalesce(F.ltrim("record", F.lit(WHITESPACE)).startswith("{"), F.lit(False))
     parsed = F.from_json(F.when(is_object, F.col("record")), contract, {"columnNameOfCorruptRecord": CORRUPT})
-    corrupt = F.when(is_object, F.col(f"parsed.{CORRUPT}")).otherwise(F.coalesce("record", F.lit("null")))
-    staged = (
-        records.withColumn("parsed", parsed)
-        .withColumn(CORRUPT, corrupt)
-        .withColumn("parsed", F.when(F.col(CORRUPT).isNull(), F.col("parsed")))
-    )
-    fields = {name: F.col(f"parsed.{name}") for name in RAW_COLUMNS}
+    # A generator, because filters are not pushed through one: as a projection, the parse would be
+    # copied into a later filter once per column the filter looks at.
+    staged = records.withColumn("is_object", is_object).select("record", "file_path", "is_object", F.inline(F.array(parsed)))
+    corrupt = F.when(F.col("is_object"), F.col(CORRUPT)).otherwise(F.coalesce("record", F.lit("null")))
+    readable = F.col("is_object") & F.col(CORRUPT).isNull()
+    fields = {name: F.col(name) for name in RAW_COLUMNS}
     fields["currencies"] = unique_keys(fields["currencies"])
-    return staged.select(*[field.alias(name) for name, field in fields.items()], "record", "file_path", CORRUPT)
+    return staged.select(
+        *[F.when(readable, field).alias(name) for name, field in fields.items()],
+        "record",
+        "file_path",
+        corrupt.alias(CORRUPT),
+    )
 
 
 def scan_arrays(spark: SparkSession, path: str) -> DataFrame:
