@@ -65,7 +65,7 @@ def move_files(plan: DataFrame) -> DataFrame:
 def archive_files(files: DataFrame, zone: str, archive_zone: str, ledger: str, run_ts: str, suffix: str = ".json") -> int:
     """Archives the data files of a listing and returns their number. ``ledger`` keeps what was planned and done."""
     plan = archive_plan(files, zone, archive_zone, suffix).withColumn("run_ts", F.lit(run_ts))
-    write_zone(plan, f"{ledger}/planned", "run_ts", mode="append")
+    write_zone(plan, f"{ledger}/planned", "run_ts", layout="inherit", mode="append")
     return finish_archives(files.sparkSession, ledger)
 
 
@@ -76,6 +76,6 @@ def finish_archives(spark: SparkSession, ledger: str) -> int:
     pending = read_zone(spark, f"{ledger}/planned", LEDGER)
     if has_landed(spark, f"{ledger}/done"):
         pending = pending.join(read_zone(spark, f"{ledger}/done", LEDGER), ["run_ts", "path"], "left_anti")
-    batches = pending.repartition("path")
-    moved = write_zone(move_files(batches), f"{ledger}/done", "run_ts", mode="append", metrics={"n": F.count(F.lit(1))})
-    return moved.metrics["n"]
+    moved = move_files(pending.repartition("path"))
+    counted = {"n": F.count(F.lit(1))}
+    return write_zone(moved, f"{ledger}/done", "run_ts", layout="inherit", mode="append", metrics=counted).metrics["n"]
