@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PLAIN_NUMBER = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
+BIGINT_END = 2.0**63
 
 
 def blank_to_null(text: Column) -> Column:
@@ -23,11 +23,16 @@ def number(value: Column) -> Column:
 def whole_number(value: Column) -> Column:
     """BIGINT: fractions truncated, NULL for anything a BIGINT cannot hold.
 
-    Plain digits before the point are cast as they are, which is exact and, unlike casting text
-    that has a fraction to BIGINT, does not fail inside for every such value. Exponents go through DOUBLE.
+    Without an exponent the digits before the point are cast, which is exact and, unlike casting
+    text that has a fraction to BIGINT, does not fail inside for every such value.
     """
-    digits = F.nullif(F.regexp_extract(value.cast("string"), PLAIN_NUMBER, 1), F.lit(""))
-    return F.coalesce(digits.try_cast("bigint"), number(value).try_cast("bigint"))
+    text = value.cast("string")
+    # A cast from DOUBLE takes 2^63 for the largest BIGINT.
+    rounded = F.when(number(value) < F.lit(BIGINT_END), number(value).try_cast("bigint"))
+    digits = F.substring_index(text, ".", 1).try_cast("bigint")
+    has_exponent = F.contains(text, F.lit("e")) | F.contains(text, F.lit("E"))
+    whole = F.when(has_exponent, rounded).otherwise(F.coalesce(digits, rounded))
+    return F.when(number(value).isNotNull(), whole)
 
 
 def exceeds(value: Column, minimum: float) -> Column:

@@ -77,6 +77,9 @@ def test_official_name_may_be_absent(spark):
         (..., ["population_required", "population_min"]),
         ("n/a", ["population_min"]),
         ("NaN", ["population_min"]),
+        ("1.x", ["population_min"]),
+        ("Infinity", ["population_min"]),
+        ("9223372036854775808", ["population_min"]),
         (1e300, ["population_min"]),
     ],
 )
@@ -87,7 +90,19 @@ def test_bad_populations(spark, population, reasons):
 
 
 @pytest.mark.parametrize(
-    "population, stored", [("12", 12), (3.7, 3), (0.5, 0), (9007199254740993, 9007199254740993), ("9223372036854775807", 2**63 - 1)]
+    "population, stored",
+    [
+        ("12", 12),
+        (3.7, 3),
+        (0.5, 0),
+        (".5", 0),
+        (" 7 ", 7),
+        ("1.5e3", 1500),
+        (2.5e9, 2500000000),
+        (9007199254740993, 9007199254740993),
+        ("9007199254740993.5", 9007199254740993),
+        ("9223372036854775807", 2**63 - 1),
+    ],
 )
 def test_good_populations(spark, population, stored):
     assert flatten(valid(spark, country(population=population))).first().population == stored
