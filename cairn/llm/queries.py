@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.checks.registry import query, table
-from cairn.llm import byte_pairs, decontamination, languages, quality_classifier, quality_rules
+from cairn.llm import byte_pairs, decontamination, jaccard_join, languages, line_dedup, quality_classifier, quality_rules, sharding
 from cairn.llm.staging import stage
 from cairn.llm.texts import remainder
 
@@ -17,6 +17,43 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def crc_table() -> list[int]:
+    table = list(range(256))
+    for _ in range(8):
+        table = [(x >> 1) ^ (0xEDB88320 if x & 1 else 0) for x in table]
+    return table
+
+
+OP1 = f"""
+WITH bytes AS (
+    SELECT doc_id, source, coalesce(octet_length(encode(text)), 0) + 8 AS size,
+        list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda b: CAST('0x' || b AS BIGINT)) AS b
+    FROM documents
+), rows_ AS (
+    SELECT doc_id, source, size,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 8, {crc_table()}[(xor(a, x) & 255) + 1])), 4294967295) AS text_crc32,
+        coalesce('=' || source, '') AS stratum,
+        CAST('0x' || substr(md5('1|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS draw
+    FROM bytes
+), placed AS (
+    SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY draw, doc_id, text_crc32, size) - 1
+        + CAST('0x' || substr(md5('2|' || stratum), 1, 15) AS BIGINT) / 1152921504606846976.0::DOUBLE) / count(*) OVER (PARTITION BY stratum) AS place
+    FROM rows_
+), sequence_ AS (
+    SELECT *, row_number() OVER (ORDER BY place, draw, doc_id, text_crc32, size) - 1 AS position, count(*) OVER () AS total FROM placed
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'rows' AS law,
+    CAST(position * 24 // total AS INTEGER) AS shard,
+    CAST(position - ((position * 24 // total) * total + 23) // 24 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard, source
+FROM sequence_
+"""
+
+
+@query(OP1)
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -29,6 +66,32 @@ def op4_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.encode_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+OP6 = r"""
+WITH lines AS (
+    SELECT doc_id, i, w[i] AS line,
+        translate(regexp_replace(w[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents))
+), owned AS (
+    SELECT *, CASE WHEN length(key) >= 10 THEN min(doc_id) OVER (PARTITION BY key) ELSE doc_id END AS owner FROM lines
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE owner < doc_id) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE owner = doc_id), '')) AS kept_sha256
+FROM owned GROUP BY doc_id
+"""
+
+
+@query(OP6)
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    text = F.coalesce(F.col("row.text"), F.lit("")).cast("binary")
+    return kept.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2(text, 256).alias("kept_sha256"))
+
+
+@query()
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 OP8 = r"""
 WITH item_words AS (
     SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
