@@ -152,27 +152,31 @@ def from_json(content: str) -> BytePairs:
     return BytePairs(model["vocab"], pairs, {x["content"]: x["id"] for x in file["added_tokens"]})
 
 
-def encode_documents(documents: DataFrame, vocabulary: str, keep_ids: bool = False) -> DataFrame:
-    """``doc_id``, ``n_tokens`` and digests of ids and decoded text; with ``keep_ids`` also ``ids`` and ``decoded``.
+def encode_documents(documents: DataFrame, vocabulary: str, keep: bool = False) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and digests of ids and decoded text; with ``keep`` also ``ids`` and ``decoded``.
 
     ``vocabulary`` is the path of the file on the driver; its content (a few MB) is sent to the tasks.
     """
     with open(vocabulary, encoding="utf-8") as file:
         shared = documents.sparkSession.sparkContext.broadcast(file.read())
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep_ids
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids", "decoded"] * keep]
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * keep
 
     def run(batches):
         pairs = from_json(shared.value)
-        for batch in batches:
-            rows = []
-            for text in batch.column(1):
-                ids = pairs.encode(text.as_py() or "")
-                decoded = pairs.decode(ids)
-                more = (memoryview(ids).cast("I").tolist(), decoded) if keep_ids else ()
-                rows.append((len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), *more))
-            kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32()), pa.string()]
-            columns = zip(*rows, strict=True) if rows else [[] for _ in range(3 + 2 * keep_ids)]
-            arrays = [pa.array(list(values), kind) for values, kind in zip(columns, kinds, strict=False)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "ids", "decoded"][: len(arrays) + 1])
+        for whole in batches:
+            for low in range(0, whole.num_rows, 500):
+                batch = whole.slice(low, 500)
+                ids = [pairs.encode(text or "") for text in batch.column(1).to_pylist()]
+                decoded = [pairs.decode(x) for x in ids]
+                sizes = np.array([len(x) // 4 for x in ids], np.int64)
+                arrays = [
+                    batch.column(0), pa.array(sizes), pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(x.encode()).hexdigest() for x in decoded], pa.string()),
+                ]
+                if keep:
+                    flat = pa.array(np.frombuffer(b"".join(ids), np.int32))
+                    arrays += [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), flat), pa.array(decoded, pa.string())]
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.checks.registry import query, table
-from cairn.llm import byte_pairs, decontamination, jaccard_join, languages, line_dedup, quality_classifier, quality_rules, sharding
+from cairn.llm import byte_pairs, decontamination, jaccard_join, languages, line_dedup, lm_scoring, quality_classifier, quality_rules, sharding
 from cairn.llm.staging import stage
 from cairn.llm.texts import remainder
 
@@ -54,6 +54,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
