@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("CAIRN_SF_DIR", "/root/testdata/sf0.001")
-TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages".split()
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")
