@@ -4,15 +4,15 @@
    gives each document its class, and counts shingles by slots of their hash (a table of ``SLOTS``).
 2. Shingles are ordered by the count of their slot, then by hash. Two linked sets share one of the
    first ``n - ceil(0.8 n) + 1`` shingles of each. Classes with such a shingle in common are a *tile*.
-   Shingles held by one class only are dropped in the tasks that gather them. Shingles of slots that
-   hold far more than the mean would pile up there; they skip that step and are all kept.
-3. Every class of a tile is compared with the tile's first class, which joins groups of near copies
+   Shingles without two classes of like size are dropped in the tasks that gather them. Shingles of
+   slots that hold far more than the mean would pile up there; they skip that step and are all kept.
+3. Every class of a tile is compared with the tile's first class (4 and 5 say how), which joins groups of near copies
    with as many pairs as members. Connected components of these links are contracted.
-4. What is left are pairs of one tile and of different components. Tiles are cut by size bands (a set
+4. What is left are pairs of one tile, without its first class, and of different components. Tiles are cut by size bands (a set
    meets its own and the next band) and into blocks of at most ``BLOCK`` rows: members of the tile's
    largest component are met by all others, not by each other. Bit counts of hashed bitmap signatures
    bound the overlap from above; pairs that stay go on.
-5. Each pair gets its two texts once; overlaps are counted on the sorted arrays of shingle hashes.
+5. Each pair left gets its two texts; overlaps are counted on the sorted arrays of shingle hashes.
 
 No pair inside a component is formed in step 4 and no pair is dropped but by a bound, so the
 components are exact (up to equal 64-bit hashes of different shingles or sets).
@@ -40,6 +40,8 @@ SLOTS = 1 << 15
 CROWDED = 8
 #: Shingles of one gathering task, and rows of a block in step 4.
 GATHER, BLOCK = 500_000, 1024
+#: Bits of the filter that keeps unwanted texts out of a shuffle.
+FILTER = 1 << 23
 LAST = 2**63 - 1
 _U = np.uint64
 
@@ -101,7 +103,9 @@ def bounded(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray) -
 
 
 def describe(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Step 1: ``doc_id``, ``version`` (of the text), ``n``, ``class`` of every document; counts of slots."""
+    """Step 1: ``doc_id``, ``version`` (of the text), ``n``, ``class``, ``bits`` of every document; counts of slots."""
+
+    columns = ["doc_id", "version", "n", "class", "bits", "slots"]
 
     def run(batches):
         seen = np.zeros(SLOTS, np.int64)
@@ -111,11 +115,13 @@ def describe(documents: DataFrame) -> tuple[DataFrame, np.ndarray]:
             seen += np.bincount((values >> _U(49)).astype(np.int64), minlength=SLOTS)
             n = np.diff(bounds)
             names = pa.array(class_names(values, bounds), mask=n == 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), names, pa.nulls(len(n), kind)], names=["doc_id", "version", "n", "class", "slots"])
-        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.array([seen], kind)], names=["doc_id", "version", "n", "class", "slots"])
+            bits = pa.array(bitmaps(values, bounds), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), names, bits, pa.nulls(len(n), kind)], names=columns)
+        nothing = [*(pa.nulls(1, pa.int64()) for _ in range(4)), pa.nulls(1, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*nothing, pa.array([seen], kind)], names=columns)
 
     rows = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("version"), utf8())
-    described = stage(rows.mapInArrow(run, "doc_id long, version long, n long, class long, slots array<long>"), "shingle-sets")
+    described = stage(rows.mapInArrow(run, "doc_id long, version long, n long, class long, bits binary, slots array<long>"), "shingle-sets")
     counts = np.zeros(SLOTS, np.int64)
     flat = described.where("slots is not null").select(F.posexplode("slots").alias("slot", "n")).groupBy("slot").agg(F.sum("n").alias("n"))
     for slot, n in flat.collect():
@@ -162,12 +168,13 @@ def prefixes(documents: DataFrame, slots: np.ndarray, packs: int) -> DataFrame:
     def gather(key, packs_of_key):
         parts = [np.frombuffer(x, np.int64).reshape(-1, 3) for x in packs_of_key.column("entries").to_pylist()]
         table = np.concatenate(parts)
-        table = table[np.lexsort((table[:, 1], table[:, 0]))]
+        table = table[np.lexsort((table[:, 1], table[:, 2], table[:, 0]))]
         fresh = np.ones(len(table), bool)
         fresh[1:] = (table[1:, :2] != table[:-1, :2]).any(1)
         table = table[fresh]
         if key[0].as_py() < packs:
-            same = table[1:, 0] == table[:-1, 0]
+            # in order of size, a set that may be similar to any other may be so to a neighbour
+            same = (table[1:, 0] == table[:-1, 0]) & (5 * table[:-1, 2] >= 4 * table[1:, 2])
             keep = np.zeros(len(table), bool)
             keep[1:] |= same
             keep[:-1] |= same
@@ -178,19 +185,31 @@ def prefixes(documents: DataFrame, slots: np.ndarray, packs: int) -> DataFrame:
     return stage(packed.groupBy("pack").applyInArrow(gather, "shingle long, class long, n long"), "tiles")
 
 
-def first_pairs(tiles: DataFrame) -> DataFrame:
-    """Step 3: each class with the first one of its tiles."""
+def with_first(tiles: DataFrame) -> DataFrame:
+    """Tiles with their first class beside every class."""
     first = tiles.groupBy("shingle").agg(F.min(F.struct("class", "n")).alias("first"))
-    pairs = tiles.join(first, "shingle").where("class <> first.class and 5 * least(n, first.n) >= 4 * greatest(n, first.n)")
-    return pairs.select(F.col("first.class").alias("a"), F.col("class").alias("b")).distinct()
+    return stage(tiles.join(first, "shingle").where("class <> first.class"), "firsts")
+
+
+def first_pairs(firsts: DataFrame) -> DataFrame:
+    """Step 3: each class with the first one of its tiles."""
+    near = firsts.where("5 * least(n, first.n) >= 4 * greatest(n, first.n)")
+    return stage(near.select(F.col("first.class").alias("a"), F.col("class").alias("b")).distinct(), "first-pairs")
+
 
+def bands(firsts: DataFrame) -> DataFrame:
+    """Tiles without their first classes, whose pairs are known, cut by size bands; a band needs two classes."""
+    own = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.25))).cast("int")
+    rows = firsts.select("shingle", "class", "n", own.alias("own"))
+    rows = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
+    met = rows.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("m"), F.min("own").alias("low")).where("m > 1 and low = band")
+    return stage(rows.join(met.select("shingle", "band"), ["shingle", "band"]), "bands")
 
-def other_pairs(tiles: DataFrame, roots: DataFrame, sets: DataFrame, groups: int) -> DataFrame:
+
+def other_pairs(banded: DataFrame, roots: DataFrame, sets: DataFrame, groups: int) -> DataFrame:
     """Step 4: pairs of one tile and different components that their bit counts leave a chance."""
-    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.25))).cast("int")
-    rows = tiles.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    rows = rows.withColumn("own", band).withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
-    parts = rows.groupBy("shingle", "band", "root").agg(F.count(F.lit(1)).alias("m"), F.max("own").alias("high"), F.min("own").alias("low"))
+    rows = banded.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    parts = rows.groupBy("shingle", "band", "root").agg(F.count(F.lit(1)).alias("m"), F.min("own").alias("low"))
     cut = (
         parts.groupBy("shingle", "band")
         .agg(F.sum("m").alias("m"), F.max(F.struct("m", "root")).alias("top"), F.count(F.lit(1)).alias("roots"), F.min("low").alias("low"))
@@ -243,50 +262,73 @@ def other_pairs(tiles: DataFrame, roots: DataFrame, sets: DataFrame, groups: int
     return cells.groupBy("group").applyInArrow(compare, "a long, b long").distinct()
 
 
-def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Step 5: the pairs that are similar, by bitmaps first and then by their sorted shingles."""
-    both = pairs.join(sets.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"), F.col("text").alias("text_b")), "b")
-    both = both.join(sets.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"), F.col("text").alias("text_a")), "a")
+def pruned(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that their bit counts leave a chance."""
+    both = pairs
+    for side in "ab":
+        both = both.join(sets.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}")), side)
+
+    def run(batches):
+        for batch in batches:
+            a, b, n_a, n_b = (batch.column(k).to_numpy() for k in range(4))
+            fit = np.zeros(len(a), bool)
+            for i, (left, right) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+                width = 8 * min(len(left), len(right))
+                fit[i] = bounded(folded([left], width), folded([right], width), n_a[i : i + 1], n_b[i : i + 1])[0]
+            yield record_batch(a=a[fit], b=b[fit])
+
+    return stage(both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long"), "pairs")
+
+
+def texts_of(wanted: DataFrame, documents: DataFrame) -> DataFrame:
+    """``class`` and ``text`` for the wanted ``class``, ``ident``, ``version``.
+
+    A bitmap of ``FILTER`` bits keeps most other texts out of the shuffle; the join is exact.
+    """
+    slot = F.pmod(F.xxhash64("ident", "version"), F.lit(FILTER))
+    words = wanted.groupBy(F.shiftright(slot, 5).alias("at")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(32)).cast("int"))).alias("bits"))
+    table = np.zeros(FILTER // 32, np.uint32)
+    for at, bits in words.collect():
+        table[at] = bits
+    shared = documents.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            yield batch.filter(pa.array((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1))
+
+    rows = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ident"), F.xxhash64("text").alias("version"), utf8())
+    near = rows.select(slot.alias("slot"), "ident", "version", "text").mapInArrow(run, "slot long, ident long, version long, text binary")
+    return stage(near.join(wanted, ["ident", "version"]).groupBy("class").agg(F.first("text").alias("text")), "texts")
+
+
+def links(pairs: DataFrame, sets: DataFrame, documents: DataFrame) -> DataFrame:
+    """Step 5: the pairs that are similar, by their sorted shingles."""
+    needed = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    texts = texts_of(sets.join(needed, "class").select("class", "ident", "version"), documents)
+    both = pairs.join(texts.select(F.col("class").alias("b"), F.col("text").alias("text_b")), "b")
+    both = both.join(texts.select(F.col("class").alias("a"), F.col("text").alias("text_a")), "a")
 
     def run(batches):
         for whole in batches:
             for low in range(0, whole.num_rows, 256):
                 batch = whole.slice(low, 256)
-                a, b, n_a, n_b = (batch.column(k).to_numpy() for k in range(4))
-                maps_a, maps_b = batch.column(4).to_pylist(), batch.column(5).to_pylist()
-                fit = []
-                for i in range(len(a)):
-                    left, right = (folded([x], 8 * min(len(maps_a[i]), len(maps_b[i]))) for x in (maps_a[i], maps_b[i]))
-                    fit.append(bool(bounded(left, right, n_a[i : i + 1], n_b[i : i + 1])[0]))
-                batch = batch.filter(pa.array(fit, pa.bool_()))
                 a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
                 known: dict[int, np.ndarray] = {}
-                for names, column in ((a, "text_a"), (b, "text_b")):
+                for number, names in enumerate((a, b)):
                     _, first = np.unique(names, return_index=True)
-                    part = batch.take(pa.array(first))
-                    for rows, texts in chunks([part], column):
+                    for rows, texts in chunks([batch.take(pa.array(first))], ("text_a", "text_b")[number]):
                         values, bounds = shingle_sets(texts)
-                        own = rows.column(0 if column == "text_a" else 1).to_pylist()
+                        own = rows.column(number).to_pylist()
                         known.update((name, values[bounds[i] : bounds[i + 1]]) for i, name in enumerate(own))
-                keep = []
-                for x, y in zip(a, b, strict=True):
+                keep = np.zeros(len(a), bool)
+                for i, (x, y) in enumerate(zip(a, b, strict=True)):
                     left, right = known[int(x)], known[int(y)]
                     shared = np.count_nonzero(right[np.minimum(np.searchsorted(right, left), len(right) - 1)] == left)
-                    keep.append(bool(similar(shared, len(left), len(right))))
-                keep = np.array(keep, bool)
+                    keep[i] = similar(shared, len(left), len(right))
                 yield record_batch(a=a[keep], b=b[keep])
 
-    ordered = both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b", "text_a", "text_b")
-    return ordered.mapInArrow(run, "a long, b long")
-
-
-def with_bits(rows: DataFrame) -> DataFrame:
-    def run(batches):
-        for batch, texts in chunks(batches):
-            values, bounds = shingle_sets(texts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(bounds)), pa.array(bitmaps(values, bounds), pa.binary()), batch.column(1)], names=["class", "n", "bits", "text"])
-
-    return rows.select("class", "text").mapInArrow(run, "class long, n long, bits binary, text binary")
+    return stage(both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
 
 
 def jaccard_components(documents: DataFrame) -> DataFrame:
@@ -295,25 +337,24 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     entries = described.agg(F.sum(F.col("n") - F.expr("(4 * n + 4) div 5") + 1)).first()[0] or 0
     tiles = prefixes(documents, slots, max(8, int(entries) // GATHER))
 
-    ident = F.coalesce("doc_id", F.lit(LAST))
-    classes = described.where("n > 0").groupBy("class").agg(F.min(F.struct(ident.alias("ident"), F.col("version"))).alias("first"))
-    wanted = classes.join(tiles.select("class").distinct(), "class").select("class", "first.ident", "first.version")
-    texts = documents.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("ident"), F.xxhash64("text").alias("version"), utf8())
-    chosen = texts.join(wanted, ["ident", "version"]).groupBy("class").agg(F.first("text").alias("text"))
-    sets = stage(with_bits(chosen), "sets")
+    ident = F.coalesce("doc_id", F.lit(LAST)).alias("ident")
+    classes = described.where("n > 0").groupBy("class").agg(F.min(F.struct(ident, "version")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"))
+    sets = stage(classes.select("class", "first.ident", "first.version", "n", "bits"), "sets")
+    firsts = with_first(tiles)
+    roots = connect(links(pruned(first_pairs(firsts), sets), sets, documents))
+    banded = bands(firsts)
+    others = stage(other_pairs(banded, roots, sets, max(8, banded.count() // 20_000)), "other-pairs")
+    more = links(others, sets, documents)
 
-    near = stage(links(first_pairs(tiles), sets), "links")
-    roots = connect(near)
-    more = links(other_pairs(tiles, roots, sets, max(8, tiles.count() // 20_000)), sets)
     names = roots.withColumnRenamed("root", "top")
     outer = more.join(names.select(F.col("node").alias("a"), F.col("top").alias("top_a")), "a", "left").join(names.select(F.col("node").alias("b"), F.col("top").alias("top_b")), "b", "left")
-    outer = connect(stage(outer.select(F.coalesce("top_a", "a").alias("a"), F.coalesce("top_b", "b").alias("b")).distinct(), "outer-links"))
+    outer = connect(outer.select(F.coalesce("top_a", "a").alias("a"), F.coalesce("top_b", "b").alias("b")))
 
     # the root of each class: by the first links, then by the later ones between their components
-    member = classes.select("class", "first.ident").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
+    member = sets.select("class", "ident").join(roots.select(F.col("node").alias("class"), "root"), "class", "left")
     member = member.withColumn("root", F.coalesce("root", "class")).join(outer.select(F.col("node").alias("root"), F.col("root").alias("outer")), "root", "left")
     member = stage(member.select("class", "ident", F.coalesce("outer", "root").alias("root")), "members")
     smallest = member.groupBy("root").agg(F.min("ident").alias("component"))
     component = member.join(smallest, "root").select("class", "component")
-    result = described.join(component, "class", "left")
+    result = described.select("doc_id", "n", "class").join(component, "class", "left")
     return result.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.nullif("component", F.lit(LAST))).otherwise(F.col("doc_id")).alias("component_id"))
