@@ -6,12 +6,14 @@
    first ``n - ceil(0.8 n) + 1`` shingles of each. Classes with such a shingle in common are a *tile*.
    Shingles without two classes of like size are dropped in the tasks that gather them. Shingles of
    slots that hold far more than the mean would pile up there; they skip that step and are all kept.
-3. Every class of a tile is compared with the tile's first class (4 and 5 say how), which joins groups of near copies
-   with as many pairs as members. Connected components of these links are contracted.
-4. What is left are pairs of one tile, without its first class, and of different components. Tiles are cut by size bands (a set
-   meets its own and the next band) and into blocks of at most ``BLOCK`` rows: members of the tile's
-   largest component are met by all others, not by each other. Bit counts of hashed bitmap signatures
-   bound the overlap from above; pairs that stay go on.
+3. Every class of a tile is compared with the tile's leaders, at most ``LEADERS`` of its classes (4 and
+   5 say how), which joins most of a group of near copies with a few pairs for each member. Connected
+   components of these links are contracted.
+4. What is left are pairs of one tile, without its leaders, and of different components. Tiles with the
+   same smallest class are laid together, since groups of copies share many tiles. They are cut by size
+   bands (a set meets its own and the next band) and into blocks of at most ``BLOCK`` rows: members of
+   the largest component are met by all others, not by each other. Bit counts of hashed bitmap
+   signatures bound the overlap from above; pairs that stay go on.
 5. Each pair left gets its two texts; overlaps are counted on the sorted arrays of shingle hashes.
 
 No pair inside a component is formed in step 4 and no pair is dropped but by a bound, so the
@@ -40,6 +42,7 @@ SLOTS = 1 << 15
 CROWDED = 8
 #: Shingles of one gathering task, and rows of a block in step 4.
 GATHER, BLOCK = 500_000, 1024
+LEADERS = 8
 #: Bits of the filter that keeps unwanted texts out of a shuffle.
 FILTER = 1 << 23
 LAST = 2**63 - 1
@@ -71,10 +74,10 @@ def class_names(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def bitmaps(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    """A bitmap of each set, as wide as the power of two that is at least twice its size (512 at least)."""
+    """A bitmap of each set, as wide as the power of two that is at least four times its size (512 at least)."""
     out = []
     for i, n in enumerate(np.diff(bounds)):
-        flags = np.zeros(max(512, 1 << int(2 * n - 1).bit_length()), np.uint8)
+        flags = np.zeros(max(512, 1 << int(4 * n - 1).bit_length()), np.uint8)
         flags[values[bounds[i] : bounds[i + 1]] & _U(len(flags) - 1)] = 1
         out.append(np.packbits(flags).tobytes())
     return out
@@ -185,56 +188,63 @@ def prefixes(documents: DataFrame, slots: np.ndarray, packs: int) -> DataFrame:
     return stage(packed.groupBy("pack").applyInArrow(gather, "shingle long, class long, n long"), "tiles")
 
 
-def with_first(tiles: DataFrame) -> DataFrame:
-    """Tiles with their first class beside every class."""
-    first = tiles.groupBy("shingle").agg(F.min(F.struct("class", "n")).alias("first"))
-    return stage(tiles.join(first, "shingle").where("class <> first.class"), "firsts")
+def with_leaders(tiles: DataFrame) -> DataFrame:
+    """Tiles with the leaders each class may be similar to, whether it is one itself, and the smallest.
+
+    A tile's leaders are the smallest class of each of ``LEADERS`` remainders of the hash.
+    """
+    remainder = F.pmod(F.xxhash64("class"), F.lit(LEADERS))
+    smallest = [F.min(F.when(remainder == k, F.struct("class", "n"))) for k in range(LEADERS)]
+    leaders = tiles.groupBy("shingle").agg(F.array_compact(F.array(*smallest)).alias("leaders"))
+    near = F.filter("leaders", lambda x: (x["class"] != F.col("class")) & (5 * F.least(x["n"], F.col("n")) >= 4 * F.greatest(x["n"], F.col("n"))))
+    led = tiles.join(leaders, "shingle").withColumns({"near": near, "leader": F.exists("leaders", lambda x: x["class"] == F.col("class")), "home": F.array_min("leaders.class")}).drop("leaders")
+    return stage(led.where("size(near) > 0 or not leader"), "leaders")
 
 
-def first_pairs(firsts: DataFrame) -> DataFrame:
-    """Step 3: each class with the first one of its tiles."""
-    near = firsts.where("5 * least(n, first.n) >= 4 * greatest(n, first.n)")
-    return stage(near.select(F.col("first.class").alias("a"), F.col("class").alias("b")).distinct(), "first-pairs")
+def first_pairs(led: DataFrame) -> DataFrame:
+    """Step 3: each class with the leaders of its tiles."""
+    pairs = led.select("class", F.explode("near.class").alias("other"))
+    return stage(pairs.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct(), "first-pairs")
 
 
-def bands(firsts: DataFrame) -> DataFrame:
-    """Tiles without their first classes, whose pairs are known, cut by size bands; a band needs two classes."""
+def bands(led: DataFrame) -> DataFrame:
+    """Tiles without their leaders, whose pairs are known, cut by size bands; a band needs two classes."""
     own = F.floor(F.log(F.col("n").cast("double")) / float(np.log(1.25))).cast("int")
-    rows = firsts.select("shingle", "class", "n", own.alias("own"))
+    rows = led.where("not leader").select("home", "class", "n", own.alias("own")).distinct()
     rows = rows.withColumn("band", F.explode(F.array(F.col("own"), F.col("own") - 1)))
-    met = rows.groupBy("shingle", "band").agg(F.count(F.lit(1)).alias("m"), F.min("own").alias("low")).where("m > 1 and low = band")
-    return stage(rows.join(met.select("shingle", "band"), ["shingle", "band"]), "bands")
+    met = rows.groupBy("home", "band").agg(F.count(F.lit(1)).alias("m"), F.min("own").alias("low")).where("m > 1 and low = band")
+    return stage(rows.join(met.select("home", "band"), ["home", "band"]), "bands")
 
 
 def other_pairs(banded: DataFrame, roots: DataFrame, sets: DataFrame, groups: int) -> DataFrame:
     """Step 4: pairs of one tile and different components that their bit counts leave a chance."""
     rows = banded.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    parts = rows.groupBy("shingle", "band", "root").agg(F.count(F.lit(1)).alias("m"), F.min("own").alias("low"))
+    parts = rows.groupBy("home", "band", "root").agg(F.count(F.lit(1)).alias("m"), F.min("own").alias("low"))
     cut = (
-        parts.groupBy("shingle", "band")
+        parts.groupBy("home", "band")
         .agg(F.sum("m").alias("m"), F.max(F.struct("m", "root")).alias("top"), F.count(F.lit(1)).alias("roots"), F.min("low").alias("low"))
         .where("roots > 1 and low = band")
-        .select("shingle", "band", F.col("top.root").alias("top"), F.ceil(F.col("top.m") / BLOCK).cast("int").alias("many"), F.ceil((F.col("m") - F.col("top.m")) / BLOCK).cast("int").alias("few"))
+        .select("home", "band", F.col("top.root").alias("top"), F.ceil(F.col("top.m") / BLOCK).cast("int").alias("many"), F.ceil((F.col("m") - F.col("top.m")) / BLOCK).cast("int").alias("few"))
     )
     place = F.xxhash64("class")
     cells = (
-        rows.join(cut, ["shingle", "band"]).withColumn("large", F.col("root") == F.col("top"))
+        rows.join(cut, ["home", "band"]).withColumn("large", F.col("root") == F.col("top"))
         .withColumn("block", F.pmod(place, F.when(F.col("large"), F.col("many")).otherwise(F.col("few"))).cast("int"))
         .withColumn("with_large", F.when(F.col("large"), F.transform(F.sequence(F.lit(0), F.col("few") - 1), lambda j: F.struct(F.col("block").alias("x"), j.alias("y"))))
             .otherwise(F.transform(F.sequence(F.lit(0), F.col("many") - 1), lambda i: F.struct(i.alias("x"), F.col("block").alias("y")))))
         .withColumn("with_few", F.when(~F.col("large"), F.transform(F.sequence(F.lit(0), F.col("few") - 1), lambda k: F.struct((-1 - F.least("block", k)).alias("x"), F.greatest("block", k).alias("y")))))
         .withColumn("cell", F.explode(F.concat("with_large", F.coalesce("with_few", F.array().cast("array<struct<x:int,y:int>>")))))
-        .select("shingle", "band", F.col("cell.x").alias("x"), F.col("cell.y").alias("y"), "large", "block", "class", "root", "n")
+        .select("home", "band", F.col("cell.x").alias("x"), F.col("cell.y").alias("y"), "large", "block", "class", "root", "n")
         .join(sets.select("class", "bits"), "class")
-        .withColumn("group", F.pmod(F.xxhash64("shingle", "band", "x", "y"), F.lit(groups)))
+        .withColumn("group", F.pmod(F.xxhash64("home", "band", "x", "y"), F.lit(groups)))
     )
 
     def compare(table):
         get = lambda name: table.column(name).to_numpy()
-        columns = {name: get(name) for name in ("shingle", "band", "x", "y", "block", "class", "root", "n")}
+        columns = {name: get(name) for name in ("home", "band", "x", "y", "block", "class", "root", "n")}
         large, maps = get("large").astype(bool), table.column("bits").to_pylist()
-        order = np.lexsort((columns["y"], columns["x"], columns["band"], columns["shingle"]))
-        cell = np.stack([columns[k][order] for k in ("shingle", "band", "x", "y")], 1)
+        order = np.lexsort((columns["y"], columns["x"], columns["band"], columns["home"]))
+        cell = np.stack([columns[k][order] for k in ("home", "band", "x", "y")], 1)
         bounds = np.append(np.flatnonzero(np.append(True, (cell[1:] != cell[:-1]).any(1))), len(cell)) if len(cell) else np.zeros(1, int)
         found = []
         for low, high in zip(bounds[:-1], bounds[1:], strict=True):
@@ -340,9 +350,9 @@ def jaccard_components(documents: DataFrame) -> DataFrame:
     ident = F.coalesce("doc_id", F.lit(LAST)).alias("ident")
     classes = described.where("n > 0").groupBy("class").agg(F.min(F.struct(ident, "version")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"))
     sets = stage(classes.select("class", "first.ident", "first.version", "n", "bits"), "sets")
-    firsts = with_first(tiles)
-    roots = connect(links(pruned(first_pairs(firsts), sets), sets, documents))
-    banded = bands(firsts)
+    led = with_leaders(tiles)
+    roots = connect(links(pruned(first_pairs(led), sets), sets, documents))
+    banded = bands(led)
     others = stage(other_pairs(banded, roots, sets, max(8, banded.count() // 20_000)), "other-pairs")
     more = links(others, sets, documents)
 
