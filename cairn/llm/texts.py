@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Bytes of text that are worked on at once. A longer text is worked on alone.
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
