@@ -242,3 +242,28 @@ STATUS_MESSAGES = """CASE event_id % 6
 def event_normalise(spark, sf_dir):
     messages = table(spark, sf_dir, "events").select("event_id", F.expr(STATUS_MESSAGES).alias("body"))
     return events.normalise_events(messages, "body")
+
+
+CONSERVED = """
+WITH good AS (
+    SELECT doc_id AS k, '{"name":{"common":"n' || doc_id || '"},"region":"r","population":"' || (doc_id + 1) || '"}' AS g FROM documents
+)
+SELECT CASE WHEN k % 7 < 2 THEN 'valid' ELSE 'rejected' END AS verdict,
+    CASE WHEN k % 7 < 2 THEN 'n' || k END AS country_name,
+    CASE k % 7 WHEN 2 THEN g || g WHEN 3 THEN left(g, 20) || chr(10) || 'x' WHEN 5 THEN '' WHEN 6 THEN g || ' x' END AS record
+FROM good
+"""
+
+
+@query(CONSERVED)
+def conservation(spark, sf_dir):
+    """Whatever is landed is read again, as one valid or one rejected row with its text."""
+    k = F.col("doc_id")
+    good = F.concat(F.lit('{"name":{"common":"n'), k, F.lit('"},"region":"r","population":"'), k + 1, F.lit('"}'))
+    record = (
+        F.when(k % 7 == 0, good).when(k % 7 == 1, F.replace(good, F.lit(","), F.lit("\r\n,\n"))).when(k % 7 == 2, F.concat(good, good))
+        .when(k % 7 == 3, F.concat(F.left(good, F.lit(20)), F.lit("\nx"))).when(k % 7 == 5, F.lit("")).when(k % 7 == 6, F.concat(good, F.lit(" x")))
+    )
+    landed = land(table(spark, sf_dir, "documents").select(record.alias("record")), scratch_path(spark, "raw"), "1")
+    checked = check(parse_records(read_records(spark, landed.path)), contract_rules())
+    return checked.select("verdict", F.col("name.common").alias("country_name"), "record")

@@ -10,7 +10,7 @@ from cairn.checks.registry import query, table
 from cairn.checks.shaping import REGION_REPORT_ORACLE, RUN_DATE, TOP_K_ORACLE, curated_orders
 from cairn.contracts import CURATED
 from cairn.operators.catalog import create_database, register_table, repair_table
-from cairn.operators.reports import region_report, run_report_sql, top_k_report
+from cairn.operators.reports import region_report, top_k_report
 from cairn.operators.sinks import land, materialize, read_audit, write_zone
 from cairn.operators.transforms import flatten
 from cairn.plans.medallion import Run, run_local_variant, run_medallion, validate_zone
@@ -89,10 +89,7 @@ def catalog_query(spark, sf_dir):
     create_database(spark, database, scratch_path(spark, "database"))
     register_table(spark, database, "curated_orders", CURATED, _stored(spark, sf_dir), replace=True)
     repair_table(spark, database, "curated_orders")
-    text = """SELECT region, sum(population) AS total_population, count(*) AS country_count,
-        round(avg(population), 2) AS avg_population, max(population) AS max_population, min(population) AS min_population
-        FROM {curated} GROUP BY region ORDER BY total_population DESC"""
-    return run_report_sql(spark, text, read_table(spark, database, "curated_orders"))
+    return region_report(read_table(spark, database, "curated_orders"))
 
 
 @query(REGION_REPORT_ORACLE)

@@ -17,6 +17,9 @@ from cairn.sources.files import has_landed
 from cairn.sources.zones import read_zone
 
 
+FILES_PER_TASK = 100
+
+
 def archive_plan(files: DataFrame, zone: str, archive_zone: str, suffix: str = ".json") -> DataFrame:
     """``path`` and ``archive_path`` of the data files of a listing; markers stay where they are."""
     target = rewrite_zone(F.col("path"), zone, archive_zone)
@@ -76,6 +79,7 @@ def finish_archives(spark: SparkSession, ledger: str) -> int:
     pending = read_zone(spark, f"{ledger}/planned", LEDGER)
     if has_landed(spark, f"{ledger}/done"):
         pending = pending.join(read_zone(spark, f"{ledger}/done", LEDGER), ["run_ts", "path"], "left_anti")
-    moved = move_files(pending.repartition("path"))
+    # A number of its own, or the adaptive planner would join all moves in one task.
+    moved = move_files(pending.repartition(max(1, -(-pending.count() // FILES_PER_TASK)), "path"))
     counted = {"n": F.count(F.lit(1))}
     return write_zone(moved, f"{ledger}/done", "run_ts", layout="inherit", mode="append", metrics=counted).metrics["n"]

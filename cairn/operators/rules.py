@@ -9,10 +9,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cairn.contracts import CHECKED, CORRUPT, REJECTED, REQUIRED_FIELDS, VALID
+from cairn.contracts import CHECKED, CORRUPT, RAW_COLUMNS, REJECTED, REQUIRED_FIELDS, VALID
 from cairn.functions.values import exceeds
 
 UNREADABLE = "readable"
+MAX_FOLDER = 240
 
 
 @dataclass(frozen=True)
@@ -29,12 +30,23 @@ def contract_rules(
     allow_nulls: bool = False,
 ) -> list[Rule]:
     """The rules a configuration states: fields that must not be NULL, and an exclusive minimum."""
-    rules = [] if allow_nulls else [Rule(f"{name}_required", F.col(name).isNotNull()) for name in required]
+    rules = [] if allow_nulls else [Rule(f"{name}_required", _given(name)) for name in required]
     if population_min is not None:
         rules.append(Rule("population_min", exceeds(F.col("population"), population_min)))
     return rules
 
 
+def _given(name: str) -> Column:
+    """A field of the contract is a column, any other is looked up in the record's text."""
+    return F.col(name).isNotNull() if name in RAW_COLUMNS else F.get_json_object("record", f"$['{name}']").isNotNull()
+
+
+def folder_rule() -> Rule:
+    """Valid rows are stored in a folder for each region, whose escaped name must fit a file system."""
+    escaped = F.regexp_replace("region", r'[\x00-\x1f"#%\'*/:=?\\\x7f{\[\]^]', "%00")
+    return Rule("region_folder", F.coalesce(F.octet_length(escaped) <= MAX_FOLDER, F.lit(True)))
+
+
 def weak_rules() -> list[Rule]:
     """The local run's rules: population alone."""
     return contract_rules(required=("population",))

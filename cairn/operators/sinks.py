@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cairn.contracts import RUN_AUDIT
 from cairn.functions.paths import split_filesystem
+from cairn.sources.records import record_line
 
 
 class EmptyZone(ValueError):
@@ -23,6 +24,18 @@ class ZoneWrite:
     metrics: dict[str, int] = field(default_factory=dict)
 
 
+def input_roots(df: DataFrame) -> list[str]:
+    """The paths a frame reads from, as they were given to its readers: a handful, however many files there are."""
+    leaves, roots = df._jdf.queryExecution().analyzed().collectLeaves(), []
+    for i in range(leaves.size()):
+        if leaves.apply(i).getClass().getSimpleName() == "LogicalRelation":
+            relation = leaves.apply(i).relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                paths = relation.location().rootPaths()
+                roots += [paths.apply(j).toString() for j in range(paths.size())]
+    return roots
+
+
 def overlapping(one: str, other: str) -> bool:
     """Whether one path is the other or lies inside it."""
     inner, outer = (split_filesystem(path)[1].rstrip("/") + "/" for path in (one, other))
@@ -55,7 +68,7 @@ def write_zone(
             stage, where a task that is run again is counted once.
     check_inputs  Refuses to overwrite files the frame reads: Spark deletes them first.
     """
-    if check_inputs and mode == "overwrite" and any(overlapping(file, path) for file in df.inputFiles()):
+    if check_inputs and mode == "overwrite" and any(overlapping(root, path) for root in input_roots(df)):
         raise ValueError(f"{path} is read by the frame that is to overwrite it")
     if on_empty != "write" and df.isEmpty():
         if on_empty == "fail":
@@ -78,12 +91,12 @@ def write_zone(
 def land(records: DataFrame, zone: str, run_ts: str, compression: str | None = None) -> ZoneWrite:
     """Lands ``record`` texts as JSON Lines in the run's own folder, which must not exist yet.
 
-    One record per line lets any number of tasks read the zone. A run without records still
+    One line for each record, whatever its text, lets any number of tasks read the zone. A run without records still
     leaves a file, so "nothing came" and "an empty answer came" stay apart.
     """
     path = f"{zone.rstrip('/')}/run_ts={run_ts}"
     observation = Observation()
-    texts = records.select(F.col("record").alias("value")).observe(
+    texts = records.select(record_line(F.col("record")).alias("value")).observe(
         observation,
         F.count(F.lit(1)).alias("rows_in"),
         F.coalesce(F.sum(F.octet_length("value")), F.lit(0)).alias("n_bytes"),

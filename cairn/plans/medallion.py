@@ -14,7 +14,7 @@ from cairn.contracts import CURATED, REQUIRED_FIELDS, VALID
 from cairn.operators.archive import archive_files, finish_archives
 from cairn.operators.catalog import create_database, register_table, repair_table
 from cairn.operators.reports import region_report, top_k_report
-from cairn.operators.rules import check, contract_rules, validate, weak_rules
+from cairn.operators.rules import check, contract_rules, folder_rule, validate, weak_rules
 from cairn.operators.sinks import EmptyZone, ZoneWrite, append_audit, land, materialize, overlapping, write_zone
 from cairn.operators.transforms import curate, flatten, local_projection
 from cairn.sources.files import has_landed, list_files, source_or_fallback
@@ -36,7 +36,7 @@ class Run:
     run_date: dt.date | None = None
     dataset: str = "countries"
     raw_layout: str = "lines"
-    raw_suffix: str = ".txt"
+    raw_suffix: str = ""
     required: tuple[str, ...] = REQUIRED_FIELDS
     population_min: float | None = 0
     allow_nulls: bool = False
@@ -104,18 +104,26 @@ def land_records(spark: SparkSession, run: Run, records: DataFrame | None, fallb
 
 
 def payload_records(decoded: DataFrame) -> DataFrame:
-    """Records of decoded payloads, each holding one array."""
-    texts = decoded.select(F.col("text").alias("value"), F.lit(None).cast("string").alias("file_path"))
-    return arrays_to_records(texts.where(F.col("value").isNotNull()), "whole")
+    """Records of decoded payloads, each holding one array.
+
+    A payload that did not decode is one record that says why, so it is rejected and counted.
+    """
+    failure = F.concat(F.lit("undecodable payload: "), F.coalesce("decode_error", F.lit("no text")))
+    texts = decoded.select(F.coalesce("text", failure).alias("value"), F.lit(None).cast("string").alias("file_path"))
+    return arrays_to_records(texts, "whole")
 
 
 def run_rules(run: Run):
-    return contract_rules(run.required, run.population_min, run.allow_nulls)
+    return [*contract_rules(run.required, run.population_min, run.allow_nulls), folder_rule()]
 
 
 def write_checked(checked: DataFrame, path: str, partition_overwrite: str = "static", **options) -> ZoneWrite:
-    """Writes valid and rejected rows in one pass over the input, and counts both."""
+    """Writes valid and rejected rows in one pass over the input, and counts both.
+
+    Rejected rows, whose region may be anything, share one folder; the record's text has their region.
+    """
     is_valid = F.col("verdict") == VALID
+    checked = checked.withColumn("region", F.when(is_valid, F.col("region")))
     metrics = {"rows_in": F.count(F.lit(1)), "rows_valid": F.count_if(is_valid), "rows_rejected": F.count_if(~is_valid)}
     return write_zone(
         checked,
@@ -131,8 +139,8 @@ def write_checked(checked: DataFrame, path: str, partition_overwrite: str = "sta
 def validate_zone(spark: SparkSession, run: Run) -> Stage:
     """Raw zone to validated zone, then the raw files to the archive.
 
-    The listing is taken before the read: a file that lands in between is read and stays for
-    the next run, never archived unread. Files that an earlier run read and died before moving
+    Listing and read both take every file in the zone, folders inside folders included. The listing
+    is taken before the read: a file that lands in between is read and stays for the next run. Files that an earlier run read and died before moving
     are moved first: read again, they would be all this run has, and replace what that run made.
     """
     raw, target = run.zones["raw"], run.zones["validated"]
@@ -141,11 +149,14 @@ def validate_zone(spark: SparkSession, run: Run) -> Stage:
     records = read_records(spark, raw, run.raw_layout)
     checked = check(parse_records(records), run_rules(run))
 
-    # A valid row proves that the required fields exist, so the usual run reads one row for this.
-    if checked.where(F.col("verdict") == VALID).isEmpty():
+    # Where the rules demand every required field, a valid row proves that they exist, so the usual
+    # run reads one row for this.
+    nothing_valid = checked.where(F.col("verdict") == VALID).isEmpty()
+    if nothing_valid or run.allow_nulls:
         absent = [] if records.isEmpty() else missing_fields(records, run.required)
         if absent:
             raise ValueError(f"missing required columns: {absent}")
+    if nothing_valid:
         if run.on_empty == "fail":
             raise EmptyZone(f"no valid rows for {target}")
         if run.on_empty == "skip":

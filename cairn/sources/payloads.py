@@ -24,30 +24,43 @@ def decode_payloads(df: DataFrame, payload: str = "payload", encoding: str = "co
 
     # Nested, so that it travels to the executors by value and needs no package there.
     def decode_batches(batches):
-        import gzip
         import zlib
 
         import pyarrow as pa
 
-        def inflate(data):
-            try:
-                return zlib.decompress(data)
-            except zlib.error:
-                return zlib.decompress(data, -zlib.MAX_WBITS)
+        piece = 1 << 20
 
-        def decode(data, declared):
-            if not data:
-                return b""
+        def windows(data, declared):
+            """The zlib window settings to try: 31 reads gzip, 15 zlib, -15 bare deflate; none for plain bytes."""
             declared = (declared or "").lower()
-            if "gzip" in declared:
-                return gzip.decompress(data)
-            if "deflate" in declared:
-                return inflate(data)
-            if data[:2] == b"\x1f\x8b":
-                return gzip.decompress(data)
-            if data[:2] == b"\x78\x9c":
-                return zlib.decompress(data)
-            return data
+            zlib_head = len(data) > 1 and data[0] & 15 == 8 and (data[0] << 8 | data[1]) % 31 == 0
+            settings = {"gzip": [31], "deflate": [15, -15] if zlib_head else [-15]}
+            guessed = [31] if data.startswith(b"\x1f\x8b") else [15] if data.startswith(b"\x78\x9c") else []
+            return next((bits for name, bits in settings.items() if name in declared), guessed)
+
+        def unpack(data, bits):
+            out = []
+            while data:
+                engine = zlib.decompressobj(bits)
+                for at in range(0, len(data), piece):
+                    out.append(engine.decompress(data[at : at + piece]))
+                    if engine.eof:
+                        break
+                if not engine.eof:
+                    raise EOFError("compressed data ends early")
+                # a gzip file may have several members, and zero bytes behind them
+                data = (engine.unused_data + data[at + piece :]).lstrip(b"\0") if bits == 31 else b""
+            return b"".join(out)
+
+        def decode(data, declared):
+            tried = windows(data, declared) if data else []
+            for bits in tried:
+                try:
+                    return unpack(data, bits)
+                except zlib.error:
+                    if bits == tried[-1]:
+                        raise
+            return data or b""
 
         def text_of(data, declared):
             try:

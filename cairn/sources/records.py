@@ -27,14 +27,42 @@ LAYOUTS = {
 
 def read_texts(spark: SparkSession, path: str, layout: str = "lines", stream_options: dict | None = None) -> DataFrame:
     """``value`` and ``file_path`` of every piece of text below ``path``; a stream when options for one are given."""
-    reader = spark.read if stream_options is None else spark.readStream.options(**stream_options)
+    if stream_options is None:
+        # as the archive's listing goes: folders inside folders belong to the zone
+        reader = spark.read.option("recursiveFileLookup", True)
+    else:
+        reader = spark.readStream.options(**stream_options)
     texts = reader.format("text").options(**LAYOUTS[layout]).load(path)
     return texts.select("value", F.col("_metadata.file_path").alias("file_path"))
 
 
 def lines_to_records(texts: DataFrame) -> DataFrame:
-    """One record per non-blank line."""
-    return texts.where(F.ltrim("value", F.lit(WHITESPACE)) != "").select(F.col("value").alias("record"), "file_path")
+    """One record per non-blank line, as it was before ``record_line``."""
+    value = F.col("value")
+    unpacked = F.get(F.from_json(F.concat(F.lit("["), value, F.lit("]")), T.ArrayType(T.StringType())), F.lit(0))
+    record = F.when(value.startswith('"'), F.coalesce(unpacked, value)).when(value != "null", value)
+    return texts.where(F.ltrim("value", F.lit(WHITESPACE)) != "").select(record.alias("record"), "file_path")
+
+
+def record_line(record: Column) -> Column:
+    """A record as one line of text that ``lines_to_records`` turns into the record again.
+
+    A line break inside valid JSON can only be white space. Any other text, cut or blank, becomes a
+    JSON string; NULL becomes ``null``.
+    """
+    packed = F.to_json(F.array(record))
+    literal = F.substr(packed, F.lit(2), F.length(packed) - 2)
+    broken = F.contains(record, F.lit("\n")) | F.contains(record, F.lit("\r"))
+    plain = F.when(~broken, record).when(is_one_value(record, "{", "}"), F.translate(record, "\r\n", "  "))
+    is_object = F.ltrim(record, F.lit(WHITESPACE)).startswith("{")
+    return F.when(record.isNull(), F.lit("null")).otherwise(F.coalesce(F.when(is_object, plain), literal))
+
+
+def is_one_value(text: Column, opening: str, closing: str) -> Column:
+    """Whether a text is exactly one JSON object (or array), without anything behind it."""
+    trimmed = F.trim(text, F.lit(WHITESPACE))
+    single = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    return F.coalesce(trimmed.startswith(opening) & trimmed.endswith(closing) & single, F.lit(False))
 
 
 def arrays_to_records(texts: DataFrame, layout: str = "indented") -> DataFrame:
@@ -44,7 +72,7 @@ def arrays_to_records(texts: DataFrame, layout: str = "indented") -> DataFrame:
     which no contract accepts, so it reaches the rejected rows with its content.
     """
     array_text = F.col("value") if layout == "whole" else _piece_as_array(F.col("value"))
-    elements = F.from_json(array_text, T.ArrayType(T.StringType()))
+    elements = F.from_json(F.when(is_one_value(array_text, "[", "]"), array_text), T.ArrayType(T.StringType()))
     unreadable = F.array(F.col("value"))
     return texts.select(F.explode(F.coalesce(elements, unreadable)).alias("record"), "file_path")
 
@@ -59,7 +87,7 @@ def _piece_as_array(piece: Column) -> Column:
     opened = F.when(is_head, piece).otherwise(F.concat(F.lit("[{"), piece))
     is_inner = piece.endswith(",")
     without_comma = F.substr(opened, F.lit(1), F.length(opened) - 1)
-    only_bracket = (F.octet_length(piece) < 64) & (F.trim(piece, F.lit(WHITESPACE)) == "[")
+    only_bracket = F.trim(piece, F.lit(WHITESPACE)) == "["
     return F.when(is_inner, F.concat(without_comma, F.lit("]"))).when(only_bracket, F.lit("[]")).otherwise(opened)
 
 
@@ -76,8 +104,8 @@ def parse_records(records: DataFrame) -> DataFrame:
     fields that no record carries.
     """
     contract = T.StructType([*RAW.fields, T.StructField(CORRUPT, T.StringType())])
-    # from_json would quietly take the first element of an array.
-    is_object = F.coalesce(F.ltrim("record", F.lit(WHITESPACE)).startswith("{"), F.lit(False))
+    # from_json would quietly take the first element of an array, and drop what follows an object.
+    is_object = is_one_value(F.col("record"), "{", "}")
     parsed = F.from_json(F.when(is_object, F.col("record")), contract, {"columnNameOfCorruptRecord": CORRUPT})
     # A generator, because filters are not pushed through one: as a projection, the parse would be
     # copied into a later filter once per column the filter looks at.

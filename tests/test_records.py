@@ -14,7 +14,7 @@ from cairn.sources.observed import (
     observed_schema,
     require_columns,
 )
-from cairn.sources.records import parse_records, read_records, read_texts, scan_arrays
+from cairn.sources.records import arrays_to_records, parse_records, read_records, read_texts, scan_arrays
 
 
 def records(spark, *texts):
@@ -247,3 +247,22 @@ def test_curated_columns(spark):
     assert row.asDict().keys() >= {"country_name", "region", "currency", "load_date"}
     assert row.load_date == dt.date(2024, 2, 29)
     assert curate(flatten(valid(spark, country()))).first().load_date is not None
+
+
+@pytest.mark.parametrize("blanks", [1, 80, 300])
+def test_a_lone_bracket_is_no_record_however_it_is_spaced(spark, blanks):
+    pieces = ["[" + " " * blanks, '"region": "a"\n  },', '"region": "b"\n  }\n]']
+    texts = spark.createDataFrame([(piece, None) for piece in pieces], "value string, file_path string")
+    assert arrays_to_records(texts, "indented").count() == 2
+
+
+@pytest.mark.parametrize("text", ['[{"a":1}][{"b":2}]', '[{"a":1}] x', '[{"a":1}'])
+def test_text_behind_an_array_rejects_the_whole_text(spark, text):
+    texts = spark.createDataFrame([(text, None)], "value string, file_path string")
+    assert [row.record for row in arrays_to_records(texts, "whole").collect()] == [text]
+
+
+@pytest.mark.parametrize("text", ["{}{}", "{} x", "{},{}", "{}]", "{}\n{}"])
+def test_text_behind_an_object_rejects_it(spark, text):
+    row = checked(spark, text).first()
+    assert (row.verdict, row.reasons, row.record) == ("rejected", ["readable"], text)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cairn.operators.rules import contract_rules, quality_metrics, validate, weak_rules
 from cairn.operators.sinks import EmptyZone, land, read_audit
 from cairn.operators.transforms import flatten
-from cairn.plans.medallion import Run, run_local_variant, run_medallion, validate_zone
+from cairn.operators.archive import FILES_PER_TASK
+from cairn.plans.medallion import Run, land_records, run_local_variant, run_medallion, validate_zone
 from cairn.sources.files import list_files
 from cairn.sources.records import parse_records, read_records
 from cairn.sources.zones import read_curated, read_rejected, read_table, read_valid
@@ -51,7 +52,8 @@ def test_whole_run(spark):
     rejected = {row.record: row.reasons for row in read_rejected(spark, run.zones["validated"]).collect()}
     assert rejected == {country(20, population=0): ["population_min"], "broken": ["readable"]}
     rows = audit(spark, run)
-    assert (rows["ingest"].rows_in, rows["ingest"].n_bytes) == (23, sum(map(len, texts)))
+    # one text is no object and lands in quotes
+    assert (rows["ingest"].rows_in, rows["ingest"].n_bytes) == (23, sum(map(len, texts)) + 2)
     assert (rows["validate"].rows_in, rows["validate"].rows_valid, rows["validate"].rows_rejected) == (23, 21, 2)
     assert rows["validate"].files_archived == read_records(spark, run.zones["archive"]).select("file_path").distinct().count()
     assert rows["curate"].rows_in == 21 and {row.status for row in rows.values()} == {"success"}
@@ -237,3 +239,30 @@ def test_incremental_append_keeps_batches_apart(spark, tmp_path):
     assert names(flatten(read_valid(spark, validated))) == ["n0", "n1", "n2"]
     with pytest.raises(ValueError, match="last batch"):
         run_incremental(spark, str(raw), validated, str(tmp_path / "cp2"), max_files=1)
+
+
+def test_landing_keeps_every_record_and_archives_what_it_read(spark, tmp_path):
+    good = '{"name":{"common":"a"},"region":"%s","population":1}'
+    texts = [None, "", good % "x", '[1,\n2', good % "x" + "{}", good % ("r" * 300)]
+    run = Run(root=str(tmp_path), run_ts="1")
+    records = spark.createDataFrame([(text,) for text in texts], "record string")
+    assert land_records(spark, run, records).rows_in == 6
+    nested = tmp_path / "raw" / run.dataset / "more" / "deep"
+    nested.mkdir(parents=True)
+    (nested / "b.json").write_text(good % "y" + "\n")
+    done = validate_zone(spark, run)
+    assert (done.rows_in, done.rows_valid, done.rows_rejected) == (7, 2, 5)
+    left = [path for path in (tmp_path / "raw").rglob("*") if path.is_file() and path.stat().st_size and not path.name.startswith((".", "_"))]
+    assert left == [] and done.files_archived >= 2
+
+
+def test_required_fields_are_demanded_when_nulls_are_allowed(spark, tmp_path):
+    run = Run(root=str(tmp_path), run_ts="1", allow_nulls=True)
+    land_records(spark, run, spark.createDataFrame([('{"region":"x","population":1}',)], "record string"))
+    with pytest.raises(ValueError, match="name"):
+        validate_zone(spark, run)
+
+
+def test_moves_are_planned_as_many_tasks(spark):
+    paths = spark.range(20_000).select(F.concat(F.lit("/raw/"), F.col("id")).alias("path"))
+    assert paths.repartition(-(-20_000 // FILES_PER_TASK), "path").rdd.getNumPartitions() == 200
