@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.checks.registry import query, table
-from cairn.llm import byte_pairs, decontamination, jaccard_join, languages, line_dedup, lm_scoring, quality_classifier, quality_rules, sharding
+from cairn.llm import byte_pairs, decontamination, jaccard_join, languages, license_scans, line_dedup, lm_scoring, quality_classifier, quality_rules, sharding
 from cairn.llm.staging import stage
 from cairn.llm.texts import remainder
 
@@ -71,6 +71,12 @@ def op4_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.encode_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
+@query()
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scans.scan_licenses(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_sentences", F.array_join("licenses", ",").alias("licenses"))
+
+
 OP6 = r"""
 WITH lines AS (
     SELECT doc_id, i, w[i] AS line,
