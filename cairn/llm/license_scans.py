@@ -1,48 +1,190 @@
-"""License scans: known licence sentences become identifiers, ordered rules over them name licences.
+r"""License scans: known licence sentences become identifiers, ordered rules over them name licences.
 
-A text is cut into sentences after ``.``, ``!``, ``?`` or ``;`` before a blank, and at line feeds. A
-sentence is normalised (A-Z in lower case, everything but letters and digits as one space) and looked
-up in ``SENTENCES``. A rule matches where its identifiers stand in its order, with any sentences in
-between. Each document gets all licences whose rules match, sorted.
+A sentence ends after ``.``, ``!``, ``?``, ``:`` or ``;`` (and quotes or brackets that close there)
+before a blank. It may also begin and end at a line feed, so that a notice on a line of its own needs
+no full stop, while a sentence wrapped over several lines is still one. Normalised, A-Z are in lower
+case and everything between letters and digits is one space, which takes comment signs away too. Every
+known sentence found this way, from left to right, gives its identifier.
+
+Rules are tried in their order. A rule matches where its identifiers follow one another, with any others
+in between, and takes these away for the rules behind it: the three-clause licence is not the two-clause
+one as well. Each document gets all licences whose rules match, sorted.
 
 Null and empty texts have no sentence and no licence. Repeated rows are scanned each on its own. Other
-columns are ignored. All is done by column functions; the tables are constants of the plan.
+columns are ignored. All is done by column functions; the tables are constants of the plan, and a text
+without any of the few words that every known sentence needs is not cut at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.line_dedup import lower
 
-#: Normalised sentences and their identifiers.
+# Sentences of public licence texts and notices, and their identifiers.
 SENTENCES = {
-    "this work is licensed under the gnu general public license version 3": "gpl3-grant",
-    "released under the mit license": "mit-grant",
-    "licensed under cc by nc 4 0": "cc-by-nc-grant",
-    "licensed under the apache license version 2 0": "apache2-grant",
-    "licensed under the apache license version 2 0 the license": "apache2-grant",
-    "permission is hereby granted free of charge to any person obtaining a copy of this software": "mit-permission",
-    "the software is provided as is without warranty of any kind": "as-is",
-}
-#: Licences and the identifiers that must follow one another.
-RULES = {
-    "GPL-3.0": [["gpl3-grant"]],
-    "MIT": [["mit-grant"], ["mit-permission", "as-is"]],
-    "CC-BY-NC-4.0": [["cc-by-nc-grant"]],
-    "Apache-2.0": [["apache2-grant"]],
+    "Released under the MIT License": "mit-notice",
+    "Licensed under the MIT License": "mit-notice",
+    "This project is licensed under the MIT License": "mit-notice",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software": "mit-permission",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions": "mit-permission",
+    "The software is provided as is, without warranty of any kind": "mit-as-is",
+    "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement": "mit-as-is",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies": "isc-permission",
+    "The software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "isc-as-is",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met": "bsd-permission",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer": "bsd-source",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution": "bsd-binary",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission": "bsd-names",
+    "Licensed under the Apache License, Version 2.0": "apache2-notice",
+    "Licensed under the Apache License, Version 2.0 (the License)": "apache2-notice",
+    "This work is licensed under the GNU General Public License, version 3": "gpl3-notice",
+    "This program is free software": "gpl-free",
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation": "gpl-terms",
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version": "gpl3-terms",
+    "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version": "agpl3-terms",
+    "This library is free software": "lgpl-free",
+    "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation": "lgpl-terms",
+    "either version 2 of the License, or (at your option) any later version": "version-2",
+    "either version 2.1 of the License, or (at your option) any later version": "version-2.1",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v": "mpl-terms",
+    "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/": "mpl2-copy",
+    "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/": "mpl2-copy",
+    "Licensed under CC BY-NC 4.0": "cc-by-nc4-notice",
+    "Licensed under CC BY-SA 4.0": "cc-by-sa4-notice",
+    "Licensed under CC BY 4.0": "cc-by4-notice",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by4-notice",
+    "This is free and unencumbered software released into the public domain": "unlicense-domain",
 }
+#: Licences and the identifiers that must follow one another, in the order in which they are tried.
+RULES = (
+    ("BSD-3-Clause", ("bsd-permission", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-2-Clause", ("bsd-permission", "bsd-source", "bsd-binary")),
+    ("MIT", ("mit-permission", "mit-as-is")),
+    ("MIT", ("mit-notice",)),
+    ("ISC", ("isc-permission", "isc-as-is")),
+    ("Apache-2.0", ("apache2-notice",)),
+    ("AGPL-3.0", ("gpl-free", "agpl3-terms")),
+    ("LGPL-2.1", ("lgpl-free", "lgpl-terms", "version-2.1")),
+    ("GPL-2.0", ("gpl-free", "gpl-terms", "version-2")),
+    ("GPL-3.0", ("gpl-free", "gpl3-terms")),
+    ("GPL-3.0", ("gpl3-notice",)),
+    ("MPL-2.0", ("mpl-terms", "mpl2-copy")),
+    ("CC-BY-NC-4.0", ("cc-by-nc4-notice",)),
+    ("CC-BY-SA-4.0", ("cc-by-sa4-notice",)),
+    ("CC-BY-4.0", ("cc-by4-notice",)),
+    ("Unlicense", ("unlicense-domain",)),
+)
+
+# What cuts and normalises a text, in order. A control character is the end of a sentence; ends are doubled, so
+# that two sentences that meet can have one each.
+STEPS = (
+    (r"""[.!?:;]["')\]]*[\x20\x09-\x0D]+""", "\x01"),
+    (r"[^\p{L}\p{N}\x01\n]+", " "),
+    (r" ?\x01[ \x01\n]*", "\x01\x01"),
+    (r" ?\n[ \n]*", "\n\n"),
+    (r"^ +| +$", ""),
+)
+
+
+def normalised(sentence: str) -> str:
+    return " ".join(re.findall(r"[a-z0-9]+", sentence.lower()))
+
+
+def known_sentences(sentences: Mapping[str, str]) -> dict[str, str]:
+    """Normalised sentences and their identifiers."""
+    for sentence in sentences:
+        if re.search(STEPS[0][0], sentence.strip() + "."):
+            raise ValueError(f"more than one sentence: {sentence}")
+    return {normalised(sentence): name for sentence, name in sentences.items()}
+
+
+def needed_words(sentences: Mapping[str, str]) -> list[str]:
+    """Few words of which every sentence has one: the word that most sentences have, then of those without it."""
+    left, chosen = [set(text.split()) for text in sentences], []
+    while left:
+        words = sorted({word for words in left for word in words if len(word) > 3} or set.union(*left))
+        best = max(words, key=lambda word: sum(word in words for words in left))
+        chosen.append(best)
+        left = [words for words in left if best not in words]
+    return chosen
 
 
-def scan_licenses(documents: DataFrame) -> DataFrame:
+def sentence_pattern(sentences: Mapping[str, str]) -> str:
+    """Any known sentence between two ends, the longest first; a line feed may stand for a space inside."""
+    texts = sorted(sentences, key=lambda text: (-len(text), text))
+    return r"(?:\A|[\x01\n])(" + "|".join(text.replace(" ", r"(?: |\n\n)") for text in texts) + r")(?:\z|[\x01\n])"
+
+
+def rule_pattern(identifiers: Sequence[str], group: str) -> tuple[str, str]:
+    """A pattern over ``<id><id>...``, and what stays when its identifiers are taken away."""
+    parts = [f"<{re.escape(name)}>" for name in identifiers]
+    return "(.*?)".join(parts), "".join(f"{group}{i}" for i in range(1, len(parts)))
+
+
+def _found(text: Column, sentences: Mapping[str, str]) -> Column:
+    plain = text
+    for pattern, by in STEPS:
+        plain = F.regexp_replace(plain, pattern, by)
+    hits = F.regexp_extract_all(plain, F.lit(sentence_pattern(sentences)), F.lit(1))
+    known = F.create_map(*(F.lit(x) for pair in sentences.items() for x in pair))
+    return F.transform(hits, lambda hit: F.try_element_at(known, F.replace(hit, F.lit("\n\n"), F.lit(" "))))
+
+
+def scan_licenses(
+    documents: DataFrame, sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, Sequence[str]]] = RULES
+) -> DataFrame:
     """``doc_id``, ``n_sentences`` (that are known), ``sentence_ids`` in order and ``licenses``."""
+    known = known_sentences(sentences)
     text = lower(F.coalesce(F.col("text"), F.lit("")))
-    sentences = F.split(text, r"\n|(?<=[.!?;])\s+")
-    known = F.create_map(*(F.lit(x) for pair in SENTENCES.items() for x in pair))
-    normal = F.transform(sentences, lambda s: F.trim(F.regexp_replace(s, r"[^\p{L}\p{N}]+", " ")))
-    ids = F.transform(F.filter(normal, lambda s: s.isin(*SENTENCES)), lambda s: F.try_element_at(known, s))
-    found = documents.select(F.col("doc_id").cast("long"), ids.alias("sentence_ids"))
-    sequence = F.concat(F.lit(" "), F.array_join("sentence_ids", " "), F.lit(" "))
-    held = [F.when(sequence.rlike("|".join("( .*)? ".join([" " + rule[0], *rule[1:]]) + " " for rule in rules)), F.lit(name)) for name, rules in sorted(RULES.items())]
-    return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), "sentence_ids", F.array_compact(F.array(*held)).alias("licenses"))
+    may_hold = F.lit(False)
+    for word in needed_words(known):
+        may_hold |= F.contains(text, F.lit(word))
+    ids = F.when(may_hold, _found(text, known)).otherwise(F.array().cast("array<string>"))
+    # A generator, so that the text is cut once, whatever is asked of the result.
+    found = documents.select(F.col("doc_id").cast("long"), F.explode(F.array(ids)).alias("sentence_ids"))
+    rest = F.array_join(F.transform("sentence_ids", lambda name: F.concat(F.lit("<"), name, F.lit(">"))), "")
+    held = []
+    for name, identifiers in rules:
+        pattern, others = rule_pattern(identifiers, "$")
+        held.append(F.when(rest.rlike(pattern), F.lit(name)))
+        rest = F.regexp_replace(rest, pattern, others)
+    licenses = F.when(F.size("sentence_ids") > 0, F.sort_array(F.array_distinct(F.array_compact(F.array(*held)))))
+    return found.select(
+        "doc_id",
+        F.size("sentence_ids").cast("long").alias("n_sentences"),
+        "sentence_ids",
+        F.coalesce(licenses, F.array().cast("array<string>")).alias("licenses"),
+    )
+
+
+def licenses_sql(sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, Sequence[str]]] = RULES) -> str:
+    """The same rows from ``documents`` in DuckDB's SQL, lists as text."""
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    known = known_sentences(sentences)
+    plain = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    for pattern, by in STEPS:
+        plain = f"regexp_replace({plain}, {quoted(pattern)}, {quoted(by).replace(chr(1), "' || chr(1) || '")}, 'g')"
+    pairs = ", ".join(f"{quoted(text)}: {quoted(name)}" for text, name in known.items())
+    steps = [
+        f"cut AS (SELECT doc_id, regexp_extract_all({plain}, {quoted(sentence_pattern(known))}, 1) AS hits FROM documents)",
+        f"found AS (SELECT doc_id, list_transform(hits, lambda h: map_extract_value(MAP {{{pairs}}}, replace(h, chr(10) || chr(10), ' '))) AS ids FROM cut)",
+        "s0 AS (SELECT doc_id, ids, coalesce('<' || array_to_string(ids, '><') || '>', '') AS rest, CAST([] AS VARCHAR[]) AS held FROM found)",
+    ]
+    for i, (name, identifiers) in enumerate(rules):
+        pattern, others = rule_pattern(identifiers, "\\")
+        steps.append(
+            f"s{i + 1} AS (SELECT doc_id, ids, regexp_replace(rest, {quoted(pattern)}, {quoted(others)}, 'g') AS rest, "
+            f"CASE WHEN regexp_matches(rest, {quoted(pattern)}) THEN list_append(held, {quoted(name)}) ELSE held END AS held FROM s{i})"
+        )
+    return (
+        "WITH " + ",\n".join(steps) + "\nSELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, array_to_string(ids, ',') AS sentence_ids, "
+        f"array_to_string(list_sort(list_distinct(held)), ',') AS licenses FROM s{len(rules)}"
+    )

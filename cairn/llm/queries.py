@@ -71,10 +71,10 @@ def op4_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_pairs.encode_documents(table(spark, sf_dir, "documents"), vocabulary())
 
 
-@query()
+@query(license_scans.licenses_sql())
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scans.scan_licenses(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_sentences", F.array_join("licenses", ",").alias("licenses"))
+    return found.select("doc_id", "n_sentences", *(F.array_join(name, ",").alias(name) for name in ("sentence_ids", "licenses")))
 
 
 OP6 = r"""

@@ -1,11 +1,76 @@
-from cairn.llm.license_scans import scan_licenses
+import duckdb
+import pytest
 
+from cairn.llm.license_scans import SENTENCES, known_sentences, licenses_sql, needed_words, scan_licenses
 
-def test_license_scans(spark):
-    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software. And more."
-    as_is = 'THE SOFTWARE IS PROVIDED "AS IS", without warranty of any kind.'
-    texts = [None, "", "no licence", "Hello.\nReleased under the MIT License.", f"{mit} {as_is}", f"{as_is} {mit}", "Licensed under CC BY-NC 4.0. Licensed under the Apache License, Version 2.0."]
-    want = [[], [], [], ["MIT"], ["MIT"], [], ["Apache-2.0", "CC-BY-NC-4.0"]]
-    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, licenses string")
-    assert {r.doc_id: r.licenses for r in scan_licenses(docs).collect()} == dict(enumerate(want))
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software. And more."
+AS_IS = 'THE SOFTWARE IS PROVIDED "AS IS", without warranty of any kind.'
+GPL3 = """
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+"""
+BSD = [
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n",
+    " 1. Redistributions of source code must retain the above copyright notice,\n    this list of conditions and the following disclaimer.\n",
+    """ 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and
+    the following disclaimer in the documentation and/or other materials provided with the distribution.\n""",
+    """ 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+    products derived from this software without specific prior written permission.\n""",
+]
+CASES = [
+    (None, ""), ("", ""), (" \n\t", ""), ("no licence", ""),
+    ("Hello.\nReleased under the MIT License.", "MIT"), ("Hello\nReleased under the MIT License\nBye", "MIT"),
+    (f"{MIT} {AS_IS}", "MIT"), (f"{AS_IS} {MIT}", ""), (f"{MIT}\nReleased under the MIT License\n{AS_IS}", "MIT"),
+    ("Licensed under CC BY-NC 4.0. Licensed under the Apache License, Version 2.0.", "Apache-2.0,CC-BY-NC-4.0"),
+    ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file', "Apache-2.0"),
+    ("It was not released under the MIT License.", ""), ("Released under the MIT Licenses.", ""),
+    (GPL3, "GPL-3.0"), (GPL3.replace("\n", "\r\n"), "GPL-3.0"), (GPL3.replace("version 3", "version 4"), ""),
+    ("".join(BSD), "BSD-3-Clause"), ("".join(BSD[:3]), "BSD-2-Clause"), ("".join(BSD + BSD[:3]), "BSD-2-Clause,BSD-3-Clause"),
+    ("".join(BSD + BSD), "BSD-3-Clause"), ("x " * 200_000 + "\nReleased under the MIT License.", "MIT"),
+    ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+     "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.", "LGPL-2.1"),
+    (GPL3.replace("Foundation, either version 3", "Foundation; either version 2"), "GPL-2.0"),
+    ("Released under the MIT License. Released under the MIT License.", "MIT"), ("日本語。\nLicensed under CC BY 4.0", "CC-BY-4.0"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, text, "x", 1) for i, (text, _) in enumerate(CASES)]
+    return spark.createDataFrame([*rows, rows[4], (None, "Licensed under CC BY 4.0.", None, None)], "doc_id long, text string, licenses string, n_sentences int")
+
+
+def test_license_scans(spark, docs):
+    found = scan_licenses(docs).collect()
+    assert len(found) == len(CASES) + 2
+    assert {r.doc_id: ",".join(r.licenses) for r in found if r.doc_id is not None} == {i: want for i, (_, want) in enumerate(CASES)}
+    assert [r.licenses for r in found if r.doc_id is None] == [["CC-BY-4.0"]]
+    assert all(r.n_sentences == len(r.sentence_ids) for r in found)
     assert scan_licenses(docs.limit(0)).collect() == []
+
+
+def test_license_scans_equal_their_sql(docs):
+    connection = duckdb.connect()
+    connection.register("documents", docs.select("doc_id", "text").toPandas())
+    want = connection.execute(licenses_sql()).fetchall()
+    got = [(r.doc_id, r.n_sentences, ",".join(r.sentence_ids), ",".join(r.licenses)) for r in scan_licenses(docs).collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[2])
+    clean = [(None if r[0] is None or r[0] != r[0] else int(r[0]), *r[1:]) for r in want]
+    assert sorted(got, key=key) == sorted(clean, key=key)
+
+
+def test_every_sentence_is_found_by_itself_and_needs_a_word(spark):
+    known = known_sentences(SENTENCES)
+    words = needed_words(known)
+    assert all(any(word in text for word in words) for text in known)
+    docs = spark.createDataFrame([(i, text + ".") for i, text in enumerate(SENTENCES)], "doc_id long, text string")
+    names = list(SENTENCES.values())
+    assert {r.doc_id: r.sentence_ids[-1:] for r in scan_licenses(docs).collect()} == {i: [name] for i, name in enumerate(names)}
+
+
+def test_own_tables(spark):
+    docs = spark.createDataFrame([(1, "House rules apply. Ask first.")], "doc_id long, text string")
+    found = scan_licenses(docs, {"House rules apply": "house", "Ask first": "ask"}, [("House", ("house", "ask"))]).first()
+    assert (found.n_sentences, found.sentence_ids, found.licenses) == (2, ["house", "ask"], ["House"])
