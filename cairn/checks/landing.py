@@ -250,7 +250,7 @@ WITH good AS (
 )
 SELECT CASE WHEN k % 7 < 2 THEN 'valid' ELSE 'rejected' END AS verdict,
     CASE WHEN k % 7 < 2 THEN 'n' || k END AS country_name,
-    CASE k % 7 WHEN 2 THEN g || g WHEN 3 THEN left(g, 20) || chr(10) || 'x' WHEN 5 THEN '' WHEN 6 THEN g || ' x' END AS record
+    CASE k % 7 WHEN 0 THEN g WHEN 1 THEN replace(g, ',', '  , ') WHEN 2 THEN g || g WHEN 3 THEN left(g, 20) || chr(10) || 'x' WHEN 5 THEN '' WHEN 6 THEN g || ' x' END AS record
 FROM good
 """
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,13 +12,13 @@ from cairn.checks.shaping import REGION_REPORT_ORACLE, RUN_DATE, TOP_K_ORACLE, c
 from cairn.contracts import CURATED
 from cairn.operators.catalog import create_database, register_table, repair_table
 from cairn.operators.reports import region_report, top_k_report
-from cairn.operators.sinks import land, materialize, read_audit, write_zone
+from cairn.operators.sinks import EmptyZone, land, materialize, read_audit, write_zone
 from cairn.operators.transforms import flatten
 from cairn.plans.medallion import Run, run_local_variant, run_medallion, validate_zone
 from cairn.sources.files import list_files
 from cairn.sources.records import parse_records, read_records
 from cairn.sources.zones import read_curated, read_table, read_valid, read_zone
-from cairn.streaming.incremental import run_incremental
+from cairn.streaming.incremental import run_incremental, run_medallion_incremental
 from cairn.workspace import scratch_path
 
 CURATED_ORACLE = f"WITH {FLAT_CTE} SELECT *, '2024-01-31' AS load_date FROM flat"
@@ -177,3 +178,53 @@ def incremental_append(spark, sf_dir):
         flatten(read_valid(spark, f"{validated}/batch_id={batch}")).withColumn("batch_id", F.lit(batch)) for batch in (0, 1)
     ]
     return batches[0].unionByName(batches[1])
+
+
+@query(f"{CURATED_ORACLE}")
+def incremental_after_failure(spark, sf_dir):
+    """Closed and partial orders come, and the run fails with their batch on the way; open ones come, and the next run has all."""
+    run = Run(scratch_path(spark, "lake"), "20240131_000000", RUN_DATE, "orders")
+    checkpoint, is_open = f"{run.root}/checkpoint", F.col("o_orderstatus") == "O"
+
+    def fail(batch_id: int, counts: dict[str, int]) -> None:
+        raise RuntimeError("the run is lost here")
+
+    land(order_objects(spark, sf_dir).where(~is_open).select("record"), run.zones["raw"], "20240101_000000")
+    try:
+        run_incremental(spark, run.zones["raw"], run.zones["validated"], checkpoint, on_batch=fail)
+    except StreamingQueryException:
+        pass
+    land(order_objects(spark, sf_dir).where(is_open).select("record"), run.zones["raw"], "20240102_000000")
+    run_medallion_incremental(spark, run, checkpoint)
+    return _dated(read_curated(spark, run.zones["curated"]))
+
+
+@query(
+    f"""WITH {FLAT_CTE}, n AS (SELECT (SELECT count(*) FROM raw) AS rows_in, (SELECT count(*) FROM valid) AS rows_valid)
+    SELECT 'batch' AS stage, 'batch_id=0' AS path, 'success' AS status, rows_in, rows_valid, rows_in - rows_valid AS rows_rejected FROM n
+    UNION ALL SELECT 'validate', 'validated/orders', 'success', rows_in, rows_valid, rows_in - rows_valid FROM n
+    UNION ALL SELECT 'intermediate', 'intermediate/orders', 'success', rows_valid, NULL, NULL FROM n
+    UNION ALL SELECT 'curate', 'curated/orders', 'success', rows_valid, NULL, NULL FROM n
+    UNION ALL SELECT 'report', 'results/orders/run_ts=20240131_000000', 'success', NULL, NULL, NULL FROM n"""
+)
+def incremental_audit(spark, sf_dir):
+    run = Run(scratch_path(spark, "lake"), "20240131_000000", RUN_DATE, "orders")
+    land(order_records(spark, sf_dir), run.zones["raw"], run.run_ts)
+    run_medallion_incremental(spark, run, f"{run.root}/checkpoint")
+    path = F.replace("path", F.lit(f"{run.root}/"), F.lit("")).alias("path")
+    return read_audit(spark, run.audit).select("stage", path, "status", "rows_in", "rows_valid", "rows_rejected")
+
+
+@query(f"WITH {FLAT_CTE} SELECT {FLAT_COLUMNS} FROM flat")
+def incremental_empty(spark, sf_dir):
+    """A later run without a valid row fails and leaves the zone as it was."""
+    root = scratch_path(spark, "incremental")
+    raw, validated = f"{root}/raw", f"{root}/validated"
+    no_people = F.regexp_replace("record", '"population":[0-9.]+', '"population":0').alias("record")
+    for run_ts, records in (("1", order_records(spark, sf_dir)), ("2", order_records(spark, sf_dir).select(no_people))):
+        land(records, raw, run_ts)
+        try:
+            run_incremental(spark, raw, validated, f"{root}/checkpoint", on_empty="fail")
+        except EmptyZone:
+            pass
+    return flatten(read_valid(spark, validated))

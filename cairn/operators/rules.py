@@ -73,15 +73,14 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame
 def check(parsed: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Every parsed record with its verdict, in the validated zone's columns.
 
-    A record that does not parse has that as its only reason. Valid rows drop the record text,
-    which their typed columns replace.
+    A record that does not parse has that as its only reason. Every row keeps the record's text, which
+    holds the fields that the contract does not name.
     """
     unreadable = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit(UNREADABLE)))
     tagged = parsed.withColumn("reasons", F.coalesce(unreadable, broken_rules(rules)))
     rejected = F.size("reasons") > 0
     return tagged.select(
-        *[name for name in CHECKED.fieldNames() if name not in ("record", "reasons", "verdict")],
-        F.when(rejected, F.col("record")).alias("record"),
+        *[name for name in CHECKED.fieldNames() if name not in ("reasons", "verdict")],
         F.when(rejected, F.col("reasons")).alias("reasons"),
         F.when(rejected, F.lit(REJECTED)).otherwise(F.lit(VALID)).alias("verdict"),
     ).select(*CHECKED.fieldNames())

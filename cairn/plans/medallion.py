@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.contracts import CURATED, REQUIRED_FIELDS, VALID
 from cairn.operators.archive import archive_files, finish_archives
 from cairn.operators.catalog import create_database, register_table, repair_table
 from cairn.operators.reports import region_report, top_k_report
-from cairn.operators.rules import check, contract_rules, folder_rule, validate, weak_rules
+from cairn.operators.rules import Rule, check, contract_rules, folder_rule, validate, weak_rules
 from cairn.operators.sinks import EmptyZone, ZoneWrite, append_audit, land, materialize, overlapping, write_zone
 from cairn.operators.transforms import curate, flatten, local_projection
 from cairn.sources.files import has_landed, list_files, source_or_fallback
@@ -34,7 +34,7 @@ class Run:
     root: str
     run_ts: str = field(default_factory=new_run_ts)
     run_date: dt.date | None = None
-    dataset: str = "countries"
+    dataset: str = "records"
     raw_layout: str = "lines"
     raw_suffix: str = ""
     required: tuple[str, ...] = REQUIRED_FIELDS
@@ -46,7 +46,7 @@ class Run:
     keep_intermediate: bool = True
     archive_raw: bool = True
     database: str | None = None
-    table: str = "countries_curated"
+    table: str = "records_curated"
     top_k: int = 50
 
     def __post_init__(self):
@@ -117,19 +117,37 @@ def run_rules(run: Run):
     return [*contract_rules(run.required, run.population_min, run.allow_nulls), folder_rule()]
 
 
+def verdict_counts() -> dict[str, Column]:
+    is_valid = F.col("verdict") == VALID
+    return {"rows_in": F.count(F.lit(1)), "rows_valid": F.count_if(is_valid), "rows_rejected": F.count_if(~is_valid)}
+
+
+def gate(checked: DataFrame, required: Sequence[str], rules: Sequence[Rule], on_empty: str, target: str) -> bool:
+    """Whether to write checked records. Fails where no record carries a required field, and by ``on_empty`` where none is valid.
+
+    Where a rule demands every required field, a valid row proves that they exist, so the usual run reads one row for this.
+    """
+    nothing_valid = checked.where(F.col("verdict") == VALID).isEmpty()
+    if nothing_valid or not {f"{name}_required" for name in required} <= {rule.name for rule in rules}:
+        absent = [] if checked.isEmpty() else missing_fields(checked, required)
+        if absent:
+            raise ValueError(f"missing required columns: {absent}")
+    if nothing_valid and on_empty == "fail":
+        raise EmptyZone(f"no valid rows for {target}")
+    return not (nothing_valid and on_empty == "skip")
+
+
 def write_checked(checked: DataFrame, path: str, partition_overwrite: str = "static", **options) -> ZoneWrite:
     """Writes valid and rejected rows in one pass over the input, and counts both.
 
     Rejected rows, whose region may be anything, share one folder; the record's text has their region.
     """
-    is_valid = F.col("verdict") == VALID
-    checked = checked.withColumn("region", F.when(is_valid, F.col("region")))
-    metrics = {"rows_in": F.count(F.lit(1)), "rows_valid": F.count_if(is_valid), "rows_rejected": F.count_if(~is_valid)}
+    checked = checked.withColumn("region", F.when(F.col("verdict") == VALID, F.col("region")))
     return write_zone(
         checked,
         path,
         ("verdict", "region"),
-        metrics=metrics,
+        metrics=verdict_counts(),
         partition_overwrite=partition_overwrite,
         check_inputs=False,
         **options,
@@ -146,21 +164,11 @@ def validate_zone(spark: SparkSession, run: Run) -> Stage:
     raw, target = run.zones["raw"], run.zones["validated"]
     finish_archives(spark, run.ledger)
     files = list_files(spark, raw)
-    records = read_records(spark, raw, run.raw_layout)
-    checked = check(parse_records(records), run_rules(run))
+    rules = run_rules(run)
+    checked = check(parse_records(read_records(spark, raw, run.raw_layout)), rules)
 
-    # Where the rules demand every required field, a valid row proves that they exist, so the usual
-    # run reads one row for this.
-    nothing_valid = checked.where(F.col("verdict") == VALID).isEmpty()
-    if nothing_valid or run.allow_nulls:
-        absent = [] if records.isEmpty() else missing_fields(records, run.required)
-        if absent:
-            raise ValueError(f"missing required columns: {absent}")
-    if nothing_valid:
-        if run.on_empty == "fail":
-            raise EmptyZone(f"no valid rows for {target}")
-        if run.on_empty == "skip":
-            return Stage("validate", target, status="skipped")
+    if not gate(checked, run.required, rules, run.on_empty, target):
+        return Stage("validate", target, status="skipped")
 
     written = write_checked(checked, target, run.partition_overwrite, layout=run.validated_layout)
     archived = 0
@@ -218,20 +226,22 @@ def report_zone(spark: SparkSession, run: Run) -> Stage:
     return Stage("report", results)
 
 
-def run_medallion(
-    spark: SparkSession, run: Run, records: DataFrame | None = None, fallback: DataFrame | None = None
-) -> list[Stage]:
-    """The whole chain. Without ``records`` it starts from what lies in the raw zone, or lands the fallback if nothing does."""
-    stages = []
-    if records is not None or not has_landed(spark, run.zones["raw"], run.run_ts):
-        stages.append(("ingest", lambda: land_records(spark, run, records, fallback)))
-    stages.append(("validate", lambda: validate_zone(spark, run)))
+Work = tuple[str, Callable[[], Stage]]
+
+
+def later_stages(spark: SparkSession, run: Run) -> list[Work]:
+    """What follows the validated zone."""
+    stages: list[Work] = []
     if run.keep_intermediate:
         stages.append(("intermediate", lambda: flatten_zone(spark, run)))
     stages.append(("curate", lambda: curate_zone(spark, run)))
     if run.database:
         stages.append(("catalog", lambda: register_zone(spark, run)))
-    stages.append(("report", lambda: report_zone(spark, run)))
+    return [*stages, ("report", lambda: report_zone(spark, run))]
+
+
+def run_stages(spark: SparkSession, run: Run, stages: Sequence[Work]) -> list[Stage]:
+    """The stages in order, audited; a skipped one ends the run."""
     done = []
     for name, work in stages:
         done.append(audited(spark, run, name, work))
@@ -240,6 +250,17 @@ def run_medallion(
     return done
 
 
+def run_medallion(
+    spark: SparkSession, run: Run, records: DataFrame | None = None, fallback: DataFrame | None = None
+) -> list[Stage]:
+    """The whole chain. Without ``records`` it starts from what lies in the raw zone, or lands the fallback if nothing does."""
+    stages: list[Work] = []
+    if records is not None or not has_landed(spark, run.zones["raw"], run.run_ts):
+        stages.append(("ingest", lambda: land_records(spark, run, records, fallback)))
+    stages.append(("validate", lambda: validate_zone(spark, run)))
+    return run_stages(spark, run, [*stages, *later_stages(spark, run)])
+
+
 def run_local_variant(parsed: DataFrame, path: str, partition_by: str | None = "region") -> ZoneWrite:
     """The small variant: the weak rules, four columns, one replaced path."""
     valid, _ = validate(parsed, weak_rules())

@@ -20,6 +20,32 @@ def observed_schema(records: DataFrame) -> DataFrame:
     return records.agg(F.schema_of_variant_agg(F.try_parse_json("record")).alias("schema"))
 
 
+def observed_types(records: DataFrame, depth: int = 2, map_like: Iterable[str] = ("currencies",)) -> DataFrame:
+    """``path``, ``type`` and ``n_records``: each type that the records have at each path, counted in one pass.
+
+    Members of objects are followed to ``depth`` levels. The keys of ``map_like`` paths are data, not fields:
+    they are not followed, so the result stays as small as the contract. Types are VARIANT's, without
+    their digits and members; a null is ``VOID``. Text that is no object has the empty path.
+    """
+    parsed = records.select(F.explode(F.array(F.try_parse_json("record"))).alias("parsed"))
+    found = parsed.select(F.explode(F.array_distinct(_types_below(F.col("parsed"), F.lit(""), depth + 1, tuple(map_like)))).alias("at"))
+    return found.where("at.path <> '' OR at.type <> 'OBJECT'").groupBy("at.path", "at.type").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+def _types_below(value: Column, path: Column, depth: int, map_like: tuple[str, ...]) -> Column:
+    kind = F.regexp_extract(F.coalesce(F.schema_of_variant(value), F.lit("VOID")), "^[A-Z]+", 0)
+    here = F.array(F.struct(path.alias("path"), kind.alias("type")))
+    if depth == 1:
+        return here
+    prefix = F.when(path == "", F.lit("")).otherwise(F.concat(path, F.lit(".")))
+    members = F.map_entries(value.try_cast("MAP<STRING, VARIANT>"))
+    below = F.flatten(
+        F.transform(members, lambda member: _types_below(member["value"], F.concat(prefix, member["key"]), depth - 1, map_like))
+    )
+    followed = (kind == "OBJECT") & ~path.isin(*map_like) if map_like else kind == "OBJECT"
+    return F.concat(here, F.coalesce(F.when(followed, below), F.slice(here, 1, 0)))
+
+
 def field_presence(records: DataFrame, fields: Iterable[str]) -> DataFrame:
     """One row per asked field: how many records carry it, and whether any does."""
     fields = list(fields)

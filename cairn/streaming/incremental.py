@@ -1,17 +1,21 @@
-"""New raw files only: each trigger validates what came since the last one, and archives what it is done with."""
+"""New raw files only: each run validates what came since the last one, and archives what it is done with."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from cairn.contracts import CHECKED, REQUIRED_FIELDS
 from cairn.operators.rules import Rule, check, contract_rules
 from cairn.operators.sinks import write_zone
-from cairn.plans.medallion import write_checked
+from cairn.plans.medallion import Run, Stage, audited, gate, later_stages, run_rules, run_stages, verdict_counts, write_checked
+from cairn.sources.files import has_landed
 from cairn.sources.records import parse_records, read_records
+from cairn.sources.zones import read_zone
 
 
 def run_incremental(
@@ -24,40 +28,94 @@ def run_incremental(
     layout: str = "lines",
     rules: Sequence[Rule] | None = None,
     max_files: int | None = None,
+    on_empty: str = "write",
+    required: Sequence[str] = REQUIRED_FIELDS,
+    on_batch: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
-    """Starts one run over the files that no earlier run with this checkpoint has seen; it ends by itself.
+    """One run over the files that no earlier run with this checkpoint has seen, to its end; the ended query comes back.
 
-    keep  ``replace`` leaves the zone with the run's records only. ``append`` adds them under a
-          ``batch_id`` partition. Both write a batch's own place whole, so a batch repeated after
-          a failure does not double its rows.
+    Every batch first writes its own place whole, so one that is repeated after a failure does not double its rows.
+
+    keep  ``append`` adds the batches to the zone, under a ``batch_id`` partition. ``replace`` keeps them
+          beside the checkpoint until all are there, and then replaces the zone with them at once. Batches of
+          a run that failed before that are still there and go into the zone with the next run's.
     archive  Where the file source moves a file during a later run, once its batch is committed.
-    max_files  Splits a backlog into batches, which only ``append`` can keep apart.
+    max_files  Splits a backlog into batches.
+    on_empty  What replacing does when no new row is valid: ``write`` empties the valid zone, ``fail`` raises and
+              ``skip`` returns. Both leave the zone as it was, and the rejected rows wait for the next run.
+    required  Fields that some new record must carry, else the run fails; appended batches stay.
+    on_batch  Gets the number and the counts of each batch.
     """
     if keep not in ("replace", "append"):
         raise ValueError(f"keep: {keep}")
-    if keep == "replace" and max_files:
-        raise ValueError("replacing batch by batch would keep the last batch only")
     options = {"cleanSource": "archive", "sourceArchiveDir": archive} if archive else {}
     if max_files:
         options["maxFilesPerTrigger"] = str(max_files)
     rules = contract_rules() if rules is None else rules
     checked = check(parse_records(read_records(spark, raw, layout, options)), rules)
+    home = validated if keep == "append" else f"{checkpoint.rstrip('/')}/pending"
+    written = []
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        write_checked(batch, validated)
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        write_zone(
+    def store(batch: DataFrame, batch_id: int) -> None:
+        counts = write_zone(
             batch.withColumn("batch_id", F.lit(batch_id)),
-            validated,
+            home,
             ("batch_id", "verdict", "region"),
             partition_overwrite="dynamic",
+            metrics=verdict_counts(),
             check_inputs=False,
-        )
+        ).metrics
+        written.append(batch_id)
+        if on_batch:
+            on_batch(batch_id, counts)
 
-    return (
-        checked.writeStream.foreachBatch(replace if keep == "replace" else append)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    query = (
+        checked.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+    query.awaitTermination()
+    if keep == "append" and written:
+        gate(_batches(spark, home).where(F.col("batch_id").isin(written)), required, rules, "write", validated)
+    elif keep == "replace" and has_landed(spark, home):
+        new = _batches(spark, home)
+        if gate(new, required, rules, on_empty, validated):
+            write_checked(new.drop("batch_id"), validated)
+            _remove(spark, home)
+    return query
+
+
+def _batches(spark: SparkSession, path: str) -> DataFrame:
+    return read_zone(spark, path, T.StructType([*CHECKED.fields, T.StructField("batch_id", T.LongType())]))
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """A folder this run made. If the run dies before this, the next one puts these batches into the zone again."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def validate_new_files(
+    spark: SparkSession, run: Run, checkpoint: str, keep: str = "replace", max_files: int | None = None
+) -> Stage:
+    """New raw files to the validated zone; one audit row for each batch, besides the stage's own."""
+    target, totals = run.zones["validated"], {"rows_in": 0, "rows_valid": 0, "rows_rejected": 0}
+
+    def counted(batch_id: int, counts: dict[str, int]) -> None:
+        audited(spark, run, "batch", lambda: Stage("batch", f"batch_id={batch_id}", **counts))
+        for name in totals:
+            totals[name] += counts[name]
+
+    archive = run.zones["archive"] if run.archive_raw else None
+    run_incremental(
+        spark, run.zones["raw"], target, checkpoint, archive, keep, run.raw_layout, run_rules(run), max_files, run.on_empty, run.required, counted
+    )
+    # A run in which nothing became visible leaves the zones behind it alone.
+    stale = totals["rows_in"] == 0 or (run.on_empty == "skip" and totals["rows_valid"] == 0)
+    return Stage("validate", target, "skipped" if stale else "success", **totals)
+
+
+def run_medallion_incremental(
+    spark: SparkSession, run: Run, checkpoint: str, keep: str = "replace", max_files: int | None = None
+) -> list[Stage]:
+    """The whole chain over the files that came since the last run with this checkpoint."""
+    validate = ("validate", lambda: validate_new_files(spark, run, checkpoint, keep, max_files))
+    return run_stages(spark, run, [validate, *later_stages(spark, run)])

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from cairn.contracts import CHECKED
 from cairn.operators.rules import contract_rules, quality_metrics, validate, weak_rules
 from cairn.operators.sinks import EmptyZone, land, read_audit
 from cairn.operators.transforms import flatten
@@ -14,7 +15,7 @@ from cairn.operators.archive import FILES_PER_TASK
 from cairn.plans.medallion import Run, land_records, run_local_variant, run_medallion, validate_zone
 from cairn.sources.files import list_files
 from cairn.sources.records import parse_records, read_records
-from cairn.sources.zones import read_curated, read_rejected, read_table, read_valid
+from cairn.sources.zones import read_curated, read_rejected, read_table, read_valid, read_zone
 from cairn.streaming.incremental import run_incremental
 from cairn.workspace import scratch_path
 
@@ -123,7 +124,7 @@ def test_an_empty_landed_answer_is_not_replaced_by_the_fallback(spark):
 
 
 def test_indented_array_files_as_raw_zone(spark, tmp_path):
-    raw = tmp_path / "raw" / "countries"
+    raw = tmp_path / "raw" / "records"
     raw.mkdir(parents=True)
     for name in "ab":
         rows = [json.loads(country(i, name={"common": f"{name}{i}"})) for i in range(5)]
@@ -131,7 +132,7 @@ def test_indented_array_files_as_raw_zone(spark, tmp_path):
     run = new_run(spark, root=str(tmp_path), raw_layout="indented", raw_suffix=".json", keep_intermediate=False)
     run_medallion(spark, run)
     assert names(read_curated(spark, run.zones["curated"])) == sorted(f"{name}{i}" for name in "ab" for i in range(5))
-    assert sorted(os.listdir(tmp_path / "archive" / "countries")) == ["countries_raw_a.json", "countries_raw_b.json"]
+    assert sorted(os.listdir(tmp_path / "archive" / "records")) == ["countries_raw_a.json", "countries_raw_b.json"]
     assert os.listdir(raw) == []
 
 
@@ -237,8 +238,34 @@ def test_incremental_append_keeps_batches_apart(spark, tmp_path):
     run_incremental(spark, str(raw), validated, str(tmp_path / "cp"), keep="append", max_files=1).awaitTermination()
     assert sorted(name for name in os.listdir(validated) if name.startswith("batch")) == ["batch_id=0", "batch_id=1", "batch_id=2"]
     assert names(flatten(read_valid(spark, validated))) == ["n0", "n1", "n2"]
-    with pytest.raises(ValueError, match="last batch"):
-        run_incremental(spark, str(raw), validated, str(tmp_path / "cp2"), max_files=1)
+    together = str(tmp_path / "together")
+    run_incremental(spark, str(raw), together, str(tmp_path / "cp2"), max_files=1)
+    assert names(flatten(read_valid(spark, together))) == ["n0", "n1", "n2"]
+
+
+def test_an_incremental_run_without_valid_rows_keeps_the_zone_and_the_rejected_rows(spark, tmp_path):
+    raw, validated, checkpoint = tmp_path / "raw", str(tmp_path / "validated"), str(tmp_path / "cp")
+    drop(raw, "1.json", [country(1)])
+    run_incremental(spark, str(raw), validated, checkpoint, on_empty="fail")
+    drop(raw, "2.json", [country(2, population=0)])
+    with pytest.raises(EmptyZone):
+        run_incremental(spark, str(raw), validated, checkpoint, on_empty="fail")
+    assert names(flatten(read_valid(spark, validated))) == ["n1"]
+    drop(raw, "3.json", [country(3)])
+    run_incremental(spark, str(raw), validated, checkpoint, on_empty="fail")
+    assert names(flatten(read_valid(spark, validated))) == ["n3"]
+    assert [row.record for row in read_rejected(spark, validated).collect()] == [country(2, population=0)]
+    drop(raw, "4.json", ['{"region": "x", "population": 1}'])
+    with pytest.raises(ValueError, match="name"):
+        run_incremental(spark, str(raw), validated, checkpoint)
+
+
+def test_valid_rows_keep_the_fields_outside_the_contract(spark, tmp_path):
+    run = new_run(spark, root=str(tmp_path))
+    land(records(spark, [country(1, extra={"a": [1, 2]})]), run.zones["raw"], run.run_ts)
+    validate_zone(spark, run)
+    kept = read_zone(spark, run.zones["validated"], CHECKED).where("verdict = 'valid'")
+    assert kept.select(F.get_json_object("record", "$.extra")).first()[0] == '{"a":[1,2]}'
 
 
 def test_landing_keeps_every_record_and_archives_what_it_read(spark, tmp_path):
