@@ -1,27 +1,30 @@
 """LM scoring: a causal self-attention model over subword classes, trained in numpy by Spark tasks.
 
-A text (A-Z in lower case) is its words and one end. Its *units* are the ids the model sees: a word
-of the dictionary or of at most eight bytes is one unit, any other word is cut into subwords of eight
-bytes. A unit's *class* is the unit itself for the end and the most frequent words, else one of
-``SUFFIXES`` classes of words or ``PIECES`` classes of subwords by its last two bytes. The model is
+A text (A-Z in lower case) is its words and one end. Its *units* are the ids the model sees: a word of
+at most eight bytes is one unit, a longer one is cut into subwords of eight bytes. A unit's *class* is
+the unit itself for the end and the ``TOP`` most frequent short words, else one of ``SUFFIXES`` classes
+of words or ``PIECES`` classes of subwords by its last two bytes. The model is
 
-    P(text) = product over units of P(class | classes before) * P(unit | class)
+    P(text) = product over units of P(class | classes before) * product over words of P(word | its classes)
 
 The first factor is one layer of masked self-attention over windows of ``WINDOW`` units. A window
 begins ``STRIDE`` units after the one before; what it shares with that one is context only, so each
-unit is scored once. Within a class units have their share of its training count; units beyond the
-dictionary share what is left, spelled by the frequencies of neighbouring bytes.
-
-From the corpus come, over all training documents: counts of all words and subwords (summed by key in
-Spark), from which a dictionary of the most frequent ones (``DICTIONARY`` at most, seen twice or more)
-goes to the tasks; and the weights. In each of ``rounds`` every task takes its training documents through Adam, with one
-window in ``EVERY`` of each document, from a seeded offset; the tasks' weights are averaged, weighted
-by their number of windows.
-
-The base score is that of the words' counts alone. Counts of words beyond the dictionary are looked
-up by a shuffle of these words. A null text is empty: its only token is the end. A null id counts as
-empty text for the hold-out. Repeated rows are scored each on its own. With no training documents all
-counts are 0. Columns other than id and text are ignored.
+unit is scored once. Within a class, short words have their share of its training count, and words never
+seen share as much as those seen once have, spelled by the frequencies of neighbouring bytes. Of the long
+words whose subwords have the same classes each has its share of these words' count; long words never
+seen share as much as those seen once have, spelled by the counts of their subwords, and subwords never
+seen by neighbouring bytes.
+
+From the corpus come, over all training documents: counts of all words, subwords and sequences of subword
+classes (summed by key in Spark), every one of which the scores use; and the weights. The most frequent
+ones (``DICTIONARY`` at most) go to the tasks as a cache, the others are looked up by a shuffle; the
+scores do not depend on which is which. In each of ``rounds`` every task takes its training documents
+through Adam, with one window in ``EVERY`` of each document, from a seeded offset; the tasks' weights are
+averaged, weighted by their number of windows.
+
+The base score is that of the words' counts alone. A null text is empty: its only token is the end. A
+null id counts as empty text for the hold-out. Repeated rows are scored each on its own. With no training
+documents all counts are 0. Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +45,9 @@ BEGIN = CLASSES
 WINDOW, STRIDE, WIDTH = 32, 24, 16
 EVERY, BATCH = 8, 16
 DICTIONARY = 1 << 18
-DOCUMENTS_PER_PACK = 20_000
+DOCUMENTS_PER_PACK = 8_000
+#: Values of a looked-up line: key, row, next key, and what is added where the key was counted or was not.
+LINE = 5
 _U = np.uint64
 #: Key of the end: the bits of a short word are set.
 END = np.int64(3)
@@ -56,7 +61,7 @@ def _suffix(spans: Spans) -> np.ndarray:
 
 
 def _keys(hashes: np.ndarray, suffix: np.ndarray, flags: np.ndarray | int) -> np.ndarray:
-    """57 bits of the hash, the suffix class, and the kind: 1 long word, 3 short word, 2 subword."""
+    """57 bits of the hash, the suffix class, and the kind: 1 long word, 3 short word, 2 subword, 0 classes."""
     return (hashes << _U(7) | suffix << _U(2) | np.asarray(flags, _U)).view(np.int64)
 
 
@@ -77,6 +82,45 @@ def subwords(words: Spans, chosen: np.ndarray) -> tuple[Spans, np.ndarray, np.nd
     return spans, _keys(mix(spans.hashes() + _ODD[50] * (last.astype(_U) + _U(1))), _suffix(spans), 2), last
 
 
+def class_of(keys: np.ndarray) -> np.ndarray:
+    suffix = (keys >> 2) & 31
+    return np.where((keys & 3) == 2, 1 + TOP + SUFFIXES + suffix % PIECES, 1 + TOP + suffix)
+
+
+def class_sequences(keys: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Keys of the sequences of classes of words' subwords, ``many`` for each word."""
+    start = np.cumsum(many) - many
+    step = np.arange(len(keys)) - np.repeat(start, many)
+    parts = mix((class_of(keys) + 1 + CLASSES * step).astype(_U))
+    return (mix(np.add.reduceat(parts, start)) << _U(7)).view(np.int64) if len(many) else np.zeros(0, np.int64)
+
+
+@dataclass
+class Units:
+    """Keys of the units and their bounds by text; the long words, their places among the tokens, and their subwords."""
+
+    keys: np.ndarray
+    bounds: np.ndarray
+    long: np.ndarray
+    at: np.ndarray
+    many: np.ndarray
+    pieces: Spans
+    piece_keys: np.ndarray
+    last: np.ndarray
+
+
+def units(words: Spans, tokens: np.ndarray, bounds: np.ndarray) -> Units:
+    long = np.flatnonzero(words.length > 8)
+    pieces, keys, last = subwords(words, long)
+    at = np.flatnonzero(tokens != END)[long]
+    many = np.ones(len(tokens), np.int64)
+    many[at] = (words.length[long] + 7) // 8
+    first = np.concatenate([[0], np.cumsum(many)])
+    out = np.repeat(tokens, many)
+    out[np.arange(len(keys)) + np.repeat(first[at] - (np.cumsum(many[at]) - many[at]), many[at])] = keys
+    return Units(out, first[bounds], long, at, many[at], pieces, keys, last)
+
+
 def letter_pairs(texts: Texts) -> np.ndarray:
     """For each byte 256 * the one before + itself, with a blank for every blank and before each text."""
     data = np.where(BLANK[texts.data], 0x20, LOWER[texts.data]).astype(np.int64)
@@ -98,21 +142,22 @@ def pack_of(keys: np.ndarray, packs: int) -> np.ndarray:
     return (mix(keys.view(_U)) % _U(packs)).astype(np.int64)
 
 
-def packed(keys: np.ndarray, other: np.ndarray, packs: int) -> tuple[np.ndarray, list[bytes]]:
-    pack = pack_of(keys, packs)
+def packed(columns: list[np.ndarray], packs: int) -> tuple[np.ndarray, list[bytes]]:
+    """The columns, dealt by the first, as bytes of 64-bit rows."""
+    pack = pack_of(columns[0], packs)
     order = np.argsort(pack, kind="stable")
-    table = np.stack([keys, other], 1)[order]
+    table = np.stack([x.view(np.int64) for x in columns], 1)[order]
     which, at = np.unique(pack[order], return_index=True)
     return which, [x.tobytes() for x in np.split(table, at[1:])] if len(which) else []
 
 
-def unpacked(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    table = np.concatenate([np.zeros((0, 2), np.int64), *(np.frombuffer(x, np.int64).reshape(-1, 2) for x in blobs)])
-    return np.ascontiguousarray(table[:, 0]), np.ascontiguousarray(table[:, 1])
+def unpacked(blobs: list[bytes], width: int = 2) -> list[np.ndarray]:
+    table = np.concatenate([np.zeros((0, width), np.int64), *(np.frombuffer(x, np.int64).reshape(-1, width) for x in blobs)])
+    return [np.ascontiguousarray(x) for x in table.T]
 
 
 def count_tokens(training: DataFrame, packs: int) -> DataFrame:
-    """``pack``, ``key``, ``n``: training counts of all words and subwords; pack -1 has those of byte pairs."""
+    """``pack``, ``key``, ``n``: training counts of all words, subwords and sequences of subword classes; pack -1 has those of byte pairs."""
 
     def run(batches):
         keys, counts, letters = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(65536, np.int64)
@@ -123,8 +168,8 @@ def count_tokens(training: DataFrame, packs: int) -> DataFrame:
         held = [(keys, counts)]
         size = 0
         for _, texts in chunks(batches):
-            words, tokens, _ = tokenize(texts)
-            both = np.concatenate([tokens, subwords(words, np.flatnonzero(words.length > 8))[1]])
+            cut = units(*(both := tokenize(texts)))
+            both = np.concatenate([both[1], cut.piece_keys, class_sequences(cut.piece_keys, cut.many)])
             letters += np.bincount(letter_pairs(texts), minlength=65536)
             held.append(totals(both, np.ones(len(both), np.int64)))
             size += len(held[-1][0])
@@ -132,9 +177,9 @@ def count_tokens(training: DataFrame, packs: int) -> DataFrame:
                 held = [totals(*(np.concatenate(x) for x in zip(*held, strict=True)))]
                 size = len(held[0][0])
                 if size > 1_000_000:
-                    yield rows(*packed(*held[0], packs))
+                    yield rows(*packed(held[0], packs))
                     held, size = [(keys, counts)], 0
-        yield rows(*packed(*totals(*(np.concatenate(x) for x in zip(*held, strict=True))), packs))
+        yield rows(*packed(totals(*(np.concatenate(x) for x in zip(*held, strict=True))), packs))
         some = np.flatnonzero(letters)
         yield rows([-1], [np.stack([some, letters[some]], 1).tobytes()])
 
@@ -148,62 +193,80 @@ def count_tokens(training: DataFrame, packs: int) -> DataFrame:
 
 @dataclass
 class Dictionary:
-    """The most frequent words and subwords, sorted by key, and what the model needs to know of each class."""
+    """The model's numbers of each class, exact over all counted keys, and a cache of the most frequent keys' counts."""
 
     keys: np.ndarray
     counts: np.ndarray
     total: int
     kinds: int
-    classes: np.ndarray
-    inside: np.ndarray
-    unknown: np.ndarray
+    top: np.ndarray
+    top_classes: np.ndarray
+    whole: np.ndarray
+    unseen: np.ndarray
+    unseen_long: float
     spelling: np.ndarray
     prior: np.ndarray
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Places in the dictionary, -1 for none."""
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys the cache has, and their counts, else 1."""
         if not len(self.keys):
-            return np.full(len(keys), -1)
+            return np.zeros(len(keys), bool), np.ones(len(keys), np.int64)
         place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[place] == keys, place, -1)
-
-    def chances(self, keys: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known = place >= 0
-        classes = np.where(known, self.classes[place] if len(self.keys) else 0, class_of(keys))
-        return classes, np.where(known, self.inside[place] if len(self.keys) else 0.0, self.unknown[classes])
-
-    def units(self, words: Spans, tokens: np.ndarray, bounds: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Class and log probability within its class of every unit, and bounds by text."""
-        classes, inside = self.chances(tokens, place)
-        end = tokens == END
-        classes[end], inside[end] = 0, 0
-        unknown = place[~end] < 0
+        found = self.keys[place] == keys
+        return found, np.where(found, self.counts[place], 1)
+
+    def classes(self, keys: np.ndarray) -> np.ndarray:
+        classes = class_of(keys)
+        if len(self.top):
+            place = np.minimum(np.searchsorted(self.top, keys), len(self.top) - 1)
+            classes = np.where(self.top[place] == keys, self.top_classes[place], classes)
+        classes[keys == END] = 0
+        return classes
+
+    def inside(self, words: Spans, tokens: np.ndarray, cut: Units, found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Log probability of every token within its classes, as far as the cache tells, and the lines to look up for
+        the rest, with the token's place for the row."""
         pairs = letter_pairs(words.texts)
         spelled = np.concatenate([[0], np.cumsum(self.spelling[pairs])])
         stop = words.start + words.length
         closing = self.spelling[LOWER[words.texts.data[stop - 1]].astype(np.int64) * 256 + 0x20]
-        inside[~end] += np.where(unknown, spelled[stop] - spelled[words.start] + closing, 0)
-        cut = np.flatnonzero(unknown & (words.length > 8))
-        pieces, keys, last = subwords(words, cut)
-        found = self.find(keys)
-        piece_classes, piece_inside = self.chances(keys, found)
-        stop = pieces.start + pieces.length
-        piece_inside += np.where(found < 0, spelled[stop] - spelled[pieces.start], 0)
-        final = np.flatnonzero(last & (found < 0))
-        piece_inside[final] += closing[cut][np.cumsum(last)[final] - 1]
-        many = np.ones(len(tokens), np.int64)
-        at = np.flatnonzero(~end)[cut]
-        many[at] = (words.length[cut] + 7) // 8
-        first = np.concatenate([[0], np.cumsum(many)])
-        classes, inside = np.repeat(classes, many), np.repeat(inside, many)
-        to = np.arange(len(keys)) + np.repeat(first[at] - (np.cumsum(many[at]) - many[at]), many[at])
-        classes[to], inside[to] = piece_classes, piece_inside
-        return classes, inside, first[bounds]
-
-
-def class_of(keys: np.ndarray) -> np.ndarray:
-    suffix = (keys >> 2) & 31
-    return np.where((keys & 3) == 2, 1 + TOP + SUFFIXES + suffix % PIECES, 1 + TOP + suffix)
+        classes = self.classes(tokens)
+        out = np.log(counts) - self.whole[classes]
+        out[classes <= TOP] = 0
+        of = np.flatnonzero(tokens != END)
+        short = np.flatnonzero(~found[of] & (words.length <= 8))
+        at = of[short]
+        lines = [(tokens[at], at, np.zeros(len(at), np.int64), -self.whole[classes[at]], self.unseen[classes[at]] + spelled[stop[short]] - spelled[words.start[short]] + closing[short])]
+        out[at] = 0
+        # the end and the words with a class of their own are in the cache, unless nothing was counted
+        at = np.flatnonzero(~found & (tokens == END))
+        zeros = np.zeros(len(at))
+        lines.append((tokens[at], at, zeros.astype(np.int64), zeros, zeros))
+        # long words: seen, their share of the words with these classes; else their subwords
+        known, n = found[cut.at], counts[cut.at]
+        sequence = class_sequences(cut.piece_keys, cut.many)
+        listed, of_these = self.find(sequence)
+        seen = -np.log1p(self.unseen_long) - np.log(of_these)
+        out[cut.at] = np.where(known, np.log(n) + seen, 0)
+        alone = np.flatnonzero(known & ~listed)
+        zeros = np.zeros(len(alone))
+        lines.append((sequence[alone], cut.at[alone], zeros.astype(np.int64), zeros, zeros))
+        piece_classes = class_of(cut.piece_keys)
+        cached, n = self.find(cut.piece_keys)
+        stop = cut.pieces.start + cut.pieces.length
+        spell = self.unseen[piece_classes] + spelled[stop] - spelled[cut.pieces.start]
+        spell[cut.last] += closing[cut.long]
+        share = np.where(cached, np.log(n) - self.whole[piece_classes], 0)
+        unseen = np.log(self.unseen_long) - np.log1p(self.unseen_long) + sums(share, np.append(0, np.cumsum(cut.many)))
+        asked = np.flatnonzero(~known)
+        lines.append((tokens[cut.at[asked]], cut.at[asked], np.zeros(len(asked), np.int64), seen[asked], unseen[asked]))
+        asked = np.flatnonzero(~known & ~listed)
+        zeros = np.zeros(len(asked))
+        lines.append((tokens[cut.at[asked]], cut.at[asked], sequence[asked], zeros, zeros))
+        asked = np.flatnonzero(~np.repeat(known, cut.many) & ~cached)
+        at = np.repeat(cut.at, cut.many)[asked]
+        lines.append((tokens[at], at, cut.piece_keys[asked], -self.whole[piece_classes[asked]], spell[asked]))
+        return out, [np.concatenate(x) for x in zip(*lines, strict=True)]
 
 
 def dictionary(counts: DataFrame, size: int = DICTIONARY) -> Dictionary:
@@ -212,7 +275,7 @@ def dictionary(counts: DataFrame, size: int = DICTIONARY) -> Dictionary:
         letters[row["key"] // 256, row["key"] % 256] = row["n"]
     counts = counts.where("pack >= 0")
     kind = F.col("key").bitwiseAND(3)
-    total, kinds = counts.where(kind != 2).agg(F.sum("n"), F.count(F.lit(1))).first()
+    total, kinds = counts.where(kind.isin(1, 3)).agg(F.sum("n"), F.count(F.lit(1))).first()
     level = F.floor(F.log2("n") * 8).cast("int")
     levels = {row["level"]: row["count"] for row in counts.where("n > 1").groupBy(level.alias("level")).count().collect()}
     least, room = 10_000, size
@@ -221,37 +284,40 @@ def dictionary(counts: DataFrame, size: int = DICTIONARY) -> Dictionary:
         if room < 0:
             break
         least = number
-    rows = counts.where(level >= least).select("key", "n").toPandas().sort_values("key")
-    keys, n = rows["key"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-    classes = class_of(keys)
-    known = np.bincount(classes[keys != END], n[keys != END], CLASSES)
-    # what words and subwords beyond the dictionary have of each class; long words among them are cut
-    unknown, ends, cut = np.zeros(CLASSES), 0, 0
+    # totals of each class over all counted keys, in the cache or not
+    known, once, ends, long, long_once = np.zeros(CLASSES), np.zeros(CLASSES), 0, 0, 0
     low = F.col("key").bitwiseAND(127)
-    for row in counts.groupBy(low.alias("low"), (F.col("key") == int(END)).alias("end"), (level >= least).alias("inside")).agg(F.sum("n").alias("n")).collect():
+    per_class = counts.where(kind != 0).groupBy(low.alias("low"), (F.col("key") == int(END)).alias("end"))
+    for row in per_class.agg(F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).collect():
         if row["end"]:
             ends = row["n"]
-        elif not row["inside"]:
+        elif row["low"] & 3 == 1:
+            long, long_once = long + row["n"], long_once + row["once"]
+        else:
             at = int(class_of(np.array([row["low"]]))[0])
-            long = row["low"] & 3 == 1
-            cut += row["n"] * long
-            unknown[at] += row["n"] * (not long)
-    unknown += 1
-    ranked = np.flatnonzero((keys != END) & (keys & 1 == 1))
-    ranked = ranked[np.lexsort((keys[ranked], -n[ranked]))][:TOP]
-    known -= np.bincount(classes[ranked], n[ranked], CLASSES)
-    whole = known + unknown
-    inside = np.log(n / whole[classes]) if len(keys) else np.zeros(0)
-    classes[ranked], inside[ranked] = 1 + np.arange(len(ranked)), 0.0
-    weights = whole.copy()
-    weights[0], weights[1 : 1 + TOP] = ends, 0
-    weights[1 : 1 + len(ranked)] = n[ranked]
-    pieces = slice(1 + TOP + SUFFIXES, None)
-    weights[pieces] = 2 * cut * whole[pieces] / whole[pieces].sum()
+            known[at] += row["n"]
+            once[at] += row["once"]
+    ranked = counts.where((kind == 3) & (F.col("key") != int(END))).orderBy(F.desc("n"), "key").limit(TOP).select("key", "n").collect()
+    always = [int(END), *(row["key"] for row in ranked)]
+    rows = counts.where((level >= least) | F.col("key").isin(always)).select("key", "n").toPandas().sort_values("key")
+    keys, n = rows["key"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+    for row in ranked:
+        at = int(class_of(np.array([row["key"]]))[0])
+        known[at] -= row["n"]
+        once[at] -= row["n"] == 1
+    weights = known.copy()
+    weights[0] = ends
+    weights[1 : 1 + len(ranked)] = [row["n"] for row in ranked]
     weights += 1
+    top = np.array([row["key"] for row in ranked], np.int64)
+    order = np.argsort(top)
+    whole = np.log(known + once + 1)
     smooth = letters + 0.02
     spelling = np.log(smooth / smooth.sum(1, keepdims=True)).ravel()
-    return Dictionary(keys, n, int(total or 0), int(kinds), classes, inside, np.log(unknown / whole), spelling, np.log(weights / weights.sum()))
+    return Dictionary(
+        keys, n, int(total or 0), int(kinds), top[order], 1 + order, whole, np.log(once + 1) - whole,
+        (long_once + 1) / (long + 1), spelling, np.log(weights / weights.sum()),
+    )
 
 
 SHAPES = {"embed": (CLASSES + 1, WIDTH), "place": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "out": (WIDTH, CLASSES), "bias": (CLASSES,)}
@@ -340,7 +406,8 @@ def train(training: DataFrame, words: Dictionary, rounds: int = 2, rate: float =
             taken = 0
             for _, texts in chunks(batches):
                 words, tokens, bounds = tokenize(texts)
-                classes, _, bounds = known.value.units(words, tokens, bounds, known.value.find(tokens))
+                cut = units(words, tokens, bounds)
+                classes, bounds = known.value.classes(cut.keys), cut.bounds
                 low, high = bounds[:-1], bounds[1:]
                 many = -(-(high - low) // (WINDOW * EVERY))
                 of = np.repeat(np.arange(len(texts)), many)
@@ -386,6 +453,30 @@ def score_windows(weights: np.ndarray, classes: np.ndarray, bounds: np.ndarray)
     return out
 
 
+def looked_up(lines: list[np.ndarray], keys: np.ndarray, n: np.ndarray, packs: int) -> tuple[dict[str, np.ndarray], np.ndarray, list[bytes]]:
+    """What counts give the rows of their lines, and the lines that this leads to, by pack.
+
+    A line with a next key leads there: to classes where its own key was counted, to a subword where it was not."""
+    key, row, following, seen, unseen = lines
+    seen, unseen = seen.view(np.float64), unseen.view(np.float64)
+    if len(keys):
+        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        found = keys[place] == key
+        n = np.where(found, n[place], 1)
+    else:
+        found, n = np.zeros(len(key), bool), np.ones(len(key), np.int64)
+    on = (following != 0) & (found == (following & 3 == 0))
+    which, blobs = packed([x[on] for x in (following, row, np.zeros_like(row), seen, unseen)], packs)
+    word = (key & 1 == 1) & (following == 0)
+    chance = np.where(found, np.where(key & 3 == 0, -np.log(n), np.log(n)) + seen, unseen)
+    chance[following != 0] = 0
+    logs = np.where(word, np.log10(np.where(found, n, 0) + 0.1), 0)
+    order = np.argsort(row, kind="stable")
+    rows, first = np.unique(row[order], return_index=True)
+    bounds = np.append(first, len(row))
+    return {"row": rows, "known": sums((found & word)[order], bounds), "logs": sums(logs[order], bounds), "chance": sums(chance[order], bounds)}, which, blobs
+
+
 NAMES = ["doc_id", "held_out", "row", "n_tokens", "n_known", "base", "score", "pack", "rare"]
 SCHEMA = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, score double, pack long, rare binary"
 
@@ -401,51 +492,53 @@ def score_documents(documents: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast((words, weights))
     total, kinds = words.total, words.kinds
     whole = float(np.log10(total + 0.1 * (kinds + 1)))
-    unseen = float(np.log10(0.1))
 
     def run(batches):
         words, weights = shared.value
-        seen = np.log10(words.counts + 0.1)
         for batch, texts in chunks(batches):
             spans, tokens, bounds = tokenize(texts)
-            place = words.find(tokens)
-            known = place >= 0
-            log_count = np.where(known, seen[place] if len(seen) else 0.0, 0.0)
-            classes, inside, ends = words.units(spans, tokens, bounds, place)
-            chance = score_windows(weights, classes, ends) + inside
+            known, counted = words.find(tokens)
+            log_count = np.where(known, np.log10(counted + 0.1), 0.0)
+            cut = units(spans, tokens, bounds)
+            inside, lines = words.inside(spans, tokens, cut, known, counted)
+            chance = sums(score_windows(weights, words.classes(cut.keys), cut.bounds), cut.bounds) + sums(inside, bounds)
             n = np.diff(bounds)
             row = batch.column(2).to_numpy()
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(k) for k in range(3)), pa.array(n), pa.array(sums(known, bounds)),
-                    pa.array(sums(log_count, bounds)), pa.array(sums(chance, ends) / np.log(10)),
+                    pa.array(sums(log_count, bounds)), pa.array(chance),
                     pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary()),
                 ],
                 names=NAMES,
             )
-            which, blobs = packed(tokens[~known], np.repeat(row, n)[~known], packs)
+            which, blobs = packed([lines[0], np.repeat(row, n)[lines[1]], *lines[2:]], packs)
             empty = [pa.nulls(len(which), kind) for kind in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
             yield pa.RecordBatch.from_arrays([*empty, pa.array(which, pa.int64()), pa.array(blobs, pa.binary())], names=NAMES)
 
     def look_up(rare, counts):
-        keys, rows = unpacked(rare.column("rare").to_pylist())
-        known, n = totals(counts.column("key").to_numpy(), counts.column("n").to_numpy())
-        place = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
-        found = known[place] == keys if len(known) else np.zeros(len(keys), bool)
-        logs = np.where(found, np.log10(n[place] + 0.1) if len(known) else unseen, unseen)
-        order = np.argsort(rows, kind="stable")
-        which, first = np.unique(rows[order], return_index=True)
-        bounds = np.append(first, len(rows))
-        return pa.table({"row": which, "known": sums(found[order], bounds), "logs": sums(logs[order], bounds)})
+        lines = unpacked(rare.column("rare").to_pylist(), LINE)
+        sums_of, which, blobs = looked_up(lines, *totals(counts.column("key").to_numpy(), counts.column("n").to_numpy()), packs)
+        n, more = len(sums_of["row"]), len(which)
+        return pa.table({
+            **{name: pa.concat_arrays([pa.array(x), pa.nulls(more, pa.array(x).type)]) for name, x in sums_of.items()},
+            "pack": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(which, pa.int64())]),
+            "rare": pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(blobs, pa.binary())]),
+        })
+
+    def look_up_all(lines):
+        both = lines.where("pack is not null").select("pack", "rare").groupBy("pack").cogroup(counts.where("pack >= 0").groupBy("pack"))
+        return both.applyInArrow(look_up, "row long, known long, logs double, chance double, pack long, rare binary")
 
     rows = documents.select(F.col("doc_id").cast("long"), (remainder("doc_id", 10) == 0).alias("held_out"), F.monotonically_increasing_id().alias("row"), utf8())
     scored = stage(rows.mapInArrow(run, SCHEMA), "scores")
-    rare = scored.where("pack is not null").select("pack", "rare")
-    looked = rare.groupBy("pack").cogroup(counts.where("pack >= 0").groupBy("pack")).applyInArrow(look_up, "row long, known long, logs double")
-    more = looked.groupBy("row").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"))
+    looked = stage(look_up_all(scored), "looked-up")
+    both = looked.unionByName(look_up_all(looked)).where("pack is null")
+    more = both.groupBy("row").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"), F.sum("chance").alias("chance"))
     result = scored.where("pack is null").join(more, "row", "left")
     return result.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * whole).alias("base_score"), "score",
+        (F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * whole).alias("base_score"),
+        ((F.col("score") + F.coalesce("chance", F.lit(0.0))) / float(np.log(10))).alias("score"),
     )

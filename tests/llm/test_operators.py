@@ -113,6 +113,48 @@ def test_lm_scoring_on_the_tables(spark):
     check_scores(out, [(r["doc_id"], r["text"]) for r in documents.collect()])
 
 
+def test_lm_scores_do_not_depend_on_the_cache(spark, monkeypatch):
+    words = [f"{'abcdefgh'[k % 8] * (k % 5 + 1)}{k}{'ization' * (k % 3)}" for k in range(300)]
+    rows = [(i, " ".join(words[(i * 7 + j * j) % 300] for j in range(60)) + (f" only{i} onlyonlyonlyonly{i}" if i % 3 else "")) for i in range(80)]
+    docs = spark.createDataFrame([*rows, (200, None), (201, "")], "doc_id long, text string")
+    whole = by_id(lm_scoring.score_documents(docs))
+    build = lm_scoring.dictionary
+    monkeypatch.setattr(lm_scoring, "dictionary", lambda counts: build(counts, 20))
+    cut = by_id(lm_scoring.score_documents(docs))
+    assert sum(r["held_out"] for r in whole.values()) > 3
+    for doc, r in whole.items():
+        assert cut[doc]["score"] == pytest.approx(r["score"], rel=1e-5)
+        assert (cut[doc]["n_known"], cut[doc]["base_score"]) == (r["n_known"], pytest.approx(r["base_score"]))
+
+
+def test_lm_rare_words_have_their_own_counts(spark):
+    common = " ".join(f"w{k} w{k} w{k}" for k in range(40))
+    docs = spark.createDataFrame([(i, common + (" zq7x extraordinarily" if i % 2 else "")) for i in range(1, 60)], "doc_id long, text string")
+    packs = 8
+    counts = lm_scoring.count_tokens(docs, packs)
+    model = lm_scoring.dictionary(counts, 0)
+    table = {r["key"]: r["n"] for r in counts.where("pack >= 0").collect()}
+    keys = np.array(sorted(table))
+    n = np.array([table[k] for k in keys])
+
+    def chance(word):
+        data = np.frombuffer(word.encode(), np.uint8)
+        spans, tokens, bounds = lm_scoring.tokenize(lm_scoring.Texts(data, np.array([0, len(data)])))
+        found, counted = model.find(tokens)
+        inside, lines = model.inside(spans, tokens, lm_scoring.units(spans, tokens, bounds), found, counted)
+        lines = [x.view(np.int64) for x in lines]
+        first, _, blobs = lm_scoring.looked_up(lines, keys, n, packs)
+        then, _, blobs = lm_scoring.looked_up(lm_scoring.unpacked(blobs, lm_scoring.LINE), keys, n, packs)
+        assert not blobs
+        return inside.sum() + first["chance"].sum() + then["chance"].sum()
+
+    of_class = lambda word: model.classes(lm_scoring.tokenize(lm_scoring.Texts(np.frombuffer(word, np.uint8), np.array([0, len(word)])))[1])[0]
+    assert chance("zq7x") == pytest.approx(np.log(30) - model.whole[of_class(b"zq7x")])
+    assert chance("extraordinarily") == pytest.approx(-np.log1p(model.unseen_long))
+    assert chance("zq7y") < chance("zq7x") and chance("extraordinarilx") < chance("extraordinarily")
+    assert chance("extraordqqqqqqq") < chance("extraordinarilyextraordinarily") + 20
+
+
 def test_lm_gradient():
     rng = np.random.default_rng(0)
     weights = lm_scoring.initial(np.zeros(lm_scoring.CLASSES)).astype(np.float64)
