@@ -19,8 +19,8 @@ From the corpus come, over all training documents: counts of all words, subwords
 classes (summed by key in Spark), every one of which the scores use; and the weights. The most frequent
 ones (``DICTIONARY`` at most) go to the tasks as a cache, the others are looked up by a shuffle; the
 scores do not depend on which is which. In each of ``rounds`` every task takes its training documents
-through Adam, with one window in ``EVERY`` of each document, from a seeded offset; the tasks' weights are
-averaged, weighted by their number of windows.
+through Adam, with windows that tile every document whole, so that each unit is a target once, in a seeded
+order; the tasks' weights are averaged, weighted by their number of windows.
 
 The base score is that of the words' counts alone. A null text is empty: its only token is the end. A
 null id counts as empty text for the hold-out. Repeated rows are scored each on its own. With no training
@@ -43,7 +43,7 @@ TOP, SUFFIXES, PIECES = 31, 32, 8
 CLASSES = 1 + TOP + SUFFIXES + PIECES
 BEGIN = CLASSES
 WINDOW, STRIDE, WIDTH = 32, 24, 16
-EVERY, BATCH = 8, 16
+BATCH = 16
 DICTIONARY = 1 << 18
 DOCUMENTS_PER_PACK = 8_000
 #: Values of a looked-up line: key, row, next key, and what is added where the key was counted or was not.
@@ -393,6 +393,14 @@ def windows(classes: np.ndarray, low: np.ndarray, start: np.ndarray, high: np.nd
     return before, target, real
 
 
+def tiles(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Consecutive windows that have every unit once: where their texts begin, where they do, where their texts end."""
+    many = -(-np.diff(bounds) // WINDOW)
+    of = np.repeat(np.arange(len(many)), many)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+    return bounds[of], bounds[of] + WINDOW * step, bounds[of + 1]
+
+
 def train(training: DataFrame, words: Dictionary, rounds: int = 2, rate: float = 0.01) -> np.ndarray:
     spark = training.sparkSession
     weights = initial(words.prior)
@@ -408,13 +416,9 @@ def train(training: DataFrame, words: Dictionary, rounds: int = 2, rate: float =
                 words, tokens, bounds = tokenize(texts)
                 cut = units(words, tokens, bounds)
                 classes, bounds = known.value.classes(cut.keys), cut.bounds
-                low, high = bounds[:-1], bounds[1:]
-                many = -(-(high - low) // (WINDOW * EVERY))
-                of = np.repeat(np.arange(len(texts)), many)
-                rng = np.random.default_rng([number, len(classes), int(tokens[0] & 0xFFFFFFFF)])
-                start = low[of] + (rng.random(len(of)) * np.maximum(1, high[of] - low[of] - WINDOW + 1)).astype(np.int64)
-                order = rng.permutation(len(of))
-                before, target, real = windows(classes, low[of[order]], start[order], high[of[order]])
+                low, start, high = tiles(bounds)
+                order = np.random.default_rng([number, len(classes), int(tokens[0] & 0xFFFFFFFF)]).permutation(len(start))
+                before, target, real = windows(classes, low[order], start[order], high[order])
                 for at in range(0, len(order), BATCH):
                     part = slice(at, at + BATCH)
                     g = gradient(split(weights), before[part], target[part], real[part].astype(np.float32))

@@ -4,6 +4,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import base_rules, components, contamination, crc, line_dedup, sha, unigram
 from pyspark.sql import functions as F
@@ -173,6 +174,32 @@ def test_lm_gradient():
         assert slope[at] == pytest.approx((loss(weights + step) - loss(weights - step)) / 2e-5, rel=1e-3, abs=1e-6)
 
 
+def test_lm_trains_on_every_unit_once_a_round(spark, docs, monkeypatch):
+    words = lm_scoring.dictionary(lm_scoring.count_tokens(docs, 8))
+    data = np.frombuffer(" ".join(f"w{k}" for k in range(999)).encode() + b"a b", np.uint8)
+    texts = lm_scoring.Texts(data, np.array([0, len(data) - 3, len(data) - 3, len(data)]))
+    want = lm_scoring.units(*lm_scoring.tokenize(texts))
+    seen = []
+
+    def gradient(w, before, target, real):
+        seen.append(real.sum())
+        return np.zeros(len(lm_scoring.initial(words.prior)), np.float32)
+
+    class Frame:
+        sparkSession = spark
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, schema):
+            array = pa.array([data[:-3].tobytes(), None, data[-3:].tobytes()], pa.binary())
+            return spark.createDataFrame([(b.column(0)[0].as_py(), b.column(1)[0].as_py()) for b in run([pa.record_batch([array], ["text"])])], schema)
+
+    monkeypatch.setattr(lm_scoring, "gradient", gradient)
+    lm_scoring.train(Frame(), words, rounds=2)
+    assert sum(seen) == 2 * len(want.keys)
+
+
 def test_lm_windows_score_each_unit_once_and_causally():
     weights = lm_scoring.initial(np.zeros(lm_scoring.CLASSES))
     classes = np.random.default_rng(1).integers(0, lm_scoring.CLASSES, 200)
