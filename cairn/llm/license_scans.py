@@ -8,7 +8,11 @@ known sentence found this way, from left to right, gives its identifier.
 
 Rules are tried in their order. A rule matches where its identifiers follow one another, with any others
 in between, and takes these away for the rules behind it: the three-clause licence is not the two-clause
-one as well. Each document gets all licences whose rules match, sorted.
+one as well. Each document gets all licences whose rules match, sorted. A rule that begins with ``ALONE``
+matches only where no rule before it did.
+
+Whoever a names clause protects, it is read as the copyright holder's. A numbered third clause behind the two of
+the two-clause licence has an identifier of its own, so that a text with another third clause is ``BSD-other``.
 
 Null and empty texts have no sentence and no licence. Repeated rows are scanned each on its own. Other
 columns are ignored. All is done by column functions; the tables are constants of the plan, and a text
@@ -43,12 +47,30 @@ SENTENCES = {
     "Licensed under the Apache License, Version 2.0": "apache2-notice",
     "Licensed under the Apache License, Version 2.0 (the License)": "apache2-notice",
     "This work is licensed under the GNU General Public License, version 3": "gpl3-notice",
+    "All rights reserved": "rights-reserved",
+    "bsd third clause": "bsd-third",
+    "All advertising materials mentioning features or use of this software must display the following acknowledgement": "bsd-advertising",
+    "Apache License Version 2.0, January 2004": "apache2-text",
+    "GNU General Public License Version 2, June 1991": "gpl2-text",
+    "GNU General Public License Version 3, 29 June 2007": "gpl3-text",
+    "GNU Lesser General Public License Version 2.1, February 1999": "lgpl2.1-text",
+    "GNU Lesser General Public License Version 3, 29 June 2007": "lgpl3-text",
+    "GNU Affero General Public License Version 3, 19 November 2007": "agpl3-text",
+    "Mozilla Public License Version 2.0": "mpl2-text",
     "This program is free software": "gpl-free",
     "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation": "gpl-terms",
     "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version": "gpl3-terms",
     "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version": "agpl3-terms",
     "This library is free software": "lgpl-free",
     "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation": "lgpl-terms",
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version": "gpl2-terms",
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 2 of the License": "gpl2-only-terms",
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License, version 2, as published by the Free Software Foundation": "gpl2-only-terms",
+    "you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation": "agpl-terms",
+    "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version": "lgpl2.1-terms",
+    "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version": "lgpl3-terms",
+    "version 2 of the License": "version-2-only",
+    "either version 3 of the License, or (at your option) any later version": "version-3",
     "either version 2 of the License, or (at your option) any later version": "version-2",
     "either version 2.1 of the License, or (at your option) any later version": "version-2.1",
     "This Source Code Form is subject to the terms of the Mozilla Public License, v": "mpl-terms",
@@ -61,23 +83,44 @@ SENTENCES = {
     "This is free and unencumbered software released into the public domain": "unlicense-domain",
 }
 #: Licences and the identifiers that must follow one another, in the order in which they are tried.
+ALONE = "alone"
 RULES = (
+    ("BSD-4-Clause", ("bsd-permission", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-names")),
     ("BSD-3-Clause", ("bsd-permission", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-other", ("bsd-permission", "bsd-source", "bsd-binary", "bsd-third")),
     ("BSD-2-Clause", ("bsd-permission", "bsd-source", "bsd-binary")),
     ("MIT", ("mit-permission", "mit-as-is")),
     ("MIT", ("mit-notice",)),
     ("ISC", ("isc-permission", "isc-as-is")),
     ("Apache-2.0", ("apache2-notice",)),
+    ("Apache-2.0", ("apache2-text",)),
     ("AGPL-3.0", ("gpl-free", "agpl3-terms")),
+    ("AGPL-3.0", ("gpl-free", "agpl-terms", "version-3")),
+    ("AGPL-3.0", ("agpl3-text",)),
+    ("LGPL-3.0", ("lgpl-free", "lgpl-terms", "version-3")),
+    ("LGPL-3.0", ("lgpl-free", "lgpl3-terms")),
+    ("LGPL-3.0", ("gpl-free", "lgpl-terms", "version-3")),
+    ("LGPL-3.0", ("gpl-free", "lgpl3-terms")),
+    ("LGPL-3.0", ("lgpl3-text",)),
+    ("LGPL-2.1", ("lgpl-free", "lgpl2.1-terms")),
+    ("LGPL-2.1", ("lgpl2.1-text",)),
     ("LGPL-2.1", ("lgpl-free", "lgpl-terms", "version-2.1")),
     ("GPL-2.0", ("gpl-free", "gpl-terms", "version-2")),
+    ("GPL-2.0", ("gpl-free", "gpl2-terms")),
+    ("GPL-2.0", ("gpl2-text",)),
+    ("GPL-2.0-only", ("gpl-free", "gpl-terms", "version-2-only")),
+    ("GPL-2.0-only", ("gpl-free", "gpl2-only-terms")),
+    ("GPL-3.0", ("gpl-free", "gpl-terms", "version-3")),
     ("GPL-3.0", ("gpl-free", "gpl3-terms")),
+    ("GPL-3.0", ("gpl3-text",)),
     ("GPL-3.0", ("gpl3-notice",)),
     ("MPL-2.0", ("mpl-terms", "mpl2-copy")),
+    ("MPL-2.0", ("mpl2-text",)),
     ("CC-BY-NC-4.0", ("cc-by-nc4-notice",)),
     ("CC-BY-SA-4.0", ("cc-by-sa4-notice",)),
     ("CC-BY-4.0", ("cc-by4-notice",)),
     ("Unlicense", ("unlicense-domain",)),
+    ("All-rights-reserved", (ALONE, "rights-reserved")),
 )
 
 # What cuts and normalises a text, in order. A control character is the end of a sentence; ends are doubled, so
@@ -88,6 +131,15 @@ STEPS = (
     (r" ?\x01[ \x01\n]*", "\x01\x01"),
     (r" ?\n[ \n]*", "\n\n"),
     (r"^ +| +$", ""),
+    (
+        r"neither[ \n]+the[ \n]+names?[ \n]+of[ \n]+[^\x02]{1,120}?[ \n\x01]+nor[ \n]+the[ \n]+names[ \n]+of[ \n]+(?:its|their|any)[ \n]+contributors",
+        "neither the name of the copyright holder nor the names of its contributors",
+    ),
+    (
+        r"the[ \n]+names?[ \n]+of[ \n]+[^\x01\x02]{1,120}?[ \n]+may[ \n]+not[ \n]+be[ \n]+used[ \n]+to[ \n]+endorse",
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse",
+    ),
+    (r"provided[ \n]+with[ \n]+the[ \n]+distribution\x01\x01 ?3\x01\x01", "provided with the distribution\x01\x01bsd third clause\x01\x01"),
 )
 
 
@@ -121,9 +173,12 @@ def sentence_pattern(sentences: Mapping[str, str]) -> str:
 
 
 def rule_pattern(identifiers: Sequence[str], group: str) -> tuple[str, str]:
-    """A pattern over ``<id><id>...``, and what stays when its identifiers are taken away."""
-    parts = [f"<{re.escape(name)}>" for name in identifiers]
-    return "(.*?)".join(parts), "".join(f"{group}{i}" for i in range(1, len(parts)))
+    """A pattern over ``<id><id>...``, and what stays when its identifiers are taken away: the others and a ``!``."""
+    alone = identifiers[0] == ALONE
+    parts = [f"<{re.escape(name)}>" for name in identifiers[alone:]]
+    if alone:
+        return "^([^!]*?)" + "([^!]*?)".join(parts) + "([^!]*)$", "".join(f"{group}{i}" for i in range(1, len(parts) + 2)) + "!"
+    return "(.*?)".join(parts), "".join(f"{group}{i}" for i in range(1, len(parts))) + "!"
 
 
 def _found(text: Column, sentences: Mapping[str, str]) -> Column:

@@ -74,3 +74,28 @@ def test_own_tables(spark):
     docs = spark.createDataFrame([(1, "House rules apply. Ask first.")], "doc_id long, text string")
     found = scan_licenses(docs, {"House rules apply": "house", "Ask first": "ask"}, [("House", ("house", "ask"))]).first()
     assert (found.n_sentences, found.sentence_ids, found.licenses) == (2, ["house", "ask"], ["House"])
+
+
+MORE = [
+    ("Prose.\nAll rights reserved.\nMore prose", "All-rights-reserved"), ("All rights reserved. All rights reserved.", "All-rights-reserved"),
+    ("Copyright 2020 A. All rights reserved.\nReleased under the MIT License.", "MIT"), ("We hold that all rights reserved are kept.", ""),
+    ("Released under the MIT License.\nAll rights reserved.", "MIT"), ("Copyright A. All rights reserved.\n" + "".join(BSD), "BSD-3-Clause"),
+    ("".join(BSD).replace("the copyright holder", "the University of X"), "BSD-3-Clause"), ("".join(BSD).replace("the copyright holder", "Y Inc."), "BSD-3-Clause"),
+    ("".join(BSD[:3]) + "3. The name of the author may not be used to endorse or promote products derived\nfrom this software without specific prior written permission.", "BSD-3-Clause"),
+    ("".join(BSD[:3]) + "3. Users must dance.\n", "BSD-other"),
+    ("".join(BSD[:3]) + "3. All advertising materials mentioning features or use of this software must display the following acknowledgement:\nX.\n" + BSD[3].replace("3.", "4."), "BSD-4-Clause"),
+    (GPL3.replace("Foundation, either", "Foundation; either"), "GPL-3.0"), (GPL3.replace("version 3", "version 2"), "GPL-2.0"),
+    (GPL3.replace("GNU General", "GNU Lesser General"), "LGPL-3.0"), (GPL3.replace("GNU General", "GNU Affero General").replace("Foundation, either", "Foundation; either"), "AGPL-3.0"),
+    ("This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License version 2 as\npublished by the Free Software Foundation.", "GPL-2.0-only"),
+    (GPL3.replace(", either version 3 of the License, or\n# (at your option) any later version.", "; version 2 of the License."), "GPL-2.0-only"),
+    ("        GNU GENERAL PUBLIC LICENSE\n      Version 3, 29 June 2007\n\n Copyright", "GPL-3.0"), ("   Apache License\n   Version 2.0, January 2004\n", "Apache-2.0"),
+]
+
+
+def test_reserved_rights_other_clauses_and_versions(spark):
+    docs = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(MORE)], "doc_id long, text string")
+    got = sorted((r.doc_id, ",".join(r.sentence_ids), ",".join(r.licenses)) for r in scan_licenses(docs).collect())
+    assert [r[2] for r in got] == [want for _, want in MORE]
+    connection = duckdb.connect()
+    connection.register("documents", docs.toPandas())
+    assert sorted((r[0], r[2], r[3]) for r in connection.execute(licenses_sql()).fetchall()) == got
