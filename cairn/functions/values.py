@@ -43,6 +43,11 @@ def exceeds(value: Column, minimum: float) -> Column:
     return (number(value) > F.lit(minimum)) & whole_number(value).isNotNull()
 
 
+def falls_below(value: Column, maximum: float) -> Column:
+    """Strictly below ``maximum``, for the numbers ``exceeds`` knows."""
+    return (number(value) < F.lit(maximum)) & whole_number(value).isNotNull()
+
+
 def first_or_blank(items: Column) -> Column:
     """First element; ``''`` for a NULL or empty array. A NULL first element stays NULL."""
     return F.when(F.size(items) > 0, F.get(items, F.lit(0))).otherwise(F.lit(""))

@@ -14,7 +14,7 @@ from cairn.contracts import CURATED, REQUIRED_FIELDS, VALID
 from cairn.operators.archive import archive_files, finish_archives
 from cairn.operators.catalog import create_database, register_table, repair_table
 from cairn.operators.reports import region_report, top_k_report
-from cairn.operators.rules import Rule, check, contract_rules, folder_rule, validate, weak_rules
+from cairn.operators.rules import FieldRule, Rule, check, contract_rules, folder_rule, validate, weak_rules
 from cairn.operators.sinks import EmptyZone, ZoneWrite, append_audit, land, materialize, overlapping, write_zone
 from cairn.operators.transforms import curate, flatten, local_projection
 from cairn.sources.files import has_landed, list_files, source_or_fallback
@@ -122,7 +122,7 @@ def verdict_counts() -> dict[str, Column]:
     return {"rows_in": F.count(F.lit(1)), "rows_valid": F.count_if(is_valid), "rows_rejected": F.count_if(~is_valid)}
 
 
-def gate(checked: DataFrame, required: Sequence[str], rules: Sequence[Rule], on_empty: str, target: str) -> bool:
+def gate(checked: DataFrame, required: Sequence[str], rules: Sequence[Rule | FieldRule], on_empty: str, target: str) -> bool:
     """Whether to write checked records. Fails where no record carries a required field, and by ``on_empty`` where none is valid.
 
     Where a rule demands every required field, a valid row proves that they exist, so the usual run reads one row for this.

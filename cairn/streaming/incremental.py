@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cairn.contracts import CHECKED, REQUIRED_FIELDS
-from cairn.operators.rules import Rule, check, contract_rules
+from cairn.operators.rules import FieldRule, Rule, check, contract_rules
 from cairn.operators.sinks import write_zone
 from cairn.plans.medallion import Run, Stage, audited, gate, later_stages, run_rules, run_stages, verdict_counts, write_checked
 from cairn.sources.files import has_landed
@@ -26,7 +26,7 @@ def run_incremental(
     archive: str | None = None,
     keep: str = "replace",
     layout: str = "lines",
-    rules: Sequence[Rule] | None = None,
+    rules: Sequence[Rule | FieldRule] | None = None,
     max_files: int | None = None,
     on_empty: str = "write",
     required: Sequence[str] = REQUIRED_FIELDS,
