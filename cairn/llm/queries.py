@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.checks.registry import query, table
-from cairn.llm import byte_pairs, decontamination, jaccard_join, languages, license_scans, line_dedup, lm_scoring, quality_classifier, quality_rules, sharding
+from cairn.llm import byte_pairs, centroids, decontamination, jaccard_join, languages, license_scans, line_dedup, lm_scoring, piece_agenda, quality_classifier, quality_rules, sharding
 from cairn.llm.staging import stage
 from cairn.llm.texts import remainder
 
@@ -161,3 +161,41 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = languages.learn(documents.where(remainder("doc_id", 3) != 1))
     found = languages.identify(documents, model)
     return found.select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "n_spans")
+
+
+@query()
+def op11_piece_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_agenda.encode_documents(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def _clustering_sql(clusters: int = centroids.CLUSTERS, rounds: int = centroids.ROUNDS, size: int = centroids.SIZE) -> str:
+    """Every distance of every round, in whole numbers."""
+    near = """near{0} AS MATERIALIZED (
+    SELECT vec_id, q, min(d * {1} + n) AS best FROM (
+        SELECT vec_id, q, n, list_sum(list_transform(list_zip(q, c), lambda z: CAST((z[1] - z[2]) * (z[1] - z[2]) AS HUGEINT))) AS d
+        FROM kept, centres{0})
+    GROUP BY vec_id, q)"""
+    moved = """sums{0} AS MATERIALIZED (
+    SELECT n, i, sum(x) AS s, count(*) AS m
+    FROM (SELECT best % {2} AS n, unnest(q) AS x, generate_subscripts(q, 1) AS i FROM near{1}) GROUP BY n, i
+), centres{0} AS MATERIALIZED (
+    SELECT old.n, coalesce(new.c, old.c) AS c
+    FROM centres{1} old LEFT JOIN (SELECT n, list(CAST((s - ((s % m) + m) % m) // m AS BIGINT) ORDER BY i) AS c FROM sums{0} GROUP BY n) new ON old.n = new.n)"""
+    steps = [near.format(0, clusters)]
+    for k in range(1, rounds + 1):
+        steps += [moved.format(k, k - 1, clusters), near.format(k, clusters)]
+    steps = ",\n".join(steps)
+    return f"""WITH kept AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+    WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size}
+), centres0 AS MATERIALIZED (
+    SELECT n, q AS c FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), q) - 1 AS n, q FROM kept) WHERE n < {clusters}
+), {steps}, found AS (SELECT vec_id, best % {clusters} AS n, best // {clusters} AS d FROM near{rounds})
+SELECT vec_id, CAST(found.n AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY found.n) AS BIGINT) AS cluster_inertia,
+    CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM found JOIN centres{rounds} ON found.n = centres{rounds}.n"""
+
+
+@query(_clustering_sql())
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings")).drop("n_verified")
