@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.checks.registry import query, table
-from cairn.llm import byte_pairs, centroids, decontamination, jaccard_join, languages, license_scans, line_dedup, lm_scoring, piece_agenda, quality_classifier, quality_rules, sharding
+from cairn.llm import byte_pairs, centroids, decontamination, jaccard_join, languages, license_scans, line_dedup, lm_scoring, piece_agenda, prefix_trie, quality_classifier, quality_rules, sharding
 from cairn.llm.staging import stage
 from cairn.llm.texts import remainder
 
@@ -199,3 +199,36 @@ FROM found JOIN centres{rounds} ON found.n = centres{rounds}.n"""
 @query(_clustering_sql())
 def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.cluster_vectors(table(spark, sf_dir, "embeddings")).drop("n_verified")
+
+
+OP13 = f"""
+WITH own AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS turn
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT c, c - c % 100 AS base, list(turn ORDER BY pos) AS l,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(CAST(c AS VARCHAR))), '..'), lambda b: CAST('0x' || b AS BIGINT))),
+            lambda a, x: xor(a >> 8, {crc_table()}[(xor(a, x) & 255) + 1])), 4294967295) % 6 AS h
+    FROM own GROUP BY c
+), rebuilt AS (
+    SELECT x.c, list_concat(coalesce(b.l[1 : x.h], []), x.l[x.h + 1 :]) AS l FROM convs x LEFT JOIN convs b ON b.c = x.base
+), nodes AS MATERIALIZED (
+    SELECT l[1 : d] AS p, d, min(c) AS conv, count(*) AS n, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(l) = d), '') AS ends
+    FROM (SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM rebuilt) GROUP BY 1, 2
+), kids AS (
+    SELECT p[1 : d - 1] AS p, count(*) AS k FROM nodes WHERE d > 0 GROUP BY 1
+), weighed AS (
+    SELECT nodes.p, d, CASE WHEN d > 0 THEN (n - 1) * length(nodes.p[d].t) ELSE 0 END AS saved, CASE WHEN k IS NULL THEN 1 ELSE 0 END AS leaf
+    FROM nodes LEFT JOIN kids ON nodes.p = kids.p
+), below AS (
+    SELECT p[1 : e] AS p, sum(saved) AS saved, sum(leaf) AS leaves FROM (SELECT p, saved, leaf, unnest(range(0, d + 1)) AS e FROM weighed) GROUP BY 1
+)
+SELECT x.conv AS conv_id, x.d AS depth, up.conv AS parent_conv_id, x.n AS n_convs, coalesce(k, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves,
+    CAST(saved AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
+FROM nodes x JOIN below ON x.p = below.p LEFT JOIN kids ON x.p = kids.p LEFT JOIN nodes up ON x.d > 0 AND up.d = x.d - 1 AND up.p = x.p[1 : x.d - 1]
+"""
+
+
+@query(OP13)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
