@@ -20,7 +20,8 @@ import codecs
 import hashlib
 import heapq
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,7 +33,7 @@ MARK = "▁"
 SHORT = 24
 CACHE = 400_000
 #: Texts that are worked on at once: this many, or this many characters.
-ROWS, CHARACTERS = 500, 2 << 20
+ROWS, CHARACTERS = 2000, 4 << 20
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NONE = np.int32(2**31 - 1)
 
@@ -41,18 +42,6 @@ def _byte_by_byte(error: UnicodeDecodeError) -> tuple[str, int]:
     return "�", error.start + 1
 
 
-class Symbols(dict):
-    """What stands for a symbol, made when it is first asked for."""
-
-    def __init__(self, make: Callable[[int], object]):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, symbol: int) -> object:
-        self[symbol] = made = self.make(symbol)
-        return made
-
-
 class PieceAgenda:
     def __init__(self, model: bytes):
         from sentencepiece import sentencepiece_model_pb2
@@ -68,14 +57,15 @@ class PieceAgenda:
         self.dummy = normal.add_dummy_prefix
         self.pieces = {piece.piece: (i, piece.score) for i, piece in enumerate(proto.pieces) if piece.type == NORMAL}
         self.bytes = {int(piece.piece[3:5], 16): i for i, piece in enumerate(proto.pieces) if piece.type == BYTE}
-        self.spoken = {i: piece.replace(MARK, " ").encode() for piece, (i, _) in self.pieces.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
+        spoken = {i: piece.replace(MARK, " ").encode() for piece, (i, _) in self.pieces.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
+        self.spoken = [spoken.get(i, b"") for i in range(len(proto.pieces))]
+        self.written = list(map(str, range(len(proto.pieces))))
         self._number()
         cut = not any(MARK in piece.lstrip(MARK) for piece in self.pieces)
         alone = "".join(c for c in "\n\t\r" if not any(c in piece for piece in self.pieces))
         whole = f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|[{alone}]" if alone else "")
         self.split = re.compile(whole if cut else r"(?s).+").findall
-        self.ids: dict[str, str] = {}
-        self.said: dict[str, bytes] = {}
+        self.ids: dict[str, bytes] = {}
         codecs.register_error("cairn-byte-by-byte", _byte_by_byte)
 
     def _number(self) -> None:
@@ -105,14 +95,18 @@ class PieceAgenda:
         for name, k in self.symbol.items():
             if len(name) == 1:
                 self.letters[ord(name)] = k
-        self.written = Symbols(lambda k: ",".join(map(str, self.ids_of(self.names[k] if k >= 0 else chr(-1 - k)))))
-        self.heard = Symbols(lambda k: b"".join([self.spoken[i] for i in self.ids_of(self.names[k] if k >= 0 else chr(-1 - k))]))
+        self.id = np.array([self.pieces[name][0] if name in self.pieces else -1 for name in names], np.int32)
         self.pairs = dict(zip(self.keys.tolist(), zip(self.rank.tolist(), self.joined.tolist(), strict=True), strict=True))
 
-    def ids_of(self, piece: str) -> list[int]:
-        """The id of a piece, or those of the bytes of a character that is none."""
-        known = self.pieces.get(piece)
-        return [known[0]] if known else [self.bytes[b] for b in piece.encode()]
+    def ids_of(self, symbols: list[int]) -> bytes:
+        """Ids, of 32 bits each: of a piece its own, of another character those of its bytes."""
+        out: list[int] = []
+        for k in symbols:
+            if k >= 0 and (known := int(self.id[k])) >= 0:
+                out.append(known)
+            else:
+                out += [self.bytes[b] for b in (self.names[k] if k >= 0 else chr(-1 - k)).encode()]
+        return array("i", out).tobytes()
 
     def look_up(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (``NONE`` where they do not join) and joined symbol of pairs; a negative symbol joins nothing."""
@@ -187,44 +181,43 @@ class PieceAgenda:
     def symbols_of(self, text: str) -> np.ndarray:
         return self.letters[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
 
-    def learn(self, fragments: set[str]) -> tuple[dict[str, str], dict[str, bytes]]:
+    def learn(self, fragments: set[str]) -> dict[str, bytes]:
         """Encodes fragments that are not kept yet. Long ones are given back, not kept."""
         if len(self.ids) + len(fragments) > CACHE:
             self.ids.clear()
-            self.said.clear()
         by_length: dict[int, list[str]] = {}
-        long_ids: dict[str, str] = {}
-        long_said: dict[str, bytes] = {}
-        written, heard = self.written, self.heard
+        long: dict[str, bytes] = {}
         for fragment in fragments.difference(self.ids):
             if len(fragment) <= SHORT:
                 by_length.setdefault(len(fragment), []).append(fragment)
             else:
-                found = self.agenda(self.symbols_of(fragment).tolist())
-                long_ids[fragment] = ",".join([written[k] for k in found])
-                long_said[fragment] = b"".join([heard[k] for k in found])
+                long[fragment] = self.ids_of(self.agenda(self.symbols_of(fragment).tolist()))
         for length, several in by_length.items():
             for rows, symbols in self.agendas(self.symbols_of("".join(several)).reshape(-1, length)):
-                for row, found in zip(rows.tolist(), symbols.tolist(), strict=True):
-                    fragment = several[row]
-                    self.ids[fragment] = ",".join([written[k] for k in found])
-                    self.said[fragment] = b"".join([heard[k] for k in found])
-        return long_ids, long_said
-
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[str, str]]:
-        """For each text its ids, joined by commas, and what they decode to."""
+                ids = np.where(symbols >= 0, self.id[np.maximum(symbols, 0)], -1)
+                width = 4 * ids.shape[1]
+                odd = np.flatnonzero((ids < 0).any(1)).tolist()
+                blob = ids.tobytes()
+                self.ids.update([(several[row], blob[k * width : (k + 1) * width]) for k, row in enumerate(rows.tolist())])
+                self.ids.update([(several[rows[k]], self.ids_of(symbols[k].tolist())) for k in odd])
+        return long
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, of 32 bits each."""
         front = MARK if self.dummy else ""
         parts = [self.split(front + text.replace(" ", MARK)) if text else [] for text in texts]
-        long_ids, long_said = self.learn(set().union(*parts))
-        for fragments in parts:
-            try:
-                ids = ",".join(map(self.ids.__getitem__, fragments))
-                said = b"".join(map(self.said.__getitem__, fragments))
-            except KeyError:
-                ids = ",".join([self.ids[f] if f in self.ids else long_ids[f] for f in fragments])
-                said = b"".join([self.said[f] if f in self.said else long_said[f] for f in fragments])
-            text = said.decode("utf-8", "cairn-byte-by-byte")
-            yield ids, text[1:] if self.dummy and text.startswith(" ") else text
+        long = self.learn(set().union(*parts))
+        if not long:
+            return [b"".join(map(self.ids.__getitem__, fragments)) for fragments in parts]
+        return [b"".join([self.ids[f] if f in self.ids else long[f] for f in fragments]) for fragments in parts]
+
+    def decode(self, ids: list[int]) -> str:
+        text = b"".join([self.spoken[i] for i in ids]).decode("utf-8", "cairn-byte-by-byte")
+        return text[1:] if self.dummy and text.startswith(" ") else text
+
+    def write(self, ids: list[int]) -> bytes:
+        """Decimal ids, joined by commas."""
+        return ",".join([self.written[i] for i in ids]).encode()
 
 
 @lru_cache(maxsize=2)
@@ -262,20 +255,20 @@ def encode_documents(documents: DataFrame, model: str, keep: bool = False) -> Da
         for whole in batches:
             texts = whole.column(1).to_pylist()
             for low, high in portions(texts):
-                found = list(agenda.encode(texts[low:high]))
+                packed = agenda.encode(texts[low:high])
                 theirs = library.encode([text or "" for text in texts[low:high]], num_threads=1)
-                agrees = [ids == ",".join(map(str, other)) for (ids, _), other in zip(found, theirs, strict=True)]
-                agrees = [same and said == library.decode(other) for same, (_, said), other in zip(agrees, found, theirs, strict=True)]
+                ids = [memoryview(x).cast("i").tolist() for x in packed]
+                said = [agenda.decode(x) for x in ids]
+                agrees = [x == array("i", other).tobytes() and text == library.decode(other) for x, text, other in zip(packed, said, theirs, strict=True)]
                 arrays = [
                     whole.column(0).slice(low, high - low),
-                    pa.array([ids.count(",") + bool(ids) for ids, _ in found], pa.int64()),
-                    pa.array([hashlib.sha256(ids.encode()).hexdigest() for ids, _ in found], pa.string()),
-                    pa.array([hashlib.sha256(said.encode()).hexdigest() for _, said in found], pa.string()),
+                    pa.array([len(x) for x in ids], pa.int64()),
+                    pa.array([hashlib.sha256(agenda.write(x)).hexdigest() for x in ids], pa.string()),
+                    pa.array([hashlib.sha256(text.encode()).hexdigest() for text in said], pa.string()),
                     pa.array(agrees, pa.bool_()),
                 ]
                 if keep:
-                    arrays.append(pa.array([[int(i) for i in ids.split(",")] if ids else [] for ids, _ in found], pa.list_(pa.int32())))
-                    arrays.append(pa.array([said for _, said in found], pa.string()))
+                    arrays += [pa.array(ids, pa.list_(pa.int32())), pa.array(said, pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
