@@ -19,22 +19,27 @@ POPULATION = """CASE WHEN o_orderkey % 7 = 0 THEN 0 WHEN o_orderkey % 17 = 0 THE
                 ELSE CAST(floor(o_totalprice) AS BIGINT) END"""
 AREA = "CAST(o_custkey % 7 AS DOUBLE)"
 
+# JSON text of a record's capital and currencies, as they are read.
+CAPITAL_TEXT = """CASE WHEN {0} % 15 = 0 THEN '[null]' WHEN {0} % 3 = 0 THEN '["' || {1} || '","x"]' WHEN {0} % 3 = 1 THEN '[]' END"""
+CURRENCY_TEXT = """CASE {0} % 4
+             WHEN 0 THEN '{{"AAB":{{"name":"Alpha ' || {0} || '","parts":{{"of":[' || {0} % 5 || ',null],"unit":"cent"}},"symbol":"a"}},"ZZY":{{"name":"'
+                         || CASE WHEN {0} % 8 = 0 THEN '' ELSE 'Zeta' END || '"}}}}'
+             WHEN 1 THEN '{{"ORD":{{"name":"Order unit"}}}}'
+             WHEN 2 THEN '{{}}' ELSE '' END"""
+
 # With clauses for the oracles: every record, the valid ones, and their flat form.
 RAW_CTE = f"""raw AS (
     SELECT o_orderkey AS k, o_orderkey % 19 <> 0 AS has_name, {NAME_COMMON} AS common,
            {NAME_OFFICIAL} AS official, {REGION} AS region, o_orderstatus AS subregion,
-           {POPULATION} AS population, {AREA} AS area
+           {POPULATION} AS population, {AREA} AS area,
+           {CAPITAL_TEXT.format("o_orderkey", "o_orderstatus")} AS capital, {CURRENCY_TEXT.format("o_orderkey")} AS currencies
     FROM orders)"""
 VALID_CTE = f"""{RAW_CTE}, valid AS (
     SELECT * FROM raw WHERE has_name AND region IS NOT NULL AND population > 0)"""
 FLAT_CTE = f"""{VALID_CTE}, flat AS (
     SELECT common AS country_name, nullif(region, '') AS region, subregion, population, area,
            CASE WHEN k % 15 = 0 THEN NULL WHEN k % 3 = 0 THEN subregion ELSE '' END AS capital_city,
-           CASE k % 4
-             WHEN 0 THEN '{{"AAB":{{"name":"Alpha ' || k || '","symbol":"a"}},"ZZY":{{"name":"'
-                         || CASE WHEN k % 8 = 0 THEN '' ELSE 'Zeta' END || '"}}}}'
-             WHEN 1 THEN '{{"ORD":{{"name":"Order unit"}}}}'
-             WHEN 2 THEN '{{}}' ELSE '' END AS currency
+           {CURRENCY_TEXT.format("k")} AS currency
     FROM valid)"""
 
 
@@ -43,10 +48,11 @@ CAPITAL = """CASE WHEN o_orderkey % 15 = 0 THEN array(CAST(NULL AS STRING))
     WHEN o_orderkey % 3 = 0 THEN array(o_orderstatus, 'x')
     WHEN o_orderkey % 3 = 1 THEN CAST(array() AS ARRAY<STRING>) END"""
 CURRENCIES = """CASE o_orderkey % 4
-    WHEN 0 THEN map('ZZY', named_struct('name', if(o_orderkey % 8 = 0, '', 'Zeta'), 'symbol', CAST(NULL AS STRING)),
-                    'AAB', named_struct('name', 'Alpha ' || o_orderkey, 'symbol', 'a'))
-    WHEN 1 THEN map('ORD', named_struct('name', 'Order unit', 'symbol', CAST(NULL AS STRING)))
-    WHEN 2 THEN CAST(map() AS MAP<STRING, STRUCT<name: STRING, symbol: STRING>>) END"""
+    WHEN 0 THEN map('ZZY', to_variant_object(named_struct('name', if(o_orderkey % 8 = 0, '', 'Zeta'), 'symbol', CAST(NULL AS STRING))),
+                    'AAB', to_variant_object(named_struct('symbol', 'a', 'name', 'Alpha ' || o_orderkey, 'parts',
+                        named_struct('unit', 'cent', 'of', array(o_orderkey % 5, NULL), 'none', CAST(NULL AS STRING)))))
+    WHEN 1 THEN map('ORD', to_variant_object(named_struct('name', 'Order unit', 'symbol', CAST(NULL AS STRING))))
+    WHEN 2 THEN CAST(map() AS MAP<STRING, VARIANT>) END"""
 
 
 def _members(population: str, area: str) -> dict[str, str]:

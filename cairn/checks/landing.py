@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.checks.binding import FLAT_CTE, RAW_CTE, order_objects, order_records
 from cairn.checks.registry import query, table
+from cairn.functions.values import canonical_json
 from cairn.operators import events
 from cairn.operators.rules import check, contract_rules
 from cairn.operators.sinks import land
@@ -14,15 +15,17 @@ from cairn.operators.transforms import flatten
 from cairn.plans.medallion import payload_records
 from cairn.sources import files
 from cairn.sources import payloads as responses
-from cairn.sources.records import parse_records, read_records, read_texts, scan_arrays, to_records
+from cairn.sources.records import parse_records, read_records, scan_arrays, to_records
+from cairn.streaming.events import read_events, run_event_stream
 from cairn.workspace import scratch_path
 
 RAW_COLUMNS_ORACLE = f"""WITH {RAW_CTE} SELECT common AS country_name, official AS official_name, region, subregion,
-    population, area FROM raw"""
+    population, area, capital, currencies FROM raw"""
 ALL_RECORDS_PER_ARRAY = 1000
 
 
-def _scalars(parsed: DataFrame) -> DataFrame:
+def leaves(parsed: DataFrame, *more: Column) -> DataFrame:
+    """All fields of parsed records, nested ones as text."""
     return parsed.select(
         F.col("name.common").alias("country_name"),
         F.col("name.official").alias("official_name"),
@@ -30,6 +33,9 @@ def _scalars(parsed: DataFrame) -> DataFrame:
         "subregion",
         F.col("population").cast("double").cast("bigint").alias("population"),
         F.col("area").cast("double").alias("area"),
+        F.to_json("capital").alias("capital"),
+        canonical_json(F.col("currencies")).alias("currencies"),
+        *more,
     )
 
 
@@ -57,7 +63,7 @@ def _write_array_files(spark: SparkSession, sf_dir: str, indented: bool) -> str:
 @query(RAW_COLUMNS_ORACLE)
 def json_land_and_read(spark, sf_dir):
     landed = land(order_records(spark, sf_dir), scratch_path(spark, "raw"), "20240131_000000")
-    return _scalars(parse_records(read_records(spark, landed.path)))
+    return leaves(parse_records(read_records(spark, landed.path)))
 
 
 @query("SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
@@ -69,39 +75,43 @@ def land_columnar(spark, sf_dir):
 
 @query(RAW_COLUMNS_ORACLE)
 def json_array_scan(spark, sf_dir):
-    return _scalars(scan_arrays(spark, _write_array_files(spark, sf_dir, indented=False)))
+    return leaves(scan_arrays(spark, _write_array_files(spark, sf_dir, indented=False)))
 
 
 @query(RAW_COLUMNS_ORACLE)
 def json_array_records(spark, sf_dir):
-    return _scalars(parse_records(read_records(spark, _write_array_files(spark, sf_dir, indented=False), "whole")))
+    return leaves(parse_records(read_records(spark, _write_array_files(spark, sf_dir, indented=False), "whole")))
 
 
 @query(RAW_COLUMNS_ORACLE)
 def json_indented_records(spark, sf_dir):
-    return _scalars(parse_records(read_records(spark, _write_array_files(spark, sf_dir, indented=True), "indented")))
+    return leaves(parse_records(read_records(spark, _write_array_files(spark, sf_dir, indented=True), "indented")))
 
 
 @query(
-    f"""WITH {FLAT_CTE}, judged AS (
-      SELECT raw.*, CASE WHEN k % 23 = 0 OR k % 29 = 0 THEN 'readable' ELSE concat_ws(',',
+    f"""WITH {RAW_CTE}, judged AS (
+      SELECT k, CASE WHEN k % 23 = 0 OR k % 29 = 0 THEN 'readable' ELSE concat_ws(',',
         CASE WHEN NOT has_name THEN 'name_required' END,
         CASE WHEN population IS NULL THEN 'population_required' END,
         CASE WHEN region IS NULL THEN 'region_required' END,
         CASE WHEN population IS NULL OR population <= 0 THEN 'population_min' END) END AS reasons FROM raw)
-    SELECT CASE WHEN reasons = '' THEN 'valid' ELSE 'rejected' END AS verdict, reasons, count(*) AS n_records
-    FROM judged GROUP BY 1, 2"""
+    SELECT k, CASE WHEN reasons = '' THEN 'valid' ELSE 'rejected' END AS verdict, reasons, true AS same_text FROM judged"""
 )
 def quarantine(spark, sf_dir):
+    """Every record with its verdict, its reasons, and its own text, also where that is no JSON."""
     key, record = F.col("o_orderkey"), F.col("record")
-    cut_short = F.substr(record, F.lit(1), F.length(record) - 1)
-    untyped = F.concat(F.lit('{"name":"plain","capital":"none",'), F.substr(record, F.lit(2)))
-    broken = F.when(key % 23 == 0, cut_short).when(key % 29 == 0, untyped).otherwise(record)
-    records = order_objects(spark, sf_dir).select(broken.alias("record"))
-    landed = land(records, scratch_path(spark, "raw"), "20240131_000000")
+    keyed = F.concat(F.lit('{"key":'), key, F.lit(","), F.substr(record, F.lit(2)))
+    cut_short = F.substr(keyed, F.lit(1), F.length(keyed) - 1)
+    untyped = F.concat(F.lit('{"name":"plain","capital":"none",'), F.substr(keyed, F.lit(2)))
+    broken = F.when(key % 23 == 0, cut_short).when(key % 29 == 0, untyped).otherwise(keyed)
+    records = order_objects(spark, sf_dir).select(key.alias("k"), broken.alias("record"))
+    landed = land(records.select("record"), scratch_path(spark, "raw"), "20240131_000000")
     checked = check(parse_records(read_records(spark, landed.path)), contract_rules())
-    reasons = F.coalesce(F.array_join("reasons", ","), F.lit("")).alias("reasons")
-    return checked.groupBy("verdict", reasons).agg(F.count("*").alias("n_records"))
+    read = checked.select(
+        F.regexp_extract("record", '"key":([0-9]+)', 1).cast("bigint").alias("k"), "verdict",
+        F.coalesce(F.array_join("reasons", ","), F.lit("")).alias("reasons"), F.col("record").alias("kept"),
+    )
+    return read.join(records, "k").select("k", "verdict", "reasons", (F.col("kept") == F.col("record")).alias("same_text"))
 
 
 def _payloads(spark: SparkSession, sf_dir: str, texts: DataFrame) -> DataFrame:
@@ -244,26 +254,79 @@ def event_normalise(spark, sf_dir):
     return events.normalise_events(messages, "body")
 
 
-CONSERVED = """
-WITH good AS (
-    SELECT doc_id AS k, '{"name":{"common":"n' || doc_id || '"},"region":"r","population":"' || (doc_id + 1) || '"}' AS g FROM documents
+CONSERVED = f"""
+WITH {RAW_CTE}, cases AS (
+    SELECT 'text' AS origin, doc_id AS k, 'rejected' AS verdict, sha256(coalesce(text, 'null')) AS digest FROM documents
+    UNION ALL SELECT 'record', k, CASE WHEN has_name AND region IS NOT NULL AND population > 0 THEN 'valid' ELSE 'rejected' END, NULL FROM raw
+    UNION ALL SELECT 'payload', doc_id, 'rejected', NULL FROM documents WHERE doc_id % 3 = 0
 )
-SELECT CASE WHEN k % 7 < 2 THEN 'valid' ELSE 'rejected' END AS verdict,
-    CASE WHEN k % 7 < 2 THEN 'n' || k END AS country_name,
-    CASE k % 7 WHEN 0 THEN g WHEN 1 THEN replace(g, ',', '  , ') WHEN 2 THEN g || g WHEN 3 THEN left(g, 20) || chr(10) || 'x' WHEN 5 THEN '' WHEN 6 THEN g || ' x' END AS record
-FROM good
+SELECT origin, verdict, count(*) AS n_records, count(DISTINCT k) AS n_keys, bool_and(digest IS NOT NULL) AS all_texts FROM cases GROUP BY 1, 2
 """
 
 
 @query(CONSERVED)
 def conservation(spark, sf_dir):
-    """Whatever is landed is read again, as one valid or one rejected row with its text."""
-    k = F.col("doc_id")
-    good = F.concat(F.lit('{"name":{"common":"n'), k, F.lit('"},"region":"r","population":"'), k + 1, F.lit('"}'))
-    record = (
-        F.when(k % 7 == 0, good).when(k % 7 == 1, F.replace(good, F.lit(","), F.lit("\r\n,\n"))).when(k % 7 == 2, F.concat(good, good))
-        .when(k % 7 == 3, F.concat(F.left(good, F.lit(20)), F.lit("\nx"))).when(k % 7 == 5, F.lit("")).when(k % 7 == 6, F.concat(good, F.lit(" x")))
-    )
-    landed = land(table(spark, sf_dir, "documents").select(record.alias("record")), scratch_path(spark, "raw"), "1")
-    checked = check(parse_records(read_records(spark, landed.path)), contract_rules())
-    return checked.select("verdict", F.col("name.common").alias("country_name"), "record")
+    """Whatever is landed is read again, as one valid or one rejected row: whole document texts, records, and payloads that do not decode.
+
+    Documents are found again by their whole text; a text that is not kept loses its row in the join."""
+    documents = table(spark, sf_dir, "documents")
+    zone = scratch_path(spark, "raw")
+    keyed = F.concat(F.lit('{"key":'), "o_orderkey", F.lit(","), F.substr("record", F.lit(2))).alias("record")
+    cut = documents.where("doc_id % 3 = 0").select(
+        "doc_id", F.concat(F.unhex(F.lit("1f8b08")), F.encode(F.concat(F.lit("payload "), "doc_id"), "utf-8")).alias("payload"), F.lit("gzip").alias("content_encoding")
+    )
+    undecoded = payload_records(responses.decode_payloads(cut)).select("record")
+    for run_ts, records in (("text", documents.select(F.col("text").alias("record"))), ("record", order_objects(spark, sf_dir).select(keyed)), ("payload", undecoded)):
+        land(records, zone, run_ts)
+    checked = check(parse_records(read_records(spark, zone)), contract_rules())
+    read = checked.select(F.regexp_extract("file_path", "run_ts=([a-z]+)", 1).alias("origin"), "verdict", "record")
+    # rows that share a text are told apart by their number
+    texts = documents.select("doc_id", F.col("text").alias("record")).groupBy("record").agg(F.collect_list("doc_id").alias("ids"))
+    kept = read.where("origin = 'text'").groupBy("origin", "verdict", "record").agg(F.count(F.lit(1)).alias("n"))
+    found = kept.join(texts, kept["record"].eqNullSafe(texts["record"])).where(F.size("ids") == F.col("n")).select("origin", "verdict", F.explode("ids").alias("k"))
+    others = read.where("origin <> 'text'")
+    keys = F.when(F.col("origin") == "record", F.regexp_extract("record", '"key":([0-9]+)', 1).try_cast("bigint")).otherwise(F.monotonically_increasing_id())
+    every = found.unionByName(others.select("origin", "verdict", keys.alias("k")))
+    return every.groupBy("origin", "verdict").agg(
+        F.count(F.lit(1)).alias("n_records"), F.countDistinct("k").alias("n_keys"), (F.max("origin") == "text").alias("all_texts")
+    )
+
+
+@query(f"WITH {FLAT_CTE} SELECT * FROM flat")
+def array_payload_records(spark, sf_dir):
+    """Compressed responses, cut into records while they are inflated."""
+    arrays = _array_texts(spark, sf_dir, indented=True).select((F.pmod(F.xxhash64("value"), F.lit(6))).alias("key"), F.col("value").alias("text"))
+    records = responses.array_records(_payloads(spark, sf_dir, arrays))
+    return flatten(_valid(records.select("record", F.lit(None).cast("string").alias("file_path"))))
+
+
+@query(
+    f"""WITH messages AS (SELECT event_id, {STATUS_MESSAGES} AS body FROM events),
+    outers AS (SELECT event_id, body AS given, CASE WHEN json_valid(body) THEN body ELSE '{{}}' END AS body FROM messages),
+    opened AS (SELECT event_id, given, body AS outer_body, CASE WHEN json_exists(body, '$.Payload') THEN CAST(json_extract(body, '$.Payload') AS VARCHAR)
+      ELSE body END AS body FROM outers),
+    named AS (SELECT event_id, body,
+      CASE WHEN json_exists(body, '$.status') THEN json_extract_string(body, '$.status') ELSE 'UNKNOWN' END AS status,
+      CASE WHEN json_exists(body, '$.stage') THEN json_extract_string(body, '$.stage') ELSE 'pipeline' END AS stage
+      FROM opened)
+    SELECT status, stage,
+      CASE WHEN json_exists(body, '$.message') THEN json_extract_string(body, '$.message')
+        ELSE coalesce(stage, 'None') || ' status: ' || coalesce(status, 'None') END AS message,
+      coalesce({GIVEN.format("body", "reason")}, {GIVEN.format("body", "error")}, {GIVEN.format("body", "failureReason")}) AS reason,
+      CASE WHEN json_exists(body, '$.source') THEN json_extract_string(body, '$.source') ELSE 'stepfunctions' END AS source,
+      json_extract_string(body, '$.executionArn') AS "executionArn", json_extract_string(body, '$.timestamp') AS "timestamp",
+      'unknown' AS job_name, CASE WHEN event_id % 5 < 3 THEN 1 ELSE 2 END AS trigger_number FROM named"""
+)
+def event_stream(spark, sf_dir):
+    """Status messages land in two drops, a run after each; every message is there once, by the run after its drop."""
+    root = scratch_path(spark, "events")
+    landed, target, seen = f"{root}/landed", f"{root}/normalised", None
+    first = F.col("event_id") % 5 < 3
+    for drop in (first, ~first):
+        messages = table(spark, sf_dir, "events").where(drop).select(F.expr(STATUS_MESSAGES).alias("value"))
+        messages.write.mode("append").text(landed)
+        run_event_stream(spark, landed, target, f"{root}/checkpoint")
+        if seen is None:
+            seen = spark.createDataFrame(read_events(spark, target).select("landed_in").distinct().collect(), "landed_in string")
+    found = read_events(spark, target).join(F.broadcast(seen.withColumn("early", F.lit(1))), "landed_in", "left")
+    return found.withColumn("trigger_number", F.coalesce("early", F.lit(2))).drop("landed_in", "early")

@@ -7,17 +7,21 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.checks.binding import FLAT_CTE, RAW_CTE, VALID_CTE, order_records, raw_orders
+from cairn.checks.binding import FLAT_CTE, RAW_CTE, VALID_CTE, order_objects, order_records, raw_orders
 from cairn.checks.registry import query, table
+from cairn.contracts import REQUIRED_FIELDS
 from cairn.functions.paths import is_record_file, rewrite_zone
-from cairn.functions.values import run_stamp
+from cairn.functions.values import canonical_json, run_stamp
 from cairn.operators.reports import group_report, region_report as regions
 from cairn.operators.reports import region_sum as sums, region_sum_count as sums_counts
 from cairn.operators.reports import run_report_sql, top_k_report as top_k
-from cairn.operators.rules import contract_rules, quality_metrics, validate, weak_rules
+from cairn.operators.rules import check, contract_rules, quality_metrics, rules_from_table, validate, weak_rules
 from cairn.operators.transforms import curate as curated, enrich, flatten as flat, local_projection as local
 from cairn.operators.transforms import with_density
+from cairn.plans.medallion import gate
 from cairn.sources import observed
+from cairn.sources.records import parse_records
+from cairn.workspace import scratch_path
 
 RUN_DATE = dt.date(2024, 1, 31)
 
@@ -30,10 +34,14 @@ def curated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curated(flat(valid_orders(spark, sf_dir)), RUN_DATE)
 
 
-@query(f"WITH {VALID_CTE} SELECT common AS country_name, official AS official_name, region, population FROM valid")
+@query(
+    f"""WITH {VALID_CTE} SELECT common AS country_name, official AS official_name, region, subregion, population, area, capital, currencies FROM valid"""
+)
 def validate_valid(spark, sf_dir):
     names = F.col("name.common").alias("country_name"), F.col("name.official").alias("official_name")
-    return valid_orders(spark, sf_dir).select(*names, "region", F.col("population").cast("bigint"))
+    numbers = F.col("population").cast("bigint"), F.col("area").cast("double")
+    nested = F.to_json("capital").alias("capital"), canonical_json(F.col("currencies")).alias("currencies")
+    return valid_orders(spark, sf_dir).select(*names, "region", "subregion", *numbers, *nested)
 
 
 @query(
@@ -67,6 +75,81 @@ def validate_configured(spark, sf_dir):
     return validate(customers, rules)[0].select("c_custkey", "c_acctbal")
 
 
+RULE_ROWS = """
+    SELECT 1 AS position, 'balance' AS name, 'c_acctbal' AS field, 'minimum' AS kind, CAST(CAST(floor(max(c_acctbal) / 4) AS BIGINT) AS STRING) AS bound, false AS allow_nulls, 'customer' AS source FROM customer
+    UNION ALL SELECT 2, NULL, 'c_mktsegment', 'member', '["BUILDING","MACHINERY","AUTOMOBILE"]', NULL, 'customer'
+    UNION ALL SELECT 3, 'nation', 'c_nationkey', 'maximum', CAST(max(c_nationkey) - 2 AS STRING), false, 'customer' FROM customer
+    UNION ALL SELECT 1, 'official', 'name.official', 'required', NULL, false, 'orders'
+    UNION ALL SELECT 2, 'level', 'codes.level', 'minimum', '2', false, 'orders'
+    UNION ALL SELECT 3, 'day', 'codes.`of.day`', 'pattern', '^(1|4)', true, 'orders'
+    UNION ALL SELECT 4, 'unit', 'currencies.AAB.parts.unit', 'member', '["cent"]', true, 'orders'
+    UNION ALL SELECT 5, 'region', 'region', 'pattern', '^[1-3]', true, 'orders'"""
+
+
+@query(
+    f"""WITH {RAW_CTE}, customers AS (
+      SELECT 'customer' AS source, c_custkey AS k, concat_ws(',',
+        CASE WHEN NOT c_acctbal > (SELECT floor(max(c_acctbal) / 4) FROM customer) THEN 'balance' END,
+        CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') THEN 'c_mktsegment_member' END,
+        CASE WHEN NOT c_nationkey < (SELECT max(c_nationkey) - 2 FROM customer) THEN 'nation' END) AS reasons FROM customer),
+    records AS (
+      SELECT 'orders' AS source, k, concat_ws(',', CASE WHEN official IS NULL THEN 'official' END,
+        CASE WHEN NOT k % 9 > 2 THEN 'level' END, CASE WHEN k % 6 <> 0 AND left(CAST(k AS VARCHAR), 1) NOT IN ('1', '4') THEN 'day' END,
+        CASE WHEN left(region, 1) NOT IN ('1', '2', '3') OR region = '' THEN 'region' END) AS reasons FROM raw)
+    SELECT source, k, CASE WHEN reasons = '' THEN 'valid' ELSE 'rejected' END AS verdict, reasons FROM (SELECT * FROM customers UNION ALL SELECT * FROM records)"""
+)
+def validate_by_table(spark, sf_dir):
+    """Rules stored as rows, their bounds taken from the data, over a plain table and over records with members beyond the contract."""
+    stored = scratch_path(spark, "rules")
+    spark.sql(RULE_ROWS.replace("FROM customer", "FROM {customer}"), customer=table(spark, sf_dir, "customer")).write.partitionBy("source").parquet(stored)
+    rules = spark.read.parquet(stored)
+    customers = table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k")
+    valid, rejected = validate(customers, rules_from_table(rules.where("source = 'customer'")))
+    judged = valid.select(F.lit("customer").alias("source"), "k", F.lit("valid").alias("verdict"), F.lit("").alias("reasons"))
+    judged = judged.unionByName(
+        rejected.select(F.lit("customer").alias("source"), "k", F.lit("rejected").alias("verdict"), F.array_join("reasons", ",").alias("reasons"))
+    )
+    key = F.col("o_orderkey")
+    day = F.when(key % 6 != 0, F.concat(F.lit(',"of.day":"'), key, F.lit('"'))).otherwise("")
+    codes = F.concat(F.lit('{"codes":{"key":'), key, F.lit(',"level":'), key % 9, day, F.lit("},"), F.substr("record", F.lit(2)))
+    records = order_objects(spark, sf_dir).select(codes.alias("record"), F.lit(None).cast("string").alias("file_path"))
+    checked = check(parse_records(records), rules_from_table(rules.where("source = 'orders'")))
+    k = F.get_json_object("record", "$.codes.key").cast("bigint").alias("k")
+    return judged.unionByName(checked.select(F.lit("orders").alias("source"), k, "verdict", F.coalesce(F.array_join("reasons", ","), F.lit("")).alias("reasons")))
+
+
+@query(
+    f"""WITH {RAW_CTE}, n AS (SELECT count(*) AS n, count(*) FILTER (has_name AND region IS NOT NULL AND population > 0) AS good FROM raw)
+    SELECT 'whole' AS landed, CAST(NULL AS VARCHAR) AS message, n AS n_records, good AS n_valid, good > 0 AS written FROM n
+    UNION ALL SELECT 'no population', 'missing required columns: [''population'']', n, 0, false FROM n
+    UNION ALL SELECT 'no name and no region', 'missing required columns: [''name'', ''region'']', n, 0, false FROM n
+    UNION ALL SELECT 'none valid', 'no valid rows for the zone', n, 0, false FROM n
+    UNION ALL SELECT 'none valid, skipped', NULL, n, 0, false FROM n"""
+)
+def gate_outcomes(spark, sf_dir):
+    """What the gate says to records that lack a required field everywhere, or of which none is valid."""
+    record, rules = F.col("record"), contract_rules()
+    without = {
+        "whole": (record, "fail"),
+        "no population": (F.regexp_replace(record, '"population":', '"people":'), "fail"),
+        "no name and no region": (F.regexp_replace(F.regexp_replace(record, '"name":\\{', '"title":{'), '"(name|region)":(null|")', '"x$1":$2'), "fail"),
+        "none valid": (F.regexp_replace(record, '"population":[0-9.]+', '"population":0'), "fail"),
+        "none valid, skipped": (F.regexp_replace(record, '"population":[0-9.]+', '"population":0'), "skip"),
+    }
+    outcomes = None
+    for landed, (changed, on_empty) in without.items():
+        records = order_records(spark, sf_dir).select(changed.alias("record"), F.lit(None).cast("string").alias("file_path"))
+        checked, message, written = check(parse_records(records), rules), None, False
+        try:
+            written = gate(checked, REQUIRED_FIELDS, rules, on_empty, "the zone")
+        except ValueError as refusal:
+            message = str(refusal)
+        counts = checked.agg(F.count(F.lit(1)).alias("n_records"), F.count_if(F.col("verdict") == "valid").alias("n_valid"))
+        outcome = counts.select(F.lit(landed).alias("landed"), F.lit(message).cast("string").alias("message"), "*", F.lit(written).alias("written"))
+        outcomes = outcome if outcomes is None else outcomes.unionByName(outcome)
+    return outcomes
+
+
 @query(
     f"""WITH {RAW_CTE}
     SELECT 'name' AS field, count(*) FILTER (has_name OR k % 2 = 1) AS n_records, true AS present FROM raw
@@ -204,28 +287,68 @@ def infer_columns(spark, sf_dir):
 @query(
     f"""WITH {RAW_CTE}, typed AS (
       SELECT k, unnest([
-        {{'path': 'name', 'type': CASE WHEN has_name THEN 'OBJECT' ELSE 'VOID' END}},
-        {{'path': 'name.common', 'type': CASE WHEN has_name THEN 'STRING' END}},
-        {{'path': 'name.official', 'type': CASE WHEN official IS NOT NULL THEN 'STRING' WHEN has_name THEN 'VOID' END}},
-        {{'path': 'region', 'type': CASE WHEN region IS NULL THEN 'VOID' ELSE 'STRING' END}},
-        {{'path': 'subregion', 'type': 'STRING'}},
-        {{'path': 'population', 'type': CASE WHEN population IS NULL THEN 'VOID' ELSE 'DECIMAL' END}},
-        {{'path': 'area', 'type': 'DECIMAL'}},
-        {{'path': 'capital', 'type': CASE WHEN k % 15 = 0 OR k % 3 < 2 THEN 'ARRAY' ELSE 'VOID' END}},
-        {{'path': 'currencies', 'type': CASE WHEN k % 4 < 3 THEN 'OBJECT' ELSE 'VOID' END}}]) AS spot FROM raw)
-    SELECT spot.path AS path, spot.type AS type, count(*) AS n_records FROM typed
+        {{'path': 'name', 'type': CASE WHEN has_name THEN 'OBJECT' ELSE 'VOID' END, 'n': 1}},
+        {{'path': 'name.common', 'type': CASE WHEN has_name THEN 'STRING' END, 'n': 1}},
+        {{'path': 'name.official', 'type': CASE WHEN official IS NOT NULL THEN 'STRING' WHEN has_name THEN 'VOID' END, 'n': 1}},
+        {{'path': 'region', 'type': CASE WHEN region IS NULL THEN 'VOID' ELSE 'STRING' END, 'n': 1}},
+        {{'path': 'subregion', 'type': 'STRING', 'n': 1}},
+        {{'path': 'population', 'type': CASE WHEN population IS NULL THEN 'VOID' ELSE 'DECIMAL' END, 'n': 1}},
+        {{'path': 'area', 'type': 'DECIMAL', 'n': 1}},
+        {{'path': 'capital', 'type': CASE WHEN capital IS NOT NULL THEN 'ARRAY' ELSE 'VOID' END, 'n': 1}},
+        {{'path': 'currencies', 'type': CASE WHEN k % 4 < 3 THEN 'OBJECT' ELSE 'VOID' END, 'n': 1}}]) AS spot FROM raw
+      UNION ALL SELECT k, {{'path': 'capital[]', 'type': CASE WHEN k % 15 = 0 THEN 'NULL ELEMENT' ELSE 'STRING' END, 'n': CASE WHEN k % 15 = 0 THEN 1 ELSE 2 END}}
+      FROM raw WHERE capital IS NOT NULL AND capital <> '[]')
+    SELECT spot.path AS path, replace(spot.type, 'NULL ELEMENT', 'VOID') AS type, CAST(sum(spot.n) AS BIGINT) AS n_values FROM typed
     WHERE spot.type IS NOT NULL AND (spot.type <> 'VOID' OR k % 2 = 1) GROUP BY 1, 2"""
 )
 def infer_types(spark, sf_dir):
-    return observed.observed_types(order_records(spark, sf_dir))
+    return observed.observed_types(order_records(spark, sf_dir)).drop("ancestors")
+
+
+def deep_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records four levels deep, with arrays of objects that hold arrays, and paths whose kinds differ."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        """'{"key":' || o_orderkey || ',"a":{"b":{"c":{"d":' || CASE o_orderkey % 3 WHEN 0 THEN '7' WHEN 1 THEN '"x"' ELSE 'null' END || '}}},"lines":'
+        || CASE WHEN o_orderkey % 2 = 0 THEN '[{"n":1,"tags":["x",' || o_orderkey || ']},{"n":2.5,"tags":[]}]' ELSE '[]' END
+        || ',"mixed":' || CASE WHEN o_orderkey % 2 = 1 THEN '5' ELSE '{"x":{"y":[[1],[true]]}}' END
+        || ',"currencies":{"C' || o_orderkey % 50 || '":{"name":"n"}}}' AS record"""
+    )
+
+
+DEEP_TYPES = """n AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 2 = 0) AS even, count(*) FILTER (o_orderkey % 3 = 0) AS three,
+      count(*) FILTER (o_orderkey % 3 = 1) AS four FROM orders),
+    spots AS (SELECT unnest([
+      {'path': 'key', 'type': 'BIGINT', 'n': n}, {'path': 'a', 'type': 'OBJECT', 'n': n}, {'path': 'a.b', 'type': 'OBJECT', 'n': n},
+      {'path': 'a.b.c', 'type': 'OBJECT', 'n': n}, {'path': 'a.b.c.d', 'type': 'BIGINT', 'n': three}, {'path': 'a.b.c.d', 'type': 'STRING', 'n': four},
+      {'path': 'a.b.c.d', 'type': 'VOID', 'n': n - three - four}, {'path': 'lines', 'type': 'ARRAY', 'n': n}, {'path': 'lines[]', 'type': 'OBJECT', 'n': 2 * even},
+      {'path': 'lines[].n', 'type': 'BIGINT', 'n': even}, {'path': 'lines[].n', 'type': 'DECIMAL', 'n': even}, {'path': 'lines[].tags', 'type': 'ARRAY', 'n': 2 * even},
+      {'path': 'lines[].tags[]', 'type': 'STRING', 'n': even}, {'path': 'lines[].tags[]', 'type': 'BIGINT', 'n': even}, {'path': 'mixed', 'type': 'BIGINT', 'n': n - even},
+      {'path': 'mixed', 'type': 'OBJECT', 'n': even}, {'path': 'mixed.x', 'type': 'OBJECT', 'n': even}, {'path': 'mixed.x.y', 'type': 'ARRAY', 'n': even},
+      {'path': 'mixed.x.y[]', 'type': 'ARRAY', 'n': 2 * even}, {'path': 'mixed.x.y[][]', 'type': 'BIGINT', 'n': even}, {'path': 'mixed.x.y[][]', 'type': 'BOOLEAN', 'n': even},
+      {'path': 'currencies', 'type': 'OBJECT', 'n': n}]) AS spot FROM n)"""
+
+
+@query(f"WITH {DEEP_TYPES} SELECT spot.path AS path, spot.type AS type, spot.n AS n_values FROM spots")
+def infer_deep_types(spark, sf_dir):
+    return observed.observed_types(deep_records(spark, sf_dir)).drop("ancestors")
+
+
+@query(
+    """SELECT * FROM (VALUES ('key', 'BIGINT'), ('a', 'OBJECT'), ('a.b', 'OBJECT'), ('a.b.c', 'OBJECT'), ('a.b.c.d', 'STRING'), ('lines', 'ARRAY'),
+      ('lines[]', 'OBJECT'), ('lines[].n', 'DOUBLE'), ('lines[].tags', 'ARRAY'), ('lines[].tags[]', 'STRING'), ('mixed', 'STRING'), ('currencies', 'OBJECT')) AS t(path, type)
+    WHERE (SELECT count(*) FROM orders) > 0"""
+)
+def infer_widened(spark, sf_dir):
+    return observed.widened_types(observed.observed_types(deep_records(spark, sf_dir)))
 
 
 @query(
     f"""WITH {RAW_CTE} SELECT common AS "name.common", official AS "name.official", region, subregion,
-      CAST(population AS VARCHAR) AS population FROM raw"""
+      CAST(population AS VARCHAR) AS population, CAST(area AS VARCHAR) AS area, capital, currencies FROM raw"""
 )
 def flatten_dotted(spark, sf_dir):
-    return observed.flatten_dotted(raw_orders(spark, sf_dir)).drop("capital", "currencies", "area")
+    flat_rows = observed.flatten_dotted(raw_orders(spark, sf_dir))
+    return flat_rows.withColumns({"capital": F.to_json("capital"), "currencies": canonical_json(F.col("currencies"))})
 
 
 PATHS = """CASE page_id % 4 WHEN 0 THEN 'raw/pages/' || page_id || '.json'

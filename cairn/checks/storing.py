@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.checks.binding import FLAT_CTE, RAW_CTE, order_objects, order_records, raw_orders
+from cairn.checks.landing import leaves
 from cairn.checks.registry import query, table
 from cairn.checks.shaping import REGION_REPORT_ORACLE, RUN_DATE, TOP_K_ORACLE, curated_orders
 from cairn.contracts import CURATED
-from cairn.operators.catalog import create_database, register_table, repair_table
+from cairn.operators.catalog import (
+    add_partitions,
+    create_database,
+    drop_partitions,
+    drop_versions,
+    register_table,
+    register_version,
+    repair_table,
+    switch_version,
+    version_path,
+)
+from cairn.operators.catalog import partition_difference as catalog_difference
 from cairn.operators.reports import region_report, top_k_report
-from cairn.operators.sinks import EmptyZone, land, materialize, read_audit, write_zone
+from cairn.operators.sinks import EmptyZone, land, materialize, read_audit, read_quality, write_zone
 from cairn.operators.transforms import flatten
 from cairn.plans.medallion import Run, run_local_variant, run_medallion, validate_zone
 from cairn.sources.files import list_files
@@ -117,39 +131,139 @@ def full_run(spark, sf_dir):
     return _dated(read_curated(spark, _run(spark, sf_dir).zones["curated"]))
 
 
+@query(f"SELECT 'first' AS seen, * FROM ({CURATED_ORACLE}) UNION ALL SELECT 'second', * FROM ({CURATED_ORACLE}) WHERE subregion = 'O'")
+def full_run_versioned(spark, sf_dir):
+    """Two runs, each a version of the curated table; a reader of the first goes on with its rows after the second."""
+    root, seen = scratch_path(spark, "lake"), []
+    for name, run_ts, chosen in (("first", "20240131_000000", "true"), ("second", "20240201_000000", "o_orderstatus = 'O'")):
+        run = Run(root, run_ts, RUN_DATE, "orders", replacement="versioned", database="cairn_checks", table="versioned_orders")
+        run_medallion(spark, run, order_objects(spark, sf_dir).where(chosen).select("record"))
+        seen.append(_dated(read_table(spark, run.database, run.table)).withColumn("seen", F.lit(name)))
+    return seen[0].unionByName(seen[1])
+
+
 @query(CURATED_ORACLE)
 def full_run_without_intermediate(spark, sf_dir):
     return _dated(read_curated(spark, _run(spark, sf_dir, keep_intermediate=False).zones["curated"]))
 
 
+# Two runs: one through all stages, and one whose records carry no population, which ends at the validation.
 @query(
-    f"""WITH {FLAT_CTE}, n AS (SELECT (SELECT count(*) FROM raw) AS rows_in, (SELECT count(*) FROM valid) AS rows_valid)
-    SELECT 'ingest' AS stage, 'success' AS status, rows_in, CAST(NULL AS BIGINT) AS rows_valid,
-           CAST(NULL AS BIGINT) AS rows_rejected, 'success' AS source_status FROM n
-    UNION ALL SELECT 'validate', 'success', rows_in, rows_valid, rows_in - rows_valid, NULL FROM n
-    UNION ALL SELECT 'intermediate', 'success', rows_valid, NULL, NULL, NULL FROM n
-    UNION ALL SELECT 'curate', 'success', rows_valid, NULL, NULL, NULL FROM n
-    UNION ALL SELECT 'report', 'success', NULL, NULL, NULL, NULL FROM n"""
+    f"""WITH {FLAT_CTE}, n AS (SELECT (SELECT count(*) FROM raw) AS rows_in, (SELECT count(*) FROM valid) AS rows_valid),
+    lines AS (
+      SELECT '20240131_000000' AS run_ts, unnest([
+        {{'stage': 'ingest', 'a': rows_in, 'b': NULL, 'c': NULL, 'path': 'raw/orders/run_ts=20240131_000000', 'source': 'success'}},
+        {{'stage': 'validate', 'a': rows_in, 'b': rows_valid, 'c': rows_in - rows_valid, 'path': 'validated/orders', 'source': NULL}},
+        {{'stage': 'intermediate', 'a': rows_valid, 'b': NULL, 'c': NULL, 'path': 'intermediate/orders', 'source': NULL}},
+        {{'stage': 'curate', 'a': rows_valid, 'b': NULL, 'c': NULL, 'path': 'curated/orders', 'source': NULL}},
+        {{'stage': 'report', 'a': NULL, 'b': NULL, 'c': NULL, 'path': 'results/orders/run_ts=20240131_000000', 'source': NULL}}]) AS s FROM n
+      UNION ALL SELECT '20240201_000000', unnest([
+        {{'stage': 'ingest', 'a': rows_in, 'b': NULL, 'c': NULL, 'path': 'raw/orders/run_ts=20240201_000000', 'source': 'success'}},
+        {{'stage': 'validate', 'a': NULL, 'b': NULL, 'c': NULL, 'path': NULL, 'source': NULL}}]) FROM n)
+    SELECT run_ts, s.stage AS stage, CASE WHEN run_ts = '20240201_000000' AND s.stage = 'validate' THEN 'failure' ELSE 'success' END AS status,
+      CAST(s.a AS BIGINT) AS rows_in, CAST(s.b AS BIGINT) AS rows_valid, CAST(s.c AS BIGINT) AS rows_rejected,
+      CASE WHEN run_ts = '20240131_000000' AND s.stage = 'validate' THEN 0 END AS files_unaccounted, CASE WHEN s.stage = 'ingest' THEN 0 END AS bytes_unaccounted,
+      s.path AS path, s.source AS source_status,
+      CASE WHEN run_ts = '20240201_000000' AND s.stage = 'validate' THEN 'missing required columns: [''population'']' END AS error FROM lines"""
 )
 def run_audit(spark, sf_dir):
-    audit = read_audit(spark, _run(spark, sf_dir).audit)
-    return audit.select("stage", "status", "rows_in", "rows_valid", "rows_rejected", "source_status")
+    """All columns of the audit. Files and bytes are held against what lies in the archive and the raw zone."""
+    run = _run(spark, sf_dir)
+    failing = dataclasses.replace(run, run_ts="20240201_000000")
+    no_population = order_records(spark, sf_dir).select(F.regexp_replace("record", '"population":', '"people":').alias("record"))
+    try:
+        run_medallion(spark, failing, no_population)
+    except ValueError:
+        pass
+    files = list_files(spark, run.zones["archive"]).unionByName(list_files(spark, run.zones["raw"]))
+    stored = files.groupBy(F.regexp_extract("path", "run_ts=([0-9_]+)", 1).alias("run_ts")).agg(F.count_if(F.col("n_bytes") >= 0).alias("n_files"), F.sum("n_bytes").alias("n_stored"))
+    audit = read_audit(spark, run.audit).join(F.broadcast(stored), "run_ts")
+    # every line ends in a line feed
+    bytes_apart = (F.col("n_stored") - F.col("rows_in") - F.col("n_bytes")).cast("int").alias("bytes_unaccounted")
+    return audit.select(
+        "run_ts", "stage", "status", "rows_in", "rows_valid", "rows_rejected", (F.col("n_files") - F.col("files_archived")).cast("int").alias("files_unaccounted"),
+        bytes_apart, F.replace("path", F.lit(f"{run.root}/"), F.lit("")).alias("path"), "source_status", "error",
+    )
+
+
+@query(
+    f"""WITH {RAW_CTE}, bad AS (SELECT *, k % 31 = 0 AS cut FROM raw)
+    SELECT '20240131_000000' AS run_ts, 'validate' AS stage, unnest(['readable', 'name_required', 'population_required', 'region_required', 'population_min', 'region_folder']) AS rule,
+      unnest([count(*) FILTER (cut), count(*) FILTER (NOT cut AND NOT has_name), count(*) FILTER (NOT cut AND population IS NULL),
+        count(*) FILTER (NOT cut AND region IS NULL), count(*) FILTER (NOT cut AND coalesce(population, 0) <= 0), 0]) AS n_rows FROM bad"""
+)
+def run_quality(spark, sf_dir):
+    """The rows that broke each rule, as the run's own writing pass counted them."""
+    run = Run(scratch_path(spark, "lake"), "20240131_000000", RUN_DATE, "orders")
+    cut = F.when(F.col("o_orderkey") % 31 == 0, F.left("record", F.lit(9))).otherwise(F.col("record"))
+    run_medallion(spark, run, order_objects(spark, sf_dir).select(cut.alias("record")))
+    return read_quality(spark, run.quality)
+
+
+def _versions(spark: SparkSession, sf_dir: str, second: DataFrame) -> tuple[str, str]:
+    """A database and a zone where the customers are the table's first version and ``second`` is written, but not shown."""
+    database, zone = "cairn_checks", scratch_path(spark, "versioned")
+    create_database(spark, database, scratch_path(spark, "database"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    for version, rows in (("v1", customers), ("v2", second)):
+        made = write_zone(rows, version_path(zone, version), "c_mktsegment", report_partitions=True).partitions
+        register_version(spark, database, "versioned_customers", version, customers.schema, zone, made, ["c_mktsegment"])
+        if version == "v1":
+            switch_version(spark, database, "versioned_customers", version)
+    return database, zone
+
+
+@query(f"SELECT 'before' AS seen, c_custkey, c_acctbal, c_mktsegment FROM customer UNION ALL SELECT 'after', * FROM ({STATIC_ORACLE})")
+def replace_versioned(spark, sf_dir):
+    """Readers by name between write and switch have the old rows, to the end, and those after it the new ones."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    second = customers.where(F.col("c_mktsegment") != "BUILDING").withColumn("c_acctbal", -F.col("c_acctbal"))
+    database, zone = _versions(spark, sf_dir, second)
+    before = read_table(spark, database, "versioned_customers").withColumn("seen", F.lit("before"))
+    switch_version(spark, database, "versioned_customers", "v2")
+    drop_versions(spark, database, "versioned_customers", zone, keep=1)
+    return before.unionByName(read_table(spark, database, "versioned_customers").withColumn("seen", F.lit("after")))
 
 
 @query(
-    f"""WITH {RAW_CTE} SELECT common AS country_name, region, subregion, population, CAST(0 AS BIGINT) AS files_left FROM raw"""
+    """SELECT c_custkey, c_acctbal, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer WHERE c_nationkey NOT IN (4, 5)
+    UNION ALL SELECT c_custkey, -c_acctbal, '77' FROM customer WHERE c_nationkey = 3
+    UNION ALL SELECT c_custkey, c_acctbal, NULL FROM customer WHERE c_nationkey = 4"""
+)
+def partition_difference(spark, sf_dir):
+    """The catalog is told what writes report: a new partition shows, a dropped one is gone, and a folder nobody reported is never seen."""
+    database, zone = "cairn_checks", scratch_path(spark, "partitioned")
+    create_database(spark, database, scratch_path(spark, "database"))
+    nation = F.when(F.col("c_nationkey") != 4, F.col("c_nationkey").cast("string")).alias("c_nationkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", nation)
+    made = write_zone(customers, zone, "c_nationkey", report_partitions=True).partitions
+    register_table(spark, database, "partitioned_customers", customers.schema, zone, ["c_nationkey"], replace=True)
+    add_partitions(spark, database, "partitioned_customers", made)
+    write_zone(customers.withColumn("c_nationkey", F.lit("ghost")), zone, "c_nationkey", partition_overwrite="dynamic")
+    new = customers.where("c_nationkey = '3'").select("c_custkey", (-F.col("c_acctbal")).alias("c_acctbal"), F.lit("77").alias("c_nationkey"))
+    more = write_zone(new, zone, "c_nationkey", partition_overwrite="dynamic", report_partitions=True).partitions
+    added, dropped = catalog_difference(made, [p for p in made if p["c_nationkey"] != "5"] + more)
+    add_partitions(spark, database, "partitioned_customers", added)
+    drop_partitions(spark, database, "partitioned_customers", dropped)
+    return read_table(spark, database, "partitioned_customers")
+
+
+@query(
+    f"""WITH {RAW_CTE} SELECT common AS country_name, official AS official_name, region, subregion, population, area, capital, currencies,
+      CASE k % 3 WHEN 0 THEN 'run_ts=20240131_000000' WHEN 1 THEN 'deep/a' ELSE 'deep/b/c' END AS folder, CAST(0 AS BIGINT) AS files_left FROM raw"""
 )
 def batch_archive(spark, sf_dir):
-    """Every landed record is found in the archive after the validation, and no file in the raw zone."""
+    """Every record is found in the archive after the validation, in the folder it lay in, and no file in the raw zone."""
     run = Run(scratch_path(spark, "lake"), "20240131_000000", dataset="orders")
-    land(order_records(spark, sf_dir), run.zones["raw"], run.run_ts)
+    records, third = order_objects(spark, sf_dir), F.col("o_orderkey") % 3
+    land(records.where(third == 0).select("record"), run.zones["raw"], run.run_ts)
+    for folder, share in (("deep/a", third == 1), ("deep/b/c", third == 2)):
+        records.where(share).select("record").write.text(f"{run.zones['raw']}/{folder}")
     validate_zone(spark, run)
     archived = parse_records(read_records(spark, run.zones["archive"]))
     left = list_files(spark, run.zones["raw"]).count()
-    population = F.col("population").cast("double").cast("bigint").alias("population")
-    return archived.select(
-        F.col("name.common").alias("country_name"), "region", "subregion", population, F.lit(left).cast("bigint").alias("files_left")
-    )
+    folder = F.regexp_extract("file_path", "archive/orders/(.*)/[^/]*$", 1).alias("folder")
+    return leaves(archived, folder, F.lit(left).cast("bigint").alias("files_left"))
 
 
 def _two_runs(spark: SparkSession, sf_dir: str, keep: str) -> tuple[str, str]:

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 NAME = T.StructType([T.StructField("common", T.StringType()), T.StructField("official", T.StringType())])
-CURRENCY = T.StructType([T.StructField("name", T.StringType()), T.StructField("symbol", T.StringType())])
+# Members of a currency are whatever the document has: all of them reach its text.
+CURRENCY = T.VariantType()
 
 # population and area stay text until they are cast: a single bad number must cost one
 # value, not the record and not the file it came in.
@@ -76,5 +77,13 @@ RUN_AUDIT = T.StructType(
     ]
 )
 
+# Rows that broke each rule, for every stage that applies rules.
+RUN_QUALITY = T.StructType(
+    [
+        *(T.StructField(name, T.StringType()) for name in ("run_ts", "stage", "rule")),
+        T.StructField("n_rows", T.LongType()),
+    ]
+)
+
 # Planned and made moves of raw files.
-LEDGER = T.StructType([T.StructField(name, T.StringType()) for name in ("path", "archive_path", "run_ts")])
+MOVES = T.StructType([T.StructField(name, T.StringType()) for name in ("path", "archive_path")])

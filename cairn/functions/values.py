@@ -72,18 +72,30 @@ def unique_keys(members: Column) -> Column:
 
 
 def canonical_json(members: Column) -> Column:
-    """JSON text of a map with its keys in order and its NULL members dropped; ``''`` for a NULL map.
+    """JSON text of a map of VARIANT, keys in order and null members dropped at every level; ``''`` for a NULL map.
 
-    The text does not depend on the order the members were written in.
+    The text does not depend on the order the members were written in. A null inside an array stays.
     """
-    kept = F.map_filter(members, lambda _, member: member.isNotNull())
-    ordered = F.map_from_entries(F.sort_array(F.map_entries(kept)))
-    return F.when(members.isNotNull(), F.to_json(ordered)).otherwise(F.lit(""))
+    keys = F.array_sort(F.map_keys(members))
+    ordered = F.map_from_entries(F.transform(keys, lambda key: F.struct(key, F.element_at(members, key))))
+    return F.when(members.isNotNull(), without_nulls(F.to_json(ordered))).otherwise(F.lit(""))
+
+
+def without_nulls(text: Column) -> Column:
+    """Compact JSON text without its null members.
+
+    Escapes inside strings are set aside as control characters, which JSON text cannot hold, so that a
+    string is all up to the next quote; a string before ``:null`` can only be a member's key.
+    """
+    marked = F.replace(F.replace(text, F.lit("\\\\"), F.lit("\x01")), F.lit('\\"'), F.lit("\x02"))
+    kept = F.regexp_replace(marked, '("[^"]*+")(?!:null[,}])|"[^"]*+":null,?', "$1")
+    closed = F.regexp_replace(kept, '("[^"]*+")|,(?=\\})', "$1")
+    return F.replace(F.replace(closed, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
 
 
 def first_currency_name(currencies: Column) -> Column:
     """The first non-empty name in document order, else NULL."""
-    names = F.transform(F.map_values(currencies), lambda member: member["name"])
+    names = F.transform(F.map_values(currencies), lambda member: F.try_variant_get(member, "$.name", "string"))
     return F.try_element_at(F.filter(names, lambda name: name != ""), F.lit(1))
 
 

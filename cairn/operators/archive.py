@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.contracts import LEDGER
+from cairn.contracts import MOVES
 from cairn.functions.paths import is_record_file, rewrite_zone
 from cairn.operators.sinks import write_zone
-from cairn.sources.files import has_landed
+from cairn.sources.files import folder_names, has_landed, remove_folder
 from cairn.sources.zones import read_zone
 
 
@@ -66,20 +66,59 @@ def move_files(plan: DataFrame) -> DataFrame:
 
 
 def archive_files(files: DataFrame, zone: str, archive_zone: str, ledger: str, run_ts: str, suffix: str = ".json") -> int:
-    """Archives the data files of a listing and returns their number. ``ledger`` keeps what was planned and done."""
-    plan = archive_plan(files, zone, archive_zone, suffix).withColumn("run_ts", F.lit(run_ts))
-    write_zone(plan, f"{ledger}/planned", "run_ts", layout="inherit", mode="append")
-    return finish_archives(files.sparkSession, ledger)
+    """Archives the data files of a listing and returns their number.
+
+    ``ledger`` keeps what was planned and done, a folder for each run. ``open`` names the runs that are not finished; the
+    others' folders are never listed again, so a run's work does not grow with the history.
+    """
+    spark = files.sparkSession
+    open_run(spark, ledger, run_ts)
+    plan = archive_plan(files, zone, archive_zone, suffix)
+    write_zone(plan, run_folder(ledger, "planned", run_ts), None, layout="inherit", mode="append")
+    return finish_archives(spark, ledger)
+
+
+def run_folder(ledger: str, kind: str, run_ts: str) -> str:
+    return f"{ledger}/{kind}/run_ts={run_ts}"
+
+
+def open_run(spark: SparkSession, ledger: str, run_ts: str) -> None:
+    """Names a run as unfinished, before it plans anything."""
+    _mark(spark, run_folder(ledger, "open", run_ts))
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    spark.range(1).write.mode("overwrite").parquet(path)
+
+
+def open_runs(spark: SparkSession, ledger: str) -> list[str]:
+    """Runs that are not finished. A ledger that never named any is of before there were names: all that planned count."""
+    names = folder_names(spark, f"{ledger}/open") or folder_names(spark, f"{ledger}/planned")
+    return sorted(name.removeprefix("run_ts=") for name in names if name.startswith("run_ts="))
+
+
+def pending_moves(spark: SparkSession, ledger: str, run_ts: str) -> DataFrame:
+    """The moves a run planned and has not made. Reads that run's folders, and no other's."""
+    planned = read_zone(spark, run_folder(ledger, "planned", run_ts), MOVES)
+    if not has_landed(spark, run_folder(ledger, "done", run_ts)):
+        return planned
+    return planned.join(read_zone(spark, run_folder(ledger, "done", run_ts), MOVES), "path", "left_anti").select(*MOVES.fieldNames())
 
 
 def finish_archives(spark: SparkSession, ledger: str) -> int:
-    """Makes the moves that were planned and not yet done, this run's or an earlier one's; returns their number."""
-    if not has_landed(spark, f"{ledger}/planned"):
-        return 0
-    pending = read_zone(spark, f"{ledger}/planned", LEDGER)
-    if has_landed(spark, f"{ledger}/done"):
-        pending = pending.join(read_zone(spark, f"{ledger}/done", LEDGER), ["run_ts", "path"], "left_anti")
-    # A number of its own, or the adaptive planner would join all moves in one task.
-    moved = move_files(pending.repartition(max(1, -(-pending.count() // FILES_PER_TASK)), "path"))
-    counted = {"n": F.count(F.lit(1))}
-    return write_zone(moved, f"{ledger}/done", "run_ts", layout="inherit", mode="append", metrics=counted).metrics["n"]
+    """Makes the moves that were planned and not yet made by open runs, this one or an earlier one, and closes them; returns
+    their number. A run that died before its plan was written planned nothing."""
+    made, made_before = 0, "since" in folder_names(spark, f"{ledger}/open")
+    for run_ts in open_runs(spark, ledger):
+        if has_landed(spark, run_folder(ledger, "planned", run_ts)):
+            pending = pending_moves(spark, ledger, run_ts)
+            # A number of its own, or the adaptive planner would join all moves in one task.
+            moved = move_files(pending.repartition(max(1, -(-pending.count() // FILES_PER_TASK)), "path"))
+            counted = {"n": F.count(F.lit(1))}
+            made += write_zone(moved, run_folder(ledger, "done", run_ts), None, layout="inherit", mode="append", metrics=counted).metrics["n"]
+        # from now on the folder holds something, whichever runs are open
+        if not made_before:
+            _mark(spark, f"{ledger}/open/since")
+            made_before = True
+        remove_folder(spark, run_folder(ledger, "open", run_ts))
+    return made

@@ -205,6 +205,11 @@ def check(parsed: DataFrame, rules: Sequence[Rule | FieldRule]) -> DataFrame:
     ).select(*CHECKED.fieldNames())
 
 
+def rule_counts(rules: Sequence[Rule | FieldRule], reasons: str = "reasons") -> dict[str, Column]:
+    """An aggregate for each rule, counting the rows of checked records that broke it; records that do not parse too."""
+    return {name: F.count_if(F.coalesce(F.array_contains(reasons, name), F.lit(False))) for name in (UNREADABLE, *(rule.name for rule in rules))}
+
+
 def quality_metrics(df: DataFrame, rules: Sequence[Rule | FieldRule]) -> DataFrame:
     """Rows in, valid and rejected, and rows breaking each rule: one ``metric``, ``n_rows`` line each, one scan."""
     rules = bind_rules(df, rules)

@@ -8,11 +8,14 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.contracts import RUN_AUDIT
+from cairn.contracts import RUN_AUDIT, RUN_QUALITY
 from cairn.functions.paths import split_filesystem
 from cairn.sources.records import record_line
 
 
+PARTITIONS = "partitions written"
+
+
 class EmptyZone(ValueError):
     """There was nothing to write, and the caller wanted the old content kept."""
 
@@ -22,6 +25,7 @@ class ZoneWrite:
     path: str
     written: bool = True
     metrics: dict[str, int] = field(default_factory=dict)
+    partitions: list[dict[str, str | None]] | None = None
 
 
 def input_roots(df: DataFrame) -> list[str]:
@@ -54,6 +58,7 @@ def write_zone(
     compression: str = "snappy",
     metrics: dict[str, Column] | None = None,
     check_inputs: bool = True,
+    report_partitions: bool = False,
 ) -> ZoneWrite:
     """Writes a Parquet zone and returns counts taken on the way.
 
@@ -67,6 +72,8 @@ def write_zone(
     metrics  Aggregates observed in the writing tasks. They sit after the shuffle, in the last
             stage, where a task that is run again is counted once.
     check_inputs  Refuses to overwrite files the frame reads: Spark deletes them first.
+    report_partitions  Returns the partitions that rows were written to, observed on the way: no folder is listed. The
+            catalog is told of each of them, so their number is what a driver bears.
     """
     if check_inputs and mode == "overwrite" and any(overlapping(root, path) for root in input_roots(df)):
         raise ValueError(f"{path} is read by the frame that is to overwrite it")
@@ -78,14 +85,22 @@ def write_zone(
     columns = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
     if layout == "rebalance":
         df = df.hint("rebalance", *columns)
-    observation = Observation() if metrics else None
+    observed = dict(metrics or {})
+    if report_partitions and columns:
+        observed[PARTITIONS] = F.collect_set(F.struct(*[F.col(name).cast("string").alias(name) for name in columns]))
+    observation = Observation() if observed else None
     if observation:
-        df = df.observe(observation, *[column.alias(name) for name, column in metrics.items()])
+        df = df.observe(observation, *[column.alias(name) for name, column in observed.items()])
     writer = df.write.mode(mode).option("compression", compression).option("partitionOverwriteMode", partition_overwrite)
     if columns:
         writer = writer.partitionBy(*columns)
     writer.parquet(path)
-    return ZoneWrite(path, metrics=observation.get if observation else {})
+    found = dict(observation.get) if observation else {}
+    partitions = found.pop(PARTITIONS, None)
+    # a blank value reads back as NULL, and has its folder with it
+    made = {tuple(row[name] or None for name in columns) for row in partitions} if partitions is not None else None
+    made = made if made is None else [dict(zip(columns, values, strict=True)) for values in sorted(made, key=repr)]
+    return ZoneWrite(path, metrics=found, partitions=made)
 
 
 def land(records: DataFrame, zone: str, run_ts: str, compression: str | None = None) -> ZoneWrite:
@@ -120,5 +135,15 @@ def append_audit(spark: SparkSession, audit: str, **facts) -> None:
     spark.createDataFrame([row], RUN_AUDIT).coalesce(1).write.mode("append").parquet(audit)
 
 
+def append_quality(spark: SparkSession, quality: str, run_ts: str, stage: str, broken: dict[str, int]) -> None:
+    """Appends one row for each rule of a stage: how many rows broke it."""
+    rows = [(run_ts, stage, rule, count) for rule, count in broken.items()]
+    spark.createDataFrame(rows, RUN_QUALITY).coalesce(1).write.mode("append").parquet(quality)
+
+
+def read_quality(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUN_QUALITY).parquet(path)
+
+
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_AUDIT).parquet(path)

@@ -12,10 +12,20 @@ from pyspark.sql import functions as F
 
 from cairn.contracts import CURATED, REQUIRED_FIELDS, VALID
 from cairn.operators.archive import archive_files, finish_archives
-from cairn.operators.catalog import create_database, register_table, repair_table
+from cairn.operators.catalog import (
+    add_partitions,
+    create_database,
+    drop_versions,
+    has_table,
+    register_table,
+    register_version,
+    repair_table,
+    switch_version,
+    version_path,
+)
 from cairn.operators.reports import region_report, top_k_report
-from cairn.operators.rules import FieldRule, Rule, check, contract_rules, folder_rule, validate, weak_rules
-from cairn.operators.sinks import EmptyZone, ZoneWrite, append_audit, land, materialize, overlapping, write_zone
+from cairn.operators.rules import FieldRule, Rule, check, contract_rules, folder_rule, rule_counts, validate, weak_rules
+from cairn.operators.sinks import EmptyZone, ZoneWrite, append_audit, append_quality, land, materialize, overlapping, write_zone
 from cairn.operators.transforms import curate, flatten, local_projection
 from cairn.sources.files import has_landed, list_files, source_or_fallback
 from cairn.sources.observed import missing_fields
@@ -29,7 +39,11 @@ def new_run_ts() -> str:
 
 @dataclass(frozen=True)
 class Run:
-    """Where a run reads and writes, and the choices the caller makes for it."""
+    """Where a run reads and writes, and the choices the caller makes for it.
+
+    replacement  ``in_place`` overwrites the curated zone. ``versioned`` writes a folder of its own, which the table's
+                 name shows from one moment to the next when all is written; ``keep_versions`` earlier ones stay.
+    """
 
     root: str
     run_ts: str = field(default_factory=new_run_ts)
@@ -42,6 +56,8 @@ class Run:
     allow_nulls: bool = False
     on_empty: str = "fail"
     partition_overwrite: str = "static"
+    replacement: str = "in_place"
+    keep_versions: int = 1
     validated_layout: str = "rebalance"
     keep_intermediate: bool = True
     archive_raw: bool = True
@@ -52,6 +68,8 @@ class Run:
     def __post_init__(self):
         if self.on_empty not in ("write", "fail", "skip"):
             raise ValueError(f"on_empty: {self.on_empty}")
+        if self.replacement not in ("in_place", "versioned") or (self.replacement == "versioned" and not self.database):
+            raise ValueError(f"replacement: {self.replacement}; versions need a database")
         for one, other in itertools.combinations(self.zones.values(), 2):
             if overlapping(one, other):
                 raise ValueError(f"zones overlap: {one} and {other}")
@@ -61,10 +79,20 @@ class Run:
         names = ("raw", "archive", "validated", "intermediate", "curated", "results")
         return {name: f"{self.root.rstrip('/')}/{name}/{self.dataset}" for name in names}
 
+    @property
+    def curated(self) -> str:
+        """Where this run's curated rows lie."""
+        zone = self.zones["curated"]
+        return version_path(zone, self.run_ts) if self.replacement == "versioned" else zone
+
     @property
     def audit(self) -> str:
         return f"{self.root.rstrip('/')}/logs/run_audit"
 
+    @property
+    def quality(self) -> str:
+        return f"{self.root.rstrip('/')}/logs/run_quality"
+
     @property
     def ledger(self) -> str:
         return f"{self.root.rstrip('/')}/logs/archived/{self.dataset}"
@@ -83,15 +111,20 @@ class Stage:
     files_archived: int | None = None
     n_bytes: int | None = None
     source_status: str | None = None
+    broken: dict[str, int] | None = None
+    partitions: list[dict[str, str | None]] | None = None
 
 
 def audited(spark: SparkSession, run: Run, name: str, work: Callable[[], Stage]) -> Stage:
-    """Runs a stage and appends its audit row; a failure is recorded and passed on, so later stages do not start."""
+    """Runs a stage and appends its audit row, and one for each rule it applied; a failure is recorded and passed on, so
+    later stages do not start."""
     try:
         done = work()
     except Exception as failure:
         append_audit(spark, run.audit, run_ts=run.run_ts, stage=name, status="failure", error=str(failure))
         raise
+    if done.broken:
+        append_quality(spark, run.quality, run.run_ts, done.stage, done.broken)
     append_audit(spark, run.audit, run_ts=run.run_ts, **vars(done))
     return done
 
@@ -117,9 +150,20 @@ def run_rules(run: Run):
     return [*contract_rules(run.required, run.population_min, run.allow_nulls), folder_rule()]
 
 
-def verdict_counts() -> dict[str, Column]:
+BROKEN = "broken:"
+
+
+def verdict_counts(rules: Sequence[Rule | FieldRule] = ()) -> dict[str, Column]:
+    """What is observed of checked records while they are written: all, either verdict, and the breaks of each rule."""
     is_valid = F.col("verdict") == VALID
-    return {"rows_in": F.count(F.lit(1)), "rows_valid": F.count_if(is_valid), "rows_rejected": F.count_if(~is_valid)}
+    counts = {"rows_in": F.count(F.lit(1)), "rows_valid": F.count_if(is_valid), "rows_rejected": F.count_if(~is_valid)}
+    return counts | ({BROKEN + name: count for name, count in rule_counts(rules).items()} if rules else {})
+
+
+def counted_stage(name: str, path: str, metrics: dict[str, int], **facts) -> Stage:
+    """A stage's facts from what its write observed."""
+    broken = {key.removeprefix(BROKEN): count for key, count in metrics.items() if key.startswith(BROKEN)}
+    return Stage(name, path, broken=broken or None, **facts, **{key: count for key, count in metrics.items() if not key.startswith(BROKEN)})
 
 
 def gate(checked: DataFrame, required: Sequence[str], rules: Sequence[Rule | FieldRule], on_empty: str, target: str) -> bool:
@@ -137,8 +181,8 @@ def gate(checked: DataFrame, required: Sequence[str], rules: Sequence[Rule | Fie
     return not (nothing_valid and on_empty == "skip")
 
 
-def write_checked(checked: DataFrame, path: str, partition_overwrite: str = "static", **options) -> ZoneWrite:
-    """Writes valid and rejected rows in one pass over the input, and counts both.
+def write_checked(checked: DataFrame, path: str, partition_overwrite: str = "static", rules: Sequence[Rule | FieldRule] = (), **options) -> ZoneWrite:
+    """Writes valid and rejected rows in one pass over the input, and counts both, and the rows that broke each rule.
 
     Rejected rows, whose region may be anything, share one folder; the record's text has their region.
     """
@@ -147,7 +191,7 @@ def write_checked(checked: DataFrame, path: str, partition_overwrite: str = "sta
         checked,
         path,
         ("verdict", "region"),
-        metrics=verdict_counts(),
+        metrics=verdict_counts(rules),
         partition_overwrite=partition_overwrite,
         check_inputs=False,
         **options,
@@ -170,14 +214,14 @@ def validate_zone(spark: SparkSession, run: Run) -> Stage:
     if not gate(checked, run.required, rules, run.on_empty, target):
         return Stage("validate", target, status="skipped")
 
-    written = write_checked(checked, target, run.partition_overwrite, layout=run.validated_layout)
+    written = write_checked(checked, target, run.partition_overwrite, rules, layout=run.validated_layout)
     archived = 0
     if run.archive_raw:
         archived = archive_files(files, raw, run.zones["archive"], run.ledger, run.run_ts, run.raw_suffix)
-    return Stage("validate", target, files_archived=archived, **written.metrics)
+    return counted_stage("validate", target, written.metrics, files_archived=archived)
 
 
-def _counted_write(df: DataFrame, path: str, run: Run) -> ZoneWrite:
+def _counted_write(df: DataFrame, path: str, run: Run, report_partitions: bool = False) -> ZoneWrite:
     # The input is a zone partitioned the same way, so its layout carries over without a shuffle.
     return write_zone(
         df,
@@ -187,6 +231,7 @@ def _counted_write(df: DataFrame, path: str, run: Run) -> ZoneWrite:
         partition_overwrite=run.partition_overwrite,
         metrics={"rows_in": F.count(F.lit(1))},
         check_inputs=False,
+        report_partitions=report_partitions,
     )
 
 
@@ -202,16 +247,26 @@ def curate_zone(spark: SparkSession, run: Run) -> Stage:
         source = read_intermediate(spark, run.zones["intermediate"])
     else:
         source = flatten(read_valid(spark, run.zones["validated"]))
-    target = run.zones["curated"]
-    written = _counted_write(curate(source, run.run_date), target, run)
-    return Stage("curate", target, "success" if written.written else "skipped", **written.metrics)
+    written = _counted_write(curate(source, run.run_date), run.curated, run, report_partitions=run.database is not None)
+    status = "success" if written.written else "skipped"
+    return Stage("curate", run.curated, status, partitions=written.partitions, **written.metrics)
 
 
-def register_zone(spark: SparkSession, run: Run) -> Stage:
+def register_zone(spark: SparkSession, run: Run, partitions: Sequence[dict[str, str | None]] | None = None) -> Stage:
+    """The curated zone as a table, its partitions told by the write that made them; without those they are looked for."""
     create_database(spark, run.database)
-    register_table(spark, run.database, run.table, CURATED, run.zones["curated"], replace=True)
-    repair_table(spark, run.database, run.table)
-    return Stage("catalog", run.zones["curated"])
+    if run.replacement == "versioned":
+        register_version(spark, run.database, run.table, run.run_ts, CURATED, run.zones["curated"], partitions or [])
+        switch_version(spark, run.database, run.table, run.run_ts)
+        drop_versions(spark, run.database, run.table, run.zones["curated"], run.keep_versions)
+    elif partitions is None or run.partition_overwrite == "dynamic" and not has_table(spark, run.database, run.table):
+        register_table(spark, run.database, run.table, CURATED, run.curated, replace=True)
+        repair_table(spark, run.database, run.table)
+    else:
+        # a static overwrite leaves no partition but its own; a dynamic one adds to those the table has
+        register_table(spark, run.database, run.table, CURATED, run.curated, replace=run.partition_overwrite == "static")
+        add_partitions(spark, run.database, run.table, partitions)
+    return Stage("catalog", run.curated)
 
 
 def report_zone(spark: SparkSession, run: Run) -> Stage:
@@ -219,7 +274,7 @@ def report_zone(spark: SparkSession, run: Run) -> Stage:
     if run.database:
         curated = read_table(spark, run.database, run.table)
     else:
-        curated = read_curated(spark, run.zones["curated"])
+        curated = read_curated(spark, run.curated)
     results = f"{run.zones['results']}/run_ts={run.run_ts}"
     materialize(region_report(curated), f"{results}/region_report")
     materialize(top_k_report(curated, run.top_k), f"{results}/top_k_report")
@@ -234,9 +289,16 @@ def later_stages(spark: SparkSession, run: Run) -> list[Work]:
     stages: list[Work] = []
     if run.keep_intermediate:
         stages.append(("intermediate", lambda: flatten_zone(spark, run)))
-    stages.append(("curate", lambda: curate_zone(spark, run)))
+    made: list[dict[str, str | None]] = []
+
+    def curate_and_note() -> Stage:
+        done = curate_zone(spark, run)
+        made[:] = done.partitions or []
+        return done
+
+    stages.append(("curate", curate_and_note))
     if run.database:
-        stages.append(("catalog", lambda: register_zone(spark, run)))
+        stages.append(("catalog", lambda: register_zone(spark, run, made)))
     return [*stages, ("report", lambda: report_zone(spark, run))]
 
 

@@ -53,3 +53,16 @@ def source_or_fallback(primary: DataFrame | None, fallback: DataFrame | None = N
     if fallback is None:
         raise ValueError("nothing landed and no fallback given")
     return fallback.withColumn("source_status", F.lit("fallback"))
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none where there is no folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    filesystem = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in filesystem.listStatus(folder)] if filesystem.exists(folder) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder that the library made, with what is in it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

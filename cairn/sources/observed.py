@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cairn.workspace import scratch_path
+
 
 def observed_fields(records: DataFrame) -> DataFrame:
     """Each top-level field name with the number of records that carry it, NULL values included."""
@@ -20,30 +23,85 @@ def observed_schema(records: DataFrame) -> DataFrame:
     return records.agg(F.schema_of_variant_agg(F.try_parse_json("record")).alias("schema"))
 
 
-def observed_types(records: DataFrame, depth: int = 2, map_like: Iterable[str] = ("currencies",)) -> DataFrame:
-    """``path``, ``type`` and ``n_records``: each type that the records have at each path, counted in one pass.
+#: Marks the elements of an array in a path.
+ELEMENT = "[]"
+
+
+def observed_types(records: DataFrame, map_like: Iterable[str] = ("currencies",)) -> DataFrame:
+    """``path``, ``ancestors``, ``type`` and ``n_values``: each type that values have at each path, to any depth.
 
-    Members of objects are followed to ``depth`` levels. The keys of ``map_like`` paths are data, not fields:
-    they are not followed, so the result stays as small as the contract. Types are VARIANT's, without
-    their digits and members; a null is ``VOID``. Text that is no object has the empty path.
+    Level by level, the members of objects (``a.b``) and the elements of arrays (``a[]``) are taken apart and counted by
+    path and type, until no object or array is left; what goes down a level is written, so no level is parsed twice. The
+    keys of ``map_like`` paths are data, not fields: they alone are not followed, so the result stays as small as the
+    contract. Types are VARIANT's, without their digits and members; a null is ``VOID``, as is a record that is no JSON.
+    Objects that repeat a member are no VARIANT. A record that is an object itself has no row of its own.
     """
-    parsed = records.select(F.explode(F.array(F.try_parse_json("record"))).alias("parsed"))
-    found = parsed.select(F.explode(F.array_distinct(_types_below(F.col("parsed"), F.lit(""), depth + 1, tuple(map_like)))).alias("at"))
-    return found.where("at.path <> '' OR at.type <> 'OBJECT'").groupBy("at.path", "at.type").agg(F.count(F.lit(1)).alias("n_records"))
-
-
-def _types_below(value: Column, path: Column, depth: int, map_like: tuple[str, ...]) -> Column:
-    kind = F.regexp_extract(F.coalesce(F.schema_of_variant(value), F.lit("VOID")), "^[A-Z]+", 0)
-    here = F.array(F.struct(path.alias("path"), kind.alias("type")))
-    if depth == 1:
-        return here
-    prefix = F.when(path == "", F.lit("")).otherwise(F.concat(path, F.lit(".")))
-    members = F.map_entries(value.try_cast("MAP<STRING, VARIANT>"))
-    below = F.flatten(
-        F.transform(members, lambda member: _types_below(member["value"], F.concat(prefix, member["key"]), depth - 1, map_like))
-    )
-    followed = (kind == "OBJECT") & ~path.isin(*map_like) if map_like else kind == "OBJECT"
-    return F.concat(here, F.coalesce(F.when(followed, below), F.slice(here, 1, 0)))
+    map_like = tuple(map_like)
+    level = records.select(F.lit("").alias("path"), F.array().cast("array<string>").alias("ancestors"), F.explode(F.array(F.try_parse_json("record"))).alias("value"))
+    counts: list[DataFrame] = []
+    while True:
+        followed = F.col("type").isin("OBJECT", "ARRAY") & ~((F.col("type") == "OBJECT") & F.col("path").isin(*map_like))
+        typed = level.withColumn("type", _kind("value"))
+        staged = _staged(typed.select("path", "ancestors", "type", F.when(followed, F.col("value")).alias("value")), "types")
+        counts.append(staged.groupBy("path", "ancestors", "type").agg(F.count(F.lit(1)).alias("n_values")))
+        containers = staged.where("value IS NOT NULL")
+        if containers.isEmpty():
+            break
+        value = F.col("value")
+        # objects as maps and arrays as entries without a name: one generator for both
+        entries = F.when(F.col("type") == "OBJECT", F.map_entries(value.try_cast("MAP<STRING, VARIANT>"))).otherwise(
+            F.transform(value.try_cast("ARRAY<VARIANT>"), lambda item: F.struct(F.lit(None).cast("string").alias("key"), item.alias("value")))
+        )
+        below = containers.select("path", "ancestors", F.explode(entries).alias("entry"))
+        dotted = F.concat(F.when(F.col("path") == "", F.lit("")).otherwise(F.concat("path", F.lit("."))), F.col("entry.key"))
+        level = below.select(
+            F.coalesce(dotted, F.concat("path", F.lit(ELEMENT))).alias("path"),
+            F.when(F.col("path") == "", F.col("ancestors")).otherwise(F.array_append("ancestors", F.col("path"))).alias("ancestors"),
+            F.col("entry.value").alias("value"),
+        )
+    found = functools.reduce(DataFrame.unionByName, counts)
+    return found.where("path <> '' OR type <> 'OBJECT'")
+
+
+def _kind(value: str) -> Column:
+    return F.regexp_extract(F.coalesce(F.schema_of_variant(value), F.lit("VOID")), "^[A-Z_]+", 0)
+
+
+SHREDDING = "spark.sql.variant.inferShreddingSchema"
+
+
+def _staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Written and read back. Values stay as they are: laid out by member, a file would give numbers of one path one type."""
+    spark = df.sparkSession
+    path, before = scratch_path(spark, purpose), spark.conf.get(SHREDDING, None)
+    spark.conf.set(SHREDDING, "false")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHREDDING) if before is None else spark.conf.set(SHREDDING, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Kinds of whole numbers, and of numbers that may have a fraction.
+WHOLE, FRACTIONAL = ("TINYINT", "SMALLINT", "INT", "BIGINT"), ("DECIMAL", "FLOAT", "DOUBLE")
+
+
+def widened_types(types: DataFrame) -> DataFrame:
+    """``path`` and ``type``: the one type that holds all values at each path of ``observed_types``.
+
+    Nulls fit any type; alone they are ``STRING``. Whole numbers and fractions meet in ``DOUBLE``. Any other two kinds meet
+    only as text: the path is ``STRING``, and what lay below it is gone.
+    """
+    kind = F.when(F.col("type").isin(*WHOLE), "BIGINT").when(F.col("type").isin(*FRACTIONAL), "DOUBLE").otherwise(F.col("type"))
+    kinds = F.array_sort(F.collect_set(F.when(F.col("type") != "VOID", kind)))
+    merged = types.groupBy("path", "ancestors").agg(kinds.alias("kinds"))
+    numbers = F.size(F.array_except("kinds", F.array(F.lit("BIGINT"), F.lit("DOUBLE")))) == 0
+    one = F.when(F.size("kinds") == 1, F.col("kinds")[0]).when((F.size("kinds") > 1) & numbers, F.lit("DOUBLE")).otherwise(F.lit("STRING"))
+    named = merged.select("path", "ancestors", one.alias("type"), (F.size("kinds") > 0).alias("known"))
+    # a text has nothing below it
+    texts = named.where("type = 'STRING' AND known").select(F.col("path").alias("text"))
+    below = named.select("path", F.explode("ancestors").alias("text")).join(texts, "text").select("path").distinct()
+    return named.join(below, "path", "left_anti").select("path", "type")
 
 
 def field_presence(records: DataFrame, fields: Iterable[str]) -> DataFrame:

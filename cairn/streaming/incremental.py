@@ -12,8 +12,8 @@ from pyspark.sql.streaming import StreamingQuery
 from cairn.contracts import CHECKED, REQUIRED_FIELDS
 from cairn.operators.rules import FieldRule, Rule, check, contract_rules
 from cairn.operators.sinks import write_zone
-from cairn.plans.medallion import Run, Stage, audited, gate, later_stages, run_rules, run_stages, verdict_counts, write_checked
-from cairn.sources.files import has_landed
+from cairn.plans.medallion import Run, Stage, audited, counted_stage, gate, later_stages, run_rules, run_stages, verdict_counts, write_checked
+from cairn.sources.files import has_landed, remove_folder
 from cairn.sources.records import parse_records, read_records
 from cairn.sources.zones import read_zone
 
@@ -62,7 +62,7 @@ def run_incremental(
             home,
             ("batch_id", "verdict", "region"),
             partition_overwrite="dynamic",
-            metrics=verdict_counts(),
+            metrics=verdict_counts(rules),
             check_inputs=False,
         ).metrics
         written.append(batch_id)
@@ -78,8 +78,10 @@ def run_incremental(
     elif keep == "replace" and has_landed(spark, home):
         new = _batches(spark, home)
         if gate(new, required, rules, on_empty, validated):
-            write_checked(new.drop("batch_id"), validated)
-            _remove(spark, home)
+            # the batches lie in folders of their own verdict and region already
+            write_checked(new.drop("batch_id"), validated, layout="inherit")
+            # if the run dies before this, the next one puts these batches into the zone again
+            remove_folder(spark, home)
     return query
 
 
@@ -87,12 +89,6 @@ def _batches(spark: SparkSession, path: str) -> DataFrame:
     return read_zone(spark, path, T.StructType([*CHECKED.fields, T.StructField("batch_id", T.LongType())]))
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    """A folder this run made. If the run dies before this, the next one puts these batches into the zone again."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def validate_new_files(
     spark: SparkSession, run: Run, checkpoint: str, keep: str = "replace", max_files: int | None = None
 ) -> Stage:
@@ -100,9 +96,9 @@ def validate_new_files(
     target, totals = run.zones["validated"], {"rows_in": 0, "rows_valid": 0, "rows_rejected": 0}
 
     def counted(batch_id: int, counts: dict[str, int]) -> None:
-        audited(spark, run, "batch", lambda: Stage("batch", f"batch_id={batch_id}", **counts))
-        for name in totals:
-            totals[name] += counts[name]
+        audited(spark, run, "batch", lambda: counted_stage("batch", f"batch_id={batch_id}", counts))
+        for name, count in counts.items():
+            totals[name] = totals.get(name, 0) + count
 
     archive = run.zones["archive"] if run.archive_raw else None
     run_incremental(
@@ -110,7 +106,7 @@ def validate_new_files(
     )
     # A run in which nothing became visible leaves the zones behind it alone.
     stale = totals["rows_in"] == 0 or (run.on_empty == "skip" and totals["rows_valid"] == 0)
-    return Stage("validate", target, "skipped" if stale else "success", **totals)
+    return counted_stage("validate", target, totals, status="skipped" if stale else "success")
 
 
 def run_medallion_incremental(

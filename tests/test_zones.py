@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cairn.contracts import CURATED
 from cairn.functions.paths import is_record_file, rewrite_zone
 from cairn.functions.values import run_stamp
-from cairn.operators.archive import archive_files, archive_plan, finish_archives, move_files
+from cairn.operators.archive import archive_files, archive_plan, finish_archives, move_files, open_run, open_runs, pending_moves
 from cairn.operators.catalog import create_database, register_table, repair_table
 from cairn.operators.reports import region_report, region_sum, region_sum_count, top_k_report
 from cairn.operators.sinks import EmptyZone, land, materialize, overlapping, write_zone
@@ -211,6 +211,34 @@ def test_a_run_that_died_while_archiving_is_finished_by_the_next(spark, tmp_path
     assert os.listdir(raw) == []
 
 
+def test_the_ledger_reads_open_runs_only(spark, tmp_path):
+    raw, archive, ledger = tmp_path / "raw", str(tmp_path / "archive"), str(tmp_path / "ledger")
+    for folder in ("x", "y/deep"):
+        (raw / folder).mkdir(parents=True)
+        for name in ("same.json", "other.JSON", "same.txt", ".keep"):
+            (raw / folder / name).write_text(folder)
+    assert archive_files(list_files(spark, str(raw)), str(raw), archive, ledger, "1") == 2
+    assert [open(f"{archive}/{folder}/same.json").read() for folder in ("x", "y/deep")] == ["x", "y/deep"]
+    assert archive_files(list_files(spark, str(raw)), str(raw), archive, ledger, "2", suffix="") == 4
+    assert sorted(name for _, _, names in os.walk(raw) for name in names) == [".keep", ".keep"]
+    # what closed runs left is never looked at again
+    for run_ts in "12":
+        for kind in ("planned", "done"):
+            (tmp_path / "ledger" / kind / f"run_ts={run_ts}" / "part-0.parquet").write_text("no table")
+    assert open_runs(spark, ledger) == [] and finish_archives(spark, ledger) == 0
+    # a run that died before it planned, and one that died with a move made, are closed by the next
+    open_run(spark, ledger, "3")
+    open_run(spark, ledger, "4")
+    (raw / "a.json").write_text("a")
+    (raw / "b.json").write_text("b")
+    plan = archive_plan(list_files(spark, str(raw)), str(raw), archive)
+    write_zone(plan, f"{ledger}/planned/run_ts=4", None)
+    os.rename(raw / "a.json", f"{archive}/a.json")
+    assert open_runs(spark, ledger) == ["3", "4"] and pending_moves(spark, ledger, "4").count() == 2
+    assert finish_archives(spark, ledger) == 2 and open_runs(spark, ledger) == []
+    assert pending_moves(spark, ledger, "4").count() == 0 and open(f"{archive}/b.json").read() == "b"
+
+
 def test_region_report_with_null_group(spark):
     rows = [("a", "x", 10, 1.0), ("b", "x", 5, 1.0), ("c", None, 7, 1.0), ("d", "y", 22, 1.0), ("e", "x", 5, 1.0)]
     report = region_report(curated(spark, rows)).collect()
