@@ -1,30 +1,28 @@
-"""LM scoring: a causal self-attention model over subword classes, trained in numpy by Spark tasks.
-
-A text (A-Z in lower case) is its words and one end. Its *units* are the ids the model sees: a word of
-at most eight bytes is one unit, a longer one is cut into subwords of eight bytes. A unit's *class* is
-the unit itself for the end and the ``TOP`` most frequent short words, else one of ``SUFFIXES`` classes
-of words or ``PIECES`` classes of subwords by its last two bytes. The model is
-
-    P(text) = product over units of P(class | classes before) * product over words of P(word | its classes)
-
-The first factor is one layer of masked self-attention over windows of ``WINDOW`` units. A window
-begins ``STRIDE`` units after the one before; what it shares with that one is context only, so each
-unit is scored once. Within a class, short words have their share of its training count, and words never
-seen share as much as those seen once have, spelled by the frequencies of neighbouring bytes. Of the long
-words whose subwords have the same classes each has its share of these words' count; long words never
-seen share as much as those seen once have, spelled by the counts of their subwords, and subwords never
-seen by neighbouring bytes.
-
-From the corpus come, over all training documents: counts of all words, subwords and sequences of subword
-classes (summed by key in Spark), every one of which the scores use; and the weights. The most frequent
-ones (``DICTIONARY`` at most) go to the tasks as a cache, the others are looked up by a shuffle; the
-scores do not depend on which is which. In each of ``rounds`` every task takes its training documents
-through Adam, with windows that tile every document whole, so that each unit is a target once, in a seeded
-order; the tasks' weights are averaged, weighted by their number of windows.
-
-The base score is that of the words' counts alone. A null text is empty: its only token is the end. A
-null id counts as empty text for the hold-out. Repeated rows are scored each on its own. With no training
-documents all counts are 0. Columns other than id and text are ignored.
+"""LM scoring: a causal self-attention model over subword ids, trained in numpy by Spark tasks.
+
+A text (A-Z in lower case) is its words and one end. Its *units* are what the model sees: a word of at most ``PIECE``
+bytes, a longer word's subwords of ``PIECE`` bytes, and the end. The ``CLUSTERS * MEMBERS`` most frequent units of the
+training documents have ids of their own, in clusters; any other belongs to one of ``SUFFIXES`` classes of words or ``PIECES``
+classes of subwords, by its last two bytes, and has the id of that class. The model is
+
+    P(text) = product over units of P(cluster or class | ids before) * P(unit | its cluster, ids before)  or  P(unit | its class)
+
+The first factor and, for units with ids, the second come from one layer of masked self-attention over windows of
+``WINDOW`` units. A window begins ``STRIDE`` units after the one before; what it shares with that one is context only, so
+each unit is scored once. Within a class every unit has its share of the training count. Units never seen share as
+much as those seen once have, and are spelled byte by byte, each by the three before it (backing off to fewer).
+
+From the corpus come, over all training documents: the counts of all words and subwords, every one of which the scores
+use; how words are spelled; and the weights. Every task takes its training documents through Adam, with windows that tile
+each of them whole, so that every unit is a target once, in a seeded order; the tasks' weights are averaged, weighted by
+their number of windows. The first weights give every unit its frequency.
+
+Texts are staged in chunks of ``CHUNK`` bytes or one text. A chunk asks for the counts of its distinct units without ids,
+one row each, by a join; what comes back meets the chunk's texts, so the rows grow with the input and nothing else.
+
+The base score is that of the words' counts alone. A null text is empty: its only token is the end. A null id counts as
+empty text for the hold-out. Repeated rows are scored each on its own. With no training documents all counts are 0.
+Columns other than id and text are ignored.
 """
 
 from __future__ import annotations
@@ -33,24 +31,31 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cairn.llm.staging import stage
-from cairn.llm.texts import _ODD, BLANK, LOWER, Spans, Texts, chunks, mix, remainder, sums, utf8
-
-TOP, SUFFIXES, PIECES = 31, 32, 8
-CLASSES = 1 + TOP + SUFFIXES + PIECES
-BEGIN = CLASSES
+from cairn.llm.texts import _ODD, LOWER, Spans, Texts, chunks, mix, remainder, sums, utf8
+
+PIECE = 16
+CLUSTERS, MEMBERS = 32, 64
+SUFFIXES, PIECES = 32, 8
+LISTED = CLUSTERS * MEMBERS
+OUTCOMES = CLUSTERS + SUFFIXES + PIECES
+BEGIN = LISTED + SUFFIXES + PIECES
 WINDOW, STRIDE, WIDTH = 32, 24, 16
-BATCH = 16
-DICTIONARY = 1 << 18
-DOCUMENTS_PER_PACK = 8_000
-#: Values of a looked-up line: key, row, next key, and what is added where the key was counted or was not.
-LINE = 5
+BATCH = 128
+CHUNK = 16 << 20
+#: Sequences of four bytes that the spelling keeps.
+SPELLED = 1 << 18
 _U = np.uint64
-#: Key of the end: the bits of a short word are set.
-END = np.int64(3)
+#: Kinds of keys, in their last two bits.
+QUAD, LONG_WORD, SUBWORD, WORD = 0, 1, 2, 3
+END = np.int64(WORD)
+
+
+# ---- texts to units ------------------------------------------------------------------------------------------------
 
 
 def _suffix(spans: Spans) -> np.ndarray:
@@ -60,75 +65,64 @@ def _suffix(spans: Spans) -> np.ndarray:
     return mix(last + _U(1)) >> _U(59)
 
 
-def _keys(hashes: np.ndarray, suffix: np.ndarray, flags: np.ndarray | int) -> np.ndarray:
-    """57 bits of the hash, the suffix class, and the kind: 1 long word, 3 short word, 2 subword, 0 classes."""
-    return (hashes << _U(7) | suffix << _U(2) | np.asarray(flags, _U)).view(np.int64)
-
-
-def tokenize(texts: Texts) -> tuple[Spans, np.ndarray, np.ndarray]:
-    """Words of the lower-cased texts; keys of their tokens, with the end after each text, and bounds by text."""
-    words = texts.lower().words()
-    keys = _keys(words.hashes(), _suffix(words), np.where(words.length <= 8, 3, 1))
-    return words, np.insert(keys, words.first[1:], END), words.first + np.arange(len(words.first))
-
-
-def subwords(words: Spans, chosen: np.ndarray) -> tuple[Spans, np.ndarray, np.ndarray]:
-    """The chosen words cut every eight bytes: spans, keys, and which are the last of their word."""
-    many = (words.length[chosen] + 7) // 8
-    of = np.repeat(chosen, many)
-    step = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
-    last = np.append(of[1:] != of[:-1], True) if len(of) else np.zeros(0, bool)
-    spans = Spans(words.texts, words.start[of] + 8 * step, np.minimum(words.length[of] - 8 * step, 8), np.array([0, len(of)]))
-    return spans, _keys(mix(spans.hashes() + _ODD[50] * (last.astype(_U) + _U(1))), _suffix(spans), 2), last
-
-
-def class_of(keys: np.ndarray) -> np.ndarray:
-    suffix = (keys >> 2) & 31
-    return np.where((keys & 3) == 2, 1 + TOP + SUFFIXES + suffix % PIECES, 1 + TOP + suffix)
-
-
-def class_sequences(keys: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Keys of the sequences of classes of words' subwords, ``many`` for each word."""
-    start = np.cumsum(many) - many
-    step = np.arange(len(keys)) - np.repeat(start, many)
-    parts = mix((class_of(keys) + 1 + CLASSES * step).astype(_U))
-    return (mix(np.add.reduceat(parts, start)) << _U(7)).view(np.int64) if len(many) else np.zeros(0, np.int64)
+def _keys(hashes: np.ndarray, spans: Spans, kinds: np.ndarray | int) -> np.ndarray:
+    """57 bits of the hash, the class by suffix, and the kind."""
+    return (hashes << _U(7) | _suffix(spans) << _U(2) | np.asarray(kinds, _U)).view(np.int64)
 
 
 @dataclass
 class Units:
-    """Keys of the units and their bounds by text; the long words, their places among the tokens, and their subwords."""
+    """``tokens`` are keys of words and ends, ``keys`` those of the units; both have bounds by text. ``spans`` are the units
+    without the ends, and ``last`` says which of them end their word."""
 
+    tokens: np.ndarray
+    token_bounds: np.ndarray
     keys: np.ndarray
     bounds: np.ndarray
-    long: np.ndarray
-    at: np.ndarray
-    many: np.ndarray
-    pieces: Spans
-    piece_keys: np.ndarray
+    spans: Spans
     last: np.ndarray
 
 
-def units(words: Spans, tokens: np.ndarray, bounds: np.ndarray) -> Units:
-    long = np.flatnonzero(words.length > 8)
-    pieces, keys, last = subwords(words, long)
-    at = np.flatnonzero(tokens != END)[long]
-    many = np.ones(len(tokens), np.int64)
-    many[at] = (words.length[long] + 7) // 8
-    first = np.concatenate([[0], np.cumsum(many)])
-    out = np.repeat(tokens, many)
-    out[np.arange(len(keys)) + np.repeat(first[at] - (np.cumsum(many[at]) - many[at]), many[at])] = keys
-    return Units(out, first[bounds], long, at, many[at], pieces, keys, last)
+def units(texts: Texts) -> Units:
+    words = texts.lower().words()
+    long = words.length > PIECE
+    tokens = _keys(words.hashes(), words, np.where(long, LONG_WORD, WORD))
+    many = -(-words.length // PIECE)
+    of = np.repeat(np.arange(len(words)), many)
+    step = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+    last = step == many[of] - 1
+    first = np.concatenate([[0], np.cumsum(many)])[words.first]
+    spans = Spans(words.texts, words.start[of] + PIECE * step, np.minimum(words.length[of] - PIECE * step, PIECE), first)
+    keys = tokens[of]
+    cut = np.flatnonzero(long[of])
+    if len(cut):
+        pieces = Spans(words.texts, spans.start[cut], spans.length[cut], np.array([0, len(cut)]))
+        keys[cut] = _keys(mix(pieces.hashes() + _ODD[50] * (last[cut].astype(_U) + _U(1))), pieces, SUBWORD)
+    ends = np.arange(len(words.first))
+    return Units(np.insert(tokens, words.first[1:], END), words.first + ends, np.insert(keys, first[1:], END), first + ends, spans, last)
 
 
-def letter_pairs(texts: Texts) -> np.ndarray:
-    """For each byte 256 * the one before + itself, with a blank for every blank and before each text."""
-    data = np.where(BLANK[texts.data], 0x20, LOWER[texts.data]).astype(np.int64)
-    before = np.full(len(data), 0x20)
-    before[1:] = data[:-1]
-    starts = texts.offsets[:-1]
-    before[starts[starts < len(data)]] = 0x20
-    return before * 256 + data
+def class_of(keys: np.ndarray) -> np.ndarray:
+    """Class of a unit without an id, from 0."""
+    suffix = (keys >> 2) & 31
+    return np.where((keys & 3) == SUBWORD, SUFFIXES + suffix % PIECES, suffix)
+
+
+def quads(spans: Spans, chosen: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of each byte of the chosen spans with the three before it, a blank before the first and, where it is the
+    last of its word, one after it; and their bounds by span."""
+    start, length = spans.start[chosen], spans.length[chosen] + last[chosen]
+    bounds = np.concatenate([[0], np.cumsum(length)])
+    of = np.repeat(np.arange(len(chosen)), length)
+    at = np.arange(len(of)) - bounds[of]
+    data = spans.texts.data
+    code = np.zeros(len(of), np.int64)
+    for back in range(3, -1, -1):
+        place = at - back
+        inside = (place >= 0) & (place < spans.length[chosen][of])
+        byte = np.where(inside, data[np.minimum(start[of] + np.maximum(place, 0), len(data) - 1)], np.where((place == -1) | (place >= 0), 0x20, 0))
+        code = code << 8 | byte
+    return code, bounds
 
 
 def totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,197 +132,149 @@ def totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def pack_of(keys: np.ndarray, packs: int) -> np.ndarray:
-    return (mix(keys.view(_U)) % _U(packs)).astype(np.int64)
-
+def found_in(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which keys there are, and their places."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+    place = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return sorted_keys[place] == keys, place
 
-def packed(columns: list[np.ndarray], packs: int) -> tuple[np.ndarray, list[bytes]]:
-    """The columns, dealt by the first, as bytes of 64-bit rows."""
-    pack = pack_of(columns[0], packs)
-    order = np.argsort(pack, kind="stable")
-    table = np.stack([x.view(np.int64) for x in columns], 1)[order]
-    which, at = np.unique(pack[order], return_index=True)
-    return which, [x.tobytes() for x in np.split(table, at[1:])] if len(which) else []
 
+# ---- what the corpus tells -----------------------------------------------------------------------------------------
 
-def unpacked(blobs: list[bytes], width: int = 2) -> list[np.ndarray]:
-    table = np.concatenate([np.zeros((0, width), np.int64), *(np.frombuffer(x, np.int64).reshape(-1, width) for x in blobs)])
-    return [np.ascontiguousarray(x) for x in table.T]
 
-
-def count_tokens(training: DataFrame, packs: int) -> DataFrame:
-    """``pack``, ``key``, ``n``: training counts of all words, subwords and sequences of subword classes; pack -1 has those of byte pairs."""
+def count_units(training: DataFrame) -> DataFrame:
+    """``key``, ``n``: training counts of all words, ends and subwords, and how often byte quads spell the words of a piece of text."""
 
     def run(batches):
-        keys, counts, letters = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(65536, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
 
-        def rows(which, blobs):
-            return pa.RecordBatch.from_arrays([pa.array(which, pa.int64()), pa.array(blobs, pa.binary())], names=["pack", "entries"])
+        def merged():
+            return totals(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-        held = [(keys, counts)]
-        size = 0
         for _, texts in chunks(batches):
-            cut = units(*(both := tokenize(texts)))
-            both = np.concatenate([both[1], cut.piece_keys, class_sequences(cut.piece_keys, cut.many)])
-            letters += np.bincount(letter_pairs(texts), minlength=65536)
-            held.append(totals(both, np.ones(len(both), np.int64)))
-            size += len(held[-1][0])
+            cut = units(texts)
+            tokens = np.concatenate([cut.tokens, cut.keys[(cut.keys & 3) == SUBWORD]])
+            kinds, at = np.unique(cut.keys[cut.keys != END], return_index=True)
+            codes, _ = quads(cut.spans, at, cut.last)
+            held += [totals(tokens, np.ones(len(tokens), np.int64)), totals(codes << 2, np.ones(len(codes), np.int64))]
+            size += len(held[-2][0]) + len(held[-1][0])
             if size > 2_000_000:
-                held = [totals(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+                held = [merged()]
                 size = len(held[0][0])
                 if size > 1_000_000:
-                    yield rows(*packed(held[0], packs))
-                    held, size = [(keys, counts)], 0
-        yield rows(*packed(totals(*(np.concatenate(x) for x in zip(*held, strict=True))), packs))
-        some = np.flatnonzero(letters)
-        yield rows([-1], [np.stack([some, letters[some]], 1).tobytes()])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["key", "n"])
+                    held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["key", "n"])
+
+    return stage(training.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "unit-counts")
+
 
-    def gather(key, table):
-        keys, counts = totals(*unpacked(table.column("entries").to_pylist()))
-        return pa.table({"pack": np.full(len(keys), key[0].as_py()), "key": keys, "n": counts})
+class Spelling:
+    """Chance of a byte after three others, by the kept quads, backing off to fewer of those; sums to one over the bytes."""
 
-    parts = training.select(utf8()).mapInArrow(run, "pack long, entries binary")
-    return stage(parts.groupBy("pack").applyInArrow(gather, "pack long, key long, n long"), "token-counts")
+    def __init__(self, codes: np.ndarray, n: np.ndarray):
+        self.tables = []
+        for known in (1, 2, 3):
+            mask = (1 << 8 * (known + 1)) - 1
+            grams, grams_n = totals(codes & mask, n)
+            contexts, contexts_n = totals(grams >> 8, grams_n)
+            self.tables.append((grams, grams_n, contexts, contexts_n))
+
+    def logs(self, codes: np.ndarray) -> np.ndarray:
+        chance = np.full(len(codes), 1 / 256)
+        for known, (grams, grams_n, contexts, contexts_n) in zip((1, 2, 3), self.tables, strict=True):
+            seen, place = found_in(grams, codes & ((1 << 8 * (known + 1)) - 1))
+            listed, where = found_in(contexts, (codes >> 8) & ((1 << 8 * known) - 1))
+            count = np.where(seen, grams_n[place], 0) if len(grams) else np.zeros(len(codes))
+            total = np.where(listed, contexts_n[where], 0) if len(contexts) else np.zeros(len(codes))
+            chance = (count + 2 * chance) / (total + 2)
+        return np.log(chance)
 
 
 @dataclass
-class Dictionary:
-    """The model's numbers of each class, exact over all counted keys, and a cache of the most frequent keys' counts."""
+class Vocabulary:
+    """Units with ids, sorted by key, their ids and counts; and the numbers of every class over all its counted units."""
 
     keys: np.ndarray
+    ids: np.ndarray
     counts: np.ndarray
     total: int
     kinds: int
-    top: np.ndarray
-    top_classes: np.ndarray
     whole: np.ndarray
     unseen: np.ndarray
-    unseen_long: float
-    spelling: np.ndarray
-    prior: np.ndarray
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which keys the cache has, and their counts, else 1."""
-        if not len(self.keys):
-            return np.zeros(len(keys), bool), np.ones(len(keys), np.int64)
-        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        found = self.keys[place] == keys
-        return found, np.where(found, self.counts[place], 1)
-
-    def classes(self, keys: np.ndarray) -> np.ndarray:
-        classes = class_of(keys)
-        if len(self.top):
-            place = np.minimum(np.searchsorted(self.top, keys), len(self.top) - 1)
-            classes = np.where(self.top[place] == keys, self.top_classes[place], classes)
-        classes[keys == END] = 0
-        return classes
-
-    def inside(self, words: Spans, tokens: np.ndarray, cut: Units, found: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Log probability of every token within its classes, as far as the cache tells, and the lines to look up for
-        the rest, with the token's place for the row."""
-        pairs = letter_pairs(words.texts)
-        spelled = np.concatenate([[0], np.cumsum(self.spelling[pairs])])
-        stop = words.start + words.length
-        closing = self.spelling[LOWER[words.texts.data[stop - 1]].astype(np.int64) * 256 + 0x20]
-        classes = self.classes(tokens)
-        out = np.log(counts) - self.whole[classes]
-        out[classes <= TOP] = 0
-        of = np.flatnonzero(tokens != END)
-        short = np.flatnonzero(~found[of] & (words.length <= 8))
-        at = of[short]
-        lines = [(tokens[at], at, np.zeros(len(at), np.int64), -self.whole[classes[at]], self.unseen[classes[at]] + spelled[stop[short]] - spelled[words.start[short]] + closing[short])]
-        out[at] = 0
-        # the end and the words with a class of their own are in the cache, unless nothing was counted
-        at = np.flatnonzero(~found & (tokens == END))
-        zeros = np.zeros(len(at))
-        lines.append((tokens[at], at, zeros.astype(np.int64), zeros, zeros))
-        # long words: seen, their share of the words with these classes; else their subwords
-        known, n = found[cut.at], counts[cut.at]
-        sequence = class_sequences(cut.piece_keys, cut.many)
-        listed, of_these = self.find(sequence)
-        seen = -np.log1p(self.unseen_long) - np.log(of_these)
-        out[cut.at] = np.where(known, np.log(n) + seen, 0)
-        alone = np.flatnonzero(known & ~listed)
-        zeros = np.zeros(len(alone))
-        lines.append((sequence[alone], cut.at[alone], zeros.astype(np.int64), zeros, zeros))
-        piece_classes = class_of(cut.piece_keys)
-        cached, n = self.find(cut.piece_keys)
-        stop = cut.pieces.start + cut.pieces.length
-        spell = self.unseen[piece_classes] + spelled[stop] - spelled[cut.pieces.start]
-        spell[cut.last] += closing[cut.long]
-        share = np.where(cached, np.log(n) - self.whole[piece_classes], 0)
-        unseen = np.log(self.unseen_long) - np.log1p(self.unseen_long) + sums(share, np.append(0, np.cumsum(cut.many)))
-        asked = np.flatnonzero(~known)
-        lines.append((tokens[cut.at[asked]], cut.at[asked], np.zeros(len(asked), np.int64), seen[asked], unseen[asked]))
-        asked = np.flatnonzero(~known & ~listed)
-        zeros = np.zeros(len(asked))
-        lines.append((tokens[cut.at[asked]], cut.at[asked], sequence[asked], zeros, zeros))
-        asked = np.flatnonzero(~np.repeat(known, cut.many) & ~cached)
-        at = np.repeat(cut.at, cut.many)[asked]
-        lines.append((tokens[at], at, cut.piece_keys[asked], -self.whole[piece_classes[asked]], spell[asked]))
-        return out, [np.concatenate(x) for x in zip(*lines, strict=True)]
-
-
-def dictionary(counts: DataFrame, size: int = DICTIONARY) -> Dictionary:
-    letters = np.zeros((256, 256))
-    for row in counts.where("pack = -1").collect():
-        letters[row["key"] // 256, row["key"] % 256] = row["n"]
-    counts = counts.where("pack >= 0")
-    kind = F.col("key").bitwiseAND(3)
-    total, kinds = counts.where(kind.isin(1, 3)).agg(F.sum("n"), F.count(F.lit(1))).first()
+    outcome_prior: np.ndarray
+    member_prior: np.ndarray
+    spelling: Spelling
+
+    def identify(self, keys: np.ndarray) -> np.ndarray:
+        listed, place = found_in(self.keys, keys)
+        return np.where(listed, self.ids[place], LISTED + class_of(keys)) if len(self.keys) else LISTED + class_of(keys)
+
+
+def at_most(counts: DataFrame, size: int) -> DataFrame:
+    """The rows with the largest ``n``, at most ``size`` of them: all with n from a level on."""
     level = F.floor(F.log2("n") * 8).cast("int")
-    levels = {row["level"]: row["count"] for row in counts.where("n > 1").groupBy(level.alias("level")).count().collect()}
-    least, room = 10_000, size
-    for number in sorted(levels, reverse=True):
-        room -= levels[number]
+    room, least = size, None
+    for number, many in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):
+        room -= many
         if room < 0:
             break
         least = number
-    # totals of each class over all counted keys, in the cache or not
-    known, once, ends, long, long_once = np.zeros(CLASSES), np.zeros(CLASSES), 0, 0, 0
+    return counts.where(level >= least) if least is not None else counts.limit(0)
+
+
+def vocabulary(counts: DataFrame, listed: int = LISTED, spelled: int = SPELLED) -> Vocabulary:
+    """The driver gets the units with ids, 128 sums, and at most ``spelled`` quads."""
+    kind: Column = F.col("key").bitwiseAND(3)
+    total, kinds = counts.where(kind.isin(LONG_WORD, WORD)).agg(F.sum("n"), F.count(F.lit(1))).first()
+    end = counts.where(F.col("key") == int(END)).agg(F.sum("n")).first()[0] or 0
+    seen = counts.where(kind.isin(SUBWORD, WORD) & (F.col("key") != int(END)))
+    ranked = [(row["key"], row["n"]) for row in seen.orderBy(F.desc("n"), "key").limit(listed - 1).collect()]
+    ranked = sorted([(int(END), int(end)), *ranked], key=lambda x: (-x[1], x[0]))
+    known, once = np.zeros(SUFFIXES + PIECES), np.zeros(SUFFIXES + PIECES)
     low = F.col("key").bitwiseAND(127)
-    per_class = counts.where(kind != 0).groupBy(low.alias("low"), (F.col("key") == int(END)).alias("end"))
-    for row in per_class.agg(F.sum("n").alias("n"), F.sum((F.col("n") == 1).cast("long")).alias("once")).collect():
-        if row["end"]:
-            ends = row["n"]
-        elif row["low"] & 3 == 1:
-            long, long_once = long + row["n"], long_once + row["once"]
-        else:
-            at = int(class_of(np.array([row["low"]]))[0])
-            known[at] += row["n"]
-            once[at] += row["once"]
-    ranked = counts.where((kind == 3) & (F.col("key") != int(END))).orderBy(F.desc("n"), "key").limit(TOP).select("key", "n").collect()
-    always = [int(END), *(row["key"] for row in ranked)]
-    rows = counts.where((level >= least) | F.col("key").isin(always)).select("key", "n").toPandas().sort_values("key")
-    keys, n = rows["key"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-    for row in ranked:
-        at = int(class_of(np.array([row["key"]]))[0])
-        known[at] -= row["n"]
-        once[at] -= row["n"] == 1
-    weights = known.copy()
-    weights[0] = ends
-    weights[1 : 1 + len(ranked)] = [row["n"] for row in ranked]
-    weights += 1
-    top = np.array([row["key"] for row in ranked], np.int64)
-    order = np.argsort(top)
+    for row in seen.groupBy(low.alias("low")).agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("once")).collect():
+        at = int(class_of(np.array([row["low"]]))[0])
+        known[at] += row["n"]
+        once[at] += row["once"]
+    for key, n in ranked:
+        if key != END:
+            at = int(class_of(np.array([key]))[0])
+            known[at] -= n
+            once[at] -= n == 1
+    members = np.full(LISTED, 1e-3)
+    members[: len(ranked)] += [n for _, n in ranked]
+    members = members.reshape(CLUSTERS, MEMBERS)
+    outcomes = np.concatenate([members.sum(1), known + once + 1e-3])
     whole = np.log(known + once + 1)
-    smooth = letters + 0.02
-    spelling = np.log(smooth / smooth.sum(1, keepdims=True)).ravel()
-    return Dictionary(
-        keys, n, int(total or 0), int(kinds), top[order], 1 + order, whole, np.log(once + 1) - whole,
-        (long_once + 1) / (long + 1), spelling, np.log(weights / weights.sum()),
+    keys = np.array([key for key, _ in ranked], np.int64)
+    order = np.argsort(keys)
+    quad = at_most(counts.where(kind == QUAD), spelled).toPandas()
+    spelling = Spelling(quad["key"].to_numpy(np.int64) >> 2, quad["n"].to_numpy(np.int64))
+    return Vocabulary(
+        keys[order], order, np.array([n for _, n in ranked], np.int64)[order], int(total or 0), int(kinds), whole, np.log(once + 1) - whole,
+        np.log(outcomes / outcomes.sum()), np.log(members / members.sum(1, keepdims=True)), spelling,
     )
 
 
-SHAPES = {"embed": (CLASSES + 1, WIDTH), "place": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "out": (WIDTH, CLASSES), "bias": (CLASSES,)}
+# ---- the attention model -------------------------------------------------------------------------------------------
+
+SHAPES = {
+    "embed": (BEGIN + 1, WIDTH), "place": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH),
+    "out": (WIDTH, OUTCOMES), "inner": (CLUSTERS, WIDTH, MEMBERS), "inner_bias": (CLUSTERS, MEMBERS), "bias": (OUTCOMES,),
+}
 MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
 
-def initial(prior: np.ndarray, seed: int = 3) -> np.ndarray:
+def initial(outcome_prior: np.ndarray, member_prior: np.ndarray, seed: int = 3) -> np.ndarray:
     rng = np.random.default_rng(seed)
-    parts = [rng.normal(0, {"embed": 0.5, "place": 0.02, "out": 0.05}.get(name, WIDTH**-0.5), shape) for name, shape in SHAPES.items()]
-    parts[-1] = prior
-    return np.concatenate([x.ravel() for x in parts]).astype(np.float32)
+    spread = {"embed": 0.5, "place": 0.02, "out": 0.02, "inner": 0.02}
+    parts = {name: rng.normal(0, spread.get(name, WIDTH**-0.5), shape) for name, shape in SHAPES.items()}
+    parts |= {"inner_bias": member_prior, "bias": outcome_prior}
+    return np.concatenate([x.ravel() for x in parts.values()]).astype(np.float32)
 
 
 def split(weights: np.ndarray) -> dict[str, np.ndarray]:
@@ -337,7 +283,7 @@ def split(weights: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def attend(w: dict[str, np.ndarray], before: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Masked self-attention over a batch of windows of the classes before each unit."""
+    """Masked self-attention over a batch of windows of the ids before each unit."""
     x = w["embed"][before] + w["place"]
     flat = x.reshape(-1, WIDTH)
     q, k, v = ((flat @ w[name]).reshape(x.shape) for name in "qkv")
@@ -350,23 +296,56 @@ def attend(w: dict[str, np.ndarray], before: np.ndarray) -> tuple[np.ndarray, ..
     return x + np.matmul(a, v), x, q, k, v, a
 
 
-def log_chances(h: np.ndarray, w: dict[str, np.ndarray]) -> np.ndarray:
-    logits = h @ w["out"]
-    logits += w["bias"]
+def log_softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(1, keepdims=True)
     logits -= np.log(np.exp(logits).sum(1, keepdims=True))
     return logits
 
 
+def outcome_of(ids: np.ndarray) -> np.ndarray:
+    return np.where(ids < LISTED, ids // MEMBERS, ids - LISTED + CLUSTERS)
+
+
+def by_cluster(ids: np.ndarray):
+    """For each cluster that occurs: its number, where it does, and the members there."""
+    listed = np.flatnonzero(ids < LISTED)
+    cluster = ids[listed] // MEMBERS
+    order = np.argsort(cluster, kind="stable")
+    bounds = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1))
+    for number in np.flatnonzero(np.diff(bounds)).tolist():
+        at = listed[order[bounds[number] : bounds[number + 1]]]
+        yield number, at, ids[at] % MEMBERS
+
+
+def log_chances(w: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Natural log probability of cluster and member, or of the class, of each target, given its state."""
+    out = log_softmax(h @ w["out"] + w["bias"])[np.arange(len(ids)), outcome_of(ids)]
+    for number, at, member in by_cluster(ids):
+        out[at] += log_softmax(h[at] @ w["inner"][number] + w["inner_bias"][number])[np.arange(len(at)), member]
+    return out
+
+
 def gradient(w: dict[str, np.ndarray], before: np.ndarray, target: np.ndarray, real: np.ndarray) -> np.ndarray:
     """Of the mean negative log probability of the real targets."""
     h, x, q, k, v, a = attend(w, before)
-    flat = h.reshape(-1, WIDTH)
-    g = np.exp(log_chances(flat, w))
-    g[np.arange(len(g)), target.ravel()] -= 1
-    g *= real.reshape(-1, 1) / np.float32(max(1, real.sum()))
-    out = {"out": flat.T @ g, "bias": g.sum(0)}
-    dh = (g @ w["out"].T).reshape(h.shape)
+    kept = np.flatnonzero(real.ravel())
+    flat, ids = h.reshape(-1, WIDTH)[kept], target.ravel()[kept]
+    scale = np.float32(1 / max(1, len(kept)))
+    g = np.exp(log_softmax(flat @ w["out"] + w["bias"]))
+    g[np.arange(len(ids)), outcome_of(ids)] -= 1
+    g *= scale
+    out = {"out": flat.T @ g, "bias": g.sum(0), "inner": np.zeros_like(w["inner"]), "inner_bias": np.zeros_like(w["inner_bias"])}
+    back = g @ w["out"].T
+    for number, at, member in by_cluster(ids):
+        g = np.exp(log_softmax(flat[at] @ w["inner"][number] + w["inner_bias"][number]))
+        g[np.arange(len(at)), member] -= 1
+        g *= scale
+        out["inner"][number] = flat[at].T @ g
+        out["inner_bias"][number] = g.sum(0)
+        back[at] += g @ w["inner"][number].T
+    dh = np.zeros((h.size // WIDTH, WIDTH), h.dtype)
+    dh[kept] = back
+    dh = dh.reshape(h.shape)
     da = np.matmul(dh, v.transpose(0, 2, 1))
     dv = np.matmul(a.transpose(0, 2, 1), dh)
     da -= (da * a).sum(2, keepdims=True)
@@ -379,17 +358,20 @@ def gradient(w: dict[str, np.ndarray], before: np.ndarray, target: np.ndarray, r
         out[name] = xs.T @ d
         dx += (d @ w[name].T).reshape(x.shape)
     out["place"] = dx.sum(0)
+    ids, rows = before.ravel(), dx.reshape(-1, WIDTH)
+    order = np.argsort(ids, kind="stable")
+    first = np.flatnonzero(np.append(True, ids[order][1:] != ids[order][:-1]))
     out["embed"] = np.zeros_like(w["embed"])
-    np.add.at(out["embed"], before.ravel(), dx.reshape(-1, WIDTH))
+    out["embed"][ids[order[first]]] = np.add.reduceat(rows[order], first, axis=0)
     return np.concatenate([out[name].ravel() for name in SHAPES])
 
 
-def windows(classes: np.ndarray, low: np.ndarray, start: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Classes before and at each place of windows from ``start``, and which places are of the text ``low:high``."""
+def windows(ids: np.ndarray, low: np.ndarray, start: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids before and at each place of windows from ``start``, and which places are of the text ``low:high``."""
     at = start[:, None] + np.arange(WINDOW)
     real = at < high[:, None]
-    target = classes[np.minimum(at, high[:, None] - 1)]
-    before = np.where(at > low[:, None], classes[np.clip(at - 1, 0, high[:, None] - 1)], BEGIN)
+    target = ids[np.minimum(at, high[:, None] - 1)]
+    before = np.where(at > low[:, None], ids[np.clip(at - 1, 0, high[:, None] - 1)], BEGIN)
     return before, target, real
 
 
@@ -401,148 +383,180 @@ def tiles(bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return bounds[of], bounds[of] + WINDOW * step, bounds[of + 1]
 
 
-def train(training: DataFrame, words: Dictionary, rounds: int = 2, rate: float = 0.01) -> np.ndarray:
-    spark = training.sparkSession
-    weights = initial(words.prior)
-    known = spark.sparkContext.broadcast(words)
-    for number in range(rounds):
-        start_from = spark.sparkContext.broadcast(weights)
-
-        def run(batches, number=number, start_from=start_from):
-            weights = start_from.value.copy()
-            first, second, step = np.zeros_like(weights), np.zeros_like(weights), 0
-            taken = 0
-            for _, texts in chunks(batches):
-                words, tokens, bounds = tokenize(texts)
-                cut = units(words, tokens, bounds)
-                classes, bounds = known.value.classes(cut.keys), cut.bounds
-                low, start, high = tiles(bounds)
-                order = np.random.default_rng([number, len(classes), int(tokens[0] & 0xFFFFFFFF)]).permutation(len(start))
-                before, target, real = windows(classes, low[order], start[order], high[order])
-                for at in range(0, len(order), BATCH):
-                    part = slice(at, at + BATCH)
-                    g = gradient(split(weights), before[part], target[part], real[part].astype(np.float32))
-                    step += 1
-                    first += 0.1 * (g - first)
-                    second += 0.01 * (g * g - second)
-                    weights -= np.float32(rate) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + np.float32(1e-6))
-                taken += len(order)
-            if taken:
-                yield pa.RecordBatch.from_arrays([pa.array([taken]), pa.array([weights.astype(float)], pa.list_(pa.float64()))], names=["n", "weights"])
-
-        parts = training.select(utf8()).mapInArrow(run, "n long, weights array<double>")
-        flat = parts.select("n", F.posexplode("weights").alias("at", "w")).groupBy("at").agg((F.sum(F.col("n") * F.col("w")) / F.sum("n")).alias("w"))
-        for at, value in flat.collect():
-            weights[at] = value
+def train(training: DataFrame, words: Vocabulary, rate: float = 0.01) -> np.ndarray:
+    """Weights after every unit of the training documents was a target once; one row a task and weight goes to the average."""
+    start = initial(words.outcome_prior, words.member_prior)
+    shared = training.sparkSession.sparkContext.broadcast((words.identify, start))
+
+    def run(batches):
+        identify, weights = shared.value
+        weights = weights.copy()
+        first, second, step, taken = np.zeros_like(weights), np.zeros_like(weights), 0, 0
+        for _, texts in chunks(batches):
+            cut = units(texts)
+            ids = identify(cut.keys)
+            low, begin, high = tiles(cut.bounds)
+            order = np.random.default_rng([len(ids), int(cut.tokens[0] & 0xFFFFFFFF)]).permutation(len(begin))
+            for at in range(0, len(order), BATCH):
+                part = order[at : at + BATCH]
+                g = gradient(split(weights), *windows(ids, low[part], begin[part], high[part]))
+                step += 1
+                first += 0.1 * (g - first)
+                g *= g
+                g -= second
+                second += 0.01 * g
+                weights -= np.float32(rate / (1 - 0.9**step)) * first / (np.sqrt(second) * np.float32((1 - 0.99**step) ** -0.5) + np.float32(1e-6))
+            taken += len(order)
+        if taken:
+            yield pa.RecordBatch.from_arrays([pa.array([taken]), pa.array([weights.astype(float)], pa.list_(pa.float64()))], names=["n", "weights"])
+
+    parts = training.select("text").mapInArrow(run, "n long, weights array<double>")
+    flat = parts.select("n", F.posexplode("weights").alias("at", "w")).groupBy("at").agg((F.sum(F.col("n") * F.col("w")) / F.sum("n")).alias("w"))
+    found = flat.toPandas()
+    weights = start.copy()
+    weights[found["at"].to_numpy()] = found["w"].to_numpy()
     return weights
 
 
-def score_windows(weights: np.ndarray, classes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Natural log probability of every class given those before it in its window."""
+def score_windows(weights: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Natural log probability of every id's cluster and member, or class, given those before it in its window."""
     w = split(weights)
-    out = np.zeros(len(classes), np.float32)
+    out = np.zeros(len(ids), np.float32)
     size = np.diff(bounds)
     many = 1 + np.maximum(0, -(-(size - WINDOW) // STRIDE))
     of = np.repeat(np.arange(len(size)), many)
     step = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
     start, low, high = bounds[of] + STRIDE * step, bounds[of], bounds[of + 1]
     places = np.arange(WINDOW)
-    for at in range(0, len(of), 256):
-        part = slice(at, at + 256)
-        before, target, real = windows(classes, low[part], start[part], high[part])
+    for at in range(0, len(of), 2 * BATCH):
+        part = slice(at, at + 2 * BATCH)
+        before, target, real = windows(ids, low[part], start[part], high[part])
         fresh = real & ((places >= WINDOW - STRIDE) | (step[part] == 0)[:, None])
-        h = attend(w, before)[0][fresh]
-        chances = log_chances(h, w)
-        out[(start[part][:, None] + places)[fresh]] = chances[np.arange(len(h)), target[fresh]]
+        out[(start[part][:, None] + places)[fresh]] = log_chances(w, attend(w, before)[0][fresh], target[fresh])
     return out
 
 
-def looked_up(lines: list[np.ndarray], keys: np.ndarray, n: np.ndarray, packs: int) -> tuple[dict[str, np.ndarray], np.ndarray, list[bytes]]:
-    """What counts give the rows of their lines, and the lines that this leads to, by pack.
+# ---- scores --------------------------------------------------------------------------------------------------------
 
-    A line with a next key leads there: to classes where its own key was counted, to a subword where it was not."""
-    key, row, following, seen, unseen = lines
-    seen, unseen = seen.view(np.float64), unseen.view(np.float64)
-    if len(keys):
-        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-        found = keys[place] == key
-        n = np.where(found, n[place], 1)
-    else:
-        found, n = np.zeros(len(key), bool), np.ones(len(key), np.int64)
-    on = (following != 0) & (found == (following & 3 == 0))
-    which, blobs = packed([x[on] for x in (following, row, np.zeros_like(row), seen, unseen)], packs)
-    word = (key & 1 == 1) & (following == 0)
-    chance = np.where(found, np.where(key & 3 == 0, -np.log(n), np.log(n)) + seen, unseen)
-    chance[following != 0] = 0
-    logs = np.where(word, np.log10(np.where(found, n, 0) + 0.1), 0)
-    order = np.argsort(row, kind="stable")
-    rows, first = np.unique(row[order], return_index=True)
-    bounds = np.append(first, len(row))
-    return {"row": rows, "known": sums((found & word)[order], bounds), "logs": sums(logs[order], bounds), "chance": sums(chance[order], bounds)}, which, blobs
 
+@dataclass
+class Model:
+    words: Vocabulary
+    weights: np.ndarray
+    counts: DataFrame
 
-NAMES = ["doc_id", "held_out", "row", "n_tokens", "n_known", "base", "score", "pack", "rare"]
-SCHEMA = "doc_id long, held_out boolean, row long, n_tokens long, n_known long, base double, score double, pack long, rare binary"
 
+def staged_texts(documents: DataFrame) -> DataFrame:
+    """``chunk``, ``doc_id``, ``held_out``, ``text``: the texts as bytes, dealt in chunks of ``CHUNK`` bytes or one text."""
+
+    def deal(batches):
+        number, size = TaskContext.get().partitionId() << 32, 0
+        for batch, texts in chunks(batches, limit=CHUNK):
+            lengths = np.diff(texts.offsets)
+            chunk = np.empty(len(lengths), np.int64)
+            for row, length in enumerate(lengths.tolist()):
+                if size and size + length > CHUNK:
+                    number, size = number + 1, 0
+                chunk[row] = number
+                size += length + 64
+            yield pa.RecordBatch.from_arrays([pa.array(chunk), *batch.columns], names=["chunk", "doc_id", "held_out", "text"])
+
+    rows = documents.select(F.col("doc_id").cast("long"), (remainder("doc_id", 10) == 0).alias("held_out"), utf8())
+    return stage(rows.mapInArrow(deal, "chunk long, doc_id long, held_out boolean, text binary"), "texts")
+
+
+def fit(staged: DataFrame) -> Model:
+    training = staged.where("not held_out")
+    counts = count_units(training)
+    words = vocabulary(counts)
+    return Model(words, train(training, words), counts)
 
-def score_documents(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
-    spark = documents.sparkSession
-    training = documents.where(remainder("doc_id", 10) != 0)
-    packs = max(8, documents.count() // DOCUMENTS_PER_PACK)
-    counts = count_tokens(training, packs)
-    words = dictionary(counts)
-    weights = train(training, words)
-    shared = spark.sparkContext.broadcast((words, weights))
-    total, kinds = words.total, words.kinds
-    whole = float(np.log10(total + 0.1 * (kinds + 1)))
+
+def asked(staged: DataFrame, words: Vocabulary) -> DataFrame:
+    """``chunk``, ``key``: the distinct words and units of each chunk that have no id."""
+    shared = staged.sparkSession.sparkContext.broadcast(words.keys)
 
     def run(batches):
+        # a chunk's rows come one after the other, as they were staged; if they come in parts, each part asks
+        chunk, held = None, []
+
+        def rows():
+            keys = np.unique(np.concatenate(held))
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys)], names=["chunk", "key"])
+
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            bounds = np.append(np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])), len(numbers)) if len(numbers) else []
+            for low, high in zip(bounds, bounds[1:], strict=False):
+                if chunk is not None and chunk != numbers[low]:
+                    yield rows()
+                    held = []
+                chunk = int(numbers[low])
+                for _, texts in chunks([batch.slice(low, high - low)]):
+                    cut = units(texts)
+                    keys = np.unique(np.concatenate([cut.tokens, cut.keys]))
+                    held.append(keys[~found_in(shared.value, keys)[0]])
+        if held:
+            yield rows()
+
+    return staged.select("chunk", "text").mapInArrow(run, "chunk long, key long").distinct()
+
+
+SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+
+
+def score_texts(texts: Texts, words: Vocabulary, weights: np.ndarray, keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Tokens, known tokens, sum of log10(count + 0.1) and natural log probability of each text; ``keys`` are the counted ones
+    without ids, sorted, and ``n`` their counts."""
+    cut = units(texts)
+
+    def counted(wanted: np.ndarray) -> np.ndarray:
+        listed, place = found_in(words.keys, wanted)
+        there, where = found_in(keys, wanted)
+        out = np.where(there, n[where], 0) if len(n) else np.zeros(len(wanted), np.int64)
+        return np.where(listed, words.counts[place], out) if len(words.keys) else out
+
+    tokens = counted(cut.tokens)
+    ids = words.identify(cut.keys)
+    chance = score_windows(weights, ids, cut.bounds).astype(float)
+    other = np.flatnonzero(ids >= LISTED)
+    share, kind = counted(cut.keys[other]), ids[other] - LISTED
+    chance[other] += np.where(share > 0, np.log(np.maximum(share, 1)) - words.whole[kind], words.unseen[kind])
+    new = other[share == 0]
+    if len(new):
+        place = (np.cumsum(cut.keys != END) - 1)[new]
+        codes, bounds = quads(cut.spans, place, cut.last)
+        chance[new] += sums(words.spelling.logs(codes), bounds)
+    logs = np.log10(tokens + 0.1)
+    return np.diff(cut.token_bounds), sums(tokens > 0, cut.token_bounds), sums(logs, cut.token_bounds), sums(chance, cut.bounds)
+
+
+def score_staged(staged: DataFrame, model: Model) -> DataFrame:
+    spark = staged.sparkSession
+    shared = spark.sparkContext.broadcast((model.words, model.weights))
+    told = asked(staged, model.words).join(model.counts, "key")
+
+    def run(texts, counts):
         words, weights = shared.value
-        for batch, texts in chunks(batches):
-            spans, tokens, bounds = tokenize(texts)
-            known, counted = words.find(tokens)
-            log_count = np.where(known, np.log10(counted + 0.1), 0.0)
-            cut = units(spans, tokens, bounds)
-            inside, lines = words.inside(spans, tokens, cut, known, counted)
-            chance = sums(score_windows(weights, words.classes(cut.keys), cut.bounds), cut.bounds) + sums(inside, bounds)
-            n = np.diff(bounds)
-            row = batch.column(2).to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(k) for k in range(3)), pa.array(n), pa.array(sums(known, bounds)),
-                    pa.array(sums(log_count, bounds)), pa.array(chance),
-                    pa.nulls(len(n), pa.int64()), pa.nulls(len(n), pa.binary()),
-                ],
-                names=NAMES,
-            )
-            which, blobs = packed([lines[0], np.repeat(row, n)[lines[1]], *lines[2:]], packs)
-            empty = [pa.nulls(len(which), kind) for kind in (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-            yield pa.RecordBatch.from_arrays([*empty, pa.array(which, pa.int64()), pa.array(blobs, pa.binary())], names=NAMES)
-
-    def look_up(rare, counts):
-        lines = unpacked(rare.column("rare").to_pylist(), LINE)
-        sums_of, which, blobs = looked_up(lines, *totals(counts.column("key").to_numpy(), counts.column("n").to_numpy()), packs)
-        n, more = len(sums_of["row"]), len(which)
-        return pa.table({
-            **{name: pa.concat_arrays([pa.array(x), pa.nulls(more, pa.array(x).type)]) for name, x in sums_of.items()},
-            "pack": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(which, pa.int64())]),
-            "rare": pa.concat_arrays([pa.nulls(n, pa.binary()), pa.array(blobs, pa.binary())]),
-        })
-
-    def look_up_all(lines):
-        both = lines.where("pack is not null").select("pack", "rare").groupBy("pack").cogroup(counts.where("pack >= 0").groupBy("pack"))
-        return both.applyInArrow(look_up, "row long, known long, logs double, chance double, pack long, rare binary")
-
-    rows = documents.select(F.col("doc_id").cast("long"), (remainder("doc_id", 10) == 0).alias("held_out"), F.monotonically_increasing_id().alias("row"), utf8())
-    scored = stage(rows.mapInArrow(run, SCHEMA), "scores")
-    looked = stage(look_up_all(scored), "looked-up")
-    both = looked.unionByName(look_up_all(looked)).where("pack is null")
-    more = both.groupBy("row").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"), F.sum("chance").alias("chance"))
-    result = scored.where("pack is null").join(more, "row", "left")
-    return result.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * whole).alias("base_score"),
-        ((F.col("score") + F.coalesce("chance", F.lit(0.0))) / float(np.log(10))).alias("score"),
+        keys, n = counts.column("key").to_numpy(), counts.column("n").to_numpy()
+        order = np.argsort(keys)
+        keys, n = keys[order], n[order]
+        out = []
+        for batch, part in chunks(texts.to_batches()):
+            columns = score_texts(part, words, weights, keys, n)
+            out.append(pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *map(pa.array, columns)], names=[field.split()[0] for field in SCHEMA.split(", ")]))
+        return pa.Table.from_batches(out)
+
+    return staged.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(run, SCHEMA)
+
+
+def score_documents(documents: DataFrame) -> DataFrame:
+    """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score``."""
+    staged = staged_texts(documents)
+    model = fit(staged)
+    total, kinds = model.words.total, model.words.kinds
+    whole = float(np.log10(total + 0.1 * (kinds + 1)))
+    return score_staged(staged, model).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * whole).alias("base_score"), (F.col("score") / float(np.log(10))).alias("score"),
     )

@@ -3,7 +3,7 @@
 import hashlib
 import re
 from collections import Counter, defaultdict
-from math import log10
+from math import floor, isfinite, log10
 from zlib import crc32
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -105,3 +105,24 @@ def unigram(rows):
         (doc, crc(doc) % 10 == 0, len(own), sum(t in counts for t in own), total, sum(log10((counts[t] + 0.1) / (total + 0.1 * (kinds + 1))) for t in own))
         for doc, own in tokens
     ]
+
+
+def cluster(rows, size=64, clusters=8, rounds=10):
+    """rows: (vec_id, vector); returns (vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256) of the kept ones."""
+    kept = [(i, [floor(1024 * float(x)) for x in v]) for i, v in rows if v is not None and len(v) == size and all(x is not None and isfinite(x) for x in v)]
+    first = sorted(kept, key=lambda r: (sha(f"3:{'' if r[0] is None else r[0]}"), r[1]))
+    centres = [q for _, q in first[:clusters]]
+
+    def near(q):
+        return min((sum((a - b) ** 2 for a, b in zip(q, c, strict=True)), n) for n, c in enumerate(centres))
+
+    for _ in range(rounds):
+        members = defaultdict(list)
+        for _, q in kept:
+            members[near(q)[1]].append(q)
+        centres = [[sum(x) // len(members[n]) for x in zip(*members[n], strict=True)] if n in members else c for n, c in enumerate(centres)]
+    found = [(i, *near(q)) for i, q in kept]
+    inertia = Counter()
+    for _, distance, n in found:
+        inertia[n] += distance
+    return [(i, n, distance, inertia[n], sum(inertia.values()), sha(",".join(map(str, centres[n])))) for i, distance, n in found]

@@ -2,16 +2,20 @@
 
 import os
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from brute import base_rules, components, contamination, crc, line_dedup, sha, unigram
+from brute import base_rules, cluster, components, contamination, crc, line_dedup, sha, unigram
+from brute_trie import nodes as trie_nodes
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 import corpus_pipeline
-from cairn.llm import byte_pairs, decontamination, jaccard_join, languages, lm_scoring, queries, quality_classifier, quality_rules, sharding
+from cairn.llm import (
+    byte_pairs, centroids, decontamination, jaccard_join, languages, lm_scoring, piece_agenda, prefix_trie, queries, quality_classifier, quality_rules, sharding,
+)
 from cairn.llm import line_dedup as dedup
 from cairn.llm.components import connect
 
@@ -114,76 +118,146 @@ def test_lm_scoring_on_the_tables(spark):
     check_scores(out, [(r["doc_id"], r["text"]) for r in documents.collect()])
 
 
-def test_lm_scores_do_not_depend_on_the_cache(spark, monkeypatch):
-    words = [f"{'abcdefgh'[k % 8] * (k % 5 + 1)}{k}{'ization' * (k % 3)}" for k in range(300)]
+def text_docs(spark, texts, schema="doc_id long, text string"):
+    return spark.createDataFrame(texts, schema)
+
+
+def test_lm_scores_do_not_depend_on_the_chunks(spark, monkeypatch):
+    words = [f"{'abcdefgh'[k % 8] * (k % 5 + 1)}{k}{'ization' * (k % 4)}" for k in range(300)]
     rows = [(i, " ".join(words[(i * 7 + j * j) % 300] for j in range(60)) + (f" only{i} onlyonlyonlyonly{i}" if i % 3 else "")) for i in range(80)]
-    docs = spark.createDataFrame([*rows, (200, None), (201, "")], "doc_id long, text string")
+    docs = text_docs(spark, [*rows, (200, None), (201, "")]).coalesce(1)
     whole = by_id(lm_scoring.score_documents(docs))
-    build = lm_scoring.dictionary
-    monkeypatch.setattr(lm_scoring, "dictionary", lambda counts: build(counts, 20))
+    monkeypatch.setattr(lm_scoring, "CHUNK", 700)
+    staged = lm_scoring.staged_texts(docs)
+    assert staged.select("chunk").distinct().count() > 40
     cut = by_id(lm_scoring.score_documents(docs))
-    assert sum(r["held_out"] for r in whole.values()) > 3
+    assert sum(r["held_out"] for r in whole.values()) > 3 and set(whole) == set(cut)
     for doc, r in whole.items():
-        assert cut[doc]["score"] == pytest.approx(r["score"], rel=1e-5)
+        assert cut[doc]["score"] == pytest.approx(r["score"], rel=1e-2)
         assert (cut[doc]["n_known"], cut[doc]["base_score"]) == (r["n_known"], pytest.approx(r["base_score"]))
 
 
-def test_lm_rare_words_have_their_own_counts(spark):
-    common = " ".join(f"w{k} w{k} w{k}" for k in range(40))
-    docs = spark.createDataFrame([(i, common + (" zq7x extraordinarily" if i % 2 else "")) for i in range(1, 60)], "doc_id long, text string")
-    packs = 8
-    counts = lm_scoring.count_tokens(docs, packs)
-    model = lm_scoring.dictionary(counts, 0)
-    table = {r["key"]: r["n"] for r in counts.where("pack >= 0").collect()}
-    keys = np.array(sorted(table))
-    n = np.array([table[k] for k in keys])
-
-    def chance(word):
-        data = np.frombuffer(word.encode(), np.uint8)
-        spans, tokens, bounds = lm_scoring.tokenize(lm_scoring.Texts(data, np.array([0, len(data)])))
-        found, counted = model.find(tokens)
-        inside, lines = model.inside(spans, tokens, lm_scoring.units(spans, tokens, bounds), found, counted)
-        lines = [x.view(np.int64) for x in lines]
-        first, _, blobs = lm_scoring.looked_up(lines, keys, n, packs)
-        then, _, blobs = lm_scoring.looked_up(lm_scoring.unpacked(blobs, lm_scoring.LINE), keys, n, packs)
-        assert not blobs
-        return inside.sum() + first["chance"].sum() + then["chance"].sum()
-
-    of_class = lambda word: model.classes(lm_scoring.tokenize(lm_scoring.Texts(np.frombuffer(word, np.uint8), np.array([0, len(word)])))[1])[0]
-    assert chance("zq7x") == pytest.approx(np.log(30) - model.whole[of_class(b"zq7x")])
-    assert chance("extraordinarily") == pytest.approx(-np.log1p(model.unseen_long))
-    assert chance("zq7y") < chance("zq7x") and chance("extraordinarilx") < chance("extraordinarily")
-    assert chance("extraordqqqqqqq") < chance("extraordinarilyextraordinarily") + 20
+def lm_texts(*texts):
+    data = [t.encode() for t in texts]
+    return lm_scoring.Texts(np.frombuffer(b"".join(data), np.uint8), np.append(0, np.cumsum([len(d) for d in data])))
+
+
+def test_lm_units(spark):
+    cut = lm_scoring.units(lm_texts("One  two", "", "x" * 40 + " a", "x" * 40))
+    assert cut.token_bounds.tolist() == [0, 3, 4, 7, 9] and cut.bounds.tolist() == [0, 3, 4, 9, 13]
+    assert cut.spans.length.tolist() == [3, 3, 16, 16, 8, 1, 16, 16, 8] and cut.last.tolist() == [True, True, False, False, True, True, False, False, True]
+    # of the three pieces the two equal ones are one unit, the last is another; a word that is as long as a piece is neither
+    assert cut.keys[4] == cut.keys[5] != cut.keys[6] and cut.keys[4:7].tolist() == cut.keys[9:12].tolist()
+    assert not set(cut.keys[4:7].tolist()) & set(lm_scoring.units(lm_texts("x" * 16)).keys.tolist())
+    assert cut.tokens[4] == cut.tokens[7] and len(set(cut.tokens.tolist())) == 5
+
+
+def test_lm_spelling_is_a_distribution():
+    rng = np.random.default_rng(1)
+    codes, n = lm_scoring.totals(rng.integers(0, 4, 500) << 24 | rng.integers(0, 4, 500) << 16 | rng.integers(0, 4, 500) << 8 | rng.integers(0, 9, 500), np.ones(500, np.int64))
+    for spelling in (lm_scoring.Spelling(codes, n), lm_scoring.Spelling(codes[:0], n[:0])):
+        for context in (0, 0x010203, 0xFFFFFF, 0x00FF01):
+            assert np.exp(spelling.logs(context << 8 | np.arange(256))).sum() == pytest.approx(1)
+    cut = lm_scoring.units(lm_texts("ab"))
+    codes, bounds = lm_scoring.quads(cut.spans, np.array([0]), cut.last)
+    assert [int(c).to_bytes(4) for c in codes] == [b"\0\0 a", b"\0 ab", b" ab "] and bounds.tolist() == [0, 3]
+
+
+def plain_score(text, model, counts):
+    """The model's natural log probability of a text, unit by unit, with loops."""
+    words, w = model.words, lm_scoring.split(model.weights.astype(float))
+    cut = lm_scoring.units(lm_texts(text))
+    ids, total, spans = words.identify(cut.keys), 0.0, 0
+
+    def softmax(x):
+        e = np.exp(x - x.max())
+        return e / e.sum()
+
+    for u, (key, unit) in enumerate(zip(cut.keys.tolist(), ids.tolist(), strict=True)):
+        # the window that scores a unit: the first, or the one whose last STRIDE places hold it
+        start = 0 if u < lm_scoring.WINDOW else -(-(u - lm_scoring.WINDOW + 1) // lm_scoring.STRIDE) * lm_scoring.STRIDE
+        before = [lm_scoring.BEGIN if p == 0 else int(ids[p - 1]) for p in range(start, u + 1)]
+        x = np.array([w["embed"][b] + w["place"][p] for p, b in enumerate(before)])
+        query = x[-1] @ w["q"]
+        a = softmax(np.array([query @ (row @ w["k"]) for row in x]) / lm_scoring.WIDTH**0.5)
+        h = x[-1] + sum(share * (row @ w["v"]) for share, row in zip(a, x, strict=True))
+        outcome = softmax(h @ w["out"] + w["bias"])
+        if unit < lm_scoring.LISTED:
+            cluster, member = divmod(unit, lm_scoring.MEMBERS)
+            total += np.log(outcome[cluster]) + np.log(softmax(h @ w["inner"][cluster] + w["inner_bias"][cluster])[member])
+        else:
+            kind = unit - lm_scoring.LISTED
+            total += np.log(outcome[lm_scoring.CLUSTERS + kind])
+            if key in counts:
+                total += np.log(counts[key]) - words.whole[kind]
+            else:
+                codes, _ = lm_scoring.quads(cut.spans, np.array([spans]), cut.last)
+                total += words.unseen[kind] + sum(float(words.spelling.logs(codes[i : i + 1])[0]) for i in range(len(codes)))
+        spans += key != lm_scoring.END
+    return total / np.log(10)
+
+
+def test_lm_scores_equal_a_plain_model(spark):
+    rng = random.Random(8)
+    words = [f"{rng.choice('bdfg')}{rng.choice('aeiou')}{k}{'x' * (k % 25)}" for k in range(2600)]
+    rows = [(i, " ".join(words[min(int(rng.expovariate(1 / 700)), 2599)] for _ in range(rng.choice([0, 3, 31, 32, 33, 150])))) for i in range(160)]
+    rows += [(500 + i, f"never{i} seen{'y' * 40}{i} " + rows[5][1]) for i in range(30)]
+    staged = lm_scoring.staged_texts(text_docs(spark, rows))
+    model = lm_scoring.fit(staged)
+    counts = {r["key"]: r["n"] for r in model.counts.collect()}
+    out = by_id(lm_scoring.score_staged(staged, model))
+    assert len(model.words.keys) > 1000
+    for doc, text in rows:
+        assert out[doc]["score"] / np.log(10) == pytest.approx(plain_score(text, model, counts), rel=2e-4), doc
+
+
+def test_lm_held_out_scores_beat_the_base(spark):
+    rng, follows = random.Random(2), {}
+    names = [f"w{k}" for k in range(120)]
+    for name in names:
+        follows[name] = rng.sample(names, 3)
+
+    def text():
+        word, out = rng.choice(names), []
+        for _ in range(400):
+            out.append(word)
+            word = rng.choice(follows[word])
+        return " ".join(out)
+
+    out = lm_scoring.score_documents(text_docs(spark, [(i, text()) for i in range(300)])).where("held_out").collect()
+    base, score = sum(r["base_score"] for r in out), sum(r["score"] for r in out)
+    assert len(out) > 15 and score > 0.7 * base
 
 
 def test_lm_gradient():
     rng = np.random.default_rng(0)
-    weights = lm_scoring.initial(np.zeros(lm_scoring.CLASSES)).astype(np.float64)
-    classes = rng.integers(1, lm_scoring.CLASSES, 50)
-    before, target, real = lm_scoring.windows(classes, np.array([0, 0]), np.array([0, 30]), np.array([50, 50]))
+    shapes = lm_scoring.initial(rng.normal(0, 1, lm_scoring.OUTCOMES), rng.normal(0, 1, (lm_scoring.CLUSTERS, lm_scoring.MEMBERS)))
+    weights = shapes.astype(np.float64) + rng.normal(0, 0.1, len(shapes))
+    ids = np.append(rng.integers(0, 200, 40), rng.integers(lm_scoring.LISTED, lm_scoring.BEGIN, 10))
+    before, target, real = lm_scoring.windows(ids, np.array([0, 0]), np.array([0, 30]), np.array([50, 50]))
 
     def loss(w):
         w = lm_scoring.split(w)
-        chances = lm_scoring.log_chances(lm_scoring.attend(w, before)[0].reshape(-1, lm_scoring.WIDTH), w)
-        return -(chances[np.arange(len(chances)), target.ravel()] * real.ravel()).sum() / real.sum()
+        chances = lm_scoring.log_chances(w, lm_scoring.attend(w, before)[0].reshape(-1, lm_scoring.WIDTH), target.ravel())
+        return -(chances * real.ravel()).sum() / real.sum()
 
-    slope = lm_scoring.gradient(lm_scoring.split(weights), before, target, real.astype(float))
-    for at in rng.integers(0, len(weights), 40):
+    slope = lm_scoring.gradient(lm_scoring.split(weights), before, target, real)
+    nonzero = np.flatnonzero(np.abs(slope) > 1e-4)
+    for at in [*rng.integers(0, len(weights), 20), *rng.choice(nonzero, 60)]:
         step = np.zeros_like(weights)
         step[at] = 1e-5
         assert slope[at] == pytest.approx((loss(weights + step) - loss(weights - step)) / 2e-5, rel=1e-3, abs=1e-6)
 
 
-def test_lm_trains_on_every_unit_once_a_round(spark, docs, monkeypatch):
-    words = lm_scoring.dictionary(lm_scoring.count_tokens(docs, 8))
+def test_lm_trains_on_every_unit_once(spark, docs, monkeypatch):
+    words = lm_scoring.vocabulary(lm_scoring.count_units(lm_scoring.staged_texts(docs)))
     data = np.frombuffer(" ".join(f"w{k}" for k in range(999)).encode() + b"a b", np.uint8)
     texts = lm_scoring.Texts(data, np.array([0, len(data) - 3, len(data) - 3, len(data)]))
-    want = lm_scoring.units(*lm_scoring.tokenize(texts))
-    seen = []
+    want, seen = lm_scoring.units(texts), []
 
     def gradient(w, before, target, real):
         seen.append(real.sum())
-        return np.zeros(len(lm_scoring.initial(words.prior)), np.float32)
+        return np.zeros(len(lm_scoring.initial(words.outcome_prior, words.member_prior)), np.float32)
 
     class Frame:
         sparkSession = spark
@@ -196,20 +270,153 @@ def test_lm_trains_on_every_unit_once_a_round(spark, docs, monkeypatch):
             return spark.createDataFrame([(b.column(0)[0].as_py(), b.column(1)[0].as_py()) for b in run([pa.record_batch([array], ["text"])])], schema)
 
     monkeypatch.setattr(lm_scoring, "gradient", gradient)
-    lm_scoring.train(Frame(), words, rounds=2)
-    assert sum(seen) == 2 * len(want.keys)
+    lm_scoring.train(Frame(), words)
+    assert sum(seen) == len(want.keys)
 
 
 def test_lm_windows_score_each_unit_once_and_causally():
-    weights = lm_scoring.initial(np.zeros(lm_scoring.CLASSES))
-    classes = np.random.default_rng(1).integers(0, lm_scoring.CLASSES, 200)
-    whole = lm_scoring.score_windows(weights, classes, np.array([0, 0, 70, 200]))
+    weights = lm_scoring.initial(np.zeros(lm_scoring.OUTCOMES), np.zeros((lm_scoring.CLUSTERS, lm_scoring.MEMBERS)))
+    ids = np.random.default_rng(1).integers(0, lm_scoring.BEGIN, 200)
+    whole = lm_scoring.score_windows(weights, ids, np.array([0, 0, 70, 200]))
     assert (whole < 0).all()
-    changed = classes.copy()
+    changed = ids.copy()
     changed[60:] = 0
     assert np.allclose(lm_scoring.score_windows(weights, changed, np.array([0, 0, 70, 200]))[:60], whole[:60], atol=1e-5)
 
 
+def check_pieces(out, rows):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=queries.vocabulary("piece_bpe_32k.model"))
+    for doc, text in pairs(rows):
+        ids, r = library.encode(text or ""), out[doc]
+        assert r["agrees"] and r["n_tokens"] == len(ids), doc
+        assert r["ids_sha256"] == sha(",".join(map(str, ids))) and r["decoded_sha256"] == sha(library.decode(ids))
+
+
+def test_piece_agendas(spark, docs, odd, empty, rows):
+    model = queries.vocabulary("piece_bpe_32k.model")
+    check_pieces(by_id(piece_agenda.encode_documents(docs, model)), rows)
+    assert piece_agenda.encode_documents(odd, model).where("agrees").count() == odd.count()
+    assert piece_agenda.encode_documents(empty, model).collect() == []
+    kept = by_id(piece_agenda.encode_documents(docs, model, keep=True))
+    assert kept[0]["ids"] == [] and kept[0]["decoded"] == "" and kept[4]["decoded"] == "One  TWO three"
+    check_pieces(by_id(queries.op11_piece_agenda(spark, SF_DIR)), [(r["doc_id"], r["text"]) for r in table(spark, "documents").collect()])
+
+
+def test_piece_agendas_on_random_characters():
+    import sentencepiece
+
+    model = queries.vocabulary("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    with open(model, "rb") as file:
+        agenda = piece_agenda.PieceAgenda(file.read())
+    rng = random.Random(1)
+    signs = ["a", "b", " ", "  ", "\u2581", "\n", "\t", "é", "日本", "🎉", "\x00", "\u0301", "ﬁ", "1", "\ufffd", "<0x0A>", "</s>", "<unk>", "\u00a0", "the", "ing", "\r", "\ue000"]
+    for _ in range(1500):
+        odd_ones = [rng.randrange(1, 0x3000), rng.randrange(0x10000, 0x1FFFF)]
+        text = "".join(rng.choice(signs) if rng.random() < 0.7 else chr(rng.choice(odd_ones)) for _ in range(rng.randrange(80)))
+        ids = memoryview(agenda.encode([text])[0]).cast("i").tolist()
+        assert ids == library.encode(text) and agenda.decode(ids) == library.decode(ids), repr(text)
+    for _ in range(300):
+        ids = [rng.choice([rng.randrange(3, 259), rng.randrange(3, 32000)]) for _ in range(rng.randrange(1, 12))]
+        assert agenda.decode(ids) == library.decode(ids), ids
+    long = "x" * 60_000 + " " * 900 + "日本語" * 3000
+    assert memoryview(agenda.encode([long])[0]).cast("i").tolist() == library.encode(long)
+    assert agenda.encode([None, ""]) == [b"", b""]
+
+
+def test_piece_agendas_take_the_leftmost_of_equal_scores():
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(queries.vocabulary("piece_bpe_32k.model"), "rb") as file:
+        proto.ParseFromString(file.read())
+    for piece in proto.pieces[300:]:
+        piece.score = float(int(piece.score) // 400)
+    import sentencepiece
+
+    content = proto.SerializeToString()
+    agenda, library = piece_agenda.PieceAgenda(content), sentencepiece.SentencePieceProcessor(model_proto=content)
+    rng = random.Random(4)
+    for _ in range(400):
+        text = "".join(rng.choice("abcdeinorst  ") for _ in range(rng.randrange(60)))
+        assert memoryview(agenda.encode([text])[0]).cast("i").tolist() == library.encode(text)
+
+
+def test_centroids(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [0.5] * 64), (1, [0.5] * 64), (None, [1.0] * 64), (None, [-1.5] * 64), (2, None), (3, [1.0] * 63), (4, [None] * 64), (5, [nan] * 64), (6, [inf] * 64)]
+    rows += [(7, [3e38] * 64), (8, [-3e38] + [0.1] * 63), (9, [1e9] * 64), (10, []), *((100 + i, [0.25] * 64) for i in range(30))]
+    rows += [(200 + i, [float((i * j) % 7) - 3 for j in range(64)]) for i in range(20)]
+    schema = "vec_id long, embedding array<float>, cluster string, q string, p int"
+    df = spark.createDataFrame([(i, v, "x", "y", 1) for i, v in rows], schema)
+    fits = lambda x: x if x < 2**63 else None
+    for frame, names in ((df, None), (table(spark, "embeddings"), None), (df.where("vec_id in (1, 100, 101, 205)"), None)):
+        got = centroids.cluster_vectors(frame).drop("n_verified").collect()
+        want = cluster([(r["vec_id"], r["embedding"]) for r in frame.collect()])
+        assert sorted(map(tuple, got), key=str) == sorted(((i, c, fits(d), fits(a), fits(b), h) for i, c, d, a, b, h in want), key=str)
+    assert centroids.cluster_vectors(df.limit(0)).collect() == [] and centroids.cluster_vectors(df.where("vec_id = 3")).collect() == []
+
+
+def test_centroid_bounds_hold_and_save_work(spark):
+    rng = np.random.default_rng(3)
+    q = np.floor(1024 * (rng.normal(0, 0.02, (4000, 64)) + rng.normal(0, 0.3, (8, 64))[rng.integers(0, 8, 4000)]))
+    whole = [[int(x) for x in row] for row in q[:8]]
+    for share in (0.3, 0.9, 1.0):
+        covariance = np.cov(q.T)
+        axes = np.linalg.eigh(covariance)[1][:, ::-1].T[: max(1, int(64 * share))]
+        model = centroids.Centroids(whole, centroids.Rotation(q.mean(0), np.ascontiguousarray(axes)))
+        leading, left, norm = centroids.Rotation(q.mean(0), axes).turn(q)
+        number, best, verified, _ = model.nearest(q, leading.astype(np.float32).astype(float), left, norm)
+        distances = ((q[:, None, :] - np.array(whole)[None]) ** 2).sum(2).astype(np.int64)
+        assert (number == distances.argmin(1)).all() and (best == distances.min(1)).all()
+        assert verified.mean() < 5
+    assert [centroids.limbs(x) for x in (0, -1, 5, 2**40)] == [[0], [-1], [5], [0, 1]]
+    assert all(sum(limb << (40 * k) for k, limb in enumerate(centroids.limbs(x))) == x for x in (-(2**200) - 7, 2**130 + 3, -(2**40), 2**63))
+
+
+def trie_rows(seed, n, letters, longest, convs):
+    rng = random.Random(seed)
+    return [
+        (c, t or None, rng.choice(["u", "a", None]) if rng.random() < 0.1 else "u", rng.choice(letters))
+        for c in rng.sample(range(-250, convs), n) for t in range(rng.randrange(longest))
+    ]
+
+
+@pytest.mark.parametrize(
+    "rows, width",
+    [
+        (trie_rows(1, 200, ["x", "yy", None, "é"], 7, 400), 64), (trie_rows(2, 120, ["x"], 14, 400), 3),
+        (trie_rows(3, 30, ["x", "yy"], 40, 100) + [(c, t, "u", "x") for c, n in ((7000, 100), (7100, 100), (7200, 60)) for t in range(n)], 3),
+        ([(5, None, "u", "x")], 64), ([], 64),
+    ],
+)
+def test_prefix_tries(spark, rows, width):
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, part int, band string").repartition(3)
+    found = Counter(map(tuple, prefix_trie.prefix_trie(df, width).collect()))
+    assert found == Counter(trie_nodes(rows))
+
+
+def test_prefix_tries_of_repeated_rows_and_null_ids(spark):
+    rows = [(3, 0, "u", "a"), (3, 0, "u", "a"), (None, 0, "u", "a"), (4, 0, None, None), (4, 1, "u", "b" * 50_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = {(r["conv_id"], r["depth"]): r for r in prefix_trie.prefix_trie(df).collect()}
+    # crc32 of 3 and 4, modulo 6, take nothing from conversation 0, which is absent, and leave out so many own turns
+    own = {c: max(0, 2 - crc(c) % 6) for c in (3, 4)}
+    assert found[(3, 0)]["n_convs"] == 2 and sum(depth > 0 for _, depth in found) == sum(own.values())
+
+
+def test_prefix_tries_of_one_conversation_over_many_ranges(spark):
+    rows = [(7_000, t, "u", f"t{t % 5}") for t in range(3000)] + [(7_100, t, "u", f"t{t % 5}") for t in range(3000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    shape = prefix_trie.numbered(df).groupBy("conv").agg(F.count("*").alias("n"), F.countDistinct("pos").alias("m"), F.max("pos").alias("top")).collect()
+    assert sorted(map(tuple, shape)) == [(7000, 3000, 3000, 2999), (7100, 3000, 3000, 2999)]
+    found = prefix_trie.prefix_trie(df).agg(F.count("*"), F.max("depth"), F.sum("saved_tokens"), F.max("n_leaves")).first()
+    assert found[0] == 3001 and found[1] == 3000 and found[3] == 1
+    assert found[2] == 2 * sum(range(1, 3001)) + 2 * 3000
+
+
 def check_rules(out, rows):
     for doc, text in pairs(rows):
         r, want = out[doc], base_rules(text)
