@@ -397,8 +397,10 @@ def train(training: DataFrame, words: Vocabulary, rate: float = 0.01) -> np.ndar
             ids = identify(cut.keys)
             low, begin, high = tiles(cut.bounds)
             order = np.random.default_rng([len(ids), int(cut.tokens[0] & 0xFFFFFFFF)]).permutation(len(begin))
-            for at in range(0, len(order), BATCH):
-                part = order[at : at + BATCH]
+            # a small text still makes a few dozen steps
+            many = max(16, min(BATCH, len(order) // 90))
+            for at in range(0, len(order), many):
+                part = order[at : at + many]
                 g = gradient(split(weights), *windows(ids, low[part], begin[part], high[part]))
                 step += 1
                 first += 0.1 * (g - first)

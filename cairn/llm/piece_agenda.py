@@ -58,7 +58,9 @@ class PieceAgenda:
         self.pieces = {piece.piece: (i, piece.score) for i, piece in enumerate(proto.pieces) if piece.type == NORMAL}
         self.bytes = {int(piece.piece[3:5], 16): i for i, piece in enumerate(proto.pieces) if piece.type == BYTE}
         spoken = {i: piece.replace(MARK, " ").encode() for piece, (i, _) in self.pieces.items()} | {i: bytes([b]) for b, i in self.bytes.items()}
+        spoken |= {i: trainer.unk_surface.encode() for i, piece in enumerate(proto.pieces) if piece.type == UNKNOWN}
         self.spoken = [spoken.get(i, b"") for i in range(len(proto.pieces))]
+        self.spaced = {i for piece, (i, _) in self.pieces.items() if piece.startswith(MARK)}
         self.written = list(map(str, range(len(proto.pieces))))
         self._number()
         cut = not any(MARK in piece.lstrip(MARK) for piece in self.pieces)
@@ -213,7 +215,9 @@ class PieceAgenda:
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join([self.spoken[i] for i in ids]).decode("utf-8", "cairn-byte-by-byte")
-        return text[1:] if self.dummy and text.startswith(" ") else text
+        # the space that was put in front goes, if the first piece that says anything has it
+        first = next((i for i in ids if self.spoken[i]), None)
+        return text[1:] if self.dummy and first in self.spaced else text
 
     def write(self, ids: list[int]) -> bytes:
         """Decimal ids, joined by commas."""

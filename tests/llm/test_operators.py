@@ -224,9 +224,9 @@ def test_lm_held_out_scores_beat_the_base(spark):
             word = rng.choice(follows[word])
         return " ".join(out)
 
-    out = lm_scoring.score_documents(text_docs(spark, [(i, text()) for i in range(300)])).where("held_out").collect()
+    out = lm_scoring.score_documents(text_docs(spark, [(i, text()) for i in range(600)]).coalesce(1)).where("held_out").collect()
     base, score = sum(r["base_score"] for r in out), sum(r["score"] for r in out)
-    assert len(out) > 15 and score > 0.7 * base
+    assert len(out) > 30 and score > 0.92 * base, score / base
 
 
 def test_lm_gradient():
@@ -319,7 +319,7 @@ def test_piece_agendas_on_random_characters():
         ids = memoryview(agenda.encode([text])[0]).cast("i").tolist()
         assert ids == library.encode(text) and agenda.decode(ids) == library.decode(ids), repr(text)
     for _ in range(300):
-        ids = [rng.choice([rng.randrange(3, 259), rng.randrange(3, 32000)]) for _ in range(rng.randrange(1, 12))]
+        ids = [rng.choice([rng.randrange(0, 259), rng.randrange(3, 32000)]) for _ in range(rng.randrange(1, 12))]
         assert agenda.decode(ids) == library.decode(ids), ids
     long = "x" * 60_000 + " " * 900 + "日本語" * 3000
     assert memoryview(agenda.encode([long])[0]).cast("i").tolist() == library.encode(long)
