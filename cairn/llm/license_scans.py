@@ -11,8 +11,10 @@ in between, and takes these away for the rules behind it: the three-clause licen
 one as well. Each document gets all licences whose rules match, sorted. A rule that begins with ``ALONE``
 matches only where no rule before it did.
 
-Whoever a names clause protects, it is read as the copyright holder's. A numbered third clause behind the two of
-the two-clause licence has an identifier of its own, so that a text with another third clause is ``BSD-other``.
+Whoever a names clause protects, however long the name, it is read as the copyright holder's, and what it protects as
+software. A numbered third clause behind the two of the two-clause licence has an identifier of its own, taken from its
+place, so that a text with another third clause is ``BSD-other``. A licence line of a source file (``SPDX``) that names
+one licence is a sentence.
 
 Null and empty texts have no sentence and no licence. Repeated rows are scanned each on its own. Other
 columns are ignored. All is done by column functions; the tables are constants of the plan, and a text
@@ -48,7 +50,6 @@ SENTENCES = {
     "Licensed under the Apache License, Version 2.0 (the License)": "apache2-notice",
     "This work is licensed under the GNU General Public License, version 3": "gpl3-notice",
     "All rights reserved": "rights-reserved",
-    "bsd third clause": "bsd-third",
     "All advertising materials mentioning features or use of this software must display the following acknowledgement": "bsd-advertising",
     "Apache License Version 2.0, January 2004": "apache2-text",
     "GNU General Public License Version 2, June 1991": "gpl2-text",
@@ -81,7 +82,33 @@ SENTENCES = {
     "Licensed under CC BY 4.0": "cc-by4-notice",
     "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by4-notice",
     "This is free and unencumbered software released into the public domain": "unlicense-domain",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted": "0bsd-permission",
+    "This software is provided as-is, without any express or implied warranty": "zlib-as-is",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions": "zlib-permission",
+    "Boost Software License - Version 1.0 - August 17th, 2003": "bsl1-text",
+    "Distributed under the Boost Software License, Version 1.0": "bsl1-notice",
+    "CC0 1.0 Universal": "cc0-text",
+    "Licensed under CC0 1.0": "cc0-notice",
+    "Eclipse Public License - v 2.0": "epl2-text",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0": "epl2-notice",
+    "COMMON DEVELOPMENT AND DISTRIBUTION LICENSE (CDDL) Version 1.0": "cddl1-text",
+    "PYTHON SOFTWARE FOUNDATION LICENSE VERSION 2": "psf2-text",
+    "The Artistic License 2.0": "artistic2-text",
+    "GNU Free Documentation License Version 1.3, 3 November 2008": "gfdl1.3-text",
+    "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation": "gfdl1.3-notice",
 }
+#: Identifiers of the licence lines of source files, and the licences they stand for.
+SPDX = {
+    "0BSD": "0BSD", "AGPL-3.0-only": "AGPL-3.0", "AGPL-3.0-or-later": "AGPL-3.0", "Apache-2.0": "Apache-2.0", "Artistic-2.0": "Artistic-2.0",
+    "BSD-2-Clause": "BSD-2-Clause", "BSD-3-Clause": "BSD-3-Clause", "BSD-4-Clause": "BSD-4-Clause", "BSL-1.0": "BSL-1.0", "CC-BY-4.0": "CC-BY-4.0",
+    "CC-BY-NC-4.0": "CC-BY-NC-4.0", "CC-BY-SA-4.0": "CC-BY-SA-4.0", "CC0-1.0": "CC0-1.0", "CDDL-1.0": "CDDL-1.0", "EPL-2.0": "EPL-2.0",
+    "GFDL-1.3-only": "GFDL-1.3", "GFDL-1.3-or-later": "GFDL-1.3", "GPL-2.0-only": "GPL-2.0-only", "GPL-2.0-or-later": "GPL-2.0", "GPL-3.0-only": "GPL-3.0",
+    "GPL-3.0-or-later": "GPL-3.0", "ISC": "ISC", "LGPL-2.1-only": "LGPL-2.1", "LGPL-2.1-or-later": "LGPL-2.1", "LGPL-3.0-only": "LGPL-3.0",
+    "LGPL-3.0-or-later": "LGPL-3.0", "MIT": "MIT", "MPL-2.0": "MPL-2.0", "PSF-2.0": "PSF-2.0", "Unlicense": "Unlicense", "Zlib": "Zlib",
+}
+SENTENCES |= {f"SPDX License Identifier {name}": f"spdx-{name}" for name in SPDX}
+#: What stands in a cut text for a numbered third clause. Signs of the text itself are gone by then.
+THIRD, THIRD_ID = "\x03", "bsd-third"
 #: Licences and the identifiers that must follow one another, in the order in which they are tried.
 ALONE = "alone"
 RULES = (
@@ -120,26 +147,44 @@ RULES = (
     ("CC-BY-SA-4.0", ("cc-by-sa4-notice",)),
     ("CC-BY-4.0", ("cc-by4-notice",)),
     ("Unlicense", ("unlicense-domain",)),
+    ("0BSD", ("0bsd-permission", "isc-as-is")),
+    ("Zlib", ("zlib-as-is", "zlib-permission")),
+    ("BSL-1.0", ("bsl1-text",)),
+    ("BSL-1.0", ("bsl1-notice",)),
+    ("CC0-1.0", ("cc0-text",)),
+    ("CC0-1.0", ("cc0-notice",)),
+    ("EPL-2.0", ("epl2-text",)),
+    ("EPL-2.0", ("epl2-notice",)),
+    ("CDDL-1.0", ("cddl1-text",)),
+    ("PSF-2.0", ("psf2-text",)),
+    ("Artistic-2.0", ("artistic2-text",)),
+    ("GFDL-1.3", ("gfdl1.3-text",)),
+    ("GFDL-1.3", ("gfdl1.3-notice",)),
+    *((license_name, (f"spdx-{name}",)) for name, license_name in SPDX.items()),
     ("All-rights-reserved", (ALONE, "rights-reserved")),
 )
 
 # What cuts and normalises a text, in order. A control character is the end of a sentence; ends are doubled, so
 # that two sentences that meet can have one each.
+SENTENCE_END = r"""[.!?:;]["')\]]*[\x20\x09-\x0D]+"""
+# A name goes to the end of its sentence; an abbreviation may end one, but no more than four of them.
 STEPS = (
-    (r"""[.!?:;]["')\]]*[\x20\x09-\x0D]+""", "\x01"),
+    (r"spdx-license-identifier:[ \t]*", "\nspdx license identifier "),
+    (SENTENCE_END, "\x01"),
     (r"[^\p{L}\p{N}\x01\n]+", " "),
     (r" ?\x01[ \x01\n]*", "\x01\x01"),
     (r" ?\n[ \n]*", "\n\n"),
     (r"^ +| +$", ""),
     (
-        r"neither[ \n]+the[ \n]+names?[ \n]+of[ \n]+[^\x02]{1,120}?[ \n\x01]+nor[ \n]+the[ \n]+names[ \n]+of[ \n]+(?:its|their|any)[ \n]+contributors",
+        r"neither[ \n]+the[ \n]+names?[ \n]+of[ \n]+[^\x01]+?(?:\x01\x01[^\x01]+?){0,4}?[ \n\x01]+nor[ \n]+the[ \n]+names[ \n]+of[ \n]+(?:its|their|any)[ \n]+contributors",
         "neither the name of the copyright holder nor the names of its contributors",
     ),
     (
-        r"the[ \n]+names?[ \n]+of[ \n]+[^\x01\x02]{1,120}?[ \n]+may[ \n]+not[ \n]+be[ \n]+used[ \n]+to[ \n]+endorse",
+        r"the[ \n]+names?[ \n]+of[ \n]+[^\x01]+?[ \n]+may[ \n]+not[ \n]+be[ \n]+used[ \n]+to[ \n]+endorse",
         "neither the name of the copyright holder nor the names of its contributors may be used to endorse",
     ),
-    (r"provided[ \n]+with[ \n]+the[ \n]+distribution\x01\x01 ?3\x01\x01", "provided with the distribution\x01\x01bsd third clause\x01\x01"),
+    (r"products[ \n]+derived[ \n]+from[ \n]+this[ \n]+(?:library|program|package)", "products derived from this software"),
+    (r"provided[ \n]+with[ \n]+the[ \n]+distribution\x01\x01 ?3\x01\x01", f"provided with the distribution\x01\x01{THIRD}\x01\x01"),
 )
 
 
@@ -150,11 +195,16 @@ def normalised(sentence: str) -> str:
 def known_sentences(sentences: Mapping[str, str]) -> dict[str, str]:
     """Normalised sentences and their identifiers."""
     for sentence in sentences:
-        if re.search(STEPS[0][0], sentence.strip() + "."):
+        if re.search(SENTENCE_END, sentence.strip() + "."):
             raise ValueError(f"more than one sentence: {sentence}")
     return {normalised(sentence): name for sentence, name in sentences.items()}
 
 
+def cut_sentences(sentences: Mapping[str, str]) -> dict[str, str]:
+    """What is looked for in a cut text: the sentences, and the third clause."""
+    return known_sentences(sentences) | {THIRD: THIRD_ID}
+
+
 def needed_words(sentences: Mapping[str, str]) -> list[str]:
     """Few words of which every sentence has one: the word that most sentences have, then of those without it."""
     left, chosen = [set(text.split()) for text in sentences], []
@@ -195,24 +245,27 @@ def scan_licenses(
 ) -> DataFrame:
     """``doc_id``, ``n_sentences`` (that are known), ``sentence_ids`` in order and ``licenses``."""
     known = known_sentences(sentences)
+    cut = cut_sentences(sentences)
     text = lower(F.coalesce(F.col("text"), F.lit("")))
     may_hold = F.lit(False)
     for word in needed_words(known):
         may_hold |= F.contains(text, F.lit(word))
-    ids = F.when(may_hold, _found(text, known)).otherwise(F.array().cast("array<string>"))
+    ids = F.when(may_hold, _found(text, cut)).otherwise(F.array().cast("array<string>"))
     # A generator, so that the text is cut once, whatever is asked of the result.
-    found = documents.select(F.col("doc_id").cast("long"), F.explode(F.array(ids)).alias("sentence_ids"))
-    rest = F.array_join(F.transform("sentence_ids", lambda name: F.concat(F.lit("<"), name, F.lit(">"))), "")
+    found = documents.select(F.col("doc_id").cast("long"), F.explode(F.array(ids)).alias("marks"))
+    rest = F.array_join(F.transform("marks", lambda name: F.concat(F.lit("<"), name, F.lit(">"))), "")
     held = []
     for name, identifiers in rules:
         pattern, others = rule_pattern(identifiers, "$")
         held.append(F.when(rest.rlike(pattern), F.lit(name)))
         rest = F.regexp_replace(rest, pattern, others)
-    licenses = F.when(F.size("sentence_ids") > 0, F.sort_array(F.array_distinct(F.array_compact(F.array(*held)))))
+    # nobody wrote the mark of a third clause
+    written = F.filter("marks", lambda name: name != THIRD_ID)
+    licenses = F.when(F.size("marks") > 0, F.sort_array(F.array_distinct(F.array_compact(F.array(*held)))))
     return found.select(
         "doc_id",
-        F.size("sentence_ids").cast("long").alias("n_sentences"),
-        "sentence_ids",
+        F.size(written).cast("long").alias("n_sentences"),
+        written.alias("sentence_ids"),
         F.coalesce(licenses, F.array().cast("array<string>")).alias("licenses"),
     )
 
@@ -223,13 +276,18 @@ def licenses_sql(sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
-    known = known_sentences(sentences)
+    def controls(text: str) -> str:
+        for sign in (1, 3, 10):
+            text = text.replace(chr(sign), f"' || chr({sign}) || '")
+        return text
+
+    known = cut_sentences(sentences)
     plain = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     for pattern, by in STEPS:
-        plain = f"regexp_replace({plain}, {quoted(pattern)}, {quoted(by).replace(chr(1), "' || chr(1) || '")}, 'g')"
-    pairs = ", ".join(f"{quoted(text)}: {quoted(name)}" for text, name in known.items())
+        plain = f"regexp_replace({plain}, {quoted(pattern)}, {controls(quoted(by))}, 'g')"
+    pairs = ", ".join(f"{controls(quoted(text))}: {quoted(name)}" for text, name in known.items())
     steps = [
-        f"cut AS (SELECT doc_id, regexp_extract_all({plain}, {quoted(sentence_pattern(known))}, 1) AS hits FROM documents)",
+        f"cut AS (SELECT doc_id, regexp_extract_all({plain}, {controls(quoted(sentence_pattern(known)))}, 1) AS hits FROM documents)",
         f"found AS (SELECT doc_id, list_transform(hits, lambda h: map_extract_value(MAP {{{pairs}}}, replace(h, chr(10) || chr(10), ' '))) AS ids FROM cut)",
         "s0 AS (SELECT doc_id, ids, coalesce('<' || array_to_string(ids, '><') || '>', '') AS rest, CAST([] AS VARCHAR[]) AS held FROM found)",
     ]
@@ -240,6 +298,6 @@ def licenses_sql(sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple
             f"CASE WHEN regexp_matches(rest, {quoted(pattern)}) THEN list_append(held, {quoted(name)}) ELSE held END AS held FROM s{i})"
         )
     return (
-        "WITH " + ",\n".join(steps) + "\nSELECT doc_id, CAST(len(ids) AS BIGINT) AS n_sentences, array_to_string(ids, ',') AS sentence_ids, "
-        f"array_to_string(list_sort(list_distinct(held)), ',') AS licenses FROM s{len(rules)}"
+        "WITH " + ",\n".join(steps) + f"\nSELECT doc_id, CAST(len(written) AS BIGINT) AS n_sentences, array_to_string(written, ',') AS sentence_ids, "
+        f"array_to_string(list_sort(list_distinct(held)), ',') AS licenses FROM (SELECT *, list_filter(ids, lambda name: name <> {quoted(THIRD_ID)}) AS written FROM s{len(rules)})"
     )
