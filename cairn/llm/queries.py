@@ -32,13 +32,14 @@ WITH bytes AS (
 ), rows_ AS (
     SELECT doc_id, source, size,
         xor(list_reduce(list_prepend(4294967295::BIGINT, b), lambda a, x: xor(a >> 8, {crc_table()}[(xor(a, x) & 255) + 1])), 4294967295) AS text_crc32,
-        coalesce('=' || source, '') AS stratum,
-        CAST('0x' || substr(md5('1|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS draw
+        coalesce('=' || source, '') AS stratum
     FROM bytes
+), drawn AS (
+    SELECT *, CAST('0x' || substr(md5('1|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || text_crc32 || '|' || size), 1, 15) AS BIGINT) AS draw FROM rows_
 ), placed AS (
     SELECT *, (row_number() OVER (PARTITION BY stratum ORDER BY draw, doc_id, text_crc32, size) - 1
         + CAST('0x' || substr(md5('2|' || stratum), 1, 15) AS BIGINT) / 1152921504606846976.0::DOUBLE) / count(*) OVER (PARTITION BY stratum) AS place
-    FROM rows_
+    FROM drawn
 ), sequence_ AS (
     SELECT *, row_number() OVER (ORDER BY place, draw, doc_id, text_crc32, size) - 1 AS position, count(*) OVER () AS total FROM placed
 )

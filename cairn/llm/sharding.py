@@ -7,7 +7,9 @@ the mixture of the whole (law ``rows``).
 
 No rank is found in one task: rows are dealt by a range of their random number (within the source),
 then by a range of their place, both of which spread any source evenly; prefix sums of the counts of
-these ranges give the offsets. Only ids, sizes and checksums are shuffled.
+these ranges give the offsets. The random number is drawn from id, checksum and size, so rows that share an
+id are spread as well; rows equal in all three are one row with a count until their ranks are known, and are
+taken apart in blocks. Only ids, sizes and checksums are shuffled.
 
 A null source is a source of its own; a null text has size 8 and the checksum of no bytes; a null id
 counts as empty text. Ties fall to id, checksum and size; rows equal in all of them are
@@ -20,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LEAST_RANGES = 512
+#: Equal rows that are taken apart together.
+BLOCK = 4096
 
 
 def draw(seed: int, value: Column) -> Column:
@@ -37,22 +41,28 @@ def shard_documents(documents: DataFrame, shards: int = 24, seed: int = 1, rows_
         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
         F.col(source).cast("string").alias("source"),
         F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")).alias("stratum"),
-        draw(seed, F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("draw"),
-    ).withColumn("bucket", F.shiftright(F.shiftright("draw", 20) * F.lit(ranges), 40))
+    )
+    identity = F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_crc32", "size")
+    # equal rows are interchangeable: one row with their number
+    rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")).withColumn("draw", draw(seed, identity))
+    rows = rows.withColumn("bucket", F.shiftright(F.shiftright("draw", 20) * F.lit(ranges), 40))
 
     ordered = Window.partitionBy("stratum").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (
-        rows.groupBy("stratum", "bucket").count()
+        rows.groupBy("stratum", "bucket").agg(F.sum("n").alias("count"))
         .withColumn("before", F.coalesce(F.sum("count").over(ordered), F.lit(0)))
         .withColumn("stratum_rows", F.sum("count").over(Window.partitionBy("stratum")))
         .withColumn("start", draw(seed + 1, F.col("stratum")) / F.lit(2.0**60))
         .drop("count")
     )
     ties = ["draw", "doc_id", "text_crc32", "size"]
-    within = Window.partitionBy("stratum", "bucket").orderBy(*ties)
+    within = Window.partitionBy("stratum", "bucket").orderBy(*ties).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = rows.join(buckets, ["stratum", "bucket"]).withColumn("first", F.col("before") + F.sum("n").over(within) - F.col("n"))
+    # blocks first, dealt anew, so that no task takes a large group apart alone
+    blocks = ranked.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(BLOCK).cast("long"))).alias("low")).repartition("draw", "low")
+    single = blocks.select("*", F.explode(F.sequence("low", F.least(F.col("low") + BLOCK, F.col("n")) - 1)).alias("copy"))
     placed = (
-        rows.join(buckets, ["stratum", "bucket"])
-        .withColumn("rank", F.col("before") + F.row_number().over(within) - 1)
+        single.withColumn("rank", F.col("first") + F.col("copy"))
         .withColumn("place", (F.col("rank") + F.col("start")) / F.col("stratum_rows"))
         .withColumn("band", F.least(F.floor(F.col("place") * ranges), F.lit(ranges - 1)))
     )

@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from brute import base_rules, cluster, components, contamination, crc, line_dedup, sha, unigram
+from brute_models import languages as plain_languages
+from brute_models import quality_scores
 from brute_trie import nodes as trie_nodes
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -98,6 +100,20 @@ def test_sharding_keeps_the_mixture(spark):
     assert all(abs(r["hot"] - 100) <= 3 for r in out)
 
 
+def test_sharding_splits_rows_that_share_an_id_or_everything(spark):
+    ids = F.when(F.col("id") % 3 > 0, F.lit(7)).otherwise(F.lit(None)).cast("long").alias("doc_id")
+    text = F.when(F.col("id") % 2 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("text")
+    docs = spark.range(30_000).select(ids, text, F.lit("s").alias("source"), F.lit(1).alias("n"), F.lit(2).alias("first"))
+    out = sharding.shard_documents(docs, shards=7)
+    found = out.groupBy("shard").agg(F.count("*").alias("n"), F.countDistinct("slot").alias("slots"), F.max("slot").alias("top")).collect()
+    assert len(found) == 7 and all(r["n"] == r["slots"] == r["top"] + 1 and abs(r["n"] - 30_000 / 7) < 1 for r in found)
+    want = Counter(map(tuple, docs.select("doc_id", F.crc32(F.col("text").cast("binary"))).collect()))
+    assert Counter((r["doc_id"], r["text_crc32"]) for r in out.collect()) == want
+    # rows of one id are dealt over many ranges
+    identity = F.concat_ws("|", F.lit("7"), F.crc32(F.col("text").cast("binary")), F.octet_length("text") + 8)
+    assert docs.where("doc_id = 7").select(F.shiftright(sharding.draw(1, identity), 50)).distinct().count() > 900
+
+
 def check_scores(out, rows):
     for doc, held, n, known, total, base in unigram(pairs(rows)):
         r = out[doc]
@@ -609,3 +625,22 @@ def test_pipeline_stages_do_what_the_plain_versions_do(spark, docs, odd, empty):
     for name, function in corpus_pipeline.STAGES:
         assert function(spark, empty, SF_DIR).count() == 0, name
         assert function(spark, odd, SF_DIR).count() <= odd.count(), name
+
+
+def test_quality_scores_equal_a_plain_discriminant(spark):
+    documents = [(r["doc_id"], r["text"]) for r in table(spark, "documents").collect()]
+    labels = [(r["doc_id"], r["quality"]) for r in table(spark, "labels").collect()]
+    want, out = quality_scores(documents, labels), by_id(queries.op9_quality_classifier(spark, SF_DIR))
+    assert set(out) == set(want)
+    for doc, score in want.items():
+        assert out[doc]["score"] == pytest.approx(score, rel=1e-6, abs=1e-9), doc
+        assert out[doc]["held_out"] == (crc(doc) % 4 == 2) and out[doc]["predicted"] == (out[doc]["score"] >= 0.7)
+
+
+def test_languages_equal_a_plain_viterbi(spark, rows):
+    documents = [(r["doc_id"], r["text"], r["lang"]) for r in table(spark, "documents").collect()]
+    out = by_id(queries.op10_languages(spark, SF_DIR))
+    for doc, (lang, score, n_spans) in plain_languages(documents, languages.SCRIPTS).items():
+        r = out[doc]
+        assert (r["lang_pred"], r["n_spans"], r["held_out"]) == (lang, n_spans, crc(doc) % 3 == 1), doc
+        assert r["score"] == pytest.approx(score, abs=1e-9), doc
