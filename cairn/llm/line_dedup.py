@@ -4,10 +4,10 @@ A line's key is the line without blanks at both ends and with A-Z in lower case.
 ``MIN_CHARS`` code points are held once: by the smallest doc_id that has them. All their lines in
 other documents go; other lines stay.
 
-Documents come in batches of ascending ids. ``LineRuns`` keeps the keys seen so far as runs, each a
-table bucketed and sorted by two 64-bit hashes of the key. A batch's distinct keys, gathered once by
-hash, are anti-joined with each run by merging, without moving the runs; what is left becomes a new
-run of level 0. As soon as a level has ``fan_in`` runs they are compacted into one of the next.
+The keys of all lines are made once and staged by batch, ranges of ascending ids. ``LineRuns`` keeps the keys seen so far
+as runs, each a table of one sorted file for each bucket of two 64-bit hashes. A batch's distinct keys, gathered
+once by hash, are anti-joined with each run by merging: the runs are neither moved nor sorted. What is left becomes a new
+run of level 0. As soon as a level has ``fan_in`` runs they are merged, bucket by bucket, into one of the next.
 
 Null and empty texts are one empty line. Documents with a null id come last and count as one. Rows
 with the same id are the same document. An empty table gives an empty result. A text that loses all
@@ -17,6 +17,8 @@ lines becomes empty. Other columns pass through, whatever their names.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,10 @@ def line_keys(documents: DataFrame) -> DataFrame:
     return keyed.select("ident", "version", "place", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"))
 
 
+#: Lets a scan of one sorted file for each bucket count as sorted.
+ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
+
 class LineRuns:
     """Keys with the smallest id that has them, given batches of ascending ids."""
 
@@ -56,20 +62,33 @@ class LineRuns:
         self.levels: list[list[tuple[str, str]]] = [[]]
 
     def add(self, keys: DataFrame) -> None:
-        new = keys.groupBy(*KEY).agg(F.min("ident").alias("owner"))
-        for level in self.levels:
-            for table, _ in level:
-                new = new.join(self.spark.table(table), KEY, "left_anti")
-        self._write(new, 0)
+        self._write(self.fresh(keys), 0)
         for number, level in enumerate(self.levels):
             if len(level) >= self.fan_in:
-                self._write(self._read(level), number + 1)
+                self._write(self.merged(level), number + 1)
                 for table, _ in level:
                     self.spark.sql(f"DROP TABLE {table}")
                 level.clear()
 
+    def fresh(self, keys: DataFrame) -> DataFrame:
+        """The distinct keys that no run has, with their smallest id."""
+        new = keys.groupBy(*KEY).agg(F.min("ident").alias("owner"))
+        for level in self.levels:
+            for table, _ in level:
+                new = new.join(self.spark.table(table).hint("merge"), KEY, "left_anti")
+        return new
+
+    def merged(self, runs: list[tuple[str, str]]) -> DataFrame:
+        """Runs of different keys as one, by merging their buckets."""
+        first, *others = (self.spark.table(table) for table, _ in runs)
+        for other in others:
+            both = first.join(other.withColumnRenamed("owner", "second").hint("merge"), KEY, "full_outer")
+            first = both.select(*KEY, F.coalesce("owner", "second").alias("owner"))
+        return first
+
     def owners(self) -> DataFrame:
-        return self._read([run for level in self.levels for run in level])
+        paths = [path for level in self.levels for _, path in level]
+        return self.spark.read.schema("h1 long, h2 long, owner long").parquet(*paths)
 
     def close(self) -> None:
         """Forgets the tables' names; their files stay for whoever still reads ``owners``."""
@@ -78,38 +97,52 @@ class LineRuns:
                 self.spark.sql(f"DROP TABLE {table}")
 
     def _write(self, run: DataFrame, level: int) -> None:
+        """A run's buckets are each in one task already, so each is one file."""
         if level == len(self.levels):
             self.levels.append([])
         name, path = f"line_run_{uuid.uuid4().hex}", scratch_path(self.spark, "line-run")
-        run.write.format("parquet").bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", path).saveAsTable(name)
+        with ordered_scans(self.spark):
+            run.write.format("parquet").bucketBy(self.buckets, *KEY).sortBy(*KEY).option("path", path).saveAsTable(name)
         self.levels[level].append((name, path))
 
-    def _read(self, runs: list[tuple[str, str]]) -> DataFrame:
-        return self.spark.read.schema("h1 long, h2 long, owner long").parquet(*(path for _, path in runs))
 
+@contextmanager
+def ordered_scans(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(ORDERED, None)
+    spark.conf.set(ORDERED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(ORDERED) if before is None else spark.conf.set(ORDERED, before)
 
-def in_batches(documents: DataFrame, batches: int) -> list[DataFrame]:
-    """Documents by ranges of their id, of about equal counts, in ascending order; null ids are in the last."""
+
+def batch_bounds(documents: DataFrame, batches: int) -> list[int]:
+    """Ids that part the documents into ranges of about equal counts."""
     shares = [k / batches for k in range(1, batches)]
     bounds = documents.select(F.percentile_approx("doc_id", shares, 10_000)).first()[0] if shares else None
-    bounds = sorted(set(bounds or []))
-    identifier = F.col("doc_id")
-    parts = []
-    for low, high in zip([None, *bounds], [*bounds, None], strict=True):
-        below = F.lit(True) if low is None else identifier > low
-        parts.append(documents.where(below & (identifier <= high)) if high is not None else documents.where(below | identifier.isNull()))
-    return parts
+    return sorted(set(bounds or []))
+
+
+def staged_keys(documents: DataFrame, bounds: list[int]) -> DataFrame:
+    """The keys of all lines, in a folder for each batch; a null id is in the last."""
+    batch = sum((F.col("ident") > F.lit(bound)).cast("int") for bound in bounds) if bounds else F.lit(0)
+    path = scratch_path(documents.sparkSession, "line-keys")
+    keys = line_keys(documents).withColumn("batch", batch)
+    keys.write.partitionBy("batch").parquet(path)
+    return documents.sparkSession.read.schema("ident long, version long, place int, h1 long, h2 long, batch int").parquet(path)
 
 
 def dedup_lines(documents: DataFrame, batches: int = 4, fan_in: int = 2) -> DataFrame:
     """``row`` (the document as a struct, with the lines it keeps as text), ``n_lines`` and ``n_dropped``."""
     runs = LineRuns(documents.sparkSession, fan_in)
-    for batch in in_batches(documents, batches):
-        runs.add(line_keys(batch))
+    bounds = batch_bounds(documents, batches)
+    keys = staged_keys(documents, bounds)
+    for number in range(len(bounds) + 1):
+        runs.add(keys.where(F.col("batch") == number))
     owners = runs.owners()
     runs.close()
     dropped = (
-        line_keys(documents).join(owners, KEY).where("owner < ident")
+        keys.join(owners, KEY).where("owner < ident")
         .groupBy("ident", "version").agg(F.collect_set("place").alias("dropped"))
     )
     text = F.coalesce(F.col("text"), F.lit(""))

@@ -498,6 +498,35 @@ def test_byte_pairs_on_random_letters(library):
         assert pairs_.decode(pairs_.encode(text)) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_line_runs_are_sorted_and_merge(spark):
+    runs = dedup.LineRuns(spark, fan_in=3)
+    keys = lambda low, high: spark.range(low, high).select(F.xxhash64("id").alias("h1"), F.xxhash64("id", "id").alias("h2"), F.col("id").alias("ident"))
+    for low, high in ((0, 2000), (1000, 2500)):
+        runs.add(keys(low, high).union(keys(low, high)))
+
+    def files(path):
+        return [name for name in os.listdir(path) if name.endswith(".parquet")]
+
+    def plan(df):
+        with dedup.ordered_scans(spark):
+            return df._jdf.queryExecution().executedPlan().toString()
+
+    assert [len(files(path)) for level in runs.levels for _, path in level] == [runs.buckets] * 2
+    anti = plan(runs.fresh(keys(0, 10)))
+    # the new keys are gathered and sorted once; neither run is
+    assert anti.count("SortMergeJoin") == 2 and anti.count("Exchange hashpartitioning") == 1 and anti.count("- Sort [") == 1
+    merge = plan(runs.merged(runs.levels[0]))
+    assert "FullOuter" in merge and "Exchange" not in merge and "Sort [" not in merge
+    runs.add(keys(2400, 4000))
+    assert [len(level) for level in runs.levels] == [0, 1]
+    assert len(files(runs.levels[1][0][1])) == runs.buckets
+    owners = {r["h1"]: r["owner"] for r in runs.owners().collect()}
+    assert owners == {r["h1"]: r["ident"] for r in keys(0, 4000).collect()}
+    runs.add(keys(3999, 4001))
+    assert runs.owners().count() == 4001
+    runs.close()
+
+
 def test_line_dedup(spark, docs, odd, empty, rows):
     want = {doc: rest for doc, *rest in line_dedup(pairs(rows))}
     for batches in (1, 3, 7):
