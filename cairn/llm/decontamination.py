@@ -8,6 +8,10 @@ A *window* is ``width`` (13) consecutive words of an item, or the whole item whe
 document word is hit when it lies inside any occurrence of a window. A document is contaminated when
 20 * hit words >= all words and any word is hit.
 
+Which items a document holds comes from the distinct windows found in it, so text that repeats itself costs no more
+than other text. ``matches`` has every longest passage that document and item share, with its places in both; where
+both repeat themselves these are as many as the ways to lay one over the other, so they are found on request only.
+
 The items are taken in blocks of at most ``BLOCK`` bytes of text (or one item): a block is what a
 task holds, and the documents pass each block in turn. Null and empty texts and items have no words
 and match nothing. Equal items are found together and count by their distinct ids; a null id is
@@ -16,7 +20,6 @@ written as ``null``. Repeated documents each get their own row. Other columns pa
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,9 +30,11 @@ from pyspark.sql.types import StructField, StructType
 from pyspark.sql.types import _parse_datatype_string as parse
 
 from cairn.llm.staging import stage
-from cairn.llm.texts import WORD_LIKE, Texts, chunks, sums, utf8
+from cairn.llm.texts import WORD_LIKE, Spans, Texts, chunks, utf8
 
 BLOCK = 16 << 20
+#: Pairs of a document and an item that are looked at together.
+PAIRS = 4_000_000
 WIDTH = 13
 MATCHES = "array<struct<item_id: string, doc_word: long, item_word: long, n_words: long>>"
 
@@ -66,6 +71,9 @@ class TestSuffixes:
         self.shortest = int(self.lengths.min(initial=width))
         order = np.argsort(same.reshape(-1), kind="stable")
         self.members, self.bounds = order, np.searchsorted(same.reshape(-1)[order], np.arange(len(table) + 1))
+        # the items of each distinct window, each once
+        held = np.unique(same.reshape(-1).astype(np.int64) * max(1, len(ids)) + self.item)
+        self.holders, self.held = held % max(1, len(ids)), np.searchsorted(held // max(1, len(ids)), np.arange(len(table) + 1))
         self.bits = int(len(self.vocabulary) + 1).bit_length()
         self.low = self.pack(table)
         beyond = (ahead >= self.lengths[:, None]) * ((1 << self.bits) - 1)
@@ -110,13 +118,13 @@ class TestSuffixes:
             high = np.where(open_ & ~up, middle, high)
         return low
 
-    def matches(self, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list]]:
-        """Words of each text, hit flags with their bounds, and each text's longest match with each item."""
+    def found(self, texts: Texts, passages: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[list[str]], list[list]]:
+        """Words of each text, hit flags with their bounds, the items of each text, and its longest passages with each."""
         words = texts.lower().words(WORD_LIKE)
-        found: list[list] = [[] for _ in range(len(texts))]
-        hit = np.zeros(len(words), bool)
+        items: list[list[str]] = [[] for _ in range(len(texts))]
+        matches: list[list] = [[] for _ in range(len(texts))]
         if not len(self.lengths) or not len(words):
-            return words.counts, hit, words.first, found
+            return words.counts, np.zeros(len(words), bool), words.first, items, matches
         hashes = words.hashes()
         near = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         numbers = np.where(self.vocabulary[near] == hashes, near + 1, 0)
@@ -126,7 +134,35 @@ class TestSuffixes:
         place = suffixes[rank]
         cover = np.bincount(place, minlength=len(words) + 1)
         cover -= np.bincount(place + self.lengths[window], minlength=len(words) + 1)
-        hit = np.cumsum(cover)[:-1] > 0
+        owner = np.searchsorted(words.first, place, "right") - 1
+        once = np.unique(owner * len(self.lengths) + window)
+        doc, window_of = once // len(self.lengths), once % len(self.lengths)
+        for part in self.portions(doc, np.diff(self.held)[window_of]):
+            which, pair = spans(self.held[window_of[part]], self.held[window_of[part] + 1])
+            for both in np.unique(doc[part][pair] * len(self.ids) + self.holders[which]).tolist():
+                items[both // len(self.ids)].append(self.ids[both % len(self.ids)])
+        if passages:
+            order = np.argsort(owner, kind="stable")
+            place, window, owner = place[order], window[order], owner[order]
+            for part in self.portions(owner, np.diff(self.bounds)[window]):
+                self.passages(words, place[part], window[part], matches)
+        return words.counts, np.cumsum(cover)[:-1] > 0, words.first, items, matches
+
+    @staticmethod
+    def portions(doc: np.ndarray, sizes: np.ndarray) -> Iterator[slice]:
+        """Cuts rows sorted by document so that each part holds whole documents of at most ``PAIRS`` in all, or one."""
+        ends = np.append(np.flatnonzero(doc[1:] != doc[:-1]) + 1, len(doc)) if len(doc) else []
+        total, low, last = np.append(0, np.cumsum(sizes)), 0, 0
+        for end in ends:
+            if last > low and total[end] - total[low] > PAIRS:
+                yield slice(low, last)
+                low = last
+            last = int(end)
+        if last > low:
+            yield slice(low, last)
+
+    def passages(self, words: Spans, place: np.ndarray, window: np.ndarray, matches: list[list]) -> None:
+        """Joins windows that follow one another in a text and in an item."""
         which, pair = spans(self.bounds[window], self.bounds[window + 1])
         test = self.members[which]
         place, width = place[pair], self.lengths[window[pair]]
@@ -139,13 +175,9 @@ class TestSuffixes:
         first = np.flatnonzero(fresh)
         last = np.append(first[1:], len(place)) - 1
         size = place[last] + width[last] - place[first] if len(first) else first
-        best: dict[tuple[int, int], tuple] = {}
-        for doc, item, at, there, n in zip(owner[first], self.item[test[first]], place[first] - words.first[owner[first]], self.at[test[first]], size, strict=True):
-            if n > best.get((doc, item), (0,))[0]:
-                best[doc, item] = (int(n), int(at), int(there))
-        for (doc, item), (n, at, there) in best.items():
-            found[doc].append({"item_id": self.ids[item], "doc_word": at, "item_word": there, "n_words": n})
-        return words.counts, hit, words.first, found
+        columns = (owner[first], self.item[test[first]], place[first] - words.first[owner[first]], self.at[test[first]], size)
+        for doc, item, at, there, n in zip(*(x.tolist() for x in columns), strict=True):
+            matches[doc].append({"item_id": self.ids[item], "doc_word": at, "item_word": there, "n_words": n})
 
 
 def blocks(benchmark: DataFrame, width: int, limit: int) -> Iterator[TestSuffixes]:
@@ -161,10 +193,10 @@ def blocks(benchmark: DataFrame, width: int, limit: int) -> Iterator[TestSuffixe
     yield TestSuffixes(ids, items, width)
 
 
-def find_matches(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, block: int = BLOCK) -> DataFrame:
-    """``row`` (the whole document as a struct), ``n_words``, ``n_hit``, ``matches``, ``items``, ``contaminated``."""
+def find_matches(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, block: int = BLOCK, passages: bool = True) -> DataFrame:
+    """``row`` (the whole document as a struct), ``n_words``, ``n_hit``, ``items``, ``contaminated`` and, with ``passages``, ``matches``."""
     spark = documents.sparkSession
-    state = f"n_words long, n_hit long, hits binary, matches {MATCHES}"
+    state = f"n_words long, n_hit long, hits binary, items array<string>, matches {MATCHES}"
     schema = StructType([StructField("row", documents.schema), *parse(state).fields])
     arrow = pa.list_(pa.struct([("item_id", pa.string()), ("doc_word", pa.int64()), ("item_word", pa.int64()), ("n_words", pa.int64())]))
     df = documents.select(F.struct("*").alias("row"), *(F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields[1:]))
@@ -177,22 +209,28 @@ def find_matches(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH,
         def run(batches, shared=shared):
             test = shared.value
             for batch, texts in chunks(batches):
-                n_words, hit, first, found = test.matches(texts)
+                n_words, hit, first, items, matches = test.found(texts, passages)
                 hits = []
-                for i, (before, known) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+                before = [batch.column(k).to_pylist() for k in (3, 4, 5)]
+                for i, (known, had, shown) in enumerate(zip(*before, strict=True)):
                     own = np.packbits(hit[first[i] : first[i + 1]])
-                    hits.append(own if before is None else own | np.frombuffer(before, np.uint8))
-                    found[i] = (known or []) + found[i]
+                    hits.append(own if known is None else own | np.frombuffer(known, np.uint8))
+                    items[i] = (had or []) + items[i]
+                    matches[i] = (shown or []) + matches[i]
                 n_hit = np.array([np.bitwise_count(x).sum() for x in hits], np.int64)
-                arrays = [batch.column(0), pa.array(n_words), pa.array(n_hit), pa.array([x.tobytes() for x in hits], pa.binary()), pa.array(found, arrow)]
+                arrays = [
+                    batch.column(0), pa.array(n_words), pa.array(n_hit), pa.array([x.tobytes() for x in hits], pa.binary()),
+                    pa.array(items, pa.list_(pa.string())), pa.array(matches, arrow),
+                ]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
         df = df.select("*", F.col("row.text").cast("binary").alias("text")).mapInArrow(run, schema)
         if suffixes is not None:
             df = stage(df, "decontamination")
-    return df.drop("hits").withColumns(
+    found = df.drop("hits") if passages else df.drop("hits", "matches")
+    return found.withColumns(
         {
-            "items": F.array_sort(F.array_distinct(F.col("matches.item_id"))),
+            "items": F.array_sort(F.array_distinct("items")),
             "contaminated": (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")),
         }
     )

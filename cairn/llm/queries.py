@@ -139,7 +139,7 @@ FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 
 @query(OP8)
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontamination.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), passages=False)
     return found.select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated",

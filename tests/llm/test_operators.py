@@ -598,6 +598,26 @@ def test_decontamination(spark, docs, odd, empty, rows, block):
     assert decontamination.find_matches(docs, benchmark.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_every_passage_is_found_with_its_places(spark):
+    words = [f"w{k}" for k in range(60)]
+    text = " ".join([*words[:20], "x", *words[5:30], "y", *words[:15], *words[40:60]])
+    items = [("a", " ".join(words)), ("b", " ".join(words[2:18])), ("c", "short one")]
+    docs = spark.createDataFrame([(1, text), (2, "a short one here")], "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    out = {r["row"]["doc_id"]: r for r in decontamination.find_matches(docs, benchmark).collect()}
+    found = sorted((m["item_id"], m["doc_word"], m["item_word"], m["n_words"]) for m in out[1]["matches"])
+    assert found == [("a", 0, 0, 20), ("a", 21, 5, 25), ("a", 47, 0, 15), ("a", 62, 40, 20), ("b", 2, 0, 16), ("b", 21, 3, 13), ("b", 49, 0, 13)]
+    assert [tuple(m) for m in out[2]["matches"]] == [("c", 1, 0, 2)] and "matches" not in decontamination.find_matches(docs, benchmark, passages=False).columns
+
+
+def test_texts_and_items_that_repeat_themselves(spark):
+    docs = spark.createDataFrame([(1, "a " * 300_000), (2, "b"), (3, "a " * 12)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, "a " * 5000) for k in range(30)], "item_id long, text string")
+    out = {r["doc_id"]: r for r in decontamination.find_matches(docs, benchmark, passages=False).select("row.doc_id", "n_hit", "items", "contaminated").collect()}
+    assert out[1]["n_hit"] == 300_000 and len(out[1]["items"]) == 30 and out[1]["contaminated"]
+    assert [(out[k]["n_hit"], out[k]["items"], out[k]["contaminated"]) for k in (2, 3)] == [(0, [], False)] * 2
+
+
 def test_quality_classifier(spark, docs, odd, empty):
     out = queries.op9_quality_classifier(spark, SF_DIR).collect()
     labels = {r["doc_id"]: r["quality"] for r in table(spark, "labels").collect()}
