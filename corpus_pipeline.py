@@ -45,7 +45,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than a twentieth are benchmark passages."""
-    found = decontamination.find_matches(docs, table(spark, sf_dir, "benchmark"))
+    found = decontamination.find_matches(docs, table(spark, sf_dir, "benchmark"), passages=False)
     return found.where(~F.col("contaminated")).select("row.*")
 
 
