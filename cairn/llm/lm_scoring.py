@@ -45,8 +45,8 @@ LISTED = CLUSTERS * MEMBERS
 OUTCOMES = CLUSTERS + SUFFIXES + PIECES
 BEGIN = LISTED + SUFFIXES + PIECES
 WINDOW, STRIDE, WIDTH = 32, 24, 16
-BATCH = 128
-CHUNK = 16 << 20
+BATCH = 256
+CHUNK = 32 << 20
 #: Sequences of four bytes that the spelling keeps.
 SPELLED = 1 << 18
 _U = np.uint64
@@ -73,7 +73,7 @@ def _keys(hashes: np.ndarray, spans: Spans, kinds: np.ndarray | int) -> np.ndarr
 @dataclass
 class Units:
     """``tokens`` are keys of words and ends, ``keys`` those of the units; both have bounds by text. ``spans`` are the units
-    without the ends, and ``last`` says which of them end their word."""
+    without the ends, and ``last`` says which of them end their word. ``head`` has the place of each token's first unit."""
 
     tokens: np.ndarray
     token_bounds: np.ndarray
@@ -81,6 +81,7 @@ class Units:
     bounds: np.ndarray
     spans: Spans
     last: np.ndarray
+    head: np.ndarray
 
 
 def units(texts: Texts) -> Units:
@@ -99,7 +100,10 @@ def units(texts: Texts) -> Units:
         pieces = Spans(words.texts, spans.start[cut], spans.length[cut], np.array([0, len(cut)]))
         keys[cut] = _keys(mix(pieces.hashes() + _ODD[50] * (last[cut].astype(_U) + _U(1))), pieces, SUBWORD)
     ends = np.arange(len(words.first))
-    return Units(np.insert(tokens, words.first[1:], END), words.first + ends, np.insert(keys, first[1:], END), first + ends, spans, last)
+    wide = np.insert(many, words.first[1:], 1)
+    return Units(
+        np.insert(tokens, words.first[1:], END), words.first + ends, np.insert(keys, first[1:], END), first + ends, spans, last, np.cumsum(wide) - wide
+    )
 
 
 def class_of(keys: np.ndarray) -> np.ndarray:
@@ -111,18 +115,20 @@ def class_of(keys: np.ndarray) -> np.ndarray:
 def quads(spans: Spans, chosen: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Codes of each byte of the chosen spans with the three before it, a blank before the first and, where it is the
     last of its word, one after it; and their bounds by span."""
-    start, length = spans.start[chosen], spans.length[chosen] + last[chosen]
+    start, size, closed = spans.start[chosen], spans.length[chosen], last[chosen].astype(np.int64)
+    # each span with two zeros and a blank in front, and room for a blank behind
+    wide = size + closed + 3
+    first = np.cumsum(wide) - wide
+    row = np.zeros(int(wide.sum()) + 3, np.uint32)
+    row[first + 2] = 0x20
+    row[(first + 3 + size)[closed > 0]] = 0x20
+    inside = np.cumsum(size) - size
+    step = np.arange(int(size.sum()))
+    row[step + np.repeat(first + 3 - inside, size)] = spans.texts.data[step + np.repeat(start - inside, size)]
+    code = row[:-3] << np.uint32(24) | row[1:-2] << np.uint32(16) | row[2:-1] << np.uint32(8) | row[3:]
+    length = size + closed
     bounds = np.concatenate([[0], np.cumsum(length)])
-    of = np.repeat(np.arange(len(chosen)), length)
-    at = np.arange(len(of)) - bounds[of]
-    data = spans.texts.data
-    code = np.zeros(len(of), np.int64)
-    for back in range(3, -1, -1):
-        place = at - back
-        inside = (place >= 0) & (place < spans.length[chosen][of])
-        byte = np.where(inside, data[np.minimum(start[of] + np.maximum(place, 0), len(data) - 1)], np.where((place == -1) | (place >= 0), 0x20, 0))
-        code = code << 8 | byte
-    return code, bounds
+    return code[np.arange(bounds[-1]) + np.repeat(first - bounds[:-1], length)].astype(np.int64), bounds
 
 
 def totals(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -296,12 +302,21 @@ def attend(w: dict[str, np.ndarray], before: np.ndarray) -> tuple[np.ndarray, ..
     return x + np.matmul(a, v), x, q, k, v, a
 
 
-def log_softmax(logits: np.ndarray) -> np.ndarray:
+def softmax(logits: np.ndarray) -> np.ndarray:
     logits -= logits.max(1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(1, keepdims=True))
+    np.exp(logits, out=logits)
+    logits *= 1 / logits.sum(1, keepdims=True)
     return logits
 
 
+def log_picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Natural log of the softmax at one place of each row."""
+    logits -= logits.max(1, keepdims=True)
+    picked = logits[np.arange(len(at)), at]
+    np.exp(logits, out=logits)
+    return picked - np.log(logits.sum(1))
+
+
 def outcome_of(ids: np.ndarray) -> np.ndarray:
     return np.where(ids < LISTED, ids // MEMBERS, ids - LISTED + CLUSTERS)
 
@@ -319,9 +334,9 @@ def by_cluster(ids: np.ndarray):
 
 def log_chances(w: dict[str, np.ndarray], h: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Natural log probability of cluster and member, or of the class, of each target, given its state."""
-    out = log_softmax(h @ w["out"] + w["bias"])[np.arange(len(ids)), outcome_of(ids)]
+    out = log_picked(h @ w["out"] + w["bias"], outcome_of(ids))
     for number, at, member in by_cluster(ids):
-        out[at] += log_softmax(h[at] @ w["inner"][number] + w["inner_bias"][number])[np.arange(len(at)), member]
+        out[at] += log_picked(h[at] @ w["inner"][number] + w["inner_bias"][number], member)
     return out
 
 
@@ -331,16 +346,17 @@ def gradient(w: dict[str, np.ndarray], before: np.ndarray, target: np.ndarray, r
     kept = np.flatnonzero(real.ravel())
     flat, ids = h.reshape(-1, WIDTH)[kept], target.ravel()[kept]
     scale = np.float32(1 / max(1, len(kept)))
-    g = np.exp(log_softmax(flat @ w["out"] + w["bias"]))
+    g = softmax(flat @ w["out"] + w["bias"])
     g[np.arange(len(ids)), outcome_of(ids)] -= 1
     g *= scale
     out = {"out": flat.T @ g, "bias": g.sum(0), "inner": np.zeros_like(w["inner"]), "inner_bias": np.zeros_like(w["inner_bias"])}
     back = g @ w["out"].T
     for number, at, member in by_cluster(ids):
-        g = np.exp(log_softmax(flat[at] @ w["inner"][number] + w["inner_bias"][number]))
+        state = flat[at]
+        g = softmax(state @ w["inner"][number] + w["inner_bias"][number])
         g[np.arange(len(at)), member] -= 1
         g *= scale
-        out["inner"][number] = flat[at].T @ g
+        out["inner"][number] = state.T @ g
         out["inner_bias"][number] = g.sum(0)
         back[at] += g @ w["inner"][number].T
     dh = np.zeros((h.size // WIDTH, WIDTH), h.dtype)
@@ -397,8 +413,8 @@ def train(training: DataFrame, words: Vocabulary, rate: float = 0.01) -> np.ndar
             ids = identify(cut.keys)
             low, begin, high = tiles(cut.bounds)
             order = np.random.default_rng([len(ids), int(cut.tokens[0] & 0xFFFFFFFF)]).permutation(len(begin))
-            # a small text still makes a few dozen steps
-            many = max(16, min(BATCH, len(order) // 90))
+            # little text still makes a few dozen steps
+            many = max(16, min(BATCH, len(order) // 60))
             for at in range(0, len(order), many):
                 part = order[at : at + many]
                 g = gradient(split(weights), *windows(ids, low[part], begin[part], high[part]))
@@ -430,8 +446,8 @@ def score_windows(weights: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> n
     step = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
     start, low, high = bounds[of] + STRIDE * step, bounds[of], bounds[of + 1]
     places = np.arange(WINDOW)
-    for at in range(0, len(of), 2 * BATCH):
-        part = slice(at, at + 2 * BATCH)
+    for at in range(0, len(of), BATCH):
+        part = slice(at, at + BATCH)
         before, target, real = windows(ids, low[part], start[part], high[part])
         fresh = real & ((places >= WINDOW - STRIDE) | (step[part] == 0)[:, None])
         out[(start[part][:, None] + places)[fresh]] = log_chances(w, attend(w, before)[0][fresh], target[fresh])
@@ -496,7 +512,7 @@ def asked(staged: DataFrame, words: Vocabulary) -> DataFrame:
                 chunk = int(numbers[low])
                 for _, texts in chunks([batch.slice(low, high - low)]):
                     cut = units(texts)
-                    keys = np.unique(np.concatenate([cut.tokens, cut.keys]))
+                    keys = np.unique(np.concatenate([cut.tokens[(cut.tokens & 3) == LONG_WORD], cut.keys]))
                     held.append(keys[~found_in(shared.value, keys)[0]])
         if held:
             yield rows()
@@ -518,11 +534,13 @@ def score_texts(texts: Texts, words: Vocabulary, weights: np.ndarray, keys: np.n
         out = np.where(there, n[where], 0) if len(n) else np.zeros(len(wanted), np.int64)
         return np.where(listed, words.counts[place], out) if len(words.keys) else out
 
-    tokens = counted(cut.tokens)
-    ids = words.identify(cut.keys)
+    ids, of_units = words.identify(cut.keys), counted(cut.keys)
+    # a token of one unit is that unit
+    tokens, long = of_units[cut.head], np.flatnonzero((cut.tokens & 3) == LONG_WORD)
+    tokens[long] = counted(cut.tokens[long])
     chance = score_windows(weights, ids, cut.bounds).astype(float)
     other = np.flatnonzero(ids >= LISTED)
-    share, kind = counted(cut.keys[other]), ids[other] - LISTED
+    share, kind = of_units[other], ids[other] - LISTED
     chance[other] += np.where(share > 0, np.log(np.maximum(share, 1)) - words.whole[kind], words.unseen[kind])
     new = other[share == 0]
     if len(new):
