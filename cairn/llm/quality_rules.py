@@ -4,12 +4,15 @@ A text is kept when it passes the base rules (enough words, few repeated ones) a
 sequence of its lines, found by Viterbi decoding, gives content at least half of its words.
 
 The field has one weight for each line feature and one for each pair of neighbouring labels. It is
-fitted by conditional likelihood on the lines of a bounded sample of labelled documents (``sample``
-of them, chosen by the hash of their id): lines of a good document count as content, lines of a bad
-one as boilerplate. Features, base rules and decoding see all lines of all documents.
+fitted by conditional likelihood on the lines of a bounded sample of labelled documents: at most ``sample`` of them,
+chosen by the hash of id and text among those of at most ``LONGEST`` lines, and at most ``LINES`` lines in all. Lines of a
+bad document count as boilerplate. So do, in a good one, lines that would fail on their own: those the text has had
+already, those mostly made of repeated windows, and those full of symbols; its other lines are content. Labels thus change
+inside documents, and the field learns how they follow one another. Features are computed in tasks; the driver gets
+nine numbers a line. Features, base rules and decoding see all lines of all documents.
 
 Null and empty texts have no words, so they fail the base rules. Repeated rows are scored each on
-its own. Without labelled documents every weight is 0: ties go to content. Columns other than id and
+its own, and learned from once. Of several labels of an id the largest counts. Without labelled documents every weight is 0: ties go to content. Columns other than id and
 text are ignored.
 """
 
@@ -32,6 +35,10 @@ _STOP[list(b"!?;:=_~^/\\{}[]@+")] = True
 _CLOSE[list(b".?!")] = True
 WINDOW = 8
 FEATURES = 9
+#: Places of two features: symbols times four, and words in repeated windows plus one for a line had already.
+SYMBOLIC, REPEATED = 3, 7
+#: Bounds of the sample: lines of a document, and of all.
+LONGEST, LINES = 1000, 100_000
 
 
 @dataclass(frozen=True)
@@ -134,13 +141,16 @@ def decode(field: LineField, features: np.ndarray, first: np.ndarray) -> np.ndar
     return content
 
 
-def fit(features: np.ndarray, first: np.ndarray, labels: np.ndarray, rounds: int = 150, ridge: float = 1e-2) -> LineField:
+def seeds(quality: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Labels to learn from: 1 for the lines of good documents that would not fail on their own."""
+    return ((quality == 1) & (features[:, REPEATED] <= 0.3) & (features[:, SYMBOLIC] <= 4 * 0.1)).astype(int)
+
+
+def fit(features: np.ndarray, first: np.ndarray, truth: np.ndarray, rounds: int = 150, ridge: float = 1e-2) -> LineField:
     """Gradient ascent on the conditional likelihood of the lines' labels, by forward and backward sums."""
     weights, pairs = np.zeros(FEATURES), np.zeros((2, 2))
     steps = _columns(first)
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    truth = labels[owner]
-    n_lines, n_texts = max(len(truth), 1), max(len(first) - 1, 1)
+    n_lines = max(len(truth), 1)
     follows = np.zeros((2, 2))
     inner = np.ones(len(truth), bool)
     inner[first[:-1][np.diff(first) > 0]] = False
@@ -165,22 +175,33 @@ def fit(features: np.ndarray, first: np.ndarray, labels: np.ndarray, rounds: int
     return LineField(weights, pairs)
 
 
-def fit_lines(documents: DataFrame, labels: DataFrame, sample: int = 2000) -> LineField:
-    """Fits the field on at most ``sample`` labelled documents, those whose id hashes lowest."""
+def fit_lines(documents: DataFrame, labels: DataFrame, sample: int = 2000, longest: int = LONGEST, most: int = LINES) -> LineField:
+    """Fits the field on the sample."""
     chosen = (
         labels.where("quality is not null and doc_id is not null")
-        .groupBy("doc_id").agg(F.max("quality").alias("quality"))
+        .groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    rows = documents.select("doc_id", utf8()).join(F.broadcast(chosen), "doc_id").select("text", "quality")
-    table = pa.Table.from_pandas(rows.toPandas(), schema=pa.schema([("text", pa.binary()), ("quality", pa.int32())]))
-    parts, counts, truth = [np.zeros((0, FEATURES))], [0], [np.zeros(0, int)]
-    for batch, texts in chunks(table.to_batches()):
-        _, features, lines, _ = measure(texts)
+
+    def describe(batches):
+        for batch, texts in chunks(batches):
+            _, features, lines, _ = measure(texts)
+            rows = [features[a:b].ravel() if b - a <= longest else None for a, b in zip(lines.first, lines.first[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(rows, pa.list_(pa.float64()))], names=["place", "quality", "features"])
+
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = documents.select("doc_id", F.xxhash64("doc_id", text).alias("place"), utf8()).join(F.broadcast(chosen), "doc_id")
+    described = rows.select("place", "quality", "text").mapInArrow(describe, "place long, quality int, features array<double>").where("features is not null")
+    parts, counts, truth, total = [np.zeros((0, FEATURES))], [0], [np.zeros(0, int)], 0
+    for row in described.groupBy("place").agg(F.first("quality").alias("quality"), F.first("features").alias("features")).orderBy("place").limit(sample).toLocalIterator():
+        features = np.array(row["features"]).reshape(-1, FEATURES)
+        if total + len(features) > most:
+            break
+        total += len(features)
         parts.append(features)
-        counts.extend(lines.counts)
-        truth.append(np.asarray(batch.column(1)).astype(int))
-    return fit(np.concatenate(parts), np.cumsum(counts), np.concatenate(truth))
+        counts.append(total)
+        truth.append(seeds(np.full(len(features), row["quality"]), features))
+    return fit(np.concatenate(parts), np.array(counts), np.concatenate(truth))
 
 
 SCHEMA = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double, n_lines long, n_content_lines long"

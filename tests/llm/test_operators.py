@@ -455,6 +455,24 @@ def test_quality_rules(spark, docs, odd, empty, rows):
     assert all(r["kept"] != r["base_failed"] for r in quality_rules.quality_rules(docs, untaught).collect())
 
 
+def test_line_fields_learn_changes_inside_documents(spark):
+    rng = random.Random(6)
+    prose = lambda: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(12)) + "."
+    junk = "### $$$ ||| *** {} &&& <<>> ###"
+    good = [(i, "\n".join([prose() for _ in range(6)] + [junk.format(k) for k in range(4)])) for i in range(40)]
+    bad = [(100 + i, "\n".join(junk.format(f"{i}{k}") for k in range(8))) for i in range(40)]
+    docs = spark.createDataFrame([*good, *bad, good[0], (500, "x\n" * 5000), (None, "y")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i, _ in good] + [(i, 0) for i, _ in bad] + [(500, 1), (500, 0), (1, None), (None, 1)], "doc_id long, quality int")
+    field = quality_rules.fit_lines(docs, labels)
+    # both labels are kept rather than changed, and a change is no rarer than the sample has it
+    assert field.transition[0, 0] + field.transition[1, 1] > field.transition[0, 1] + field.transition[1, 0]
+    out = by_id(quality_rules.quality_rules(docs, field))
+    assert all((out[i]["n_content_lines"], out[i]["kept"]) == (6, True) for i, _ in good)
+    assert all(out[i]["n_content_lines"] == 0 and not out[i]["kept"] for i, _ in bad)
+    few = quality_rules.fit_lines(docs, labels, most=30)
+    assert np.isfinite(few.emission).all() and (quality_rules.fit_lines(docs, labels, longest=0).emission == 0).all()
+
+
 def test_viterbi_finds_the_best_sequence():
     rng = np.random.default_rng(3)
     for _ in range(30):
