@@ -67,8 +67,8 @@ def test_one_new_partition_costs_the_same_beside_thousands(spark, database):
         assert read_table(spark, database, "many").where("region = 'new'").count() == 1
         return took
 
-    few, thousands = min(seconds(1) for _ in range(3)), min(seconds(3000) for _ in range(2))
-    # a repair looks for 3,000 folders; this looks for none
+    few, thousands = min(seconds(1) for _ in range(2)), seconds(2000)
+    # a repair looks for 2,000 folders; this looks for none
     assert thousands < few + 0.5
 
 
