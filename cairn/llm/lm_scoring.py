@@ -17,8 +17,9 @@ use; how words are spelled; and the weights. Every task takes its training docum
 each of them whole, so that every unit is a target once, in a seeded order; the tasks' weights are averaged, weighted by
 their number of windows. The first weights give every unit its frequency.
 
-Texts are staged in chunks of ``CHUNK`` bytes or one text. A chunk asks for the counts of its distinct units without ids,
-one row each, by a join; what comes back meets the chunk's texts, so the rows grow with the input and nothing else.
+Texts are staged in chunks of ``CHUNK`` bytes or one text. A chunk's distinct units are staged as well, one row each with
+what the chunk adds to its count. A join gives every chunk the whole counts of its units, which meet its texts; so the rows
+grow with the input and nothing else.
 
 The base score is that of the words' counts alone. A null text is empty: its only token is the end. A null id counts as
 empty text for the hold-out. Repeated rows are scored each on its own. With no training documents all counts are 0.
@@ -149,33 +150,52 @@ def found_in(sorted_keys: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.
 # ---- what the corpus tells -----------------------------------------------------------------------------------------
 
 
-def count_units(training: DataFrame) -> DataFrame:
-    """``key``, ``n``: training counts of all words, ends and subwords, and how often byte quads spell the words of a piece of text."""
+def unit_rows(staged: DataFrame) -> DataFrame:
+    """``chunk``, ``key``, ``n``: every distinct word, subword and end of each chunk of texts, and how often its training documents
+    have it, perhaps never. Chunk -1 has byte quads: how often they spell the words of two megabytes of training text."""
 
     def run(batches):
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+        chunk, held, spelled = None, [], []
 
-        def merged():
-            return totals(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        def rows(number, parts):
+            keys, n = totals(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), number, np.int64)), pa.array(keys), pa.array(n)], names=["chunk", "key", "n"])
 
-        for _, texts in chunks(batches):
-            cut = units(texts)
-            tokens = np.concatenate([cut.tokens, cut.keys[(cut.keys & 3) == SUBWORD]])
-            kinds, at = np.unique(cut.keys[cut.keys != END], return_index=True)
-            codes, _ = quads(cut.spans, at, cut.last)
-            held += [totals(tokens, np.ones(len(tokens), np.int64)), totals(codes << 2, np.ones(len(codes), np.int64))]
-            size += len(held[-2][0]) + len(held[-1][0])
-            if size > 2_000_000:
-                held = [merged()]
-                size = len(held[0][0])
-                if size > 1_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in held[0]], names=["key", "n"])
-                    held, size = [], 0
+        # a chunk's rows come one after the other, as they were staged; if they come in parts, each part is rows of its own
+        for batch in batches:
+            numbers = batch.column(0).to_numpy()
+            bounds = np.append(np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])), len(numbers)) if len(numbers) else []
+            for low, high in zip(bounds, bounds[1:], strict=False):
+                if held and chunk != numbers[low]:
+                    yield rows(chunk, held)
+                    held = []
+                chunk = int(numbers[low])
+                for part, texts in chunks([batch.slice(low, high - low)]):
+                    cut, learned = units(texts), ~part.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                    # short words and ends are tokens and units at once
+                    long = np.flatnonzero((cut.tokens & 3) == LONG_WORD)
+                    of_unit = np.repeat(learned, np.diff(cut.bounds))
+                    of_token = np.repeat(learned, np.diff(cut.token_bounds))[long]
+                    held.append(totals(np.concatenate([cut.keys, cut.tokens[long]]), np.concatenate([of_unit, of_token]).astype(np.int64)))
+                    spoken = cut.keys != END
+                    _, at = np.unique(np.where(of_unit, cut.keys, END)[spoken], return_index=True)
+                    at = at[of_unit[spoken][at]]
+                    codes, _ = quads(cut.spans, at, cut.last)
+                    spelled.append(totals(codes << 2, np.ones(len(codes), np.int64)))
+            if sum(len(x) for x, _ in spelled) > 2_000_000:
+                yield rows(-1, spelled)
+                spelled = []
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["key", "n"])
+            yield rows(chunk, held)
+        if spelled:
+            yield rows(-1, spelled)
+
+    return stage(staged.select("chunk", "held_out", "text").mapInArrow(run, "chunk long, key long, n long"), "units")
 
-    return stage(training.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "unit-counts")
+
+def count_units(rows: DataFrame) -> DataFrame:
+    """``key``, ``n``: training counts of all words, ends, subwords and byte quads."""
+    return stage(rows.where("n > 0").groupBy("key").agg(F.sum("n").alias("n")), "unit-counts")
 
 
 class Spelling:
@@ -462,6 +482,7 @@ class Model:
     words: Vocabulary
     weights: np.ndarray
     counts: DataFrame
+    rows: DataFrame
 
 
 def staged_texts(documents: DataFrame) -> DataFrame:
@@ -484,48 +505,18 @@ def staged_texts(documents: DataFrame) -> DataFrame:
 
 
 def fit(staged: DataFrame) -> Model:
-    training = staged.where("not held_out")
-    counts = count_units(training)
+    rows = unit_rows(staged)
+    counts = count_units(rows)
     words = vocabulary(counts)
-    return Model(words, train(training, words), counts)
-
-
-def asked(staged: DataFrame, words: Vocabulary) -> DataFrame:
-    """``chunk``, ``key``: the distinct words and units of each chunk that have no id."""
-    shared = staged.sparkSession.sparkContext.broadcast(words.keys)
-
-    def run(batches):
-        # a chunk's rows come one after the other, as they were staged; if they come in parts, each part asks
-        chunk, held = None, []
-
-        def rows():
-            keys = np.unique(np.concatenate(held))
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk)), pa.array(keys)], names=["chunk", "key"])
-
-        for batch in batches:
-            numbers = batch.column(0).to_numpy()
-            bounds = np.append(np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])), len(numbers)) if len(numbers) else []
-            for low, high in zip(bounds, bounds[1:], strict=False):
-                if chunk is not None and chunk != numbers[low]:
-                    yield rows()
-                    held = []
-                chunk = int(numbers[low])
-                for _, texts in chunks([batch.slice(low, high - low)]):
-                    cut = units(texts)
-                    keys = np.unique(np.concatenate([cut.tokens[(cut.tokens & 3) == LONG_WORD], cut.keys]))
-                    held.append(keys[~found_in(shared.value, keys)[0]])
-        if held:
-            yield rows()
-
-    return staged.select("chunk", "text").mapInArrow(run, "chunk long, key long").distinct()
+    return Model(words, train(staged.where("not held_out"), words), counts, rows)
 
 
 SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
 def score_texts(texts: Texts, words: Vocabulary, weights: np.ndarray, keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Tokens, known tokens, sum of log10(count + 0.1) and natural log probability of each text; ``keys`` are the counted ones
-    without ids, sorted, and ``n`` their counts."""
+    """Tokens, known tokens, sum of log10(count + 0.1) and natural log probability of each text; ``keys`` are the counted ones,
+    sorted, and ``n`` their counts."""
     cut = units(texts)
 
     def counted(wanted: np.ndarray) -> np.ndarray:
@@ -552,9 +543,10 @@ def score_texts(texts: Texts, words: Vocabulary, weights: np.ndarray, keys: np.n
 
 
 def score_staged(staged: DataFrame, model: Model) -> DataFrame:
+    """Scores of the texts that the model was fitted with, in training or held out."""
     spark = staged.sparkSession
     shared = spark.sparkContext.broadcast((model.words, model.weights))
-    told = asked(staged, model.words).join(model.counts, "key")
+    told = model.rows.where("chunk >= 0").select("chunk", "key").join(model.counts, "key")
 
     def run(texts, counts):
         words, weights = shared.value
