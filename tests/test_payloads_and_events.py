@@ -1,9 +1,13 @@
 import gzip
 import json
 import zlib
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
+from cairn.checks import landing
 from cairn.operators.events import event_field, normalise_events
 from cairn.plans.medallion import payload_records
 from cairn.sources import payloads as payloads_module
@@ -53,6 +57,24 @@ def test_growing_batches_are_handed_over_in_slices(spark, monkeypatch):
     assert [row.id for row in decoded] == list(range(20))
 
 
+def test_a_worker_holds_few_of_the_texts_it_unpacked():
+    """64 MB of text out of one small batch leave the worker a few megabytes at a time."""
+    schema = T.StructType([T.StructField("payload", T.BinaryType()), T.StructField("content_encoding", T.StringType())])
+    work = decode_payloads(SimpleNamespace(schema=schema, mapInArrow=lambda work, _: work))
+    packed = pa.RecordBatch.from_arrays([pa.array([gzip.compress(b"x" * (1 << 20))] * 64), pa.array(["gzip"] * 64)], schema.fieldNames())
+    sizes = [(batch.num_rows, batch.nbytes) for batch in work([packed])]
+    assert sum(rows for rows, _ in sizes) == 64 and max(held for _, held in sizes) < 8 << 20
+
+
+def test_packing_takes_no_arrow_batches(spark):
+    """Rows come to the packing worker by the hundred, not in batches of ten thousand; every way is unpacked again."""
+    texts = spark.createDataFrame([(key, f"text {key}") for key in range(14)], "key bigint, text string")
+    packed = landing._payloads(spark, "", texts)
+    assert "MapInArrow" not in packed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, decode_payloads(packed).select("key", "text").collect())) == [(key, "" if key % 7 == 6 else f"text {key}") for key in range(14)]
+    assert {row.key % 7: row.content_encoding for row in packed.collect()} == {0: "GZIP", 1: "deflate", 2: "deflate", 3: None, 4: "", 5: "identity", 6: "gzip"}
+
+
 def test_payloads_to_records(spark):
     found = payload_records(decode_payloads(payloads(spark, (gzip.compress(BYTES), None), (b"x", "gzip"), (b"[]", None))))
     error = "undecodable payload: EOFError: compressed data ends early"
