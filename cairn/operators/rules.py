@@ -192,15 +192,15 @@ def check(parsed: DataFrame, rules: Sequence[Rule | FieldRule]) -> DataFrame:
     """Every parsed record with its verdict, in the validated zone's columns.
 
     A record that does not parse has that as its only reason. Every row keeps the record's text, which
-    holds the fields that the contract does not name.
+    holds the fields that the contract does not name. The verdict comes from the conditions, not from the list of
+    reasons, which is made for rejected rows alone, and not at all where only verdicts are wanted.
     """
     rules = bind_rules(parsed, rules)
     unreadable = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit(UNREADABLE)))
-    tagged = parsed.withColumn("reasons", F.coalesce(unreadable, broken_rules(rules)))
-    rejected = F.size("reasons") > 0
-    return tagged.select(
+    rejected = F.col(CORRUPT).isNotNull() | ~F.coalesce(all_hold(rules), F.lit(False))
+    return parsed.select(
         *[name for name in CHECKED.fieldNames() if name not in ("reasons", "verdict")],
-        F.when(rejected, F.col("reasons")).alias("reasons"),
+        F.when(rejected, F.coalesce(unreadable, broken_rules(rules))).alias("reasons"),
         F.when(rejected, F.lit(REJECTED)).otherwise(F.lit(VALID)).alias("verdict"),
     ).select(*CHECKED.fieldNames())
 

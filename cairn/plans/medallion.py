@@ -28,7 +28,7 @@ from cairn.operators.rules import FieldRule, Rule, check, contract_rules, folder
 from cairn.operators.sinks import EmptyZone, ZoneWrite, append_audit, append_quality, land, materialize, overlapping, write_zone
 from cairn.operators.transforms import curate, flatten, local_projection
 from cairn.sources.files import has_landed, list_files, source_or_fallback
-from cairn.sources.observed import missing_fields
+from cairn.sources.observed import carrying
 from cairn.sources.records import arrays_to_records, parse_records, read_records
 from cairn.sources.zones import read_curated, read_intermediate, read_table, read_valid
 
@@ -166,16 +166,39 @@ def counted_stage(name: str, path: str, metrics: dict[str, int], **facts) -> Sta
     return Stage(name, path, broken=broken or None, **facts, **{key: count for key, count in metrics.items() if not key.startswith(BROKEN)})
 
 
-def gate(checked: DataFrame, required: Sequence[str], rules: Sequence[Rule | FieldRule], on_empty: str, target: str) -> bool:
+FIRST_ROWS = 100
+
+
+def gate(
+    checked: DataFrame,
+    required: Sequence[str],
+    rules: Sequence[Rule | FieldRule],
+    on_empty: str,
+    target: str,
+    counts: dict[str, int] | None = None,
+    stored: bool = False,
+) -> bool:
     """Whether to write checked records. Fails where no record carries a required field, and by ``on_empty`` where none is valid.
 
-    Where a rule demands every required field, a valid row proves that they exist, so the usual run reads one row for this.
+    Where a rule demands every required field, a valid row proves that they exist, so the usual run reads the first
+    ``FIRST_ROWS`` of each task for this. Without such a row all records are read, once and by all tasks together, and
+    ``counts`` is given their ``rows_in`` and ``rows_valid``. Looking for a valid row among all of them would read a few
+    tasks' rows, then some more, and so on to the end. Only a ``stored`` zone, where the verdict is a folder, has that row at hand.
     """
-    nothing_valid = checked.where(F.col("verdict") == VALID).isEmpty()
-    if nothing_valid or not {f"{name}_required" for name in required} <= {rule.name for rule in rules}:
-        absent = [] if checked.isEmpty() else missing_fields(checked, required)
-        if absent:
-            raise ValueError(f"missing required columns: {absent}")
+    is_valid = F.col("verdict") == VALID
+    proven = {f"{name}_required" for name in required} <= {rule.name for rule in rules}
+    if proven:
+        first = checked if stored else checked.limit(FIRST_ROWS)
+        if not first.where(is_valid).isEmpty():
+            return True
+    totals = [F.count(F.lit(1)).alias("rows_in"), F.count_if(is_valid).alias("rows_valid")]
+    found = checked.select("verdict", F.json_object_keys("record").alias("keys")).agg(*totals, *carrying("keys", required)).first()
+    if counts is not None:
+        counts.update(rows_in=found["rows_in"], rows_valid=found["rows_valid"])
+    nothing_valid = found["rows_valid"] == 0
+    absent = [name for i, name in enumerate(required) if found["rows_in"] and not found[f"n{i}"]]
+    if absent and (nothing_valid or not proven):
+        raise ValueError(f"missing required columns: {absent}")
     if nothing_valid and on_empty == "fail":
         raise EmptyZone(f"no valid rows for {target}")
     return not (nothing_valid and on_empty == "skip")

@@ -106,7 +106,7 @@ def parse_records(records: DataFrame) -> DataFrame:
     contract = T.StructType([*RAW.fields, T.StructField(CORRUPT, T.StringType())])
     # from_json would quietly take the first element of an array, and drop what follows an object.
     is_object = is_one_value(F.col("record"), "{", "}")
-    parsed = F.from_json(F.when(is_object, F.col("record")), contract, {"columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_json(F.when(F.col("is_object"), F.col("record")), contract, {"columnNameOfCorruptRecord": CORRUPT})
     # A generator, because filters are not pushed through one: as a projection, the parse would be
     # copied into a later filter once per column the filter looks at.
     staged = records.withColumn("is_object", is_object).select("record", "file_path", "is_object", F.inline(F.array(parsed)))

@@ -74,10 +74,10 @@ def run_incremental(
     )
     query.awaitTermination()
     if keep == "append" and written:
-        gate(_batches(spark, home).where(F.col("batch_id").isin(written)), required, rules, "write", validated)
+        gate(_batches(spark, home).where(F.col("batch_id").isin(written)), required, rules, "write", validated, stored=True)
     elif keep == "replace" and has_landed(spark, home):
         new = _batches(spark, home)
-        if gate(new, required, rules, on_empty, validated):
+        if gate(new, required, rules, on_empty, validated, stored=True):
             # the batches lie in folders of their own verdict and region already
             write_checked(new.drop("batch_id"), validated, layout="inherit")
             # if the run dies before this, the next one puts these batches into the zone again

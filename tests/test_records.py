@@ -3,9 +3,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from cairn.contracts import CORRUPT
+from cairn.contracts import CORRUPT, REQUIRED_FIELDS
 from cairn.operators.rules import check, contract_rules
+from cairn.operators.sinks import EmptyZone
 from cairn.operators.transforms import curate, enrich, flatten
+from cairn.plans.medallion import gate
 from cairn.sources.observed import (
     field_presence,
     flatten_dotted,
@@ -227,6 +229,31 @@ def test_observed_fields_and_gate(spark):
     assert observed_schema(seen).first().schema == "OBJECT<a: BIGINT, b: VOID, c: OBJECT<d: BIGINT>>"
 
 
+def test_the_gate_reads_all_records_at_most_once(spark):
+    """Without a valid row: the first rows, then all, in one pass that counts, and not some partitions after others."""
+    body = json.dumps(country()).replace('"population"', '"people"')
+    seen = check(parse_records(records(spark, *[body] * 64, "broken").repartition(65)), contract_rules())
+    counts = {}
+    spark.sparkContext.setJobGroup("gate", "gate")
+    try:
+        with pytest.raises(ValueError, match=r"missing required columns: \['population'\]"):
+            gate(seen, REQUIRED_FIELDS, contract_rules(), "skip", "the zone", counts)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("gate")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts == {"rows_in": 65, "rows_valid": 0}
+    # a shuffle of its own and a result for each: the 65 partitions, the first rows, all of them
+    assert len(jobs) <= 6
+
+
+def test_the_gate_finds_a_valid_row_behind_many_rejected(spark):
+    seen = check(parse_records(records(spark, *["{}"] * 300, json.dumps(country())).coalesce(1)), contract_rules())
+    counts = {}
+    assert gate(seen, REQUIRED_FIELDS, contract_rules(), "fail", "the zone", counts) and counts == {"rows_in": 301, "rows_valid": 1}
+    with pytest.raises(EmptyZone):
+        gate(seen.where("verdict = 'none'"), REQUIRED_FIELDS, contract_rules(), "fail", "the zone")
+
+
 def test_required_columns(spark):
     frame = spark.range(1).withColumn("name", F.lit("x"))
     assert require_columns(frame, ["name"]) is frame
